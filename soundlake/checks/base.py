@@ -49,6 +49,16 @@ def r(c: Column | str, n: int = 6) -> Column:
     return F.round(c, n) + F.lit(0.0)
 
 
+def r5(c: Column | str, n: int = 6) -> Column:
+    """Rounding for exact decimals that may sit on a tie: both sides add the same small offset."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c + 0.33 * 10.0**-n / 10, n)
+
+
+def sql5(expr: str, n: int = 6) -> str:
+    return f"ROUND({expr} + 0.33 * 1e-{n} / 10, {n})"
+
+
 def micros(ts: str) -> Column:
     """Microseconds of a zone-free timestamp, whatever the session's zone."""
     t = F.col(ts)

@@ -57,8 +57,8 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` nearest points of every query: all columns of both sides, ``d2`` and ``rank``.
 
-    ``radius`` is exclusive. Ties go to the lower ``pid``. ``leaf`` is the smallest tile side: choose
-    it so that a tile holds few points. Without a radius the hierarchy starts at the data's extent
+    ``radius`` is exclusive. Ties go to the lower ``pid``. ``leaf`` is the aim for the smallest tile side:
+    choose it so that a tile holds few points. Without a radius the hierarchy starts at the data's extent
     (one aggregation), so any distance is reachable.
     """
     (qx, qy), (px, py) = qxy, pxy
@@ -80,7 +80,7 @@ def nearest(
                 max(box[0][3], box[1][3]) - min(box[0][2], box[1][2]),
             )
             top = max(top, leaf)
-    depth = max(0, math.ceil(math.log(top / leaf, SPLIT) - 1e-9))
+    depth = max(0, round(math.log(top / leaf, SPLIT)))
     sizes = [top / SPLIT**i for i in range(depth + 1)]
 
     # Every coarser tile is an exact integer division of the leaf tile.

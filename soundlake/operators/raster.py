@@ -229,12 +229,11 @@ def blur(
     mirrored ends. Two exchanges whatever the kernel's width; task memory is ``lines`` times the grid's
     side. Cells bleed past the valid area; join the result back to the input to re-mask it.
     """
-    schema = "row int, col int, num double, den double"
     cells = df.where(F.col(value).isNotNull()).select(
         "row", "col", F.col(value).cast("double").alias("num"), F.lit(1.0).alias("den")
     )
     first = cells.groupBy(F.floor(F.col("row") / lines)).applyInPandas(
-        _blur_lines("row", "col", grid.ncols, sigma, False), schema.replace("row int, col int", "row int, col int")
+        _blur_lines("row", "col", grid.ncols, sigma, False), "row int, col int, num double, den double"
     )
     second = first.groupBy(F.floor(F.col("col") / lines)).applyInPandas(
         _blur_lines("col", "row", grid.nrows, sigma, False), "col int, row int, num double, den double"
@@ -268,8 +267,8 @@ def contour_segments(df: DataFrame, grid: Grid, value: str, minor: int = 5, majo
     lo, hi = F.least("a", "b", "d", "e"), F.greatest("a", "b", "d", "e")
     first = F.greatest(F.lit(1).cast("long"), F.floor(lo / minor) + 1)
     last = F.floor(hi / minor)
-    q = q.where(first <= last).withColumn("lev", F.explode(F.sequence(first, last)) * minor)
-    # The top corner value itself is on the level: it counts as above, so the quad is crossed once.
+    q = q.where(first <= last).withColumn("lev", F.explode(F.sequence(first, last))).withColumn("lev", F.col("lev") * minor)
+    # A corner on the level counts as above, so neighbouring quads agree.
     lev = F.col("lev")
     x, y = F.col("col").cast("double"), F.col("row").cast("double")
 
