@@ -37,7 +37,9 @@ def with_views(views: str, body: str) -> str:
         return body.strip()
     head = "WITH " + ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
     body = body.strip()
-    return f"{head},\n{body[4:]}" if body[:4].upper() == "WITH" else f"{head}\n{body}"
+    if body.startswith("WITH RECURSIVE"):
+        return head.replace("WITH", "WITH RECURSIVE", 1) + ",\n" + body[14:]
+    return f"{head},\n{body[4:]}" if body.startswith("WITH ") else f"{head}\n{body}"
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:

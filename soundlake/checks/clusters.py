@@ -1 +1,76 @@
-"""pending"""
+"""Clustering and the correction chain."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from soundlake.checks.base import check, r, sample
+from soundlake.checks.stats import WF, ZS, falls
+from soundlake.functions import acoustic as A
+from soundlake.operators import radiometry as R
+from soundlake.operators.lineage import cut
+
+ROUNDS, K = 5, 5
+
+
+def lloyd_sql() -> str:
+    seeds = ", ".join(f"quantile_cont(z, {(i + 0.5) / K!r}::DOUBLE) AS c{i}" for i in range(K))
+    out = [f"k0 AS (SELECT {seeds} FROM zz)"]
+    for n in range(ROUNDS):
+        near = label_sql("k")
+        means = ", ".join(f"avg(z) FILTER (WHERE l = {i}) AS c{i}" for i in range(K))
+        out.append(f"k{n + 1} AS (SELECT {means} FROM (SELECT z, {near} AS l FROM zz, k{n} k))")
+    return ", ".join(out)
+
+
+def label_sql(t: str) -> str:
+    return " + ".join(f"(z > ({t}.c{i} + {t}.c{i + 1}) / 2)::INT" for i in range(K - 1))
+
+
+ZZ = f"{ZS}, zz AS (SELECT ping, bin, ROUND(z, 6) AS z FROM z WHERE z IS NOT NULL)"
+
+
+def scores(spark, d):
+    z = R.robust_z(falls(spark, d)).select("ping", "bin", F.round("z", 6).alias("z")).where("z is not null")
+    return cut(z)  # read once per round
+
+
+@check("m1_kmeans", "sample", f"WITH {ZZ}, {lloyd_sql()} SELECT label, count(*) AS n, ROUND(avg(z), 6) AS centre FROM (SELECT z, {label_sql('k')} AS label FROM zz, k{ROUNDS} k) GROUP BY label")
+def _(spark, d):
+    z = scores(spark, d)
+    centres, _ = R.lloyd(z, "z", K, ROUNDS)
+    return R.label(z, "z", centres).groupBy("label").agg(F.count("*").alias("n"), r(F.avg("z")).alias("centre"))
+
+
+@check("m1_kmeans_merged", "sample")
+def _(spark, d):
+    z = scores(spark, d)
+    centres = R.cluster(z, "z", 7, rounds=20)
+    return R.label(z, "z", centres).groupBy("label").agg(F.count("*").alias("n"), r(F.avg("z"), 4).alias("centre"))
+
+
+@check("m2_correction_chain", "sample")
+def _(spark, d):
+    far = A.far_cutoff(F.lit("HF"))
+    c = R.correct(sample(spark, d), "ping", "bs", "altitude", "angle", far, k=4, rounds=5)
+    return c.select("ping", "num", "part", "line", "bs", r("bs_db", 4).alias("bs_db"), "label")
+
+
+LAB = """im AS (SELECT ping, bin, CASE WHEN bs > 47 THEN 2 WHEN bs > 45 THEN 1 WHEN bs > 43 THEN 0 END AS label FROM w)"""
+
+
+def image(spark, d):
+    bs = F.col("bs")
+    return falls(spark, d).withColumn("label", F.when(bs > 47, 2).when(bs > 45, 1).when(bs > 43, 0))
+
+
+@check("m3_cluster_report", "sample", f"""WITH {WF}, {LAB} SELECT coalesce(max(label) + 1, 0) AS n_clusters, ROUND(1 - count(label) * 1.0::DOUBLE / (50 * count(DISTINCT ping)), 6) AS unlabelled FROM im""")
+def _(spark, d):
+    out = R.cluster_report(image(spark, d), "ping", "label")
+    return out.select("n_clusters", r("unlabelled").alias("unlabelled"))
+
+
+@check("j8_sample_labels", "sample", f"""WITH {WF}, {LAB} SELECT s.ping, num, part, line, s.bs, coalesce(label, -1) AS label FROM sample s LEFT JOIN im ON im.ping = s.ping AND im.bin = floor(s.angle - 20)""")
+def _(spark, d):
+    out = R.sample_labels(sample(spark, d), image(spark, d), "ping", "angle")
+    return out.select("ping", "num", "part", "line", "bs", "label")

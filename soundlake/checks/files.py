@@ -1 +1,178 @@
-"""pending"""
+"""Binary messages made from the events table, and layers written and read back."""
+
+from __future__ import annotations
+
+import struct
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from soundlake.checks.base import check, micros, r, raster, table
+from soundlake.checks.cubes import RANKED, TID, ranked
+from soundlake.operators import cube as C
+from soundlake.operators import raster as RA
+from soundlake.operators.lineage import scratch
+from soundlake.plans import jobs
+from soundlake.sources import sonar, text
+
+
+def message(kind: int, subsys: int, channel: int, payload: bytes) -> bytes:
+    return struct.pack("<HHHBBBBHI", 0x1601, 0, kind, 0, subsys, channel, 0, 0, len(payload)) + payload
+
+
+def sonar_payload(us: int, value: float, i: int, n: int, fmt: int) -> bytes:
+    p = bytearray(240)
+
+    def put(name: str, v) -> None:
+        off, f = sonar.SONAR_FIELDS[name]
+        struct.pack_into(f, p, off, v)
+
+    put("sec", us // 1_000_000)
+    put("usec", us % 1_000_000)
+    put("validity", i % 1024)
+    put("weight", i % 3)
+    put("ns", 20480)
+    put("start10", 200 + i % 50)
+    put("end10", 900 + i % 50)
+    put("msb", (i % 5) * 16 + i % 3)
+    put("lsb2", (i * 37) % 65536)
+    put("sweep", 10 + i % 4)
+    put("centre", 0.0 if i % 4 == 0 else 230000.0)
+    put("raw_x", 0 if i % 6 == 0 else 72_480_000 + i)
+    put("raw_y", 13_290_000 + i)
+    put("units", 1 + i % 2)
+    put("depth_mm", int(value * 100))
+    put("alt_mm", int(value * 50) - 900)
+    put("heave", 0.25 * (i % 8))
+    put("data_format", fmt)
+    return bytes(p) + (np.arange(n) * 3 + i % 100).astype("<u2").tobytes()
+
+
+def record(us: int, value: float, i: int, kind: str) -> bytes:
+    if kind == "view":
+        return message(80, 20 + i % 2, i % 2, sonar_payload(us, value, i, 4 + i % 3, 0))
+    if kind == "click":
+        return message(80, 0, 0, sonar_payload(us, value, i, 4 + 2 * (i % 2), (0, 1, 9)[i % 3]))
+    when = struct.pack("<II", us // 1_000_000, us % 1_000_000 // 1000)
+    if kind == "error":
+        body = bytearray(40)
+        body[:8] = when
+        struct.pack_into("<hhxxxxhHi", body, 24, i % 2000 - 1000, i % 500, i % 300 - 150, i % 36000, (i % 4) << 6)
+        return message(2020, 0, 0, bytes(body))
+    mm = f"{2200 + (i % 600) / 10:.4f}"
+    line = f"$GPGGA,120000,{mm},{'N' if i % 2 else 'S'},12042.5000,E,1,08" if kind == "signup" else f"$GPRMC,120000,A,{mm},N,12042.5000,W,5.0,90,010124"
+    return message(2002, 0, 0, when + b"\0" * 4 + line.encode() + b"\r\n")
+
+
+def blobs(spark, d):
+    """Per (line, three days): a byte stream of messages with garbage before every seventh one."""
+    e = table(spark, d, "events").select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("line"), micros("ts").alias("us"), "value", F.col("event_type").alias("kind"))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            out = []
+            for i, us, v, k in zip(p["id"], p["us"], p["value"], p["kind"]):
+                junk = b"\x01junk\x16\x01" if i % 7 == 0 else b""
+                out.append(junk + record(int(us), float(v), int(i), k))
+            yield pd.DataFrame({"id": p["id"], "line": p["line"], "us": p["us"], "b": out})
+
+    m = e.mapInPandas(pack, "id long, line long, us long, b binary")
+    parts = F.array_sort(F.collect_list(F.struct("id", "b")))
+    g = m.groupBy("line", F.floor(F.col("us") / (3 * 86400 * 1000000)).alias("slot")).agg(parts.alias("p"))
+    hexes = F.array_join(F.transform("p", lambda x: F.hex(x["b"])), "")
+    return g.select(F.concat_ws("/", "line", "slot").alias("name"), F.unhex(hexes).alias("blob"))
+
+
+def messages(spark, d):
+    return sonar.scan_blobs(blobs(spark, d), "name", "blob")
+
+
+SLOT = "user_id || '/' || CAST(floor(epoch_us(ts) / (3 * 86400 * 1000000.0)) AS BIGINT) AS file"
+EV = f"""ev AS (SELECT event_id AS i, epoch_us(ts) AS us, value AS v, event_type AS kind, {SLOT}, row_number() OVER (PARTITION BY user_id, floor(epoch_us(ts) / (3 * 86400 * 1000000.0)) ORDER BY event_id) - 1 AS seq FROM events)"""
+
+
+@check("s3_message_scan", "", f"""WITH {EV} SELECT file, seq, CASE WHEN kind IN ('view', 'click') THEN 80 WHEN kind = 'error' THEN 2020 ELSE 2002 END AS msg_type,
+    CASE WHEN kind = 'view' THEN CAST(20 + i % 2 AS INTEGER) ELSE 0 END AS subsys, CASE WHEN kind = 'view' THEN CAST(i % 2 AS INTEGER) ELSE 0 END AS channel FROM ev""")
+def _(spark, d):
+    return messages(spark, d).select("file", "seq", "msg_type", "subsys", "channel")
+
+
+BIT = "((i % 1024) >> {b}) & 1 = 1"
+
+
+@check("s4_sidescan_pings", "", f"""WITH {EV} SELECT file, seq, CASE WHEN i % 2 = 0 THEN 'LF_port' ELSE 'HF_stbd' END AS channel, us / 1e6 AS t, ROUND(1489.073 * 20480 * 1e-9 / 2, 9) AS pix_m,
+    CASE WHEN i % 4 = 0 THEN ((200 + i % 50) * 10 + (900 + i % 50) * 10) / 2 ELSE 230000.0 END::DOUBLE AS center_freq_hz, CASE WHEN {BIT.format(b=4)} THEN CAST(trunc(v * 100) AS INT) / 1000 ELSE 0 END AS depth_m,
+    CASE WHEN {BIT.format(b=7)} THEN 0.25 * (i % 8) ELSE 0 END::DOUBLE AS heave_m, CASE WHEN {BIT.format(b=0)} AND i % 6 <> 0 THEN ROUND((13290000 + i) / CASE WHEN i % 2 = 1 THEN 600000.0 ELSE 1000.0 END::DOUBLE, 9) END AS lat,
+    CASE WHEN {BIT.format(b=0)} AND i % 6 <> 0 THEN ROUND((72480000 + i) / CASE WHEN i % 2 = 1 THEN 600000.0 ELSE 1000.0 END::DOUBLE, 9) END AS lon, CAST(4 + i % 3 AS INTEGER) AS n,
+    ROUND(list_sum(list_transform(range(4 + i % 3), lambda k: k * 3 + i % 100)) * pow(2, -(i % 3)), 6) AS amp_sum FROM ev WHERE kind = 'view'""")
+def _(spark, d):
+    p = sonar.sss_pings(messages(spark, d))
+    total = F.aggregate("amps", F.lit(0.0), lambda a, x: a + x)
+    return p.select("file", "seq", "channel", "t", r("pix_m", 9).alias("pix_m"), "center_freq_hz", "depth_m", "heave_m", r("lat", 9).alias("lat"), r("lon", 9).alias("lon"), F.size("amps").alias("n"), r(total).alias("amp_sum"))
+
+
+@check("s5_subbottom_pings", "", f"""WITH {EV}, a AS (SELECT *, CASE WHEN {BIT.format(b=9)} THEN CAST(trunc(v * 100) AS INT) / 1000 ELSE 0 END::DOUBLE AS depth_m,
+      CASE WHEN {BIT.format(b=6)} AND CAST(trunc(v * 50) AS INT) - 900 > 0 THEN (CAST(trunc(v * 50) AS INT) - 900) / 1000 END::DOUBLE AS altitude_m FROM ev WHERE kind = 'click')
+    SELECT file, seq, us / 1e6 AS t, CAST((((i % 3) << 16) | (200 + i % 50)) * 10 AS INTEGER) AS start_freq_hz, CAST((((i % 5) << 16) | (900 + i % 50)) * 10 AS INTEGER) AS end_freq_hz, ROUND(10 + i % 4 + ((((i * 37) % 65536) >> 4) & 1023) / 1000, 6) AS sweep_ms,
+    CAST(CASE WHEN i % 3 = 0 THEN 4 + 2 * (i % 2) ELSE (4 + 2 * (i % 2)) // 2 END AS INTEGER) AS n_samples, depth_m, altitude_m, ROUND(depth_m + altitude_m, 9) AS water_depth_m FROM a""")
+def _(spark, d):
+    p = sonar.sbp_pings(messages(spark, d))
+    return p.select("file", "seq", "t", "start_freq_hz", "end_freq_hz", r("sweep_ms").alias("sweep_ms"), "n_samples", "depth_m", "altitude_m", r("water_depth_m", 9).alias("water_depth_m"))
+
+
+@check("s6_attitude", "", f"""WITH {EV} SELECT file, us // 1000000 + (us % 1000000) // 1000 / 1000 AS t, ROUND((i % 2000 - 1000) * 180.0::DOUBLE / 32768, 9) AS pitch, ROUND((i % 500) * 180.0::DOUBLE / 32768, 9) AS roll,
+    (i % 300 - 150) / 1000 AS heave_m, (i % 36000) / 100 AS heading FROM ev WHERE kind = 'error' AND i % 4 = 3""")
+def _(spark, d):
+    a = sonar.attitude(messages(spark, d))
+    return a.select("file", "t", r("pitch", 9).alias("pitch"), r("roll", 9).alias("roll"), "heave_m", "heading")
+
+
+@check("s7_navigation", "", f"""WITH {EV} SELECT file, us // 1000000 + (us % 1000000) // 1000 / 1000 AS t, ROUND(CASE WHEN kind = 'signup' AND i % 2 = 0 THEN -1 ELSE 1 END * (22 + (i % 600) / 600), 9) AS lat,
+    ROUND(CASE WHEN kind = 'signup' THEN 1 ELSE -1 END * (120 + 42.5::DOUBLE / 60), 9) AS lon FROM ev WHERE kind IN ('signup', 'purchase')""")
+def _(spark, d):
+    n = sonar.navigation(messages(spark, d))
+    return n.select("file", "t", r("lat", 9).alias("lat"), r("lon", 9).alias("lon"))
+
+
+@check("s_georeferenced_pings")
+def _(spark, d):
+    m = messages(spark, d)
+    g = sonar.georeferenced(sonar.sss_pings(m), sonar.attitude(m), sonar.navigation(m), F.floor(F.col("t") / 86400))
+    return g.select("file", "seq", "channel", "pos_source", *[r(c).alias(c) for c in ("t", "pitch", "roll", "heading", "lat", "lon")])
+
+
+# --- layers and lists, written and read back ----------------------------------------------------------------
+
+
+@check("s10_layer_round_trip", "raster", """SELECT "row", col, CAST("row" // 256 AS INTEGER) AS tile_row, CASE WHEN col % 5 = 0 THEN -9999.0 ELSE z END::DOUBLE AS z FROM raster""")
+def _(spark, d):
+    path = scratch(spark, "layers")
+    g = raster(spark, d)
+    RA.write_layer(g.select("row", "col", F.when(F.col("col") % 5 != 0, F.col("z")).alias("value")), "depth", path)
+    RA.write_layer(g.select("row", "col", (F.col("z") * 2).alias("value")), "other", path)
+    back = RA.read_layer(spark, path, "depth")
+    return back.select("row", "col", "tile_row", RA.with_sentinel(F.col("value"), "float32").alias("z"))
+
+
+@check("s11_cube", "raster", """SELECT "row", col, 10 + (col + 0.5)::DOUBLE AS x, 200 - ("row" + 0.5)::DOUBLE AS y, z AS depth, CASE WHEN col % 3 <> 0 THEN CAST(floor(z) AS INTEGER)::DOUBLE END AS cls FROM raster""")
+def _(spark, d):
+    g = raster(spark, d)
+    a = g.select(F.lit("depth").alias("layer"), "row", "col", F.col("z").alias("value"))
+    b = g.select(F.lit("cls").alias("layer"), "row", "col", F.when(F.col("col") % 3 == 0, -1.0).otherwise(F.floor("z")).cast("double").alias("value"))
+    dim = spark.createDataFrame([("depth", "m", "float32", "continuous", ""), ("gone", "", "float32", "continuous", ""), ("cls", "", "int8", "categorical", "")], C.LAYER_SCHEMA)
+    path = scratch(spark, "cube")
+    C.write(jobs.build_cube(a.unionByName(b), dim, RA.Grid(10.0, 200.0, 1.0, 200, 100)), path)
+    return C.read(spark, path).drop("tile_row", "tile_col")
+
+
+@check("s14_targets_round_trip", "spot", f"""WITH {RANKED} SELECT {TID} AS target_id, CAST(printf('%.2f', x + 0.001) AS DOUBLE) AS x_m, CAST(printf('%.2f', y + 0.001) AS DOUBLE) AS y_m, CAST(printf('%.6f', 120.7 + x / 1e5) AS DOUBLE) AS lon,
+    CAST(printf('%.6f', 22.1 + y / 1e5) AS DOUBLE) AS lat, CAST(printf('%+.1f', v + 0.001) AS DOUBLE) AS "anomaly_nT", CASE WHEN v > 0 THEN '+' ELSE '-' END AS polarity FROM rk""")
+def _(spark, d):
+    path = scratch(spark, "targets")
+    text.write_targets(C.target_rows(ranked(spark, d)), path)
+    return text.read_targets(spark, path)
+
+

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from soundlake import constants as K
@@ -322,3 +322,20 @@ def target_rows(df: DataFrame) -> DataFrame:
         F.format_string("%+.1f", "anomaly_nT").alias("anomaly_nT"),
         "polarity",
     )
+
+
+def write(cube: DataFrame, path: str, tile: int = 256) -> None:
+    """Wide cells as Parquet in tiles, so that a region or point query prunes to the tiles it touches."""
+    (
+        cube.withColumn("tile_row", F.floor(F.col("row") / tile).cast("int"))
+        .withColumn("tile_col", F.floor(F.col("col") / tile).cast("int"))
+        .repartition("tile_row", "tile_col")
+        .sortWithinPartitions("row", "col")
+        .write.mode("overwrite")
+        .partitionBy("tile_row")
+        .parquet(path)
+    )
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

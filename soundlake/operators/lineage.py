@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` so that losing executors never replays earlier rounds."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder next to the checkpoints, reachable by every executor."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/soundlake-{name}-{uuid.uuid4().hex}"

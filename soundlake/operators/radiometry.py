@@ -227,10 +227,24 @@ def correct(
     image = label_image(full_image(labelled, ping), ping, "label").select(ping, "bin", F.col("smoothed").alias("label"))
     wl = labelled.drop("label").join(image, [ping, "bin"], "left")
     curves = response_curves(wl, "label")
-    s = s.withColumn("bin", angle_bin(F.col(angle)))
-    s = s.join(image, [ping, "bin"], "left").withColumn("label", F.coalesce("label", F.lit(-1)))
-    out = apply_curves(s, curves, "label", "_db", angle, "_corr")
-    return out.withColumn("bs_db", A.angle_mask(F.col("_corr"), F.col(angle), far)).drop("_lin", "_db", "_corr", "bin")
+    out = apply_curves(sample_labels(s, image, ping, angle), curves, "label", "_db", angle, "_corr")
+    return out.withColumn("bs_db", A.angle_mask(F.col("_corr"), F.col(angle), far)).drop("_lin", "_db", "_corr")
+
+
+def sample_labels(samples: DataFrame, image: DataFrame, ping: str, angle: str) -> DataFrame:
+    """Label of each sample's (ping, bin), -1 where there is none."""
+    s = samples.withColumn("bin", angle_bin(F.col(angle)))
+    lab = image.select(ping, "bin", "label")
+    return s.join(lab, [ping, "bin"], "left").withColumn("label", F.coalesce("label", F.lit(-1))).drop("bin")
+
+
+def cluster_report(image: DataFrame, ping: str, label_col: str) -> DataFrame:
+    """Number of clusters, and the share of (ping, bin) places without a label."""
+    places = int(K.ANGLE_MAX - K.ANGLE_MIN)
+    pings = image.select(ping).distinct().agg(F.count(F.lit(1)).alias("_p"))
+    lab = F.when(F.col(label_col) >= 0, F.col(label_col))
+    c = image.agg(F.coalesce(F.max(lab) + 1, F.lit(0)).alias("n_clusters"), F.count(lab).alias("_n"))
+    return attach(c, pings, []).select("n_clusters", (1 - F.col("_n") / (places * F.col("_p"))).alias("unlabelled"))
 
 
 def full_image(wf: DataFrame, ping: str) -> DataFrame:
