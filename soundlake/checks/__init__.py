@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scalars", "tracks", "stats", "rasters", "neighbours", "traces", "clusters", "cubes", "files")
+MODULES = ("scalars", "tracks", "stats", "rasters", "neighbours", "traces", "clusters", "cubes", "files", "survey")
 
 
 def registry():

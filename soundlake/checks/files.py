@@ -13,7 +13,7 @@ from soundlake.checks.base import check, micros, r, raster, table
 from soundlake.checks.cubes import RANKED, TID, ranked
 from soundlake.operators import cube as C
 from soundlake.operators import raster as RA
-from soundlake.operators.lineage import scratch
+from soundlake.operators.lineage import cut, scratch
 from soundlake.plans import jobs
 from soundlake.sources import sonar, text
 
@@ -139,8 +139,9 @@ def _(spark, d):
 
 @check("s_georeferenced_pings")
 def _(spark, d):
-    m = messages(spark, d)
-    g = sonar.georeferenced(sonar.sss_pings(m), sonar.attitude(m), sonar.navigation(m), F.floor(F.col("t") / 86400))
+    m = cut(messages(spark, d), "messages")
+    p = cut(sonar.sss_pings(m), "pings")
+    g = sonar.georeferenced(p, sonar.attitude(m), sonar.navigation(m), F.floor(F.col("t") / 86400))
     return g.select("file", "seq", "channel", "pos_source", *[r(c).alias(c) for c in ("t", "pitch", "roll", "heading", "lat", "lon")])
 
 

@@ -9,7 +9,6 @@ travels through a summary with one row per stretch, built with map-side aggregat
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,53 +37,63 @@ class Track:
     def position(self) -> Column:
         return F.struct(*self.order)
 
-    def within(self, backward: bool = False):
+    def within(self, backward: bool = False, also: tuple[str, ...] = ()):
         cols = [F.col(c).desc() if backward else F.col(c).asc() for c in self.order]
-        return Window.partitionBy(*self.key).orderBy(*cols)
+        return Window.partitionBy(*self.key, *also).orderBy(*cols)
 
     def across(self, backward: bool = False):
-        """Window over the stretch summary: everything strictly before (or after)."""
+        """Window over the stretch summary: everything in strictly earlier (or later) stretches."""
         o = F.col(ST).desc() if backward else F.col(ST).asc()
-        return Window.partitionBy(*self.line).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
+        return Window.partitionBy(*self.line).orderBy(o).rangeBetween(Window.unboundedPreceding, -1)
 
 
 def every(seconds: float, t: str = "t") -> Column:
-    """Stretches of a fixed duration."""
+    """Stretches of a fixed duration: bounded by the instrument's rate as long as its clock runs."""
     return F.floor(F.col(t) / seconds)
 
 
+def numbered(size: int = 65536, seq: str = "seq") -> Column:
+    """Stretches of ``size`` record numbers: bounded whatever the clock says."""
+    return F.floor(F.col(seq) / size)
+
+
 def reach(
     df: DataFrame,
     track: Track,
     before: dict[str, tuple[Column, bool]] | None = None,
     after: dict[str, tuple[Column, bool]] | None = None,
+    part: str | None = None,
 ) -> DataFrame:
     """Attach the last known value before, and the first known value after, every row.
 
     Each entry maps an output name to ``(value, strict)``; a NULL value is "unknown" and is skipped.
     Wrap a value in a struct to carry NULL fields along. ``strict`` leaves the row itself out. The
     forward look runs as a descending scan, because Spark evaluates an unbounded-following frame
-    in quadratic time.
+    in quadratic time. ``part`` names a column that splits crowded stretches; rows with a known value
+    must then be present in every part of their stretch.
     """
     before, after = before or {}, after or {}
-    rows = track.cut(df)
-    for name, (value, _) in {**before, **after}.items():
-        rows = rows.withColumn(f"_v_{name}", value)
-    pos = track.position()
-    edge = [F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), pos)).alias(f"_c_{n}") for n in before]
-    edge += [F.min_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), pos)).alias(f"_c_{n}") for n in after]
-    summary = rows.groupBy(*track.key).agg(*edge)
+    names, also = [*before, *after], (part,) if part else ()
+    key = [*track.key, *also]
+    rows = track.cut(df).select("*", *[v.alias(f"_v_{n}") for n, (v, _) in {**before, **after}.items()])
+    pos = "struct(" + ", ".join(f"`{c}`" for c in track.order) + ")"
+    edge = [
+        F.expr(f"{fn}(_v_{n}, CASE WHEN _v_{n} IS NOT NULL THEN {pos} END) AS _c_{n}")
+        for fn, side in (("max_by", before), ("min_by", after))
+        for n in side
+    ]
+    summary = rows.groupBy(*key).agg(*edge)
     carried = summary.select(
-        *track.key,
-        *[F.last(f"_c_{n}", True).over(track.across()).alias(f"_c_{n}") for n in before],
-        *[F.last(f"_c_{n}", True).over(track.across(backward=True)).alias(f"_c_{n}") for n in after],
+        *key,
+        *[F.last(f"_c_{n}", True).over(track.across(backward=n in after)).alias(f"_c_{n}") for n in names],
     )
-    out = rows.join(carried, track.key)
-    for names, backward in ((before, False), (after, True)):
-        for n, (_, strict) in names.items():
-            w = track.within(backward).rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-            out = out.withColumn(n, F.coalesce(F.last(f"_v_{n}", True).over(w), F.col(f"_c_{n}")))
-    return out.select(*df.columns, *before, *after)
+    found = []
+    for side, backward in ((before, False), (after, True)):
+        w = track.within(backward, also)
+        for n, (_, strict) in side.items():
+            frame = w.rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
+            found.append(F.coalesce(F.last(f"_v_{n}", True).over(frame), F.col(f"_c_{n}")).alias(n))
+    return rows.join(carried, key).select(*df.columns, *found)
 
 
 def ordinals(df: DataFrame, track: Track, name: str = "ord", total: str | None = None) -> DataFrame:
@@ -121,56 +130,71 @@ def interpolate(
     t: str,
     values: list[str],
     stretch: Column,
-    outside: str = "null",
+    outside: str | dict[str, str] = "null",
     min_knowns: int = 2,
+    crowd: int = 1_000_000,
 ) -> DataFrame:
     """Linear interpolation of ``values`` at query times, both neighbours found in one pass.
 
-    ``outside='null'`` leaves times beyond the known range empty, ``'clamp'`` repeats the end value.
+    ``outside='null'`` leaves times beyond the known range empty, ``'clamp'`` repeats the end value; a
+    dict gives the mode per value.
     Lines with fewer than ``min_knowns`` knowns give NULL. Knowns at one instant are averaged first,
     so the answer does not depend on their order.
+
+    Queries do not look at each other, so a stretch with more than ``crowd`` of them (a stuck clock) is
+    dealt out over several parts, each with its own copy of the stretch's knowns.
     """
-    k = knowns.groupBy(*line, t).agg(*[F.avg(v).alias(v) for v in values], F.count(F.lit(1)).alias("_reps"))
-    known = k.select(*line, t, F.struct(t, *values).alias("_known"), F.col("_reps"))
-    both = queries.withColumn("_is_query", F.lit(True)).unionByName(
-        known.withColumn("_is_query", F.lit(False)), allowMissingColumns=True
+    counts = queries.withColumn(ST, stretch).groupBy(*line, ST).agg(
+        F.expr(f"CAST(ceil(count(1) / {crowd}) AS INT) AS _parts")
     )
+    parts = counts.where("_parts > 1")
+    k = knowns.groupBy(*line, t).agg(*[F.avg(v).alias(v) for v in values])
+    k = k.withColumn(ST, stretch).join(parts, [*line, ST], "left")
+    k = k.select(
+        *line, t, F.struct(t, *values).alias("_known"), F.expr("explode(sequence(0, coalesce(_parts, 1) - 1)) AS _part")
+    )
+    keep = [c for c in queries.columns if c not in values]
+    q = queries.select(*keep).withColumn(ST, stretch).join(parts, [*line, ST], "left")
+    flat = ", ".join(f"`{c}`" for c, ty in queries.dtypes if c in keep and not ty.startswith(("array", "map", "binary")))
+    deal = F.expr(f"CASE WHEN _parts > 1 THEN CAST(pmod(xxhash64({flat}), _parts) AS INT) ELSE 0 END AS _part")
+    q = q.select(*keep, deal, F.lit(1).alias("_later"))
     # Knowns sort ahead of queries at one instant, so an exact hit is its own left neighbour; on the
     # way back the query comes first, which only loses a right neighbour equal to the left one.
-    both = both.withColumn("_later", F.col("_is_query").cast("int"))
-    track = Track(tuple(line), (t, "_later"), stretch)
+    both = q.unionByName(k.withColumn("_later", F.lit(0)), allowMissingColumns=True)
+    known = F.col("_known")
     hit = reach(
-        both, track, before={"_p": (F.col("_known"), False)}, after={"_n": (F.col("_known"), False)}
-    ).where("_is_query")
-    # A line needs two knowns: with one, both neighbours (where present) are the same instant.
+        both, Track(tuple(line), (t, "_later"), stretch), {"_p": (known, False)}, {"_n": (known, False)}, "_part"
+    ).where("_later = 1")
     size = knowns.groupBy(*line).agg(F.count(F.lit(1)).alias("_size"))
-    hit = hit.join(size, list(line), "left")
-    out = hit
-    p, n = F.col("_p"), F.col("_n")
-    for v in values:
-        span = n[t] - p[t]
-        lerp = F.when(
-            F.col("_p").isNotNull() & F.col("_n").isNotNull(),
-            p[v] + F.when(span > 0, (n[v] - p[v]) * (F.col(t) - p[t]) / span).otherwise(F.lit(0.0)),
+    out = hit.join(size, list(line), "left")
+
+    def at(v: str) -> str:
+        lerp = f"_p.`{v}` + (_n.`{v}` - _p.`{v}`) * (`{t}` - _p.`{t}`) / (_n.`{t}` - _p.`{t}`)"
+        mode = outside if isinstance(outside, str) else outside[v]
+        ends = f"coalesce(_p.`{v}`, _n.`{v}`)" if mode == "clamp" else "NULL"
+        return (
+            f"CASE WHEN coalesce(_size, 0) < {min_knowns} THEN NULL WHEN _p.`{t}` = `{t}` THEN _p.`{v}` "
+            f"WHEN _p IS NULL OR _n IS NULL THEN {ends} ELSE {lerp} END AS `{v}`"
         )
-        exact = F.when(p[t] == F.col(t), p[v])
-        val = F.coalesce(exact, lerp)
-        if outside == "clamp":
-            val = F.coalesce(val, p[v], n[v])
-        out = out.withColumn(v, F.when(F.col("_size") >= min_knowns, val))
-    keep = [c for c in queries.columns if c not in values]
-    return out.select(*keep, *values)
+
+    return out.selectExpr(*[f"`{c}`" for c in keep], *[at(v) for v in values])
+
+
+def heading_parts(heading: str) -> list[Column]:
+    return [F.sin(F.radians(heading)).alias("_s"), F.cos(F.radians(heading)).alias("_c")]
+
+
+def heading_back() -> Column:
+    return F.pmod(F.degrees(F.atan2("_s", "_c")), F.lit(360.0))
 
 
 def interpolate_heading(
     queries: DataFrame, knowns: DataFrame, line: list[str], t: str, heading: str, stretch: Column
 ) -> DataFrame:
     """Heading through its sine and cosine, clamped outside the known range, result in [0, 360)."""
-    unit = knowns.select(
-        *line, t, F.sin(F.radians(heading)).alias("_s"), F.cos(F.radians(heading)).alias("_c")
-    )
+    unit = knowns.select(*line, t, *heading_parts(heading))
     got = interpolate(queries, unit, line, t, ["_s", "_c"], stretch, outside="clamp")
-    return got.withColumn(heading, F.pmod(F.degrees(F.atan2("_s", "_c")), F.lit(360.0))).drop("_s", "_c")
+    return got.withColumn(heading, heading_back()).drop("_s", "_c")
 
 
 def fill_position(df: DataFrame, own: tuple[str, str], other: tuple[str, str]) -> DataFrame:

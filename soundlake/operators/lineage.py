@@ -1,4 +1,4 @@
-"""Cut the lineage of iterative jobs through reliable, shared storage."""
+"""Cut the lineage of long or iterative jobs through reliable, shared storage."""
 
 from __future__ import annotations
 
@@ -7,28 +7,32 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_DIR: list[str] = []
 
-def checkpoint_dir(spark: SparkSession) -> str:
+
+def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a scratch one only for a local master."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="soundlake-cp-")
-    sc.setCheckpointDir(named)
-    return named
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not _LOCAL_DIR:
+        _LOCAL_DIR.append(tempfile.mkdtemp(prefix="soundlake-"))
+    return _LOCAL_DIR[0]
+
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_dir(spark)}/soundlake-{name}-{uuid.uuid4().hex}"
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` so that losing executors never replays earlier rounds."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` once and read it back.
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder next to the checkpoints, reachable by every executor."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/soundlake-{name}-{uuid.uuid4().hex}"
+    Later steps that use it more than once do not repeat the work behind it, losing executors never
+    replays earlier rounds, readers prune columns, and the planner knows the true size.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

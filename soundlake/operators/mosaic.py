@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from soundlake import constants as K
 from soundlake.functions.acoustic import angle_weight
+from soundlake.operators.lineage import cut
 from soundlake.operators.raster import Grid, fill_holes, masked
 
 
@@ -27,7 +28,7 @@ def best_sample(df: DataFrame, grid: Grid, db: str, angle: str, label: str, tie:
 
 def mosaic(df: DataFrame, grid: Grid, depth: DataFrame, db: str, angle: str, label: str, tie: list[str]) -> DataFrame:
     """Best samples within the depth layer, small holes filled, confidence 0 where filled."""
-    best = masked(best_sample(df, grid, db, angle, label, tie), depth)
+    best = cut(masked(best_sample(df, grid, db, angle, label, tie), depth), "best")
     filled = fill_holes(best, depth, "db", "label", grid.res)
     conf = best.select("row", "col", "weight")
     out = depth.select("row", "col").join(filled, ["row", "col"], "left").join(conf, ["row", "col"], "left")

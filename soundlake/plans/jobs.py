@@ -14,6 +14,7 @@ from soundlake.operators.knn import confidence, idw
 from soundlake.operators.lineage import cut
 from soundlake.operators.raster import Grid
 from soundlake.operators.stats import attach, quantiles
+from soundlake.plans.magnetics import big_lines
 
 
 def class_colours(classes: DataFrame, depth: DataFrame) -> DataFrame:
@@ -47,16 +48,15 @@ def depth_contours(depth: DataFrame, grid: Grid, sigma: float = 10.0) -> DataFra
 # --- side scan ------------------------------------------------------------------------------------------
 
 
-def sidescan_samples(
-    pings: DataFrame, track: Track, depth: DataFrame, grid: Grid, seq: str = "seq", carry: bool = False
-) -> DataFrame:
+def sidescan_samples(pings: DataFrame, track: Track, depth: DataFrame, grid: Grid, seq: str = "seq") -> DataFrame:
     """Pings to georeferenced samples: turn filter, layback, altitude, projection, gain.
 
-    ``pings`` holds line_id, channel, seq, t, amps, pix_m, lat, lon, heading, roll, depth_m,
-    cable_length, pos_source.
+    ``pings`` is a stored table of line columns, channel, seq, t, amps, pix_m, lat, lon, heading, roll,
+    depth_m, cable_length, pos_source. Everything but the first return and the projection works on its
+    narrow columns; the narrow results are stored so that traces are read twice in all.
     """
-    line = list(track.line)
-    p = along.turn_filter(pings, track, "t", "heading", "roll", F.col("pos_source") != 255)
+    line, order = list(track.line), list(track.order)
+    p = along.turn_filter(pings.drop("amps"), track, "t", "heading", "roll", F.col("pos_source") != 255)
     back = towfish_layback(F.col("cable_length"), F.col("depth_m"))
     lat, lon = offset_position(F.col("lat"), F.col("lon"), F.col("heading") + 180, back)
     p = p.withColumn("_lat", lat).withColumn("_lon", lon).drop("lat", "lon")
@@ -65,19 +65,18 @@ def sidescan_samples(
     p = grid.locate(p.withColumn("_x", x).withColumn("_y", y), "_x", "_y")
     p = p.join(depth.select("row", "col", F.col("z").alias("seabed")), ["row", "col"], "left").drop("row", "col", "_x", "_y")
     p = attach(p, depth.agg((F.max("z") * 1.15).alias("ceiling")), [])
-    p = trace.with_first_return(p, "amps", "pix_m", F.col("ceiling"))
-    p = p.withColumn(
-        "raw_alt",
-        A.accept_altitude(F.col("first_return"), F.col("seabed"), F.col("depth_m"), F.col("ceiling")),
-    )
-    smooth = altitude.smooth(p, track, "raw_alt", carry=carry, out="altitude").drop("raw_alt")
-    p = p.join(smooth, [*line, *track.order])
+    p = cut(p, "kept")
+    key = list(dict.fromkeys([*line, *order]))
+    traces = pings.select(*key, "amps")
+    raw = trace.with_first_return(p.join(traces, key), "amps", "pix_m", F.col("ceiling"))
+    alt = A.accept_altitude(F.col("first_return"), F.col("seabed"), F.col("depth_m"), F.col("ceiling"))
+    raw = cut(raw.select(*key, alt.alias("raw_alt")), "altitude")
+    smooth = altitude.smooth(raw, track, "raw_alt", out="altitude").drop("raw_alt")
+    p = p.join(smooth, key).where("altitude is not null and lat is not null").join(traces, key)
     side = F.when(F.col("channel").contains("port"), -90.0).otherwise(90.0)
     keep = list(dict.fromkeys([*line, "channel", seq, "lat", "lon", "heading"]))
-    s = trace.project_samples(
-        p, "amps", "pix_m", "altitude", A.far_cutoff(F.col("channel")), keep, "heading", side
-    )
-    return radiometry.normalise_gain(s, line, "bs_linear", "bs")
+    s = trace.project_samples(p, "amps", "pix_m", "altitude", A.far_cutoff(F.col("channel")), keep, "heading", side)
+    return radiometry.normalise_gain(cut(s, "samples"), line, "bs_linear", "bs")
 
 
 def sidescan_pings_numbered(samples: DataFrame, line: list[str], seq: str = "seq") -> DataFrame:
@@ -114,13 +113,13 @@ def sediment_layers(
     classes and confidence are kept to depth cells.
     """
     line = list(track.line)
-    rl = trace.reflection_loss(pings, cc, blanking, min_samples).drop("amps")
-    rl = along.ordinals(rl, track, "ord", "n")
+    rl = cut(trace.reflection_loss(pings, cc, blanking, min_samples).drop("amps"), "rl")
+    rl = cut(along.ordinals(rl, track, "ord", "n"), "rl")
     rl = along.despike(rl, line, "rl", "rl_clean").where("rl_clean is not null")
     pts = rl.select(*line, "ord", F.col("x").alias("px"), F.col("y").alias("py"), F.col("rl_clean").alias("rl"))
     cells = grid.centres(depth.select("row", "col"), "qx", "qy")
-    got = idw(cells, pts, ["row", "col"], [*line, "ord"], "rl", k, gap, leaf)
-    got = got.withColumn("rl", F.greatest(F.lit(K.RL_MIN), F.least(F.lit(K.RL_MAX), "rl")))
+    got = idw(cells, cut(pts, "points"), ["row", "col"], [*line, "ord"], "rl", k, gap, leaf)
+    got = cut(got.withColumn("rl", F.greatest(F.lit(K.RL_MIN), F.least(F.lit(K.RL_MAX), "rl"))), "gridded")
     soft = raster.blur(got, grid, "rl", sigma)
     out = soft.join(depth.select("row", "col", F.lit(True).alias("_d")), ["row", "col"], "left")
     out = out.join(got.select("row", "col", "nearest"), ["row", "col"], "left")
@@ -149,35 +148,36 @@ def thickness_layer(
         F.broadcast(A.sediment_table(spark).select(F.col("class_id").alias("sediment_class"), "thickness")),
         "sediment_class",
     ).select("row", "col", "thickness")
-    enough = len(picks.select(F.lit(1)).take(least)) >= least
+    picks = cut(picks, "picks")
+    enough = len(picks.take(least)) >= least
     if not enough:
         return raster.hybrid(model.limit(0), model, "thickness").withColumnRenamed("thickness", "isopach")
     pts = picks.select(*pid, F.col("x").alias("px"), F.col("y").alias("py"), "thickness")
     cells = grid.centres(valid.select("row", "col"), "qx", "qy")
     measured = idw(cells, pts, ["row", "col"], pid, "thickness", k, gap, leaf)
-    both = raster.hybrid(measured, model, "thickness")
+    both = cut(raster.hybrid(measured, model, "thickness"), "hybrid")
     soft = raster.blur(both, grid, "thickness", sigma, out="isopach")
     return soft.join(both.select("row", "col", "source"), ["row", "col"])
 
 
 def calibration_segments(
     pings: DataFrame, track: Track, vrm_limit: float | None = None, least: int = 100, start: int = 50,
-    depth_std: float = 0.5, amp_cv: float = 0.35, blanking: int = K.BLANKING,
+    depth_std: float = 0.5, amp_cv: float = 0.35, blanking: int = K.BLANKING, **cal,
 ) -> DataFrame:
     """Calibration segments: long runs of pings over flat, even ground, with their constant.
 
     ``pings``: line and order columns, amps, depth, vrm, slope, bpi. The ruggedness limit is the survey's
     20th percentile unless given. Lines with fewer than ``least`` pings are left out.
     """
-    from soundlake.plans.magnetics import big_lines
-
     line = list(track.line)
+    key = list(dict.fromkeys([*line, *track.order]))
+    # The traces enter twice: once for the bottom amplitude, once for the accepted segments.
+    p = cut(trace.bottom(pings, blanking=blanking).drop("amps", "idx_b"), "bottoms")
     if vrm_limit is None:
-        p = attach(pings, quantiles(pings, [], "vrm", {"_vlim": 0.2}), [])
+        p = attach(p, quantiles(p, [], "vrm", {"_vlim": 0.2}), [])
     else:
-        p = pings.withColumn("_vlim", F.lit(vrm_limit))
-    p = big_lines(p, line, least)
-    tagged = trace.bottom(along.runs_tag(p, track, good_ground()), blanking=blanking).where("_flag")
+        p = p.withColumn("_vlim", F.lit(vrm_limit))
+    tagged = cut(along.runs_tag(big_lines(p, line, least), track, good_ground()).where("_flag"), "runs")
     # An uneven depth or a start in the warm-up shows in the aggregates of the run.
     amp = F.when(F.col("amp_b") > 0, F.col("amp_b"))
     seg = tagged.groupBy(*line, "run").agg(
@@ -188,9 +188,9 @@ def calibration_segments(
         F.count(amp).alias("n_amp"),
         (F.stddev_pop(amp) / F.avg(amp)).alias("amp_cv"),
     )
-    seg = seg.where(accept_segment(least, start, depth_std, amp_cv))
-    rows = tagged.join(seg.select(*line, "run"), [*line, "run"], "left_semi")
-    cc = trace.calibration(rows, [*line, "run"], blanking=blanking)
+    seg = cut(seg.where(accept_segment(least, start, depth_std, amp_cv)), "segments")
+    rows = tagged.join(seg.select(*line, "run"), [*line, "run"], "left_semi").select(*key, "run")
+    cc = trace.calibration(rows.join(pings.select(*key, "amps"), key), [*line, "run"], blanking=blanking, **cal)
     out = seg.join(cc.select(*line, "run", "cc"), [*line, "run"]).where("cc > 0")
     return out.withColumn("cc_db", 20 * F.log10("cc"))
 
@@ -215,11 +215,13 @@ def fixed_segments(
 ) -> DataFrame:
     """Constant and spread of log amplitude per full segment of ``size`` pings: (line, seg, cc, log_std)."""
     line = list(track.line)
-    b = trace.bottom(pings, blanking=blanking).where("amp_b > 0")
+    key = list(dict.fromkeys([*line, *track.order]))
+    b = cut(trace.bottom(pings, blanking=blanking).where("amp_b > 0").select(*key, "amp_b"), "bottoms")
     b = along.ordinals(b, track, "ord", "n").withColumn("seg", along.segment_of(size))
-    b = b.where(F.col("seg") < F.floor(F.col("n") / size))
+    b = cut(b.where(F.col("seg") < F.floor(F.col("n") / size)), "segments")
     spread = b.groupBy(*line, "seg").agg(F.stddev_pop(F.log10(F.col("amp_b") + 1e-12)).alias("log_std"))
-    cc = trace.calibration(b, [*line, "seg"], blanking=blanking, **cal)
+    rows = b.select(*key, "seg").join(pings.select(*key, "amps"), key)
+    cc = trace.calibration(rows, [*line, "seg"], blanking=blanking, **cal)
     return spread.join(cc.select(*line, "seg", "cc"), [*line, "seg"])
 
 

@@ -9,6 +9,7 @@ from soundlake import constants as K
 from soundlake.functions.geo import unproject
 from soundlake.operators.along import Track, median_zero, ordinals
 from soundlake.operators.knn import confidence, idw, nearest
+from soundlake.operators.lineage import cut
 from soundlake.operators.raster import Grid, blur, extrema, residual
 from soundlake.operators.stats import attach
 from soundlake.operators.targets import greedy_thin, rank_targets
@@ -46,8 +47,8 @@ def filtered_lines(
     """Records with ``background`` and ``anomaly`` from two along-track median filters."""
     line = list(track.line)
     d = big_lines(records, line, window_bg)
-    d = quality_filter(d, survey, keys, "F_nT", "quality")
-    d = big_lines(d, line, window_bg).withColumn("raw", F.col("F_nT") - F.col("f_ref"))
+    d = cut(quality_filter(d, survey, keys, "F_nT", "quality"), "records")
+    d = cut(big_lines(d, line, window_bg).withColumn("raw", F.col("F_nT") - F.col("f_ref")), "records")
     d = ordinals(d, track, "ord", "n")
     d = median_zero(d, line, "raw", window_bg, "background")
     return median_zero(d, line, "raw", window_anom, "anomaly")
@@ -58,15 +59,16 @@ def layers(
     sigma_m: float = 200.0, leaf: float = 2.0,
 ) -> DataFrame:
     """Anomaly, smoothed background, residual and confidence per cell: (row, col, ...)."""
+    points = cut(points, "points")
     bg = drop_outliers(points, "background").select(*pid, F.col("x").alias("px"), F.col("y").alias("py"), "background")
     an = points.select(*pid, F.col("x").alias("px"), F.col("y").alias("py"), "anomaly")
     cells = grid.centres(depth.select("row", "col"), "qx", "qy")
     cell = ["row", "col"]
     # The distance mask is inclusive, the join's radius exclusive: look a hair further, then test.
     hit = nearest(cells, bg, cell, pid, 1, reach * (1 + 1e-9), leaf).where(F.col("d2") <= reach * reach)
-    near = cells.join(hit.select(*cell), cell, "left_semi")
-    b = idw(near, bg, cell, pid, "background", k, None, leaf, floor_distance=True)
-    a = idw(near, an, cell, pid, "anomaly", k, None, leaf, floor_distance=True)
+    near = cut(cells.join(hit.select(*cell), cell, "left_semi"), "near")
+    b = cut(idw(near, bg, cell, pid, "background", k, None, leaf, floor_distance=True), "background")
+    a = cut(idw(near, an, cell, pid, "anomaly", k, None, leaf, floor_distance=True), "anomaly")
     smooth = blur(b, grid, "background", sigma_m / grid.res)
     smooth = smooth.join(b.select(*cell), cell, "left_semi")
     res = residual(a, smooth, "anomaly", "smooth").select(*cell, "residual")

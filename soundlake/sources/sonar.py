@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from soundlake import constants as K
 from soundlake.functions import acoustic as A
-from soundlake.operators.along import Track, fill_position, interpolate, interpolate_heading
+from soundlake.operators.along import Track, fill_position, heading_back, heading_parts, interpolate
 
 # Message header and payload layout (little endian).
 MAGIC = b"\x01\x16"
@@ -271,12 +271,19 @@ def navigation(messages: DataFrame) -> DataFrame:
 
 
 def georeferenced(pings: DataFrame, att: DataFrame, nav: DataFrame, stretch: Column) -> DataFrame:
-    """Pings with interpolated attitude and with position gaps filled from navigation."""
-    p = interpolate(pings, att, ["file"], "t", ["pitch", "roll"], stretch)
-    p = interpolate_heading(p, att.select("file", "t", "heading"), ["file"], "t", "heading", stretch)
+    """Pings with interpolated attitude and with position gaps filled from navigation.
+
+    ``pings`` should be a stored table (decode once, ``cut``): the interpolation runs on its distinct
+    (file, t) only, both results are joined back, and the traces are read a single time.
+    """
+    times = pings.select("file", "t").distinct()
+    a = att.select("file", "t", "pitch", "roll", *heading_parts("heading"))
+    modes = {"pitch": "null", "roll": "null", "_s": "clamp", "_c": "clamp"}
+    a = interpolate(times, a, ["file"], "t", list(modes), stretch, modes)
     n = nav.select("file", "t", F.col("lat").alias("lat_nav"), F.col("lon").alias("lon_nav"))
-    p = interpolate(p, n, ["file"], "t", ["lat_nav", "lon_nav"], stretch)
-    return fill_position(p, ("lat", "lon"), ("lat_nav", "lon_nav"))
+    n = interpolate(times, n, ["file"], "t", ["lat_nav", "lon_nav"], stretch)
+    both = a.join(n, ["file", "t"]).withColumn("heading", heading_back()).drop("_s", "_c")
+    return fill_position(pings.join(both, ["file", "t"]), ("lat", "lon"), ("lat_nav", "lon_nav"))
 
 
 def read_messages(spark: SparkSession, files: DataFrame) -> DataFrame:
