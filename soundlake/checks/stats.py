@@ -9,6 +9,7 @@ from soundlake.functions import acoustic as A
 from soundlake.operators import cube, mosaic
 from soundlake.operators import radiometry as R
 from soundlake.operators import stats as S
+from soundlake.operators.lineage import cut
 from soundlake.operators.stats import attach
 from soundlake.plans import jobs
 
@@ -204,7 +205,7 @@ FLAG = f"WITH {GAIN}, dbs AS (SELECT * REPLACE (lin AS lin), 10 * log10(lin) AS
     SELECT 'bs' AS layer, count(*) AS n_valid, ROUND(min(db), 6) AS vmin, ROUND(max(db), 6) AS vmax, ROUND(avg(db), 6) AS vmean, ROUND(stddev_pop(db), 6) AS vstd,
     ROUND(median(db), 6) AS vmedian, ROUND(100.0 * count(*) / 3200, 6) AS coverage FROM q""")
 def _(spark, d):
-    w = winners(spark, d).withColumn("layer", F.lit("bs"))
+    w = cut(winners(spark, d), "mosaic").withColumn("layer", F.lit("bs"))
     out = S.summary(w, ["layer"], "db", F.lit(SAMPLE_GRID.nrows * SAMPLE_GRID.ncols))
     return out.select("layer", "n_valid", *[r(c).alias(c) for c in ("vmin", "vmax", "vmean", "vstd", "vmedian", "coverage")])
 

@@ -72,7 +72,7 @@ def ground_range(slant: Column, altitude: Column) -> Column:
 
 
 def incidence_angle(slant: Column, altitude: Column) -> Column:
-    return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), altitude / slant))))
+    return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(altitude, slant)))))
 
 
 def accept_altitude(first_return: Column, seabed: Column, depth: Column, ceiling: Column, floor: float = 5.0) -> Column:
@@ -210,7 +210,7 @@ def scaled_envelope(raw: Column, data_format: Column, weight: Column) -> Column:
 def nmea_degrees(value: Column, hemisphere: Column) -> Column:
     """ddmm.mmmm text to signed degrees; unparsable text is NULL."""
     v = value.try_cast("double")
-    deg = (v / 100).cast("int")
+    deg = F.floor(F.abs(v) / 100) * F.signum(v)
     d = deg + (v - deg * 100) / 60.0
     return F.when(hemisphere.isin("S", "W"), -d).otherwise(d)
 

@@ -111,16 +111,16 @@ def unproject(x: Column, y: Column) -> tuple[Column, Column]:
 
 
 def cell_of(x: Column, y: Column, left: float, top: float, res: float) -> tuple[Column, Column]:
-    """(row, col) of the cell that contains a point; rows run south."""
-    row = F.floor((F.lit(top) - y) / res).cast("int")
-    col = F.floor((x - left) / res).cast("int")
+    """(row, col) of the cell that contains a point; rows run south. Absurd positions have no cell."""
+    row = F.floor((F.lit(top) - y) / res).try_cast("int")
+    col = F.floor((x - left) / res).try_cast("int")
     return row, col
 
 
 def nearest_centre(v: Column, first: float, res: float, n: int) -> Column:
     """Index of the nearest of ``n`` centres ``first + i*res``; the lower one on a tie, clamped."""
-    i = F.ceil((v - first) / res - 0.5).cast("int")
-    return F.greatest(F.lit(0), F.least(F.lit(n - 1), i))
+    i = F.ceil((v - first) / res - 0.5)
+    return F.when(v.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(n - 1), i)).cast("int"))
 
 
 def centre_x(col: Column, left: float, res: float) -> Column:

@@ -226,7 +226,7 @@ def turn_filter(df: DataFrame, track: Track, t: str, heading: str, roll: str, ha
     dt = F.col(t) - F.col("_prev.t")
     gap = heading_gap(F.col(heading), F.col("_prev.h"))
     rolled = F.coalesce(F.abs(roll) > K.MAX_ROLL, F.lit(False))
-    too_fast = F.coalesce((dt > 0) & (gap / dt > K.MAX_HEADING_RATE), F.lit(False))
+    too_fast = F.coalesce((dt > 0) & (F.try_divide(gap, dt) > K.MAX_HEADING_RATE), F.lit(False))
     too_far = F.coalesce(gap > K.MAX_HEADING_STEP, F.lit(False))
     return back.where(~rolled & ~too_fast & ~too_far).drop("_prev")
 
@@ -408,8 +408,8 @@ def resample_polyline(df: DataFrame, track: Track, lon: str, lat: str, points: i
         F.max("_d1").alias("_len"), F.min_by(here, pos).alias("_a"), F.max_by(here, pos).alias("_z")
     )
     unit = F.col("_len") / (points - 1)
-    first = F.greatest(F.lit(1), F.floor(F.col("_d0") / unit).cast("int"))
-    last = F.least(F.lit(points - 2), F.ceil(F.col("_d1") / unit).cast("int"))
+    first = F.greatest(F.lit(1), F.floor(F.try_divide("_d0", unit))).cast("int")
+    last = F.least(F.lit(points - 2), F.ceil(F.try_divide("_d1", unit))).cast("int")
     inner = (
         cum.join(ends.select(*line, "_len"), line)
         .where((F.col("_d1") > F.col("_d0")) & (first <= last))

@@ -9,7 +9,7 @@ from soundlake import constants as K
 from soundlake.functions import acoustic as A
 from soundlake.operators.lineage import cut
 from soundlake.operators.raster import label_median
-from soundlake.operators.stats import MAD_SIGMA, attach, median_mad, quantiles
+from soundlake.operators.stats import MAD_SIGMA, attach, median_mad, quantiles, small_median
 
 
 def gain_references(df: DataFrame, keys: list[str], value: str, prob: float = 0.4) -> DataFrame:
@@ -49,7 +49,7 @@ def correct_altitude(
     h0 = quantiles(df, [], altitude, {"h0": 0.5})
     top = quantiles(df, [], value, {"top": clip}, where=F.col(value) > 0)
     j = attach(attach(df, h0, []), top, [])
-    ratio = F.greatest(F.lit(lo), F.least(F.lit(hi), F.col("h0") / F.col(altitude)))
+    ratio = F.greatest(F.lit(lo), F.least(F.lit(hi), F.try_divide("h0", F.col(altitude))))
     return j.withColumn(out, F.least(F.col(value), F.col("top")) * ratio).drop("top", "h0")
 
 
@@ -60,18 +60,17 @@ def angle_bin(angle: Column) -> Column:
 
 
 def waterfall(df: DataFrame, ping: list[str], db: str, angle: str) -> DataFrame:
-    """Median level per (ping, bin).
-
-    A group holds one ping's samples inside one degree, a few dozen at most, so the built-in
-    median is the right tool here.
-    """
-    d = df.withColumn("bin", angle_bin(F.col(angle))).where(F.col("bin").isNotNull() & F.col(db).isNotNull())
-    return d.groupBy(*ping, "bin").agg(F.median(db).alias("bs"))
+    """Median level per (ping, bin): a group holds one ping's samples inside one degree."""
+    d = df.withColumn("bin", angle_bin(F.col(angle))).where(F.col("bin").isNotNull())
+    return small_median(d, [*ping, "bin"], db, "bs")
 
 
 def robust_z(wf: DataFrame, value: str = "bs", min_count: int = 10) -> DataFrame:
-    """(x - median) / (1.4826 MAD) per bin; NULL for thin or constant bins."""
-    s = median_mad(wf, ["bin"], value, small=True)
+    """(x - median) / (1.4826 MAD) per bin; NULL for thin or constant bins.
+
+    The waterfall is stored first: it is far smaller than its samples and is read several times.
+    """
+    s = median_mad(cut(wf, "waterfall"), ["bin"], value, small=True)
     use = (F.col("cnt") >= min_count) & (F.col("mad") >= 1e-6)
     return s.withColumn("z", F.when(use, (F.col(value) - F.col("med")) / (MAD_SIGMA * F.col("mad")))).drop(
         "med", "mad", "cnt"

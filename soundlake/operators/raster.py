@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from soundlake.functions.geo import centre_x, centre_y
+from soundlake.functions.geo import cell_of, centre_x, centre_y
 from soundlake.operators.knn import idw, nearest
 
 
@@ -44,9 +44,8 @@ class Grid:
 
     def locate(self, df: DataFrame, x: str, y: str) -> DataFrame:
         """Add (row, col) of the containing cell."""
-        return df.withColumn("row", F.floor((self.top - F.col(y)) / self.res).cast("int")).withColumn(
-            "col", F.floor((F.col(x) - self.left) / self.res).cast("int")
-        )
+        row, col = cell_of(F.col(x), F.col(y), self.left, self.top, self.res)
+        return df.withColumn("row", row).withColumn("col", col)
 
     def centres(self, df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
         return df.withColumn(x, centre_x(F.col("col"), self.left, self.res)).withColumn(
@@ -252,6 +251,15 @@ def contour_levels(top: float, minor: int = 5, major: int = 10) -> list[int]:
     return sorted(set(range(minor, end, minor)) | set(range(major, end, major)))
 
 
+# Which sides of a quad a level joins, by corner code (north-west 1, north-east 2, south-east 4,
+# south-west 8); sides are numbered top, right, bottom, left. Entry 16 is a saddle cut the other way.
+_SIDES = [
+    [(0, 0)], [(3, 0)], [(0, 1)], [(3, 1)], [(1, 2)], [(3, 0), (1, 2)], [(0, 2)], [(2, 3)],
+    [(2, 3)], [(0, 2)], [(3, 0), (1, 2)], [(1, 2)], [(3, 1)], [(0, 1)], [(3, 0)], [(0, 0)],
+    [(0, 1), (2, 3)],
+]
+
+
 def contour_segments(df: DataFrame, grid: Grid, value: str, minor: int = 5, major: int = 10) -> DataFrame:
     """Marching squares over 2x2 quads of cell centres: one row per segment.
 
@@ -269,37 +277,21 @@ def contour_segments(df: DataFrame, grid: Grid, value: str, minor: int = 5, majo
     last = F.floor(hi / minor)
     q = q.where(first <= last).withColumn("lev", F.explode(F.sequence(first, last))).withColumn("lev", F.col("lev") * minor)
     # A corner on the level counts as above, so neighbouring quads agree.
-    lev = F.col("lev")
-    x, y = F.col("col").cast("double"), F.col("row").cast("double")
-
-    def cross(v0: str, v1: str) -> Column:
-        return (lev - F.col(v0)) / (F.col(v1) - F.col(v0))
-
-    def pt(px: Column, py: Column) -> Column:
-        return F.struct(px.alias("x"), py.alias("y"))
-
-    top_, bottom = pt(x + cross("a", "b"), y), pt(x + cross("d", "e"), y + 1)
-    left_, right = pt(x, y + cross("a", "d")), pt(x + 1, y + cross("b", "e"))
-    ia, ib, id_, ie = ((F.col(v) >= lev).cast("int") for v in ("a", "b", "d", "e"))
-    code = ia + 2 * ib + 4 * ie + 8 * id_
-    mid_in = (F.col("a") + F.col("b") + F.col("d") + F.col("e")) / 4 >= lev
-
-    def seg(p: Column, q_: Column) -> Column:
-        return F.struct(p.alias("p"), q_.alias("q"))
-
-    none = F.array().cast("array<struct<p:struct<x:double,y:double>,q:struct<x:double,y:double>>>")
-    segs = (
-        F.when(code.isin(1, 14), F.array(seg(left_, top_)))
-        .when(code.isin(2, 13), F.array(seg(top_, right)))
-        .when(code.isin(4, 11), F.array(seg(right, bottom)))
-        .when(code.isin(8, 7), F.array(seg(bottom, left_)))
-        .when(code.isin(3, 12), F.array(seg(left_, right)))
-        .when(code.isin(6, 9), F.array(seg(top_, bottom)))
-        .when((code == 5) == mid_in, F.array(seg(top_, right), seg(bottom, left_)))
-        .otherwise(F.array(seg(left_, top_), seg(right, bottom)))
+    q = q.withColumn(
+        "code",
+        F.expr("CAST(a >= lev AS INT) + 2 * CAST(b >= lev AS INT) + 4 * CAST(e >= lev AS INT) + 8 * CAST(d >= lev AS INT)"),
+    ).where("code NOT IN (0, 15)")
+    # Crossing points on the top, right, bottom and left side of the quad.
+    sides = F.expr(
+        "array(struct(col + try_divide(lev - a, b - a) AS x, CAST(row AS DOUBLE) AS y), "
+        "struct(col + 1D AS x, row + try_divide(lev - b, e - b) AS y), "
+        "struct(col + try_divide(lev - d, e - d) AS x, row + 1D AS y), "
+        "struct(CAST(col AS DOUBLE) AS x, row + try_divide(lev - a, d - a) AS y))"
     )
-    segs = F.when(code.isin(0, 15), none).otherwise(segs)
-    s = q.withColumn("s", F.explode(segs))
+    pairs = ", ".join("array(" + ", ".join(f"struct({i} AS i, {j} AS j)" for i, j in p) + ")" for p in _SIDES)
+    case = "CASE WHEN code IN (5, 10) AND (code = 5) = ((a + b + d + e) / 4 >= lev) THEN 16 ELSE code END"
+    s = q.select("row", "col", "lev", sides.alias("pt"), F.expr(f"explode(array({pairs})[{case}]) AS k"))
+    s = s.selectExpr("row", "col", "lev", "named_struct('p', pt[k.i], 'q', pt[k.j]) AS s")
 
     def gx(f: str) -> Column:
         return grid.left + (F.col(f) + 0.5) * grid.res

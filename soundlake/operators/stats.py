@@ -94,6 +94,22 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str], small: bool = False
     return df.join(F.broadcast(stats) if small else stats, keys, "left")
 
 
+def small_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """Median of groups that are small by nature (one ping's samples in one degree).
+
+    One exchange and one sort, all in generated code; millions of tiny groups would push the built-in
+    ``median``, an object aggregate, into its sort-based fallback. For groups without a bound use
+    ``quantiles``.
+    """
+    part = "PARTITION BY " + ", ".join(f"`{c}`" for c in keys)
+    n = f"count(1) OVER ({part})"
+    ranked = df.where(F.col(value).isNotNull()).selectExpr(
+        *[f"`{c}`" for c in keys], f"`{value}` AS _v", f"row_number() OVER ({part} ORDER BY `{value}`) AS _i", f"{n} AS _n"
+    )
+    mid = ranked.where("_i = (_n + 1) div 2 OR _i = _n div 2 + 1")
+    return mid.groupBy(*keys).agg(F.avg("_v").alias(out))
+
+
 def median_mad(df: DataFrame, keys: list[str], value: str, small: bool = False) -> DataFrame:
     """Rows with ``med``, ``mad`` and ``cnt`` of their group."""
     med = quantiles(df, keys, value, {"med": 0.5}, count="cnt")
@@ -153,7 +169,7 @@ def draw_index(seed: Column, r: Column, j: Column, n: Column) -> Column:
 
 
 def kde(df: DataFrame, value: str, points: int = 1000) -> DataFrame:
-    """Gaussian density (Scott bandwidth) at ``points`` even positions from min to max.
+    """Gaussian density (Scott bandwidth) at ``points`` even positions from min to max; none for a constant.
 
     Equal values are counted first. Each value adds to the fixed number of grid points its kernel
     reaches (beyond 38 bandwidths the exponential underflows to zero), summed map-side.
@@ -165,7 +181,9 @@ def kde(df: DataFrame, value: str, points: int = 1000) -> DataFrame:
     mean = F.sum(F.col("v") * F.col("c")) / n
     one = counts.agg(n.alias("n"), mean.alias("mu"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     var = attach(counts, one, []).agg(
-        (F.sum(F.col("c") * (F.col("v") - F.col("mu")) * (F.col("v") - F.col("mu"))) / (F.max("n") - 1)).alias("var")
+        F.try_divide(
+            F.sum(F.col("c") * (F.col("v") - F.col("mu")) * (F.col("v") - F.col("mu"))), F.max("n") - 1
+        ).alias("var")
     )
     par = attach(one, var, []).select(
         "n",
@@ -174,9 +192,9 @@ def kde(df: DataFrame, value: str, points: int = 1000) -> DataFrame:
         (F.sqrt("var") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bw"),
     )
     near = 38 * F.col("bw")
-    first = F.greatest(F.lit(0), F.ceil((F.col("v") - near - F.col("lo")) / F.col("dx")).cast("int"))
-    last = F.least(F.lit(points - 1), F.floor((F.col("v") + near - F.col("lo")) / F.col("dx")).cast("int"))
-    hit = attach(counts, par, []).withColumn("i", F.explode(F.sequence(first, last)))
+    first = F.greatest(F.lit(0), F.ceil(F.try_divide(F.col("v") - near - F.col("lo"), F.col("dx")))).cast("int")
+    last = F.least(F.lit(points - 1), F.floor(F.try_divide(F.col("v") + near - F.col("lo"), F.col("dx")))).cast("int")
+    hit = attach(counts, par.where("dx > 0"), []).where("dx > 0").withColumn("i", F.explode(F.sequence(first, last)))
     x = F.col("lo") + F.col("i") * F.col("dx")
     z = (x - F.col("v")) / F.col("bw")
     dens = F.sum(F.col("c") * F.exp(-0.5 * z * z)) / (F.max("n") * F.max("bw") * 2.5066282746310002)

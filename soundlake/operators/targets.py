@@ -17,34 +17,28 @@ def greedy_thin(df: DataFrame, ident: list[str], x: str, y: str, value: str, rad
     globally strongest live point always survives a round, so the loop ends.
     """
     side = radius / 2**0.5
-    live = df.withColumn("_tx", F.floor(F.col(x) / side)).withColumn("_ty", F.floor(F.col(y) / side))
     strength = F.struct(F.abs(value).alias("s"), *[(-F.col(c)).alias(f"k{i}") for i, c in enumerate(ident)])
-    live = cut(live.withColumn("_s", strength))
-    reach = F.array(
-        *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-2, 3) for b in range(-2, 3)]
-    )
+    live = df.withColumn("_s", strength).withColumn("_tx", F.floor(F.col(x) / side)).withColumn("_ty", F.floor(F.col(y) / side))
+    around = "array(" + ", ".join(f"struct({a} AS a, {b} AS b)" for a in range(-2, 3) for b in range(-2, 3)) + ")"
     kept = None
-    while not live.isEmpty():
+    while True:
         tops = live.groupBy("_tx", "_ty").agg(F.max("_s").alias("_s"))
-        beat = (
-            tops.withColumn("_d", F.explode(reach))
-            .groupBy((F.col("_tx") + F.col("_d.a")).alias("_tx"), (F.col("_ty") + F.col("_d.b")).alias("_ty"))
-            .agg(F.max("_s").alias("_best"))
-        )
-        strongest = beat.withColumnRenamed("_best", "_s")
-        won = cut(live.join(strongest, ["_tx", "_ty", "_s"], "left_semi"))
+        beat = tops.selectExpr("_s", f"explode({around}) AS _d", "_tx", "_ty")
+        beat = beat.selectExpr("_tx + _d.a AS _tx", "_ty + _d.b AS _ty", "_s").groupBy("_tx", "_ty").agg(F.max("_s").alias("_best"))
+        # One stored table per round: the live points and which of them survive.
+        state = cut(live.join(beat, ["_tx", "_ty"]).withColumn("_won", F.expr("_s = _best")).drop("_best"), "thin")
+        won = state.where("_won")
+        if won.isEmpty():
+            break
         kept = won if kept is None else kept.unionByName(won)
-        shade = won.select(
-            F.col(x).alias("_wx"), F.col(y).alias("_wy"), "_tx", "_ty", F.explode(reach).alias("_d")
-        ).select(
-            "_wx", "_wy", (F.col("_tx") + F.col("_d.a")).alias("_sx"), (F.col("_ty") + F.col("_d.b")).alias("_sy")
+        shade = won.selectExpr(f"`{x}` AS _wx", f"`{y}` AS _wy", "_tx", "_ty", f"explode({around}) AS _d").selectExpr(
+            "_wx", "_wy", "_tx + _d.a AS _sx", "_ty + _d.b AS _sy"
         )
         dx, dy = F.col(x) - F.col("_wx"), F.col(y) - F.col("_wy")
         same = (F.col("_tx") == F.col("_sx")) & (F.col("_ty") == F.col("_sy"))
-        live = live.join(shade, same & (dx * dx + dy * dy < radius * radius), "left_anti")
-        live = cut(live.join(won.select(*ident), ident, "left_anti"))
-    out = df.limit(0) if kept is None else kept.select(*df.columns)
-    return out
+        rest = state.where("NOT _won").drop("_won")
+        live = rest.join(shade, same & (dx * dx + dy * dy < radius * radius), "left_anti")
+    return df.limit(0) if kept is None else kept.select(*df.columns)
 
 
 def rank_targets(df: DataFrame, value: str, tie: list[str]) -> DataFrame:

@@ -186,7 +186,7 @@ def calibration_segments(
         F.avg("depth").alias("depth_mean"),
         F.stddev_pop("depth").alias("depth_std"),
         F.count(amp).alias("n_amp"),
-        (F.stddev_pop(amp) / F.avg(amp)).alias("amp_cv"),
+        F.try_divide(F.stddev_pop(amp), F.avg(amp)).alias("amp_cv"),
     )
     seg = cut(seg.where(accept_segment(least, start, depth_std, amp_cv)), "segments")
     rows = tagged.join(seg.select(*line, "run"), [*line, "run"], "left_semi").select(*key, "run")

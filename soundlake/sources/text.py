@@ -25,7 +25,7 @@ def parse_xyz(df: DataFrame, value: str = "value") -> DataFrame:
     p = F.split(F.trim(value), r"\s+")
     return df.where(F.trim(value) != "").select(
         *[c for c in df.columns if c != value],
-        *[F.get(p, F.lit(i)).cast("double").alias(n) for i, n in enumerate("xyz")],
+        *[F.get(p, F.lit(i)).try_cast("double").alias(n) for i, n in enumerate("xyz")],
     )
 
 
@@ -43,12 +43,12 @@ def parse_mag(df: DataFrame, value: str = "value") -> DataFrame:
     return d.select(
         *[c for c in df.columns if c != value],
         g(1).alias("time"),
-        g(2).cast("double").alias("F_nT"),
-        g(3).cast("double").alias("depth_m"),
-        g(4).cast("double").alias("alt_m"),
-        g(5).cast("int").alias("quality"),
-        g(6).cast("double").alias("lon"),
-        g(7).cast("double").alias("lat"),
+        g(2).try_cast("double").alias("F_nT"),
+        g(3).try_cast("double").alias("depth_m"),
+        g(4).try_cast("double").alias("alt_m"),
+        g(5).try_cast("int").alias("quality"),
+        g(6).try_cast("double").alias("lon"),
+        g(7).try_cast("double").alias("lat"),
     )
 
 
