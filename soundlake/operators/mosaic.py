@@ -14,8 +14,8 @@ from soundlake.operators.raster import Grid, fill_holes, masked
 def best_sample(df: DataFrame, grid: Grid, db: str, angle: str, label: str, tie: list[str]) -> DataFrame:
     """Per cell, the sample whose angle is nearest to 45 degrees; ties go to the lowest ``tie`` key.
 
-    ``df`` has (row, col). ``min_by`` keeps one candidate per cell map-side: a crowded cell costs
-    nothing extra, and there is no sort.
+    ``df`` has (row, col). ``min_by`` leaves one candidate per cell and task before the exchange, so a
+    crowded cell ships no more than a sparse one.
     """
     a = F.col(angle)
     ok = F.col(db).isNotNull() & grid.inside(F.col("row"), F.col("col"))

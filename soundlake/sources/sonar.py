@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from soundlake import constants as K
@@ -129,17 +129,9 @@ def scan_blobs(df: DataFrame, name: str, blob: str) -> DataFrame:
     return df.select(name, blob).mapInPandas(run, INDEX_SCHEMA + ", payload binary")
 
 
-def read_payloads(index: DataFrame, block: int = 2048) -> DataFrame:
-    """Index rows with their ``payload``, read in neighbouring ranges wherever the task runs."""
-    spread = index.repartition("file", F.floor(F.col("seq") / block)).sortWithinPartitions("file", "offset")
-    schema = index.schema.add("payload", "binary")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = _opener()
-        for pdf in batches:
-            yield pdf.assign(payload=[get(p).read_at(int(s), int(o)) for p, o, s in zip(pdf["file"], pdf["offset"], pdf["size"])])
-
-    return spread.mapInPandas(run, schema)
+def spread(index: DataFrame, block: int = 2048) -> DataFrame:
+    """Index rows dealt out in runs of neighbouring messages, so that a huge file is read by many tasks."""
+    return index.repartition("file", F.floor(F.col("seq") / block)).sortWithinPartitions("file", "offset")
 
 
 def _unpack(pay: bytes, fields: dict[str, tuple[int, str]]) -> list:
@@ -149,30 +141,41 @@ def _unpack(pay: bytes, fields: dict[str, tuple[int, str]]) -> list:
 def raw_fields(messages: DataFrame, fields: dict[str, tuple[int, str]], samples: str | None = None) -> DataFrame:
     """(file, seq, channel, subsys, size, <raw integers>[, amps | text]); no arithmetic yet.
 
-    ``samples``: 'sss' scales unsigned words, 'sbp' signed words or I/Q pairs, 'text' is the navigation
-    sentence.
+    ``messages`` is an index (payload ranges are read where they are decoded and never pass through the
+    JVM) or a table that holds payloads. ``samples``: 'sss' scales unsigned words, 'sbp' signed words or
+    I/Q pairs, 'text' is the navigation sentence.
     """
     base = ["file", "seq", "subsys", "channel", "size"]
     schema = "file string, seq long, subsys int, channel int, size long, " + ", ".join(
         f"{n} {SPARK_TYPE[f[1]]}" for n, (_, f) in fields.items()
     )
     extra = {"sss": ", amps array<float>", "sbp": ", amps array<float>", "text": ", sentence string"}.get(samples, "")
+    stored = "payload" in messages.columns
+    src = messages.select(*base, "payload") if stored else spread(messages).select(*base, "offset")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        get = _opener()
         for pdf in batches:
-            got = pd.DataFrame([_unpack(p, fields) for p in pdf["payload"]], columns=list(fields), dtype=object)
-            out = pd.concat([pdf[base].reset_index(drop=True), got], axis=1)
-            if samples == "text":
-                out["sentence"] = [bytes(p[12:]).decode("ascii", errors="ignore").strip() for p in pdf["payload"]]
-            elif samples:
-                scale = _unsigned if samples == "sss" else _envelope
-                out["amps"] = [
-                    scale(bytes(p[SAMPLES_AT:]), w or 0, f or 0)
-                    for p, w, f in zip(pdf["payload"], got["weight"], got["data_format"])
-                ]
-            yield out
+            for at in range(0, len(pdf), 512):
+                part = pdf.iloc[at : at + 512].reset_index(drop=True)
+                if stored:
+                    pay = list(part["payload"])
+                else:
+                    pay = [get(f).read_at(int(n), int(o)) for f, n, o in zip(part["file"], part["size"], part["offset"])]
+                yield _decode(part[base], pay, fields, samples)
+
+    return src.mapInPandas(run, schema + extra)
+
 
-    return messages.select(*base, "payload").mapInPandas(run, schema + extra)
+def _decode(out: pd.DataFrame, pay: list[bytes], fields: dict, samples: str | None) -> pd.DataFrame:
+    got = pd.DataFrame([_unpack(p, fields) for p in pay], columns=list(fields), dtype=object)
+    out = pd.concat([out, got], axis=1)
+    if samples == "text":
+        out["sentence"] = [bytes(p[12:]).decode("ascii", errors="ignore").strip() for p in pay]
+    elif samples:
+        scale = _unsigned if samples == "sss" else _envelope
+        out["amps"] = [scale(bytes(p[SAMPLES_AT:]), w or 0, f or 0) for p, w, f in zip(pay, got["weight"], got["data_format"])]
+    return out
 
 
 def _unsigned(b: bytes, weight: int, _fmt: int) -> np.ndarray:
@@ -284,8 +287,3 @@ def georeferenced(pings: DataFrame, att: DataFrame, nav: DataFrame, stretch: Col
     n = interpolate(times, n, ["file"], "t", ["lat_nav", "lon_nav"], stretch)
     both = a.join(n, ["file", "t"]).withColumn("heading", heading_back()).drop("_s", "_c")
     return fill_position(pings.join(both, ["file", "t"]), ("lat", "lon"), ("lat_nav", "lon_nav"))
-
-
-def read_messages(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Messages of survey files (path, length) with payloads."""
-    return read_payloads(index_files(files))

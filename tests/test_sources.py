@@ -55,7 +55,7 @@ def files(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def messages(spark, files):
-    return cut(sonar.read_messages(spark, text.survey_files(spark, [files], "*.jsf")))
+    return cut(sonar.index_files(text.survey_files(spark, [files], "*.jsf")))
 
 
 def test_scan_resyncs_and_stops_at_a_short_header(messages):
