@@ -48,7 +48,7 @@ def _(spark, d):
 @check("job_sidescan_mosaic")
 def _(spark, d):
     s = F.col("seq")
-    lat, lon = F.lit(22.1352) + F.col("line") * 1e-5, F.lit(120.7785) + s * 1e-6
+    lat, lon = F.lit(22.1398) + F.col("line") * 1e-4, F.lit(120.7792) + s * 1e-6
     p = trace(spark, d).select(
         "line", F.lit("HF_port").alias("channel"), "seq", s.cast("double").alias("t"), "amps", F.lit(0.5).alias("pix_m"), lat.alias("lat"), lon.alias("lon"),
         F.lit(90.0).alias("heading"), F.lit(0.0).alias("roll"), F.lit(1.0).alias("depth_m"), F.lit(15.0).alias("cable_length"), F.lit(0).alias("pos_source"))
@@ -74,3 +74,24 @@ def _(spark, d):
     return t.select("row", "col", *[r(c, 5).alias(c) for c in ("slope", "vrm", "bpi")])
 
 
+
+
+@check("job_sidescan_layers")
+def _(spark, d):
+    s = F.col("seq")
+    lat, lon = F.lit(22.1398) + F.col("line") * 1e-4, F.lit(120.7792) + s * 1e-6
+    p = trace(spark, d).select(
+        "line", F.lit("HF_port").alias("channel"), "seq", s.cast("double").alias("t"), "amps", F.lit(0.5).alias("pix_m"), lat.alias("lat"), lon.alias("lon"),
+        F.lit(90.0).alias("heading"), F.lit(0.0).alias("roll"), F.lit(1.0).alias("depth_m"), F.lit(15.0).alias("cable_length"), F.lit(0).alias("pos_source"))
+    grid = Grid(227173.5, 2449210.5, 2.0, 150, 100)
+    depth = grid.cells(spark).join(raster(spark, d).withColumn("z", F.col("z") / 2), ["row", "col"])
+    samples = jobs.sidescan_pings_numbered(jobs.sidescan_samples(p, by_seq(), depth, grid), ["line"])
+    out = jobs.sidescan_mosaic(samples, depth, grid, F.lit(65.0), k=3)
+    return out.groupBy("label").agg(F.count("*").alias("cells"), F.count("db").alias("filled"), r(F.max("confidence")).alias("confidence"))
+
+
+@check("job_depth_layer")
+def _(spark, d):
+    g = raster_grid(spark, d, 0.5)
+    xyz = raster(spark, d).select((F.col("col") * 0.5).alias("x"), (F.lit(g.top) - F.col("row") * 0.5).alias("y"), (-F.col("z")).alias("z"))
+    return jobs.depth_layer(xyz, 0.5, g, edge=2).select("row", "col", r("z").alias("z"))
