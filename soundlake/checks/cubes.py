@@ -69,7 +69,7 @@ INBOX = """ib AS (SELECT box, cb.* FROM bx JOIN cb ON x BETWEEN least(x0, x1) AN
     SELECT ls.box, ls.layer, round_even(abs(x1 - x0), 1) AS width_m, round_even(abs(y1 - y0), 1) AS height_m, vmin, vmax, vmean, CASE WHEN ls.layer = 'sediment_class' AND v IS NOT NULL THEN {LABEL} END AS dominant, CASE WHEN ls.layer = 'sediment_class' THEN purity END AS purity
     FROM ls LEFT JOIN nm ON nm.box = ls.box AND nm.layer = ls.layer LEFT JOIN dm ON dm.box = ls.box""")
 def _(spark, d):
-    inside = C._boxed(the_cube(spark, d), boxes(spark, d), the_grid(spark, d), LAYERS, 16)
+    inside = C.cells_in_boxes(the_cube(spark, d), boxes(spark, d), the_grid(spark, d), LAYERS, 16)
     mean = C.melt(inside, ["box"], LAYERS).where("layer <> 'sediment_class'").groupBy("box", "layer").agg(r5(F.avg("value"), 4).alias("vmean"))
     q = C.region_query(boxes(spark, d), the_cube(spark, d), the_grid(spark, d), LAYERS, "sediment_class", tile=16)
     q = q.drop("vmean").join(mean, ["box", "layer"], "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from soundlake.checks.base import check, r, r5, spot, sql5, table
+from soundlake.checks.rasters import ROWS, blur_sql
 from soundlake.operators.knn import confidence, idw, nearest
 from soundlake.plans import jobs
 
@@ -66,7 +67,15 @@ def _(spark, d):
     return idw(c, spots(spark, d), ["q"], ["id"], "v", 12, None, leaf=10.0, floor_distance=True).select("q", r("v", 5).alias("v"))
 
 
-@check("g3_thickness_layer", "raster spot")
+THICK = """cl AS (SELECT "row", col, col + 0.5::DOUBLE AS qx, n - ("row" + 0.5::DOUBLE) AS qy, CAST(floor(z) AS INTEGER) % 7 AS cls FROM raster, (SELECT max(o_orderkey) // 100 + 1 AS n FROM orders)),
+    pk AS (SELECT id, x / 10 AS x, y / 7 AS y, abs(v) / 5000 AS t FROM spot WHERE id % 4 = 0),
+    pr AS (SELECT "row", col, id, t, (x - qx) * (x - qx) + (y - qy) * (y - qy) AS d2 FROM cl JOIN pk ON abs(x - qx) <= 6 AND abs(y - qy) <= 6),
+    nn AS (SELECT *, row_number() OVER (PARTITION BY "row", col ORDER BY d2, id) AS k FROM pr WHERE d2 < 36),
+    me AS (SELECT "row", col, sum(t / (d2 + 1e-6)) / sum(1 / (d2 + 1e-6)) AS t FROM nn WHERE k <= 12 GROUP BY ALL),
+    hy AS (SELECT cl."row", cl.col, coalesce(me.t, CASE cls WHEN 0 THEN 0.05 WHEN 1 THEN 0.15 WHEN 2 THEN 0.3 WHEN 3 THEN 0.5 WHEN 4 THEN 0.8 WHEN 5 THEN 1.2 ELSE 2.0 END::DOUBLE) AS z, CASE WHEN me.t IS NOT NULL THEN 1 ELSE 0 END AS source FROM cl LEFT JOIN me USING ("row", col))"""
+
+
+@check("g3_thickness_layer", "raster spot", f"WITH {THICK}, " + blur_sql(2, 8, ROWS).replace("{src}", "hy") + """ SELECT "row", col, ROUND(s, 5) AS isopach, source FROM bl JOIN hy USING ("row", col)""")
 def _(spark, d):
     from soundlake.checks.base import raster, raster_grid
 

@@ -63,11 +63,13 @@ def blur_sql(sigma: float, radius: int, rows: str) -> str:
         m = f"((({i}) % (2 * {n}) + 2 * {n}) % (2 * {n}))"
         return f"CASE WHEN {m} < {n} THEN {m} ELSE 2 * {n} - 1 - {m} END"
 
-    # Every cell hands its weight to the places that see it; mirrored images see it from beyond the edge.
+    # Mirrored images fold the kernel into one weight per (target, source) of a line.
     return f"""kk AS (SELECT o, exp(-0.5 * pow(o / {sigma}::DOUBLE, 2)) AS k FROM (SELECT unnest(range(-{radius}, {radius} + 1)) AS o)), kr AS (SELECT o, k / (SELECT sum(k) FROM kk) AS k FROM kk),
     nr AS (SELECT {rows} AS n), m AS (SELECT * FROM {{src}} WHERE z IS NOT NULL),
-    ac AS (SELECT t."row", t.c AS col, sum(k * m.z) AS num, sum(k) AS den FROM (SELECT p."row", p.c, kr.k, {fold('p.c + kr.o', '100')} AS src FROM (SELECT DISTINCT "row", unnest(range(100)) AS c FROM m) p, kr) t JOIN m ON m."row" = t."row" AND m.col = t.src GROUP BY ALL),
-    ar AS (SELECT t.r AS "row", t.col, sum(k * ac.num) AS num, sum(k * ac.den) AS den FROM (SELECT p.r, p.col, kr.k, {fold('p.r + kr.o', 'nr.n')} AS src FROM (SELECT unnest(range(nr.n)) AS r, col FROM nr, (SELECT DISTINCT col FROM ac)) p, kr, nr) t JOIN ac ON ac."row" = t.src AND ac.col = t.col GROUP BY ALL),
+    wc AS (SELECT p, {fold('p + o', '100')} AS src, sum(k) AS k FROM (SELECT unnest(range(100)) AS p), kr GROUP BY ALL),
+    wr AS (SELECT p, {fold('p + o', 'n')} AS src, sum(k) AS k FROM (SELECT unnest(range(n)) AS p, n FROM nr), kr GROUP BY ALL),
+    ac AS (SELECT "row", p AS col, sum(k * z) AS num, sum(k) AS den FROM m JOIN wc ON src = m.col GROUP BY ALL),
+    ar AS (SELECT p AS "row", col, sum(k * num) AS num, sum(k * den) AS den FROM ac JOIN wr ON src = ac."row" GROUP BY ALL),
     bl AS (SELECT CAST("row" AS INTEGER) AS "row", CAST(col AS INTEGER) AS col, num / den AS s FROM ar WHERE den > 0.1)"""
 
 
@@ -88,7 +90,7 @@ def _(spark, d):
     return R.blur(g, raster_grid(spark, d), "z", 8.0).select("row", "col", r("smooth").alias("smooth"))
 
 
-@check("r5_blur_wide", "raster")
+@check("r5_blur_wide", "raster", "WITH " + blur_sql(400, 1600, ROWS).replace("{src}", "raster") + """ SELECT "row", col, ROUND(s, 6) AS smooth FROM bl SEMI JOIN raster USING ("row", col)""")
 def _(spark, d):
     b = R.blur(raster(spark, d), raster_grid(spark, d), "z", 400.0)
     return R.masked(b, raster(spark, d)).select("row", "col", r("smooth").alias("smooth"))

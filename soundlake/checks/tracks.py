@@ -193,7 +193,11 @@ def _(spark, d):
 # --- sort, top, sets ---------------------------------------------------------------------------------
 
 
-@check("t2_greedy_dedup", "spot")
+@check("t2_greedy_dedup", "spot", """WITH RECURSIVE o AS (SELECT *, row_number() OVER (ORDER BY abs(v) DESC, id) AS n FROM spot),
+    g(n, kept) AS (SELECT 0::BIGINT, []::STRUCT(id BIGINT, x DOUBLE, y DOUBLE, v DOUBLE)[] UNION ALL
+      SELECT o.n, CASE WHEN len(list_filter(kept, lambda k: (k.x - o.x) * (k.x - o.x) + (k.y - o.y) * (k.y - o.y) < 1600)) > 0 THEN kept
+        ELSE list_append(kept, {'id': o.id, 'x': o.x::DOUBLE, 'y': o.y::DOUBLE, 'v': o.v}) END FROM g JOIN o ON o.n = g.n + 1),
+    z AS (SELECT unnest(kept) AS k FROM (SELECT kept FROM g ORDER BY n DESC LIMIT 1)) SELECT k.id AS id, k.x AS x, k.y AS y, k.v AS v FROM z""")
 def _(spark, d):
     return greedy_thin(spot(spark, d), ["id"], "x", "y", "v", 40.0).select("id", "x", "y", "v")
 

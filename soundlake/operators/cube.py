@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soundlake import constants as K
 from soundlake.functions import acoustic as A
 from soundlake.functions.geo import nearest_centre, project, unproject
 from soundlake.operators.raster import Grid
@@ -122,7 +121,7 @@ def point_query(
     )
 
 
-def _boxed(cube: DataFrame, boxes: DataFrame, grid: Grid, layers: list[str], tile: int) -> DataFrame:
+def cells_in_boxes(cube: DataFrame, boxes: DataFrame, grid: Grid, layers: list[str], tile: int) -> DataFrame:
     """Cells x boxes that contain them, by an equi join on tiles of the grid."""
     b = boxes.select(
         "box",
@@ -152,7 +151,7 @@ def region_query(
     ``boxes`` is (box, x0, y0, x1, y1) with corners in any order. Cells are aggregated straight after
     the tile join, map-side first.
     """
-    inside = _boxed(cube, boxes, grid, layers, tile)
+    inside = cells_in_boxes(cube, boxes, grid, layers, tile)
     long = melt(inside, ["box"], layers).where(F.col("value").isNotNull())
     nums = long.where(F.col("layer") != F.lit(class_layer or "")).groupBy("box", "layer").agg(
         F.bround(F.min("value"), 4).alias("vmin"),
