@@ -14,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from soundlake.operators.lineage import cut
+
 SPLIT = 4
 
 
@@ -86,6 +88,10 @@ def nearest(
     # Every coarser tile is an exact integer division of the leaf tile.
     pts = pts.withColumn("_tx", _tile(F.col(px), sizes[-1])).withColumn("_ty", _tile(F.col(py), sizes[-1]))
     leaves = pts.groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias("_n"))
+    if depth > 0:
+        # Every level reads the tile counts; storing this small table spares the points another pass
+        # per level, and the planner sees its true size.
+        leaves = cut(leaves, "tiles")
 
     def level(i: int) -> DataFrame:
         f = SPLIT ** (depth - i)
