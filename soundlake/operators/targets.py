@@ -13,8 +13,9 @@ def greedy_thin(df: DataFrame, ident: list[str], x: str, y: str, value: str, rad
 
     The sequential answer in parallel rounds. Tiles have the diagonal ``radius``, so each round needs only
     the strongest live point per tile: it survives if it beats the tops of all tiles within reach. Live
-    points near a survivor then drop out by an equi join on tiles (at most a few survivors per tile). The
-    globally strongest live point always survives a round, so the loop ends.
+    points near a survivor then drop out by an equi join on tiles (at most one survivor per tile). The
+    globally strongest live point always survives a round, so the loop ends; scattered strengths take about
+    ten rounds, a long monotone ramp takes one per few radii of its length.
     """
     side = radius / 2**0.5
     strength = F.struct(F.abs(value).alias("s"), *[(-F.col(c)).alias(f"k{i}") for i, c in enumerate(ident)])
