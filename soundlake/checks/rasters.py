@@ -50,9 +50,14 @@ def _(spark, d):
     return out.select("row", "col", r5("bpi").alias("bpi"))
 
 
-@check("r_terrain_layers", "raster", f"""WITH {DENSE}, o AS ({box_sql(3, 'sum(b.z) AS s, count(b.z) AS n')}), i AS ({box_sql(1, 'sum(b.z) AS s')}), {VRM}
-    SELECT o.r AS "row", o.c AS col, ROUND(degrees(atan(sqrt(zx * zx + zy * zy))), 6) AS slope, ROUND(1 - len / 25, 6) AS vrm, {sql5('o.z - (o.s - i.s) / 40')} AS bpi
-    FROM o JOIN i ON o.r = i.r AND o.c = i.c JOIN g ON g."row" = o.r AND g.col = o.c JOIN v ON v."row" = o.r AND v.col = o.c WHERE o.n = 49""")
+def terrain_sql(outer: int, digits: int) -> str:
+    side = 2 * outer + 1
+    return f"""WITH {DENSE}, o AS ({box_sql(outer, 'sum(b.z) AS s, count(b.z) AS n')}), i AS ({box_sql(1, 'sum(b.z) AS s')}), {VRM}
+    SELECT o.r AS "row", o.c AS col, ROUND(degrees(atan(sqrt(zx * zx + zy * zy))), {digits}) AS slope, ROUND(1 - len / 25, {digits}) AS vrm, {sql5(f'o.z - (o.s - i.s) / {side * side - 9}', digits)} AS bpi
+    FROM o JOIN i ON o.r = i.r AND o.c = i.c JOIN g ON g."row" = o.r AND g.col = o.c JOIN v ON v."row" = o.r AND v.col = o.c WHERE o.n = {side * side}"""
+
+
+@check("r_terrain_layers", "raster", terrain_sql(3, 6))
 def _(spark, d):
     t = R.terrain(raster(spark, d), raster_grid(spark, d), "z", outer=3)
     return t.select("row", "col", r("slope").alias("slope"), r("vrm").alias("vrm"), r5("bpi").alias("bpi"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from soundlake.checks.base import BLANK, along, by_seq, check, r, raster, raster_grid, trace, track
+from soundlake.checks.base import BLANK, along, by_seq, check, r, r5, raster, raster_grid, trace, track
+from soundlake.checks.rasters import DENSE, box_sql, terrain_sql
 from soundlake.operators import radiometry
 from soundlake.operators.raster import Grid
 from soundlake.plans import jobs, magnetics
@@ -67,11 +68,11 @@ def _(spark, d):
     return cells.join(layout, "line").select("line", "seq", "side", "col", r("db", 4).alias("db"), "nadir_col")
 
 
-@check("job_terrain")
+@check("job_terrain", "raster", terrain_sql(10, 5))
 def _(spark, d):
     g = raster_grid(spark, d)
-    t = jobs.terrain_layers(raster(spark, d).withColumn("z", F.coalesce("z", F.lit(0.0))), g)
-    return t.select("row", "col", *[r(c, 5).alias(c) for c in ("slope", "vrm", "bpi")])
+    t = jobs.terrain_layers(raster(spark, d), g)
+    return t.select("row", "col", r("slope", 5).alias("slope"), r("vrm", 5).alias("vrm"), r5("bpi", 5).alias("bpi"))
 
 
 
@@ -90,7 +91,7 @@ def _(spark, d):
     return out.groupBy("label").agg(F.count("*").alias("cells"), F.count("db").alias("filled"), r(F.max("confidence")).alias("confidence"))
 
 
-@check("job_depth_layer")
+@check("job_depth_layer", "raster", f"""WITH {DENSE}, b AS ({box_sql(2, 'count(b.z) AS n')}) SELECT r AS "row", c AS col, ROUND(z, 6) AS z FROM b WHERE n = 25""")
 def _(spark, d):
     g = raster_grid(spark, d, 0.5)
     xyz = raster(spark, d).select((F.col("col") * 0.5).alias("x"), (F.lit(g.top) - F.col("row") * 0.5).alias("y"), (-F.col("z")).alias("z"))
