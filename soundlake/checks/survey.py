@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from soundlake.checks.base import BLANK, along, by_seq, check, r, r5, raster, raster_grid, trace, track
 from soundlake.checks.rasters import DENSE, box_sql, terrain_sql
+from soundlake.checks.traces import BOTTOM, cal_sql
 from soundlake.operators import radiometry
 from soundlake.operators.raster import Grid
 from soundlake.plans import jobs, magnetics
@@ -38,7 +39,13 @@ def _(spark, d):
     return out.select("row", "col", r("rl", 4).alias("rl"), "sediment_class", "confidence")
 
 
-@check("job_calibration")
+CALIBRATE = f"""{BOTTOM}, rn AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY seq) - 1 AS i, seq % 10 / 10 < 0.85 AS good FROM bt),
+    rr AS (SELECT *, CAST(sum(CASE WHEN good THEN 0 ELSE 1 END) OVER (PARTITION BY line ORDER BY seq) AS BIGINT) AS run FROM rn),
+    sg AS (SELECT line, run, min(i) AS "start", count(*) AS length, stddev_pop(amp_b) / avg(amp_b) AS amp_cv FROM rr WHERE good GROUP BY line, run HAVING count(*) >= 2 AND min(i) >= 1 AND stddev_pop(amp_b) / avg(amp_b) <= 0.9),
+    sel AS (SELECT line, run, amps FROM rr SEMI JOIN sg USING (line, run) WHERE good), {cal_sql('sel', 'line, run', 2)}"""
+
+
+@check("job_calibration", "trace", f"WITH {CALIBRATE} SELECT line, run, \"start\", length, ROUND(amp_cv, 6) AS amp_cv, ROUND(cc, 9) AS cc, ROUND(20 * log10(cc), 6) AS cc_db FROM sg JOIN cc USING (line, run) WHERE cc > 0")
 def _(spark, d):
     s = F.col("seq")
     p = trace(spark, d).withColumn("vrm", s % 10 / 10.0).withColumn("slope", F.lit(1.0)).withColumn("bpi", F.lit(0.1)).withColumn("depth", F.lit(20.0))
