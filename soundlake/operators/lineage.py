@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIR: list[str] = []
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a scratch one only for a local master."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where nobody names one (tests, notebooks), it is a folder inside the SQL warehouse, which every executor reaches as well.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if not _LOCAL_DIR:
-        _LOCAL_DIR.append(tempfile.mkdtemp(prefix="soundlake-"))
-    return _LOCAL_DIR[0]
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_soundlake"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -36,3 +30,14 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`cut` that nothing reads any more; on whatever file system they lie."""
+    for df in tables:
+        spark = df.sparkSession
+        for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/soundlake-" not in parent:
+                raise ValueError(f"{parent} was not made by cut()")
+            path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
