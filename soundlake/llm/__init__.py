@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("packing", "exact")
+MODULES = ("jaccard", "pii", "html", "quality", "packing", "vectors", "exact", "language", "warc")
 
 
 def registry():
