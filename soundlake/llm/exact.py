@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from soundlake.llm.tables import positional, restored
 from soundlake.operators.lineage import cut, release
 
 #: Distinct texts that one bucket of the index holds before it splits.
@@ -92,8 +93,9 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows that repeat the winner's id and text collapse into one of them; rows without id and text likewise.
     """
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    marked = docs.withColumn("_sha", F.sha2(normalised(F.col("text")), 256)).alias("d")
-    kept = kept.alias("k")
-    same = F.col("d.doc_id").eqNullSafe(F.col("k._id")) & (F.col("d._sha") == F.col("k._sha"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+    rows, names = positional(docs)
+    id_col, text = names["doc_id"], names["text"]
+    kept = exact_duplicates(rows, id_col, text).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_of")).distinct()
+    marked = rows.withColumn("_sha", F.sha2(normalised(F.col(text)), 256))
+    kept = marked.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_of")), "left_semi")
+    return restored(kept.dropDuplicates([id_col, "_sha"]), names)
