@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,51 +21,87 @@ LENGTH = 4096
 OPEN_BINS = 4096
 #: Pieces that one task packs.
 PIECES_PER_TASK = 131072
-#: Words a Python worker remembers, and the longest of them; only speed depends on either.
-_KNOWN_WORDS, _LONGEST_KNOWN = 400_000, 64
+#: Words and parts of words a Python worker remembers, and the longest of them; only speed depends on these.
+_KNOWN_WORDS, _KNOWN_PARTS, _LONGEST_KNOWN = 300_000, 600_000, 64
 #: White space for Python's split, but not for the tokenizer.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_LOADED: dict[str, tuple[object, dict[str, bytes]]] = {}
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_LOADED: dict[str, Encoder] = {}
 
 
-def _tokenizer(path: str):
-    if path not in _LOADED:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 for itself, the others from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(other)) for b in range(256)]
 
-        _LOADED[path] = Tokenizer.from_file(path), {}
-    return _LOADED[path]
+
+class _Known(dict):
+    """A cache that asks ``find`` for what it lacks and forgets all when it is full; long keys are not kept."""
+
+    def __init__(self, find, most: int):
+        super().__init__()
+        self.find, self.most = find, most
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.find(key)
+        if len(key) <= _LONGEST_KNOWN:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
 
 
-def encoder(path: str):
+class Encoder:
     """texts -> ids of each text as little-endian uint32 bytes, without special tokens.
 
-    For tokenizers that drop white space and never join characters across it, so that words can be encoded one by one
-    and remembered. A text with special-token strings or odd separators goes through the tokenizer whole.
+    For tokenizers that drop white space and never join characters across it: words are encoded one by one and remembered. Where the tokenizer is a byte-level one over
+    lower-cased text, words of simple letters are cut by its own pattern and the parts go to its model directly. Everything else goes through the tokenizer whole: texts
+    with special-token strings or odd separators, words with letters from U+0130 on, whose case and composition are not simple.
     """
-    tok, known = _tokenizer(path)
-    special = [t.content for t in tok.get_added_tokens_decoder().values()]
-
-    def whole(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(texts: list[str]) -> list[bytes]:
-        words = [None if any(s in t for s in special) or _SEPARATORS.search(t) else t.split() for t in texts]
-        new = list(dict.fromkeys(w for ws in words if ws for w in ws if w not in known))
-        if len(known) + len(new) > _KNOWN_WORDS:
-            known.clear()
-            new = list(dict.fromkeys(w for ws in words if ws for w in ws))
-        found = known
-        for i in range(0, len(new), 5000):
-            some = new[i : i + 5000]
-            found.update(zip(some, whole(some), strict=True))
-        out = [b"".join(map(found.__getitem__, ws)) if ws is not None else whole([t])[0] for t, ws in zip(texts, words, strict=True)]
-        for w in new:
-            if len(w) > _LONGEST_KNOWN:
-                del found[w]
-        return out
-
-    return encode
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.words, self.parts = _Known(self._word, _KNOWN_WORDS), _Known(self._part, _KNOWN_PARTS)
+        self.ids = [i.to_bytes(4, "little") for i in range(self.tok.get_vocab_size(True))]
+        self.letters = _byte_letters()
+        spec = json.loads(self.tok.to_str())
+        norm = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        simple = norm == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in pre] == ["Split", "ByteLevel"]
+        simple = simple and "Regex" in pre[0]["pattern"] and pre[0]["invert"] and not (pre[1]["use_regex"] or pre[1]["add_prefix_space"])
+        self.cut = regex.compile(pre[0]["pattern"]["Regex"]).findall if simple else None
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _part(self, part: str) -> bytes:
+        word = part if part.isascii() else "".join([self.letters[b] for b in part.encode()])
+        return b"".join([self.ids[t.id] for t in self.tok.model.tokenize(word)])
+
+    def _word(self, word: str) -> bytes:
+        if self.cut is None or not word.isascii() and max(word) >= "\u0130":
+            return self.whole([word])[0]
+        found = self.cut(word.lower())
+        return self.parts[found[0]] if len(found) == 1 else b"".join(map(self.parts.__getitem__, found))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        return [self._text(t) for t in texts]
+
+    def _text(self, text: str) -> bytes:
+        if any(s in text for s in self.special) or any(s in text for s in _SEPARATORS):
+            return self.whole([text])[0]
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+
+def encoder(path: str) -> Encoder:
+    """One per Python worker."""
+    if path not in _LOADED:
+        _LOADED[path] = Encoder(path)
+    return _LOADED[path]
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
