@@ -1,8 +1,9 @@
 """Group statistics that stay exact when one group holds a third of all rows.
 
-``percentile`` and ``median`` keep a whole group's values in one task. Here equal values are counted
-map-side, a log-scale histogram of those counts finds the bucket that holds the wanted rank, and only
-that bucket is ever sorted: with 4096 buckets per octave, about one value in ten thousand.
+``percentile`` and ``median`` keep a whole group's values in one task, and even counting equal values moves nearly all of them. Here only counts of buckets
+are moved: a log-scale histogram finds the bucket that holds the wanted rank, an even histogram of that bucket's own range finds a part of it, and
+only the different values of that part are sorted. Values far from zero relative to their spread fill few log-scale buckets; the second histogram takes
+care of these.
 """
 
 from __future__ import annotations
@@ -11,17 +12,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from soundlake.operators.along import Track, ordinals
+from soundlake.operators.lineage import cut
 
 MAD_SIGMA = 1.4826
 
 
-STEPS = 4096  # histogram buckets per octave
+STEPS = 4096  # histogram buckets per octave, and parts of a bucket
 
-# Order-preserving log-scale bucket of ``_v``.
+# Order-preserving log-scale bucket of ``_v``, and the part of that bucket's range from ``_min`` to ``_max``.
 BUCKET = (
     f"CASE WHEN _v > 0 THEN floor(log2(_v) * {STEPS}) + {1100 * STEPS} "
     f"WHEN _v < 0 THEN -(floor(log2(-_v) * {STEPS}) + {1100 * STEPS}) ELSE 0 END AS _b"
 )
+PART = f"CASE WHEN _max > _min THEN least(floor((_v - _min) / (_max - _min) * {STEPS}), {STEPS - 1}) ELSE 0 END AS _s"
 
 
 def quantiles(
@@ -35,43 +38,44 @@ def quantiles(
     """Exact quantiles with linear interpolation, one column per entry of ``probs``.
 
     NULL values and NULL keys are skipped; groups without values are absent. ``keys`` may be empty (one
-    row). SQL text keeps plan building short: each expression crosses to the JVM once.
+    row). ``df`` is read three times: cut it first where its lineage is long. The tables of hit buckets are stored, so that the planner knows their size
+    when it joins them with the rows: at most two rows per group and quantile.
     """
-    src = df if where is None else df.where(where)
     by = [f"`{c}`" for c in keys] or ["_all"]
-    src = src.selectExpr(*(by if keys else ["0 AS _all"]), f"CAST(`{value}` AS DOUBLE) AS _v")
     names = keys or ["_all"]
-    vals = src.where("_v IS NOT NULL").groupBy(*names, "_v").count()
-    # Both uses of this table read one exchange: the filters the join below would infer for its side
-    # are stated here for both, or the two plans would differ.
-    vals = vals.selectExpr(*by, "_v", "count AS _n", BUCKET).where(
-        " AND ".join(f"{c} IS NOT NULL" for c in [*by, "_b"])
-    )
+    src = df if where is None else df.where(where)
+    src = src.selectExpr(*(by if keys else ["0 AS _all"]), f"CAST(`{value}` AS DOUBLE) AS _v")
+    src = src.where(" AND ".join(f"{c} IS NOT NULL" for c in [*by, "_v"])).selectExpr(*by, "_v", BUCKET)
     part = "PARTITION BY " + ", ".join(by)
-    hist = vals.groupBy(*names, "_b").agg(F.expr("sum(_n) AS _bn"))
-    hist = hist.selectExpr(
-        *by, "_b", "_bn", f"sum(_bn) OVER ({part} ORDER BY _b) - _bn AS _lo", f"sum(_bn) OVER ({part}) AS _tot"
-    )
+    size = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")]
     ranks = ", ".join(
         f"named_struct('i', {i}, 'e', {e}, 'at', {float(p)!r}D * (_tot - 1))"
         for i, p in enumerate(probs.values())
         for e in (0, 1)
     )
-    hit = (
-        hist.selectExpr("*", f"explode(array({ranks})) AS _q")
-        .selectExpr(
-            *by, "_b", "_bn", "_tot", "_q.i AS _i", "_q.e AS _e", "_q.at - floor(_q.at) AS _frac",
-            "CASE WHEN _q.e = 0 THEN floor(_q.at) ELSE ceil(_q.at) END - _lo AS _r",
-        )
-        .where("_r >= 0 AND _r < _bn")
-        .drop("_bn")
+    first = src.groupBy(*names, "_b").agg(*size).selectExpr(
+        *by, "_b", "_n", "_min", "_max", f"sum(_n) OVER ({part} ORDER BY _b) - _n AS _lo", f"sum(_n) OVER ({part}) AS _tot"
+    )
+    first = first.selectExpr("*", f"explode(array({ranks})) AS _q").selectExpr(
+        *by, "_b", "_n", "_min", "_max", "_tot", "_q.i AS _i", "_q.e AS _e", "_q.at - floor(_q.at) AS _frac",
+        "CASE WHEN _q.e = 0 THEN floor(_q.at) ELSE ceil(_q.at) END - _lo AS _r",
     )
-    # Without keys the ranks are a handful of rows; with keys the planner weighs both sides. One
-    # partitioning by group serves the sort inside buckets and the final aggregation.
-    cand = vals.join(hit if keys else F.broadcast(hit), [*names, "_b"]).repartition(*names)
-    picked = cand.selectExpr(
-        "*", f"sum(_n) OVER ({part}, _i, _e ORDER BY _v) AS _hi"
-    ).where("_r >= _hi - _n AND _r < _hi")
+    first = cut(first.where("_r >= 0 AND _r < _n").drop("_n"), "hits")
+    seen = _meet(src, first.select(*names, "_b", "_min", "_max").distinct(), [*names, "_b"], keys).selectExpr(*by, "_b", "_v", PART)
+    second = seen.groupBy(*names, "_b", "_s").agg(*size).withColumnsRenamed({"_min": "_least", "_max": "_most"})
+    second = second.selectExpr("*", f"sum(_n) OVER ({part}, _b ORDER BY _s) - _n AS _lo")
+    second = second.join(first, [*names, "_b"]).where("_r >= _lo AND _r < _lo + _n")
+    second = second.selectExpr(*by, "_b", "_s", "_i", "_e", "_frac", "_tot", "_r - _lo AS _r", "_least", "_most", "_min", "_max")
+    second = cut(second, "hits")
+    # A part with a single value is known; the values of the others are counted and sorted.
+    known = second.where("_least = _most").withColumn("_v", F.col("_least"))
+    wide = second.where("_least < _most")
+    values = _meet(src, wide.select(*names, "_b", "_s", "_min", "_max").distinct().withColumnRenamed("_s", "_in"), [*names, "_b"], keys)
+    values = values.selectExpr("*", PART).where("_s = _in").groupBy(*names, "_b", "_s", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    values = values.selectExpr("*", f"sum(_n) OVER ({part}, _b, _s ORDER BY _v) AS _hi").join(wide, [*names, "_b", "_s"])
+    picked = values.where("_r >= _hi - _n AND _r < _hi")
+    columns = [*names, "_i", "_e", "_frac", "_tot", "_v"]
+    picked = known.select(*columns).unionByName(picked.select(*columns))
     out = []
     for i, name in enumerate(probs):
         lo, hi, frac = (f"max(CASE WHEN _i = {i} {c} END)" for c in ("AND _e = 0 THEN _v", "AND _e = 1 THEN _v", "THEN _frac"))
@@ -82,16 +86,21 @@ def quantiles(
     return res if keys else res.drop("_all")
 
 
+def _meet(rows: DataFrame, hits: DataFrame, on: list[str], keys: list[str]) -> DataFrame:
+    """Rows of the hit buckets. Without keys there is a handful of these; with keys the planner goes by the stored size."""
+    return rows.join(hits if keys else F.broadcast(hits), on)
+
+
 def attach(df: DataFrame, stats: DataFrame, keys: list[str], small: bool = False) -> DataFrame:
     """Join group statistics back to the rows.
 
-    A table without keys has one row: it enters as a scalar subquery. Otherwise the planner decides by
-    size (``small=True`` is for groups bounded by a constant, such as angle bins).
+    A table without keys has one row: it enters as a scalar subquery. Otherwise it is stored, and the planner decides by its
+    size, so rows are not shuffled to meet a small table (``small=True`` is for groups bounded by a constant, such as angle bins).
     """
     if not keys:
         one = stats.select(F.struct(*stats.columns)).scalar()
         return df.withColumn("_one", one).select(*df.columns, *[F.col(f"_one.{c}").alias(c) for c in stats.columns])
-    return df.join(F.broadcast(stats) if small else stats, keys, "left")
+    return df.join(F.broadcast(stats) if small else cut(stats, "stats"), keys, "left")
 
 
 def small_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
