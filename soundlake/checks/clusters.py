@@ -10,17 +10,16 @@ from soundlake.functions import acoustic as A
 from soundlake.operators import radiometry as R
 from soundlake.operators.lineage import cut
 
-ROUNDS, K = 5, 5
+ROUNDS, K = 80, 5  # the SQL runs on after the clusters stay
 
 
 def lloyd_sql() -> str:
-    seeds = ", ".join(f"quantile_cont(z, {(i + 0.5) / K!r}::DOUBLE) AS c{i}" for i in range(K))
-    out = [f"k0 AS (SELECT {seeds} FROM zz)"]
-    for n in range(ROUNDS):
-        near = label_sql("k")
-        means = ", ".join(f"avg(z) FILTER (WHERE l = {i}) AS c{i}" for i in range(K))
-        out.append(f"k{n + 1} AS (SELECT {means} FROM (SELECT z, {near} AS l FROM zz, k{n} k))")
-    return ", ".join(out)
+    """Lloyd's rounds as a recursion whose state is the list of centres."""
+    seeds = ", ".join(f"quantile_cont(z, {(i + 0.5) / K!r}::DOUBLE)" for i in range(K))
+    means = ", ".join(f"coalesce(avg(z) FILTER (WHERE {label_sql('k')} = {i}), any_value(k.c{i}))" for i in range(K))
+    state = ", ".join(f"c{i}" for i in range(K))
+    return f"""kk(i, {state}) AS (SELECT 0, {seeds} FROM zz UNION ALL SELECT any_value(k.i) + 1, {means} FROM zz, kk k WHERE k.i < {ROUNDS} HAVING count(*) > 0),
+    k AS (SELECT * FROM kk WHERE i = {ROUNDS})"""
 
 
 def label_sql(t: str) -> str:
@@ -35,24 +34,24 @@ def scores(spark, d):
     return cut(z)  # read once per round
 
 
-@check("m1_kmeans", "sample", f"WITH {ZZ}, {lloyd_sql()} SELECT label, count(*) AS n, ROUND(avg(z), 6) AS centre FROM (SELECT z, {label_sql('k')} AS label FROM zz, k{ROUNDS} k) GROUP BY label")
+@check("m1_kmeans", "sample", f"WITH RECURSIVE {ZZ}, {lloyd_sql()} SELECT label, count(*) AS n, ROUND(avg(z), 6) AS centre FROM (SELECT z, {label_sql('k')} AS label FROM zz, k) GROUP BY label")
 def _(spark, d):
     z = scores(spark, d)
-    centres, _ = R.lloyd(z, "z", K, ROUNDS)
+    centres, _ = R.lloyd(z, "z", K)
     return R.label(z, "z", centres).groupBy("label").agg(F.count("*").alias("n"), r(F.avg("z")).alias("centre"))
 
 
 @check("m1_kmeans_merged", "sample")
 def _(spark, d):
     z = scores(spark, d)
-    centres = R.cluster(z, "z", 7, rounds=20)
+    centres = R.cluster(z, "z", 7)
     return R.label(z, "z", centres).groupBy("label").agg(F.count("*").alias("n"), r(F.avg("z"), 4).alias("centre"))
 
 
 @check("m2_correction_chain", "sample")
 def _(spark, d):
     far = A.far_cutoff(F.lit("HF"))
-    c = R.correct(sample(spark, d), "ping", "bs", "altitude", "angle", far, k=4, rounds=5)
+    c = R.correct(sample(spark, d), "ping", "bs", "altitude", "angle", far, k=4)
     return c.select("ping", "num", "part", "line", "bs", r("bs_db", 4).alias("bs_db"), "label")
 
 

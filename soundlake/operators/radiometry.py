@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,31 +87,66 @@ def _nearest_centre(v: Column, centres: list[float]) -> Column:
     return sum(((v > m).cast("int") for m in mids), F.lit(0))
 
 
-def lloyd(df: DataFrame, value: str, k: int, rounds: int = 100) -> tuple[list[float], list[int]]:
-    """Centres (ascending) and sizes of k clusters, seeded at even quantiles.
+#: Even buckets into which the values are summed once; more rounds than any run needs, after which an error is raised.
+SUM_BUCKETS, SAFETY = 4096, 1000
+#: Values of a bucket that may go to the driver.
+FETCH = 100_000
 
-    Each round is one aggregation to k rows; the driver only sees those.
+
+def lloyd(df: DataFrame, value: str, k: int) -> tuple[list[float], list[int]]:
+    """Centres (ascending) and sizes of k clusters, seeded at even quantiles, iterated until they stay.
+
+    The values are reduced once to count and sum per bucket, a table of fixed size. A round adds these up; only the buckets that a border between two centres cuts
+    are looked into, once for each border. In one dimension the sizes tell the clusters, so equal sizes end the loop.
     """
     probs = {f"q{i}": (i + 0.5) / k for i in range(k)}
     row = quantiles(df, [], value, probs).first()
     if row is None:
         return [], []
     centres = sorted({float(x) for x in row})
+    v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    lo, hi = v.agg(F.min("v"), F.max("v")).first()
+    step = (hi - lo) / SUM_BUCKETS or 1.0
+    v = v.withColumn("b", F.least(F.floor((F.col("v") - lo) / step), F.lit(SUM_BUCKETS - 1)).cast("int"))
+    v = cut(v.repartitionByRange("b").sortWithinPartitions("b"), "buckets")
+    table = {r.b: (r.n, r.s) for r in v.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")).collect()}
+    below: dict[float, tuple[int, float]] = {}
+    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def look(borders: list[float]) -> None:
+        """Count and sum of the values at or below each new border: whole buckets from the table, those around it from the stored values.
+
+        A bucket of few values is fetched once, since later borders fall into it again; in a larger one Spark adds up.
+        """
+        new = {x: min(max(int((x - lo) // step), 0), SUM_BUCKETS - 1) for x in borders if x not in below}
+        around = {x: [b for b in (at - 1, at, at + 1) if b in table] for x, at in new.items()}
+        small = sorted({b for bs in around.values() for b in bs if b not in held and table[b][0] <= FETCH})
+        if small:
+            rows = v.where(F.col("b").isin(small)).select("b", "v").toPandas().sort_values(["b", "v"])
+            held.update({b: (g["v"].to_numpy(), np.append(0.0, np.cumsum(g["v"].to_numpy()))) for b, g in rows.groupby("b")})
+        for x, at in new.items():
+            n, s = (sum(t[j] for b, t in table.items() if b < at - 1) for j in (0, 1))
+            for b in around[x]:
+                if b in held:
+                    k = int(np.searchsorted(held[b][0], x, "right"))
+                    n, s = n + k, s + float(held[b][1][k])
+                else:
+                    m = v.where((F.col("b") == b) & (F.col("v") <= x)).agg(F.count(F.lit(1)), F.sum("v")).first()
+                    n, s = n + m[0], s + (m[1] or 0.0)
+            below[x] = n, s
+
     sizes: list[int] = []
-    for _ in range(rounds):
-        got = (
-            df.where(F.col(value).isNotNull())
-            .groupBy(_nearest_centre(F.col(value), centres).alias("c"))
-            .agg(F.avg(value).alias("m"), F.count(F.lit(1)).alias("n"))
-            .collect()
-        )
-        by = {r["c"]: r for r in got}
-        new = [by[i]["m"] if i in by else centres[i] for i in range(len(centres))]
-        sizes = [by[i]["n"] if i in by else 0 for i in range(len(centres))]
-        if new == centres:
-            break
-        centres = sorted(new)
-    return centres, sizes
+    total = sum(n for n, _ in table.values()), sum(s for _, s in table.values())
+    for _ in range(SAFETY):
+        borders = [(a + b) / 2 for a, b in zip(centres, centres[1:])]
+        look(borders)
+        ends = [(0, 0.0), *[below[x] for x in borders], total]
+        parts = [(b[0] - a[0], b[1] - a[1]) for a, b in zip(ends, ends[1:])]
+        centres = sorted(s / n if n else c for (n, s), c in zip(parts, centres))
+        if [n for n, _ in parts] == sizes:
+            return centres, sizes
+        sizes = [n for n, _ in parts]
+    raise RuntimeError(f"no stable clusters after {SAFETY} rounds")
 
 
 def merged_count(centres: list[float], sizes: list[int], spread: float, share: float = 0.01, near: float = 0.02) -> int:
@@ -121,7 +157,7 @@ def merged_count(centres: list[float], sizes: list[int], spread: float, share: f
     return (1 if big else 0) + sum(g >= near * spread for g in gaps)
 
 
-def cluster(df: DataFrame, value: str, k: int = 7, refits: int = 10, rounds: int = 100) -> list[float]:
+def cluster(df: DataFrame, value: str, k: int = 7, refits: int = 10) -> list[float]:
     """Centres after refitting with fewer clusters until no two of them merge.
 
     The centres are those of the last fit; merging only lowers k for the next one.
@@ -131,7 +167,7 @@ def cluster(df: DataFrame, value: str, k: int = 7, refits: int = 10, rounds: int
         return []
     centres: list[float] = []
     for _ in range(refits):
-        centres, sizes = lloyd(df, value, k, rounds)
+        centres, sizes = lloyd(df, value, k)
         left = merged_count(centres, sizes, q["hi"] - q["lo"])
         if left == 0 or left == k:
             break
@@ -212,16 +248,16 @@ def ping_ranks(wf: DataFrame, ping: str, block: int = 100_000) -> DataFrame:
 
 
 def correct(
-    samples: DataFrame, ping: str, value: str, altitude: str, angle: str, far: Column, k: int = 7, rounds: int = 100
+    samples: DataFrame, ping: str, value: str, altitude: str, angle: str, far: Column, k: int = 7
 ) -> DataFrame:
     """The whole correction: altitude -> dB -> waterfall -> z -> clusters -> curves -> angle mask.
 
     Adds ``bs_db`` and ``label`` (-1 where a sample's (ping, bin) has none).
     """
-    s = correct_altitude(samples, value, altitude, "_lin").withColumn("_db", A.to_db(F.col("_lin")))
+    s = cut(correct_altitude(samples, value, altitude, "_lin").withColumn("_db", A.to_db(F.col("_lin"))), "levels")  # read twice, made of two global quantiles
     wf = robust_z(waterfall(s, [ping], "_db", angle))
-    wf = cut(wf)  # the clustering loop reads it once per round
-    centres = cluster(wf, "z", k, rounds=rounds)
+    wf = cut(wf)  # read by the quantiles, the clusters and the image
+    centres = cluster(wf, "z", k)
     labelled = label(wf, "z", centres)
     image = label_image(full_image(labelled, ping), ping, "label").select(ping, "bin", F.col("smoothed").alias("label"))
     wl = labelled.drop("label").join(image, [ping, "bin"], "left")
