@@ -3,14 +3,61 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from soundlake.functions import blocks
 from soundlake.operators import radiometry as R
 from soundlake.operators import trace as T
 
 
 def test_envelope_of_a_tone():
     n = np.arange(400)
-    a = 3 * np.cos(2 * np.pi * n / 20)
-    assert np.allclose(T.envelope(a), 3.0)
+    a = np.stack([3 * np.cos(2 * np.pi * n / 20), 2 * np.sin(2 * np.pi * n / 40)])
+    assert np.allclose(blocks.envelope(a), [[3.0], [2.0]])
+    assert np.allclose(blocks.envelope(a[:1, :399]), np.abs(np.fft.ifft(np.fft.fft(a[0, :399]) * np.where(np.arange(399) == 0, 1, np.where(np.arange(399) < 200, 2, 0)))))
+
+
+def peaks(v, distance, least_prominence, least_width):
+    """Sample by sample, for one trace."""
+    found = []
+    i = 1
+    while i < len(v) - 1:
+        j = i
+        while j + 1 < len(v) and v[j + 1] == v[i]:
+            j += 1
+        if v[i - 1] < v[i] and j + 1 < len(v) and v[j + 1] < v[i]:
+            found.append((i + j) // 2)
+        i = j + 1
+    kept = []
+    for p in sorted(found, key=lambda p: (-v[p], -p)):
+        if all(abs(p - q) >= distance for q in kept):
+            kept.append(p)
+    out = []
+    for p in sorted(kept):
+        sides, crossings = [], []
+        for step in (-1, 1):
+            q, low = p, v[p]
+            while 0 <= q + step < len(v) and v[q + step] <= v[p]:
+                q += step
+                low = min(low, v[q])
+            sides.append(low)
+        prominence = v[p] - max(sides)
+        level = v[p] - prominence / 2
+        for step in (-1, 1):
+            q = p
+            while v[q] > level:
+                q += step
+            crossings.append(q - step * (level - v[q]) / (v[q - step] - v[q]) if v[q] < level else q)
+        if prominence >= least_prominence and crossings[1] - crossings[0] >= least_width:
+            out.append((p, prominence))
+    return out
+
+
+def block_peaks(block, distance, least_prominence, least_width):
+    row, at = blocks.tops(block)
+    keep = blocks.spaced(row, at, block[row, at], distance)
+    row, at = row[keep], at[keep]
+    prom, width = blocks.prominences(block, row, at)
+    good = (prom >= least_prominence) & (width >= least_width)
+    return [[(int(a), float(p)) for r, a, p, g in zip(row, at, prom, good) if g and r == i] for i in range(len(block))]
 
 
 def test_peaks_spacing_prominence_and_plateau():
@@ -19,10 +66,25 @@ def test_peaks_spacing_prominence_and_plateau():
     v[30], v[29], v[31] = 9.0, 4.0, 4.0
     v[34] = 6.0  # too close to the higher peak at 30
     v[50] = 1.0
-    at, prom = T.peaks(v, 8, 2.0, 0.0)
-    assert at.tolist() == [11, 30] and prom.tolist() == [5.0, 9.0]
-    at, _ = T.peaks(v, 1, 0.5, 2.5)
-    assert at.tolist() == [11]
+    assert block_peaks(v[None], 8, 2.0, 0.0) == [[(11, 5.0), (30, 9.0)]]
+    assert block_peaks(v[None], 1, 0.5, 2.5) == [[(11, 5.0)]]
+
+
+def test_block_peaks_against_sample_by_sample():
+    rng = np.random.default_rng(3)
+    block = np.round(np.cumsum(rng.normal(size=(60, 90)), axis=1) * 2) / 2
+    for distance, prominence, width in ((1, 0.5, 0.0), (5, 1.0, 2.0), (12, 2.0, 3.0)):
+        assert block_peaks(block, distance, prominence, width) == [[(p, x) for p, x in peaks(v, distance, prominence, width)] for v in block]
+
+
+def test_detrending_and_running_median():
+    rng = np.random.default_rng(4)
+    block = rng.normal(size=(5, 40)) + np.arange(40) * 0.7
+    for v, d in zip(block, blocks.detrended(block)):
+        assert np.allclose(d, v - np.polyval(np.polyfit(np.arange(40), v, 1), np.arange(40)))
+    for v, m in zip(block, blocks.running_median(block, 5)):
+        wide = np.concatenate([[0, 0], v, [0, 0]])
+        assert np.allclose(m, [np.median(wide[i : i + 5]) for i in range(40)])
 
 
 def synthetic(depth_m, vp=1500.0, n=500, level=60000.0):
@@ -36,16 +98,17 @@ def synthetic(depth_m, vp=1500.0, n=500, level=60000.0):
 
 
 def test_picks_find_a_reflector(spark):
-    got = T.pick(synthetic(2.0), 120, 1500.0, strict=True)
-    assert got is not None and abs(got[0] - 2.0) < 0.06 and got[1] >= 5
+    got = T.picks([synthetic(2.0), None, synthetic(2.0)[:130]], np.full(3, 120), np.full(3, 1500.0))
+    assert abs(got[0, 0] - 2.0) < 0.06 and got[0, 1] >= 5 and np.isnan(got[1:]).all()
     rows = spark.createDataFrame(pd.DataFrame({"id": [1, 2], "amps": [synthetic(2.0).tolist(), synthetic(1.04).tolist()], "idx_b": [120, 120], "vp": [1500.0, 1500.0]}))
     out = T.pick_reflector(rows, ["id"]).collect()
     assert [r["id"] for r in out] == [1]  # the second lies where the draft's multiple is
 
 
 def test_flat_trace_has_no_pick():
-    assert T.pick(np.full(500, 10.0), 120, 1500.0) is None
-    assert T.pick(np.full(125, 10.0), 120, 1500.0) is None
+    flat = [np.full(500, 10.0), np.full(125, 10.0)]
+    for strict in (True, False):
+        assert np.isnan(T.picks(flat, np.full(2, 120), np.full(2, 1500.0), strict)).all()
 
 
 def test_first_return(spark):
