@@ -90,6 +90,34 @@ def messages(spark, d):
     return sonar.scan_blobs(blobs(spark, d), "name", "blob")
 
 
+def files(spark, d):
+    """The same streams as files in the shared folder: (path, length)."""
+    folder = scratch(spark, "jsf")
+
+    def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for p in batches:
+            for name, blob in zip(p["name"], p["blob"]):
+                uri = sonar.arrow_uri(f"{folder}/{name}.jsf")
+                system, path = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+                system.create_dir(path.rpartition("/")[0])
+                with system.open_output_stream(path) as f:
+                    f.write(blob)
+            yield pd.DataFrame({"path": [f"{folder}/{n}.jsf" for n in p["name"]], "length": [len(b) for b in p["blob"]]})
+
+    return cut(blobs(spark, d).mapInPandas(put, "path string, length long"), "files")
+
+
+def indexed(spark, d):
+    return cut(sonar.index_files(files(spark, d)), "index")
+
+
+def name():
+    """The file's stream, without folder and ending."""
+    return F.regexp_extract("file", "([^/]+/[^/]+)[.]jsf$", 1).alias("file")
+
+
 SLOT = "user_id || '/' || CAST(floor(epoch_us(ts) / (3 * 86400 * 1000000.0)) AS BIGINT) AS file"
 EV = f"""ev AS (SELECT event_id AS i, epoch_us(ts) AS us, value AS v, event_type AS kind, {SLOT}, row_number() OVER (PARTITION BY user_id, floor(epoch_us(ts) / (3 * 86400 * 1000000.0)) ORDER BY event_id) - 1 AS seq FROM events)"""
 
@@ -100,6 +128,12 @@ def _(spark, d):
     return messages(spark, d).select("file", "seq", "msg_type", "subsys", "channel")
 
 
+@check("s3_file_index", "", f"""WITH {EV} SELECT file, seq, CASE WHEN kind IN ('view', 'click') THEN 80 WHEN kind = 'error' THEN 2020 ELSE 2002 END AS msg_type,
+    CASE WHEN kind = 'view' THEN CAST(20 + i % 2 AS INTEGER) ELSE 0 END AS subsys, CASE WHEN kind = 'view' THEN CAST(i % 2 AS INTEGER) ELSE 0 END AS channel FROM ev""")
+def _(spark, d):
+    return indexed(spark, d).select(name(), "seq", "msg_type", "subsys", "channel")
+
+
 BIT = "((i % 1024) >> {b}) & 1 = 1"
 
 
@@ -109,9 +143,9 @@ BIT = "((i % 1024) >> {b}) & 1 = 1"
     CASE WHEN {BIT.format(b=0)} AND i % 6 <> 0 THEN ROUND((72480000 + i) / CASE WHEN i % 2 = 1 THEN 600000.0 ELSE 1000.0 END::DOUBLE, 9) END AS lon, CAST(4 + i % 3 AS INTEGER) AS n,
     ROUND(list_sum(list_transform(range(4 + i % 3), lambda k: k * 3 + i % 100)) * pow(2, -(i % 3)), 6) AS amp_sum FROM ev WHERE kind = 'view'""")
 def _(spark, d):
-    p = sonar.sss_pings(messages(spark, d))
+    p = sonar.sss_pings(indexed(spark, d))
     total = F.aggregate("amps", F.lit(0.0), lambda a, x: a + x)
-    return p.select("file", "seq", "channel", "t", r("pix_m", 9).alias("pix_m"), "center_freq_hz", "depth_m", "heave_m", r("lat", 9).alias("lat"), r("lon", 9).alias("lon"), F.size("amps").alias("n"), r(total).alias("amp_sum"))
+    return p.select(name(), "seq", "channel", "t", r("pix_m", 9).alias("pix_m"), "center_freq_hz", "depth_m", "heave_m", r("lat", 9).alias("lat"), r("lon", 9).alias("lon"), F.size("amps").alias("n"), r(total).alias("amp_sum"))
 
 
 @check("s5_subbottom_pings", "", f"""WITH {EV}, a AS (SELECT *, CASE WHEN {BIT.format(b=9)} THEN CAST(trunc(v * 100) AS INT) / 1000 ELSE 0 END::DOUBLE AS depth_m,
@@ -119,22 +153,22 @@ def _(spark, d):
     SELECT file, seq, us / 1e6 AS t, CAST((((i % 3) << 16) | (200 + i % 50)) * 10 AS INTEGER) AS start_freq_hz, CAST((((i % 5) << 16) | (900 + i % 50)) * 10 AS INTEGER) AS end_freq_hz, ROUND(10 + i % 4 + ((((i * 37) % 65536) >> 4) & 1023) / 1000, 6) AS sweep_ms,
     CAST(CASE WHEN i % 3 = 0 THEN 4 + 2 * (i % 2) ELSE (4 + 2 * (i % 2)) // 2 END AS INTEGER) AS n_samples, depth_m, altitude_m, ROUND(depth_m + altitude_m, 9) AS water_depth_m FROM a""")
 def _(spark, d):
-    p = sonar.sbp_pings(messages(spark, d))
-    return p.select("file", "seq", "t", "start_freq_hz", "end_freq_hz", r("sweep_ms").alias("sweep_ms"), "n_samples", "depth_m", "altitude_m", r("water_depth_m", 9).alias("water_depth_m"))
+    p = sonar.sbp_pings(indexed(spark, d))
+    return p.select(name(), "seq", "t", "start_freq_hz", "end_freq_hz", r("sweep_ms").alias("sweep_ms"), "n_samples", "depth_m", "altitude_m", r("water_depth_m", 9).alias("water_depth_m"))
 
 
 @check("s6_attitude", "", f"""WITH {EV} SELECT file, us // 1000000 + (us % 1000000) // 1000 / 1000 AS t, ROUND((i % 2000 - 1000) * 180.0::DOUBLE / 32768, 9) AS pitch, ROUND((i % 500) * 180.0::DOUBLE / 32768, 9) AS roll,
     (i % 300 - 150) / 1000 AS heave_m, (i % 36000) / 100 AS heading FROM ev WHERE kind = 'error' AND i % 4 = 3""")
 def _(spark, d):
-    a = sonar.attitude(messages(spark, d))
-    return a.select("file", "t", r("pitch", 9).alias("pitch"), r("roll", 9).alias("roll"), "heave_m", "heading")
+    a = sonar.attitude(indexed(spark, d))
+    return a.select(name(), "t", r("pitch", 9).alias("pitch"), r("roll", 9).alias("roll"), "heave_m", "heading")
 
 
 @check("s7_navigation", "", f"""WITH {EV} SELECT file, us // 1000000 + (us % 1000000) // 1000 / 1000 AS t, ROUND(CASE WHEN kind = 'signup' AND i % 2 = 0 THEN -1 ELSE 1 END * (22 + (i % 600) / 600), 9) AS lat,
     ROUND(CASE WHEN kind = 'signup' THEN 1 ELSE -1 END * (120 + 42.5::DOUBLE / 60), 9) AS lon FROM ev WHERE kind IN ('signup', 'purchase')""")
 def _(spark, d):
-    n = sonar.navigation(messages(spark, d))
-    return n.select("file", "t", r("lat", 9).alias("lat"), r("lon", 9).alias("lon"))
+    n = sonar.navigation(indexed(spark, d))
+    return n.select(name(), "t", r("lat", 9).alias("lat"), r("lon", 9).alias("lon"))
 
 
 @check("s_georeferenced_pings")

@@ -66,6 +66,22 @@ def _next_magic(read_at, pos: int, length: int, step: int = 1 << 16) -> int:
     return length
 
 
+#: Schemes of the listing that the Arrow build knows under another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+#: Bytes that the index pass reads ahead.
+AHEAD = 1 << 23
+
+
+def arrow_uri(path: str) -> str:
+    """A path as Spark's listing gives it, in the form that Arrow opens; plain paths stay as they are."""
+    scheme, colon, rest = path.partition(":/")
+    if not colon:
+        return path
+    if scheme == "file":
+        return f"file:///{rest.lstrip('/')}"
+    return f"{SCHEMES.get(scheme, scheme)}:/{rest}"
+
+
 def _opener():
     """Random access to a path on any file system the Arrow build knows; a few files stay open."""
     from pyarrow import fs
@@ -76,17 +92,27 @@ def _opener():
         if path not in cache:
             if len(cache) > 8:
                 cache.pop(next(iter(cache))).close()
-            uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and "///" not in path else path
-            if "://" in uri:
-                system, inner = fs.FileSystem.from_uri(uri)
-            else:
-                system, inner = fs.LocalFileSystem(), uri
+            uri = arrow_uri(path)
+            system, inner = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
             cache[path] = system.open_input_file(inner)
         return cache[path]
 
     return get
 
 
+def read_ahead(read_at, length: int, block: int = AHEAD):
+    """``read_at`` that answers from large blocks: headers lie close together, and a request each would cost a round trip."""
+    at, held = 0, b""
+
+    def get(pos: int, n: int) -> bytes:
+        nonlocal at, held
+        if not at <= pos <= pos + n <= at + len(held):
+            at, held = pos, read_at(pos, min(max(n, block), length - pos))
+        return held[pos - at : pos - at + n]
+
+    return get
+
+
 def index_files(files: DataFrame) -> DataFrame:
     """Message index of files given as (path, length)."""
 
@@ -96,11 +122,8 @@ def index_files(files: DataFrame) -> DataFrame:
             for path, length in zip(pdf["path"], pdf["length"]):
                 f = get(path)
 
-                def read_at(p: int, n: int, f=f) -> bytes:
-                    return f.read_at(n, p)
-
                 rows = []
-                for i, (o, s, t, sub, ch) in enumerate(walk(read_at, int(length))):
+                for i, (o, s, t, sub, ch) in enumerate(walk(read_ahead(lambda p, n, f=f: f.read_at(n, p), int(length)), int(length))):
                     rows.append((path, i, o, s, t, sub, ch))
                     if len(rows) == 50_000:
                         yield _frame(rows)
@@ -134,8 +157,18 @@ def spread(index: DataFrame, block: int = 2048) -> DataFrame:
     return index.repartition("file", F.floor(F.col("seq") / block)).sortWithinPartitions("file", "offset")
 
 
-def _unpack(pay: bytes, fields: dict[str, tuple[int, str]]) -> list:
-    return [struct.unpack_from(f, pay, o)[0] if len(pay) >= o + struct.calcsize(f) else None for o, f in fields.values()]
+def _unpack(pay: list[bytes], fields: dict[str, tuple[int, str]]) -> pd.DataFrame:
+    """Fields of all payloads at once, through one structured view of their heads; NULL where a payload ends before the field does."""
+    ends = {n: o + struct.calcsize(f) for n, (o, f) in fields.items()}
+    width = max(ends.values())
+    kind = np.dtype({"names": list(fields), "formats": [f for _, f in fields.values()], "offsets": [o for o, _ in fields.values()], "itemsize": width})
+    heads = np.frombuffer(b"".join(bytes(p[:width]).ljust(width, b"\0") for p in pay), kind)
+    size = np.array([len(p) for p in pay], dtype="int64")
+    out = pd.DataFrame({n: heads[n].astype(heads[n].dtype.newbyteorder("=")) for n in fields})
+    for n, end in ends.items():
+        if (size < end).any():
+            out[n] = out[n].astype(object).where(size >= end, None)
+    return out
 
 
 def raw_fields(messages: DataFrame, fields: dict[str, tuple[int, str]], samples: str | None = None) -> DataFrame:
@@ -168,7 +201,7 @@ def raw_fields(messages: DataFrame, fields: dict[str, tuple[int, str]], samples:
 
 
 def _decode(out: pd.DataFrame, pay: list[bytes], fields: dict, samples: str | None) -> pd.DataFrame:
-    got = pd.DataFrame([_unpack(p, fields) for p in pay], columns=list(fields), dtype=object)
+    got = _unpack(pay, fields)
     out = pd.concat([out, got], axis=1)
     if samples == "text":
         out["sentence"] = [bytes(p[12:]).decode("ascii", errors="ignore").strip() for p in pay]
@@ -237,7 +270,7 @@ def sbp_pings(messages: DataFrame) -> DataFrame:
         F.when(A.has_bit(v, 7), F.col("heave").cast("double")).otherwise(0.0).alias("heave_m"),
         depth.alias("depth_m"),
         alt.alias("altitude_m"),
-        (depth + alt).alias("water_depth_m"),
+        A.water_depth(depth, alt).alias("water_depth_m"),
         F.when(lat != 0, lat).alias("lat"),
         F.when(lon != 0, lon).alias("lon"),
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,11 +12,8 @@ from soundlake import constants as K
 from soundlake.functions.geo import project
 from soundlake.operators.along import Track, shift_back
 
-# Fixed value: the layout of one magnetometer record line.
-MAG_RECORD = (
-    r"\*[\d.]+/([\d:]+\.\d+)\s+F:([\d.]+)\s+S:\d+\s+D:([+-][\d.]+)m\s+A:([\d.]+)m\s+.*?Q:(\d+)\s+"
-    r"X:[\d.]+\s+Y:[\d.]+.*?x:([\d.]+)\s+y:([\d.]+)\s+<(\w+)>"
-)
+# The fields of a magnetometer record line are ``key:value``; depth and height carry a unit.
+MAG_FIELDS = {"F_nT": "F", "depth_m": "D", "alt_m": "A", "quality": "Q", "lon": "x", "lat": "y"}
 
 TARGET_SCHEMA = (
     "target_id string, x_m double, y_m double, lon double, lat double, anomaly_nT double, polarity string"
@@ -34,22 +34,28 @@ def read_xyz(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_mag(df: DataFrame, value: str = "value") -> DataFrame:
-    """REAL records only; lines that do not match are dropped."""
+    """REAL records only; lines that lack a field or hold something else in it are dropped.
+
+    A line is cut at blanks once; fields are then read by their keys, wherever they stand. The first one is ``*date/time``, the last one the
+    kind in angle brackets; the depth has a sign.
+    """
+    words = F.split(F.trim(value), r"\s+")
+    kept = [c for c in df.columns if c != value]
+    d = df.select(*kept, words.alias("_w"))
 
-    def g(i: int) -> Column:
-        return F.regexp_extract(value, MAG_RECORD, i)
+    def field(key: str) -> Column:
+        return F.substring_index(F.get(F.filter("_w", lambda w: w.startswith(f"{key}:")), F.lit(0)), ":", -1)
 
-    d = df.withColumn("_kind", g(8)).where("_kind = 'REAL'")
-    return d.select(
-        *[c for c in df.columns if c != value],
-        g(1).alias("time"),
-        g(2).try_cast("double").alias("F_nT"),
-        g(3).try_cast("double").alias("depth_m"),
-        g(4).try_cast("double").alias("alt_m"),
-        g(5).try_cast("int").alias("quality"),
-        g(6).try_cast("double").alias("lon"),
-        g(7).try_cast("double").alias("lat"),
-    )
+    date, time = F.substring_index(F.get("_w", F.lit(0)), "/", 1), F.substring_index(F.get("_w", F.lit(0)), "/", -1)
+    d = d.withColumns({f"_{n}": field(k) for n, k in MAG_FIELDS.items()}).withColumns({"_date": date, "_time": time})
+    number = [F.regexp_replace(F.col(f"_{n}"), "m$", "").try_cast("double").alias(n) for n in ("F_nT", "depth_m", "alt_m")]
+    place = [F.col(f"_{n}").try_cast("double").alias(n) for n in ("lon", "lat")]
+    d = d.select(*kept, "_w", "_date", F.col("_time").alias("time"), *number, F.col("_quality").try_cast("int").alias("quality"), *place, "_depth_m")
+    real = F.array_contains("_w", "<REAL>")
+    dated = F.startswith("_date", F.lit("*")) & F.contains("time", F.lit(":")) & F.contains("time", F.lit("."))
+    signed = F.substring("_depth_m", 1, 1).isin("+", "-")
+    whole = [F.col(n).isNotNull() for n in ("F_nT", "depth_m", "alt_m", "quality", "lon", "lat")]
+    return d.where(reduce(and_, [real, dated, signed, *whole])).drop("_w", "_date", "_depth_m")
 
 
 def read_mag(spark: SparkSession, path: str, layback: bool = True, distance: float = K.LAYBACK_M) -> DataFrame:
@@ -84,7 +90,7 @@ def list_surveys(files: DataFrame, survey_dim: DataFrame) -> DataFrame:
 
     ``survey_dim`` is (dir_order, dir, ...attributes). Runs on the file list only.
     """
-    j = files.join(F.broadcast(survey_dim), "dir")
+    j = files.join(survey_dim, "dir")
     w = Window.orderBy("dir_order", "name")  # one row per file
     return j.withColumn("line_id", (F.row_number().over(w) - 1).cast("int"))
 

@@ -131,3 +131,32 @@ def test_channel_dispatch(spark):
     with pytest.raises(Exception, match="mixed"):
         mixed.select(A.frequency_of(F.col("c"))).collect()
     assert spark.createDataFrame([(["LF_port"],)], "c array<string>").select(A.frequency_of(F.col("c"))).first()[0] == "LF"
+
+
+def test_paths_as_listed_open_in_arrow():
+    assert sonar.arrow_uri("/a/b.jsf") == "/a/b.jsf"
+    assert sonar.arrow_uri("file:/a/b") == sonar.arrow_uri("file:///a/b") == "file:///a/b"
+    assert sonar.arrow_uri("s3a://bucket/k") == "s3://bucket/k"
+    assert sonar.arrow_uri("wasbs://c@x/k") == "abfss://c@x/k"
+    assert sonar.arrow_uri("hdfs://n:9000/k") == "hdfs://n:9000/k"
+
+
+def test_reading_ahead_gives_the_same_bytes():
+    data = bytes(range(256)) * 50
+    calls = []
+
+    def read_at(pos, n):
+        calls.append(n)
+        return data[pos : pos + n]
+
+    get = sonar.read_ahead(read_at, len(data), 1000)
+    for pos, n in ((0, 16), (16, 16), (990, 20), (5000, 3000), (7990, 10), (12_790, 10), (0, 1)):
+        assert get(pos, n) == data[pos : pos + n]
+    assert len(calls) == 5
+
+
+def test_short_payloads_leave_their_later_fields_null(spark):
+    rows = [("f", 0, 0, 0, 240, bytes(240)), ("f", 1, 0, 0, 100, b"\x05" * 100)]
+    df = spark.createDataFrame(rows, "file string, seq long, subsys int, channel int, size long, payload binary")
+    got = sonar.raw_fields(df, sonar.SONAR_FIELDS).orderBy("seq").collect()
+    assert got[0]["usec"] == 0 and got[1]["sec"] == 0x05050505 and got[1]["usec"] is None and got[1]["raw_x"] == 0x05050505
