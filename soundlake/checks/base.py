@@ -83,7 +83,12 @@ VIEWS = {
     "raster": """
         SELECT CAST(o_orderkey // 100 AS INTEGER) AS "row", CAST(o_orderkey % 100 AS INTEGER) AS col,
                o_totalprice / 10000 AS z
-        FROM orders WHERE o_orderkey % 97 <> 0""",
+        FROM orders""",
+    # The raster with holes: their cells stay, without a value.
+    "holed": """
+        SELECT CAST(o_orderkey // 100 AS INTEGER) AS "row", CAST(o_orderkey % 100 AS INTEGER) AS col,
+               CASE WHEN o_orderkey % 97 <> 0 THEN o_totalprice / 10000 END AS z
+        FROM orders""",
     "trace": """
         SELECT label AS line, vec_id AS seq, list_transform(embedding, lambda x: abs(x)) AS amps FROM embeddings""",
     "spot": """
@@ -137,13 +142,18 @@ SAMPLE_GRID = Grid(0.0, 64.0, 1.0, 64, 50)
 
 def raster(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
-    return table(spark, d, "orders").where(k % 97 != 0).select(
+    return table(spark, d, "orders").select(
         F.floor(k / 100).cast("int").alias("row"),
         (k % 100).cast("int").alias("col"),
         (F.col("o_totalprice") / 10000).alias("z"),
     )
 
 
+def holed(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("row") * 100 + F.col("col")
+    return raster(spark, d).withColumn("z", F.when(k % 97 != 0, F.col("z")))
+
+
 def raster_grid(spark: SparkSession, d: str, res: float = 1.0) -> Grid:
     """100 columns; as many rows as there are order keys (read from the file's statistics)."""
     top = table(spark, d, "orders").agg(F.max("o_orderkey")).first()[0]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from soundlake.checks.base import along, check, r, r5, raster, spot, sql5, table, track
+from soundlake.checks.base import along, check, r, r5, raster, raster_grid, spot, sql5, table, track
 from soundlake.checks.scalars import PROJECT_SQL
 from soundlake.operators import along as T
 from soundlake.operators import cube as C
@@ -116,11 +116,11 @@ def _(spark, d):
     return b.select("i", "j", r("depth").alias("depth"), r5("bedrock").alias("bedrock"))
 
 
-@check("q4_block_texture", "raster", f"""WITH t AS (SELECT "row" AS i, col AS j, CASE WHEN col % 6 <> 0 THEN z ELSE 0 END AS v FROM raster WHERE "row" < 60)
-    SELECT 59 - i AS i, j, CAST(trunc((v - (SELECT min(v) FROM t)) / ((SELECT max(v) FROM t) - (SELECT min(v) FROM t)) * 255) AS INTEGER) AS byte FROM t""")
+@check("q4_block_texture", "raster", f"""WITH t AS (SELECT "row" AS i, col AS j, CASE WHEN col % 6 <> 0 THEN z ELSE 0 END AS v FROM raster)
+    SELECT (SELECT max(i) FROM t) - i AS i, j, CAST(trunc((v - (SELECT min(v) FROM t)) / ((SELECT max(v) FROM t) - (SELECT min(v) FROM t)) * 255) AS INTEGER) AS byte FROM t""")
 def _(spark, d):
-    t = raster(spark, d).where("row < 60").select(F.col("row").alias("i"), F.col("col").alias("j"), F.when(F.col("col") % 6 != 0, F.col("z")).alias("v"))
-    return C.block_texture(t, "v", 60)
+    t = raster(spark, d).select(F.col("row").alias("i"), F.col("col").alias("j"), F.when(F.col("col") % 6 != 0, F.col("z")).alias("v"))
+    return C.block_texture(t, "v", raster_grid(spark, d).nrows)
 
 
 @check("q5_catalogue", "raster", f"""WITH {CUBE}, ul AS (SELECT unnest(['bathymetry', 'rl', 'isopach']) AS layer, unnest([bathymetry, rl, isopach]) AS v FROM cb)
@@ -137,11 +137,21 @@ def _(spark, d):
     return C.point_query(p, the_cube(spark, d), the_grid(spark, d), ["rl"], projected=True).select("id", "outside")
 
 
-THIN = """o AS (SELECT line, lon, lat, row_number() OVER (PARTITION BY line ORDER BY t, seq) AS i, count(*) OVER (PARTITION BY line) AS n FROM track WHERE channel = 'click')"""
+@check("f11_region_box", "raster", f"""WITH {CUBE}, {BOXES} SELECT box, "row", col FROM cb JOIN bx ON x BETWEEN least(x0, x1) AND greatest(x0, x1) AND y BETWEEN least(y0, y1) AND greatest(y0, y1)""")
+def _(spark, d):
+    return C.cells_in_boxes(the_cube(spark, d), boxes(spark, d), the_grid(spark, d), [], 16).select("box", "row", "col")
+
+
+THIN = """pc AS (SELECT *, CASE channel WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'error' THEN 2 WHEN 'signup' THEN 3 END AS p FROM track),
+    one AS (SELECT * FROM pc WHERE p IS NOT NULL QUALIFY p = min(p) OVER (PARTITION BY line)),
+    o AS (SELECT line, lon, lat, row_number() OVER (PARTITION BY line ORDER BY t, seq) AS i, count(*) OVER (PARTITION BY line) AS n FROM one)"""
 
 
 def features(spark, d):
-    t = T.ordinals(track(spark, d).where("channel = 'click'"), along(), "ord", "n")
+    names = dict(zip(["click", "view", "error", "signup"], C.CHANNEL_ORDER))
+    named = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
+    one = C.preferred_channel(track(spark, d).withColumn("channel", named[F.col("channel")]), ["line"])
+    t = T.ordinals(one, along(), "ord", "n")
     return C.trackline_features(T.thin(t, 5), ["line"], "SSS")
 
 

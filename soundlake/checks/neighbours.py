@@ -68,7 +68,7 @@ def _(spark, d):
 
 
 THICK = """cl AS (SELECT "row", col, col + 0.5::DOUBLE AS qx, n - ("row" + 0.5::DOUBLE) AS qy, CAST(floor(z) AS INTEGER) % 7 AS cls FROM raster, (SELECT max(o_orderkey) // 100 + 1 AS n FROM orders)),
-    pk AS (SELECT id, x / 10 AS x, y / 7 AS y, abs(v) / 5000 AS t FROM spot WHERE id % 4 = 0),
+    pk AS (SELECT id, x / 10 AS x, y / 7 AS y, abs(v) / 5000 AS t FROM spot),
     pr AS (SELECT "row", col, id, t, (x - qx) * (x - qx) + (y - qy) * (y - qy) AS d2 FROM cl JOIN pk ON abs(x - qx) <= 6 AND abs(y - qy) <= 6),
     nn AS (SELECT *, row_number() OVER (PARTITION BY "row", col ORDER BY d2, id) AS k FROM pr WHERE d2 < 36),
     me AS (SELECT "row", col, sum(t / (d2 + 1e-6)) / sum(1 / (d2 + 1e-6)) AS t FROM nn WHERE k <= 12 GROUP BY ALL),
@@ -80,11 +80,21 @@ def _(spark, d):
     from soundlake.checks.base import raster, raster_grid
 
     classes = raster(spark, d).select("row", "col", (F.floor("z") % 7).cast("int").alias("sediment_class"))
-    picks = spot(spark, d).where("id % 4 = 0").select("id", (F.col("x") / 10).alias("x"), (F.col("y") / 7).alias("y"), (F.abs("v") / 5000).alias("thickness"))
+    picks = spot(spark, d).select("id", (F.col("x") / 10).alias("x"), (F.col("y") / 7).alias("y"), (F.abs("v") / 5000).alias("thickness"))
     out = jobs.thickness_layer(picks, ["id"], classes, raster_grid(spark, d), gap=6.0, sigma=2.0)
     return out.select("row", "col", r("isopach", 5).alias("isopach"), "source")
 
 
+@check("g3_thickness_unmeasured", "raster spot", f"""WITH {THICK} SELECT "row", col, CASE cls WHEN 0 THEN 0.05 WHEN 1 THEN 0.15 WHEN 2 THEN 0.3 WHEN 3 THEN 0.5 WHEN 4 THEN 0.8 WHEN 5 THEN 1.2 ELSE 2.0 END::DOUBLE AS isopach, 0 AS source FROM cl""")
+def _(spark, d):
+    from soundlake.checks.base import raster, raster_grid
+
+    classes = raster(spark, d).select("row", "col", (F.floor("z") % 7).cast("int").alias("sediment_class"))
+    picks = spot(spark, d).select("id", (F.col("x") - 5000).alias("x"), F.col("y"), (F.abs("v") / 5000).alias("thickness"))  # all out of reach
+    out = jobs.thickness_layer(picks, ["id"], classes, raster_grid(spark, d), gap=6.0, sigma=2.0)
+    return out.select("row", "col", "isopach", "source")
+
+
 @check("g4_confidence", "spot", "WITH " + CELLS.replace("{where}", "") + """, n AS (SELECT q, sqrt(min(d2)) AS d FROM pr GROUP BY q) SELECT q, CASE WHEN d <= 8 THEN 0 WHEN d < 40 THEN 1 END AS confidence FROM n""")
 def _(spark, d):
     c = cells(spark, d)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from soundlake.checks.base import check, r, r5, raster, raster_grid, spot, sql5, table
+from soundlake.checks.base import check, holed, r, r5, raster, raster_grid, spot, sql5, table
 from soundlake.operators import raster as R
 from soundlake.operators.raster import Grid
 from soundlake.plans import jobs
@@ -12,14 +12,17 @@ from soundlake.plans import jobs
 DENSE = """dn AS (SELECT CAST(o_orderkey // 100 AS INTEGER) AS r, CAST(o_orderkey % 100 AS INTEGER) AS c, z FROM orders LEFT JOIN raster ON raster."row" = o_orderkey // 100 AND raster.col = o_orderkey % 100)"""
 
 
+HOLED = """dn AS (SELECT "row" AS r, col AS c, z FROM holed)"""
+
+
 def box_sql(n: int, aggs: str, lo: int | None = None) -> str:
     lo = n if lo is None else lo
     return f"""SELECT a.r, a.c, any_value(a.z) AS z, {aggs} FROM dn a JOIN dn b ON b.r BETWEEN a.r - {lo} AND a.r + {n} AND b.c BETWEEN a.c - {lo} AND a.c + {n} WHERE a.z IS NOT NULL GROUP BY a.r, a.c"""
 
 
-@check("r1_erosion", "raster", f"""WITH {DENSE}, b AS ({box_sql(2, 'count(b.z) AS n')}) SELECT r AS "row", c AS col, z FROM b WHERE n = 25""")
+@check("r1_erosion", "holed", f"""WITH {HOLED}, b AS ({box_sql(2, 'count(b.z) AS n')}) SELECT r AS "row", c AS col, z FROM b WHERE n = 25""")
 def _(spark, d):
-    return R.erode(raster(spark, d), raster_grid(spark, d), "z", 2).select("row", "col", "z")
+    return R.erode(holed(spark, d), raster_grid(spark, d), "z", 2).select("row", "col", "z")
 
 
 GRAD = """g AS (SELECT a."row", a.col, a.z, (e.z - w.z) / 2 AS zx, (s.z - n.z) / 2 AS zy FROM raster a
@@ -43,10 +46,10 @@ def _(spark, d):
     return out.where("vrm is not null").select("row", "col", r("vrm").alias("vrm"))
 
 
-@check("r4_position_index", "raster", f"""WITH {DENSE}, o AS ({box_sql(10, 'sum(b.z) AS s, count(b.z) AS n')}), i AS ({box_sql(1, 'sum(b.z) AS s, count(b.z) AS n')})
+@check("r4_position_index", "holed", f"""WITH {HOLED}, o AS ({box_sql(10, 'sum(b.z) AS s, count(b.z) AS n')}), i AS ({box_sql(1, 'sum(b.z) AS s, count(b.z) AS n')})
     SELECT o.r AS "row", o.c AS col, {sql5('o.z - (o.s - i.s) / (o.n - i.n)')} AS bpi FROM o JOIN i ON o.r = i.r AND o.c = i.c""")
 def _(spark, d):
-    out = R.position_index(raster(spark, d), raster_grid(spark, d), "z")
+    out = R.position_index(holed(spark, d), raster_grid(spark, d), "z").where("bpi is not null")
     return out.select("row", "col", r5("bpi").alias("bpi"))
 
 
@@ -86,12 +89,12 @@ def _(spark, d):
     return R.blur(raster(spark, d), raster_grid(spark, d), "z", 1.0).select("row", "col", r("smooth").alias("smooth"))
 
 
-SPARSE = """sp AS (SELECT * FROM raster WHERE "row" % 40 < 12 AND col < 60)"""
+SPARSE = """sp AS (SELECT "row", col, CASE WHEN "row" % 40 < 12 AND col < 60 THEN z END AS z FROM raster)"""
 
 
 @check("r5_blur_bleed", "raster", f"WITH {SPARSE}, " + blur_sql(8, 32, ROWS).replace("{src}", "sp") + """ SELECT "row", col, ROUND(s, 6) AS smooth FROM bl""")
 def _(spark, d):
-    g = raster(spark, d).where("row % 40 < 12 and col < 60")
+    g = raster(spark, d).withColumn("z", F.expr("CASE WHEN row % 40 < 12 AND col < 60 THEN z END"))
     return R.blur(g, raster_grid(spark, d), "z", 8.0).select("row", "col", r("smooth").alias("smooth"))
 
 
@@ -101,12 +104,12 @@ def _(spark, d):
     return R.masked(b, raster(spark, d)).select("row", "col", r("smooth").alias("smooth"))
 
 
-@check("r6_extrema", "spot", """WITH s AS (SELECT CAST(id // 50 AS INTEGER) AS "row", CAST(id % 50 AS INTEGER) AS col, v FROM spot WHERE id % 13 <> 0)
+@check("r6_extrema", "spot", """WITH s AS (SELECT CAST(id // 50 AS INTEGER) AS "row", CAST(id % 50 AS INTEGER) AS col, CASE WHEN id % 13 <> 0 THEN v END AS v FROM spot)
     SELECT a."row", a.col, any_value(a.v) AS v FROM s a JOIN s b ON b."row" BETWEEN a."row" - 4 AND a."row" + 3 AND b.col BETWEEN a.col - 4 AND a.col + 3
     WHERE abs(a.v) > 100 GROUP BY a."row", a.col HAVING any_value(abs(a.v)) = max(abs(b.v))""")
 def _(spark, d):
     i = F.col("id")
-    s = spot(spark, d).where("id % 13 <> 0").select(F.floor(i / 50).cast("int").alias("row"), (i % 50).cast("int").alias("col"), "v")
+    s = spot(spark, d).select(F.floor(i / 50).cast("int").alias("row"), (i % 50).cast("int").alias("col"), F.when(i % 13 != 0, F.col("v")).alias("v"))
     n = table(spark, d, "customer").count()
     return R.extrema(s, Grid(0, 0, 1, n // 50 + 1, 50), "v", 100.0, 8).select("row", "col", "v")
 
@@ -133,11 +136,11 @@ def rounded(c, n=6):
     return c.select("row", "col", "depth_m", "kind", *[r(x, n).alias(x) for x in ("x1", "y1", "x2", "y2")])
 
 
-@check("a7_xyz_grid", "", """WITH p AS (SELECT ROUND(100 + (o_orderkey % 100) * 0.5 + 0.0001, 3) AS x, ROUND(900 - (o_orderkey // 100) * 0.5, 3) AS y, abs(-o_totalprice) AS z FROM orders WHERE o_orderkey % 97 <> 0),
+@check("a7_xyz_grid", "", """WITH p AS (SELECT ROUND(100 + (o_orderkey % 100) * 0.5 + 0.0001, 3) AS x, ROUND(900 - (o_orderkey // 100) * 0.5, 3) AS y, abs(-o_totalprice) AS z FROM orders),
     c AS (SELECT min(x) AS x0, max(y) AS y0 FROM p) SELECT CAST(ROUND((y0 - y) / 0.5) AS INTEGER) AS "row", CAST(ROUND((x - x0) / 0.5) AS INTEGER) AS col, avg(z) AS z, count(*) AS n FROM p, c GROUP BY ALL""")
 def _(spark, d):
     k = F.col("o_orderkey")
-    xyz = table(spark, d, "orders").where(k % 97 != 0).select(
+    xyz = table(spark, d, "orders").select(
         (F.lit(100) + (k % 100) * 0.5 + 0.0001).alias("x"), (F.lit(900) - F.floor(k / 100) * 0.5).alias("y"), (-F.col("o_totalprice")).alias("z"))
     return R.points_to_grid(xyz, 0.5)
 
@@ -201,12 +204,12 @@ def _(spark, d):
     return cube.build(cells, cube.present(cells, ["depth", "missing", "level"]))
 
 
-COARSE = "dc AS (SELECT r, c, 1.2 + (c + 0.5) * 2.5 AS x, {rows} - 0.7 - (r + 0.5) * 2.5 AS y FROM (SELECT unnest(range(55)) AS r), (SELECT unnest(range(45)) AS c))".replace("{rows}", ROWS)
+COARSE = "dc AS (SELECT r, c, 1.2 + (c + 0.5) * 2.5 AS x, {rows} - 0.7 - (r + 0.5) * 2.5 AS y FROM (SELECT unnest(range(CAST({rows} / 2.5 - 3 AS BIGINT))) AS r), (SELECT unnest(range(45)) AS c))".replace("{rows}", ROWS)
 
 
 def coarse(spark, d):
     src = raster_grid(spark, d)
-    return src, Grid(1.2, src.nrows - 0.7, 2.5, 55, 45)
+    return src, Grid(1.2, src.nrows - 0.7, 2.5, round(src.nrows / 2.5 - 3), 45)
 
 
 @check("j10_resample_nearest", "raster", f"""WITH {COARSE} SELECT CAST(r AS INTEGER) AS "row", CAST(c AS INTEGER) AS col, z FROM dc JOIN raster ON raster."row" = floor({ROWS} - y) AND raster.col = floor(x)""")
@@ -231,7 +234,7 @@ def _(spark, d):
         F.lit(b.left).alias("left"), F.lit(b.top).alias("top"), F.lit(b.nrows).alias("nrows"), F.lit(b.ncols).alias("ncols"))
 
 
-@check("r7_label_median", "raster", """WITH l AS (SELECT "row", col, CASE WHEN z > 40 THEN CAST(floor(z) AS INTEGER) % 5 WHEN z > 4 THEN CAST(floor(z) AS INTEGER) % 3 ELSE -1 END AS l FROM raster WHERE col < 50),
+@check("r7_label_median", "raster", """WITH l AS (SELECT "row" * 2 + col // 50 AS "row", col % 50 AS col, CASE WHEN z > 40 THEN CAST(floor(z) AS INTEGER) % 5 WHEN z > 4 THEN CAST(floor(z) AS INTEGER) % 3 ELSE -1 END AS l FROM raster),
     im AS (SELECT r, c, coalesce(l, -1) AS l FROM (SELECT DISTINCT "row" AS r FROM l), (SELECT unnest(range(50)) AS c) LEFT JOIN l ON l."row" = r AND l.col = c),
     v AS (SELECT a.r, a.c, any_value(a.l) AS l, list(b.l) AS ls FROM im a JOIN im b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 WHERE a.l >= 0 GROUP BY a.r, a.c)
     SELECT CAST(r AS BIGINT) AS "row", CAST(c AS INTEGER) AS bin, CAST(list_sort(list_concat(ls, list_resize([]::INT[], CAST(9 - len(ls) AS BIGINT), 0)))[5] AS INTEGER) AS smoothed FROM v""")
@@ -240,7 +243,7 @@ def _(spark, d):
 
     z = F.floor("z").cast("int")
     lab = F.when(F.col("z") > 40, z % 5).when(F.col("z") > 4, z % 3)
-    g = raster(spark, d).where("col < 50").select(F.col("row").alias("ping"), F.col("col").alias("bin"), lab.alias("label"))
+    g = raster(spark, d).select((F.col("row") * 2 + F.floor(F.col("col") / 50).cast("int")).alias("ping"), (F.col("col") % 50).alias("bin"), lab.alias("label"))
     full = RM.full_image(g, "ping")
     out = RM.label_image(full, "ping", "label")
     return out.select(F.col("row"), "bin", "smoothed")

@@ -250,7 +250,7 @@ def _(spark, d):
 @check("x20_water_depth", "track", """SELECT seq, CASE WHEN seq % 5 <> 0 THEN ROUND(v / 10 + roll + 4, 6) END AS depth FROM track""")
 def _(spark, d):
     t = track(spark, d).withColumn("alt", F.when(F.col("seq") % 5 != 0, F.col("roll") + 4))
-    return t.select("seq", r(F.col("v") / 10 + F.col("alt")).alias("depth"))
+    return t.select("seq", r(A.water_depth(F.col("v") / 10, F.col("alt"))).alias("depth"))
 
 
 # --- filters ----------------------------------------------------------------------------------------
@@ -329,16 +329,7 @@ def _(spark, d):
 @check("f10_thickness_range", "", "SELECT p_partkey, p_size / 10.0::DOUBLE AS t FROM part WHERE p_size / 10.0::DOUBLE BETWEEN 0.1 AND 3.0")
 def _(spark, d):
     p = table(spark, d, "part").select("p_partkey", (F.col("p_size") / 10.0).alias("t"))
-    return p.where(F.col("t").between(K.THICK_MIN, K.THICK_MAX))
-
-
-@check("f11_region_box", "spot", "SELECT id FROM spot WHERE x BETWEEN 200 AND 700.5 AND y BETWEEN 100.2 AND 600")
-def _(spark, d):
-    from soundlake.checks.base import spot
-
-    x0, x1, y0, y1 = (F.lit(v) for v in (700.5, 200.0, 600.0, 100.2))
-    inside = F.col("x").between(F.least(x0, x1), F.greatest(x0, x1)) & F.col("y").between(F.least(y0, y1), F.greatest(y0, y1))
-    return spot(spark, d).where(inside).select("id")
+    return p.where(A.plausible_thickness(F.col("t")))
 
 
 @check("f13_depth_mask", "raster", """SELECT c_custkey // 10 AS "row", c_custkey % 10 * 7 AS col, c_acctbal AS v FROM customer

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from soundlake.checks.base import BLANK, along, by_seq, check, r, r5, raster, raster_grid, trace, track
-from soundlake.checks.rasters import DENSE, box_sql, terrain_sql
+from soundlake.checks.base import BLANK, along, by_seq, check, holed, r, r5, raster, raster_grid, trace, track
+from soundlake.checks.rasters import HOLED, box_sql, terrain_sql
 from soundlake.checks.traces import BOTTOM, cal_sql
 from soundlake.operators import radiometry
 from soundlake.operators.raster import Grid
@@ -19,8 +19,7 @@ def _(spark, d):
         (44000 + F.col("v")).alias("F_nT"), F.lit(95).alias("quality"))
     dim = t.select("line").distinct().withColumn("f_ref", F.lit(44000.0))
     rec = magnetics.filtered_lines(t, dim, ["line"], along())
-    depth = raster(spark, d).where("row < 100")
-    out = magnetics.layers(rec.select("line", "seq", "x", "y", "background", "anomaly"), ["line", "seq"], depth, Grid(0.0, 100.0, 1.0, 100, 100), reach=6.0, sigma_m=5.0, leaf=2.0)
+    out = magnetics.layers(rec.select("line", "seq", "x", "y", "background", "anomaly"), ["line", "seq"], raster(spark, d), raster_grid(spark, d), reach=6.0, sigma_m=5.0, leaf=2.0)
     return out.select("row", "col", "confidence", *[r(c, 4).alias(c) for c in ("anomaly", "background", "residual")])
 
 
@@ -35,7 +34,7 @@ def _(spark, d):
 def _(spark, d):
     s = F.col("seq")
     p = trace(spark, d).withColumn("x", (s * 37 % 100).cast("double")).withColumn("y", (s * 53 % 100).cast("double"))
-    out = jobs.sediment_layers(p, by_seq(), 2.0, raster(spark, d).where("row < 100"), Grid(0.0, 100.0, 1.0, 100, 100), gap=9.0, k=12, sigma=2.0, blanking=BLANK, min_samples=60)
+    out = jobs.sediment_layers(p, by_seq(), 2.0, raster(spark, d), raster_grid(spark, d), gap=9.0, k=12, sigma=2.0, blanking=BLANK, min_samples=60)
     return out.select("row", "col", r("rl", 4).alias("rl"), "sediment_class", "confidence")
 
 
@@ -61,7 +60,7 @@ def _(spark, d):
         "line", F.lit("HF_port").alias("channel"), "seq", s.cast("double").alias("t"), "amps", F.lit(0.5).alias("pix_m"), lat.alias("lat"), lon.alias("lon"),
         F.lit(90.0).alias("heading"), F.lit(0.0).alias("roll"), F.lit(1.0).alias("depth_m"), F.lit(15.0).alias("cable_length"), F.lit(0).alias("pos_source"))
     depth = raster(spark, d).withColumn("z", F.col("z") / 2)
-    grid = Grid(227173.5, 2449210.5, 2.0, 150, 100)
+    grid = Grid(227173.5, 2449210.5, 2.0, raster_grid(spark, d).nrows, 100)
     smp = jobs.sidescan_samples(p, by_seq(), depth, grid)
     smp = jobs.sidescan_pings_numbered(smp, ["line"])
     c = radiometry.normalise_gain(smp, ["line"], "bs_linear", "bs2")
@@ -91,15 +90,15 @@ def _(spark, d):
     p = trace(spark, d).select(
         "line", F.lit("HF_port").alias("channel"), "seq", s.cast("double").alias("t"), "amps", F.lit(0.5).alias("pix_m"), lat.alias("lat"), lon.alias("lon"),
         F.lit(90.0).alias("heading"), F.lit(0.0).alias("roll"), F.lit(1.0).alias("depth_m"), F.lit(15.0).alias("cable_length"), F.lit(0).alias("pos_source"))
-    grid = Grid(227173.5, 2449210.5, 2.0, 150, 100)
+    grid = Grid(227173.5, 2449210.5, 2.0, raster_grid(spark, d).nrows, 100)
     depth = grid.cells(spark).join(raster(spark, d).withColumn("z", F.col("z") / 2), ["row", "col"])
     samples = jobs.sidescan_pings_numbered(jobs.sidescan_samples(p, by_seq(), depth, grid), ["line"])
     out = jobs.sidescan_mosaic(samples, depth, grid, F.lit(65.0), k=3)
     return out.groupBy("label").agg(F.count("*").alias("cells"), F.count("db").alias("filled"), r(F.max("confidence")).alias("confidence"))
 
 
-@check("job_depth_layer", "raster", f"""WITH {DENSE}, b AS ({box_sql(2, 'count(b.z) AS n')}) SELECT r AS "row", c AS col, ROUND(z, 6) AS z FROM b WHERE n = 25""")
+@check("job_depth_layer", "holed", f"""WITH {HOLED}, b AS ({box_sql(2, 'count(b.z) AS n')}) SELECT r AS "row", c AS col, ROUND(z, 6) AS z FROM b WHERE n = 25""")
 def _(spark, d):
     g = raster_grid(spark, d, 0.5)
-    xyz = raster(spark, d).select((F.col("col") * 0.5).alias("x"), (F.lit(g.top) - F.col("row") * 0.5).alias("y"), (-F.col("z")).alias("z"))
+    xyz = holed(spark, d).where("z is not null").select((F.col("col") * 0.5).alias("x"), (F.lit(g.top) - F.col("row") * 0.5).alias("y"), (-F.col("z")).alias("z"))
     return jobs.depth_layer(xyz, 0.5, g, edge=2).select("row", "col", r("z").alias("z"))

@@ -167,7 +167,8 @@ def _(spark, d):
     return TR.with_first_return(t, "amps", "pix", width=9).select("line", "seq", r("first_return").alias("first_return"))
 
 
-KALMAN = """WITH RECURSIVE o AS (SELECT line, seq, CASE WHEN seq % 5 <> 0 THEN 20 + v / 8 END AS z, row_number() OVER (PARTITION BY line ORDER BY t, seq) AS i FROM track WHERE line % 11 > 0 OR seq < 200),
+KALMAN = """WITH RECURSIVE o AS (SELECT line, seq, CASE WHEN seq % 5 <> 0 THEN 20 + v / 8 END AS z, row_number() OVER (PARTITION BY line ORDER BY t, seq) AS i
+      FROM (SELECT * REPLACE (CASE WHEN line % 11 = 0 THEN 100000 + seq // 40 ELSE line END AS line) FROM track)),
     md AS (SELECT line, median(z) AS m FROM o GROUP BY line HAVING count(z) >= 5),
     kf AS (SELECT line, 0::BIGINT AS i, m AS x, 10.0::DOUBLE AS p, false AS hit FROM md UNION ALL
       SELECT s.line, s.i, CASE WHEN h THEN x + (p + 0.01) / (p + 9.01) * (z - x) ELSE x END,
@@ -177,7 +178,8 @@ KALMAN = """WITH RECURSIVE o AS (SELECT line, seq, CASE WHEN seq % 5 <> 0 THEN 2
 
 
 def observed(spark, d):
-    return track(spark, d).where("line % 11 > 0 or seq < 200").withColumn("z", F.when(F.col("seq") % 5 != 0, 20 + F.col("v") / 8))
+    short = F.when(F.col("line") % 11 == 0, 100000 + F.floor(F.col("seq") / 40)).otherwise(F.col("line"))  # lines of a few records
+    return track(spark, d).withColumn("line", short).withColumn("z", F.when(F.col("seq") % 5 != 0, 20 + F.col("v") / 8))
 
 
 @check("p2_gated_filter", "track", KALMAN.replace("{pick}", "WHEN kf.hit THEN kf.x"))

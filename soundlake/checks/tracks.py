@@ -73,14 +73,14 @@ def _(spark, d):
 # --- windows -----------------------------------------------------------------------------------------
 
 
-@check("w1_layback", "track", """WITH p AS (SELECT line, seq, line * 10 + v / 10 AS x, v AS y, t FROM track WHERE line > 0 OR seq IN (SELECT min(seq) FROM track WHERE line = 0)),
+@check("w1_layback", "track", """WITH p AS (SELECT line, seq, line * 10 + v / 10 AS x, v AS y, t FROM track UNION ALL SELECT -1, seq, v / 10 - 10, v, t FROM track WHERE seq = (SELECT min(seq) FROM track)),
     n AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM p WINDOW w AS (PARTITION BY line ORDER BY t, seq)),
     h AS (SELECT *, CASE WHEN px IS NOT NULL THEN atan2(x - px, y - py) ELSE atan2(nx - x, ny - y) END AS h FROM n)
     SELECT line, seq, ROUND(coalesce(x - 10 * sin(h), x), 6) AS x, ROUND(coalesce(y - 10 * cos(h), y), 6) AS y FROM h""")
 def _(spark, d):
     t = track(spark, d)
-    one = t.where("line = 0").agg(F.min("seq").alias("_first"))
-    t = attach(t, one, []).where("line > 0 or seq = _first")
+    first = attach(t, t.agg(F.min("seq").alias("_first")), []).where("seq = _first").drop("_first")
+    t = t.unionByName(first.withColumn("line", F.lit(-1).cast(t.schema["line"].dataType)))  # a line of one record
     p = t.select("line", "seq", "t", (F.col("line") * 10 + F.col("v") / 10).alias("x"), F.col("v").alias("y"))
     return T.shift_back(p, along(), "x", "y", 10.0).select("line", "seq", r("x").alias("x"), r("y").alias("y"))
 
@@ -97,9 +97,9 @@ def _(spark, d):
     return T.median_zero(t, ["line"], "v", 35, "med").select("line", "seq", "med")
 
 
-@check("w2_median_zero_short", "track", MEDIAN_ZERO.replace("{w}", "35").replace("{where}", " WHERE channel = 'view' AND seq % (line + 1) < 3"))
+@check("w2_median_zero_short", "track", MEDIAN_ZERO.replace("{w}", "35").replace("{where}", "").replace("FROM track)", "FROM (SELECT * REPLACE (line * 100 + seq % (line % 40 + 1) AS line) FROM track))"))
 def _(spark, d):
-    t = track(spark, d).where((F.col("channel") == "view") & (F.col("seq") % (F.col("line") + 1) < 3))
+    t = track(spark, d).withColumn("line", F.col("line") * 100 + F.col("seq") % (F.col("line") % 40 + 1))  # many lines shorter than the window
     t = T.ordinals(t, along(), "ord", "n")
     return T.median_zero(t, ["line"], "v", 35, "med").select("line", "seq", "med")
 
@@ -234,12 +234,13 @@ def _(spark, d):
 
 
 @check("t6_preferred_channel", "track", """WITH c AS (SELECT *, CASE channel WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'error' THEN 2 WHEN 'signup' THEN 3 END AS p
-    FROM track WHERE seq % 5 > 0 AND seq % (line + 1) < 9), b AS (SELECT *, min(p) OVER (PARTITION BY line) AS m FROM c WHERE p IS NOT NULL)
+    FROM (SELECT * REPLACE (line * 1000 + seq % 100 AS line) FROM track)), b AS (SELECT *, min(p) OVER (PARTITION BY line) AS m FROM c WHERE p IS NOT NULL)
     SELECT line, seq FROM b WHERE p = m""")
 def _(spark, d):
     names = dict(zip(["click", "view", "error", "signup"], cube.CHANNEL_ORDER))
     m = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
-    t = track(spark, d).where((F.col("seq") % 5 > 0) & (F.col("seq") % (F.col("line") + 1) < 9)).withColumn("channel", m[F.col("channel")])
+    t = track(spark, d).withColumn("line", F.col("line") * 1000 + F.col("seq") % 100)  # short lines, so that channels are missing
+    t = t.withColumn("channel", m[F.col("channel")])
     return cube.preferred_channel(t, ["line"]).select("line", "seq")
 
 
@@ -262,11 +263,11 @@ def _(spark, d):
     UNION SELECT unnest(generate_series(10, CAST(top AS BIGINT) - 1, 10)) FROM m)""")
 def _(spark, d):
     from soundlake.checks.base import raster
+    from soundlake.operators.raster import contour_levels
 
-    top = raster(spark, d).agg((F.ceil(F.max("z") / 10) * 10).alias("top"))
-    minor = top.select(F.explode(F.sequence(F.lit(5).cast("long"), F.col("top") - 1, F.lit(5).cast("long"))).alias("level"))
-    major = top.select(F.explode(F.sequence(F.lit(10).cast("long"), F.col("top") - 1, F.lit(10).cast("long"))).alias("level"))
-    return minor.union(major).distinct()
+    highest = raster(spark, d).agg(F.max("z").alias("top"))
+    levels = contour_levels(highest.first().top)
+    return highest.select(F.explode(F.array(*[F.lit(v).cast("long") for v in levels])).alias("level"))
 
 
 @check("s7_nmea", "track", """WITH s AS (SELECT seq, CASE WHEN seq % 4 = 0 THEN 'x' ELSE '' END AS bad, lat, lon, seq % 3 AS k FROM track),

@@ -62,6 +62,16 @@ def angle_weight(angle: Column) -> Column:
     return F.exp(-(u * u))
 
 
+def plausible_thickness(t: Column) -> Column:
+    """Between the thinnest and the thickest layer a pick may show."""
+    return t.between(K.THICK_MIN, K.THICK_MAX)
+
+
+def water_depth(depth: Column, altitude: Column) -> Column:
+    """Depth of the sensor plus its height above ground."""
+    return depth + altitude
+
+
 def slant_window(altitude: Column, far: Column) -> tuple[Column, Column]:
     """Slant ranges at the near and far angle limits."""
     return altitude / math.cos(math.radians(K.NEAR_CUTOFF)), altitude / F.cos(F.radians(far))

@@ -140,7 +140,7 @@ def thickness_layer(
 ) -> DataFrame:
     """Measured thickness where picks are near, modelled thickness elsewhere, smoothed, with its source.
 
-    Fewer than ``least`` picks give the modelled layer alone, unsmoothed.
+    Fewer than ``least`` picks, or none within reach of a cell, give the modelled layer alone, unsmoothed.
     """
     spark = classes.sparkSession
     valid = classes.where("sediment_class is not null and sediment_class >= 0")
@@ -154,7 +154,9 @@ def thickness_layer(
         return raster.hybrid(model.limit(0), model, "thickness").withColumnRenamed("thickness", "isopach")
     pts = picks.select(*pid, F.col("x").alias("px"), F.col("y").alias("py"), "thickness")
     cells = grid.centres(valid.select("row", "col"), "qx", "qy")
-    measured = idw(cells, pts, ["row", "col"], pid, "thickness", k, gap, leaf)
+    measured = cut(idw(cells, pts, ["row", "col"], pid, "thickness", k, gap, leaf), "measured")
+    if measured.isEmpty():
+        return raster.hybrid(model.limit(0), model, "thickness").withColumnRenamed("thickness", "isopach")
     both = cut(raster.hybrid(measured, model, "thickness"), "hybrid")
     soft = raster.blur(both, grid, "thickness", sigma, out="isopach")
     return soft.join(both.select("row", "col", "source"), ["row", "col"])

@@ -26,7 +26,7 @@ def quality_filter(
     min_quality: int = K.MAG_QUALITY, tolerance: float = K.MAG_TOLERANCE,
 ) -> DataFrame:
     """Quality flag high enough, and the field within 10 % of the survey's reference ``f_ref``."""
-    j = df.join(F.broadcast(survey), keys)
+    j = df.join(survey, keys)
     f = F.col(field)
     return j.where(
         (F.col(quality) >= min_quality)
