@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from soundlake.llm.graph import components
+from soundlake.llm.tables import positional, restored
 from soundlake.llm.words import mix, parts, shingle_sets
 from soundlake.operators.lineage import cut, release
 
@@ -82,29 +83,45 @@ def whole_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, items array<long>")
 
 
-def verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame, width: int, limit: Threshold, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) that link.
+def _bound(overlap, n_a, n_b, limit: Threshold):
+    """Whether an overlap of at most ``overlap`` can link sets of these sizes; in whole numbers."""
+    return overlap * (limit.num + limit.den) >= limit.num * (n_a + n_b)
 
-    First the overlap of the prefixes bounds that of the sets: elements beyond the shorter reach are at most the rest of that set. Pairs below the overlap that
-    their sizes ask for are discarded. Only for the others whole sets are built, from the texts, and their overlap counted exactly.
+
+def _fits(x, y, limit: Threshold):
+    return (x * limit.den >= y * limit.num) & (y * limit.den >= x * limit.num)
+
+
+def light_pairs(cells: DataFrame, limit: Threshold) -> DataFrame:
+    """Pairs (a, b) that the product over uncrowded columns leaves, from cells (col, rep, n, left, heavy).
+
+    Their overlaps are added up over these columns. Crowded columns can add at most the fewer of both sides' crowded cells, and columns beyond the prefixes at
+    most what is left of a set; pairs that cannot reach the overlap which their sizes ask for are discarded.
     """
-    side = lambda s: heads.select(*[F.col(c).alias(c + s) for c in ("rep", "n", "prefix")])
-    met = pairs.join(side("_a"), F.col("a") == F.col("rep_a")).join(side("_b"), F.col("b") == F.col("rep_b"))
-    shared = F.size(F.array_intersect("prefix_a", "prefix_b"))
-    last = lambda s: F.element_at(f"prefix_{s}", -1)
-    rest = lambda s: F.col(f"n_{s}") - F.size(f"prefix_{s}")
-    beyond = F.when(last("a") <= last("b"), rest("a")).otherwise(rest("b"))
-    asked = F.ceil(F.col("n_a") * limit.num / (limit.num + limit.den) + F.col("n_b") * limit.num / (limit.num + limit.den) - 1e-6)
-    likely = cut(met.where(shared + beyond >= asked).select("a", "b"), "likely")
-    wanted = cut(likely.select(F.explode(F.array("a", "b")).alias("_w")).distinct(), "wanted")
-    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(wanted, F.col("doc_id") == F.col("_w"), "left_semi")
-    sets = cut(whole_sets(chosen, width, "doc_id", "text"), "sets")
-    both = likely.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    both = both.select("a", "b", (F.size("x") + F.size("y")).alias("sizes"), common.alias("common"))
-    found = cut(both.where(limit.den * F.col("common") >= limit.num * (F.col("sizes") - F.col("common"))).select("a", "b").distinct(), "links")
-    release(likely, wanted, sets)
-    return found
+    x, y = cells.alias("x"), cells.alias("y")
+    met = x.join(y, (F.col("x.col") == F.col("y.col")) & (F.col("x.rep") < F.col("y.rep")) & _fits(F.col("x.n"), F.col("y.n"), limit))
+    sums = met.groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).agg(
+        F.count(F.lit(1)).alias("met"), *[F.first(f"{s}.{c}").alias(f"{c}_{s}") for s in "xy" for c in ("n", "left", "heavy")]
+    )
+    most = F.col("met") + F.least("heavy_x", "heavy_y") + F.greatest("left_x", "left_y")
+    return sums.where(_bound(most, F.col("n_x"), F.col("n_y"), limit)).select("a", "b")
+
+
+def rare_first(sets: DataFrame, limit: Threshold) -> DataFrame:
+    """Cells (col, rep, n, pos) of the shortest sound prefixes when columns are ordered by how many of these sets have them, the rarest first."""
+    cells = sets.select("rep", F.size("items").alias("n"), F.explode("items").alias("col"))
+    often = cut(cells.groupBy("col").agg(F.count(F.lit(1)).alias("k")), "often")
+    order = Window.partitionBy("rep").orderBy("k", "col")  # one set
+    placed = cells.join(often, "col").withColumn("pos", F.row_number().over(order) - 1)
+    reach = F.col("n") - F.ceil(F.col("n") * limit.num / limit.den - 1e-9)
+    return placed.where((F.col("pos") <= reach) & (F.col("k") > 1)).select("col", "rep", "n", "pos")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
+    """The pairs (a, b) whose whole sets link."""
+    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("items").alias("y")), "b")
+    both = both.select("a", "b", (F.size("x") + F.size("y")).alias("sizes"), F.size(F.array_intersect("x", "y")).alias("common"))
+    return cut(both.where(limit.den * F.col("common") >= limit.num * (F.col("sizes") - F.col("common"))).select("a", "b").distinct(), "links")
 
 
 def similar_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
@@ -112,15 +129,16 @@ def similar_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int =
 
     1. Equal sets are one class, named by its smallest doc_id, so copies are never paired.
     2. The incidence matrix keeps, of each class, the columns (shingles) with the smallest hashes, a sixth to a third of all. Columns with one class fall away.
-    3. Crowded columns, such as those of a passage that many documents share, are left to the classes that cannot spare them, i.e. of which
-       so many columns are crowded that they might share no other with a partner. All other classes meet their partners elsewhere.
-    4. A column is multiplied in two steps. First each class meets the most central class of the column only; links found join classes to components. Then
-       classes of one column meet if they are in different components still. So a group of near copies costs about its size, not its square, and no
-       link between components is missed.
-    5. Overlaps are counted and pairs below their size-derived bounds discarded, first on the prefixes, then exactly on the whole sets.
-
-    Texts that are null or without words have no shingles and link with nothing. doc_id is taken to be unique; rows that repeat it with equal texts
-    are copies, and links of unlike texts with one id hold for that id. A null id joins the component of its text's class. Empty tables give no rows; extra
+    3. Uncrowded columns are multiplied: overlaps of the pairs are accumulated, and pairs below their size-derived bounds discarded.
+    4. Crowded columns, such as those of a passage that many documents share, can be spared by most classes: even without them they share a column with every
+       partner. Classes that cannot spare them, such as those of large groups of near copies, get a matrix of their own, with all their columns ordered
+       by rarity; a class that differs much from its group then has rare columns only. There each class first meets the most central one of a column; links found
+       join classes to components, and only classes of different components meet afterwards, if their places in the order leave enough overlap. So a
+       group of near copies costs about its size, not its square, and no link between components is missed.
+    5. What is left is verified on the whole sets, built from the texts for these documents only.
+
+    Texts that are null or without words have no shingles and link with nothing. doc_id is taken to be unique: rows that repeat it with equal texts
+    are copies; rows that repeat it with unlike texts follow their own text's class, but of the links between such classes and others some may be missed. A null id joins the component of its text's class. Empty tables give no rows; extra
     columns are not read.
     """
     limit = Threshold(num, den)
@@ -129,35 +147,41 @@ def similar_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int =
     classes = cut(rows.where("n > 0").groupBy(*signature).agg(F.min("doc_id").alias("rep")), "classes")
     named = classes.where("rep is not null").select("rep", F.col("s1").alias("_s1"), F.col("s2").alias("_s2"))
     heads = rows.where("n > 0").join(named, (F.col("doc_id") == F.col("rep")) & (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2")), "left_semi")
-    heads = cut(heads.select(F.col("doc_id").alias("rep"), "n", "spare", "prefix"), "heads")
-    cells = heads.select("rep", "n", "spare", F.explode("prefix").alias("h")).withColumn("col", F.col("h").bitwiseAND(0x7FFFFFFF).cast("int")).drop("h")
+    heads = heads.select(F.col("doc_id").alias("rep"), "n", "spare", "prefix")
+    cells = heads.select("rep", F.col("n").cast("int").alias("n"), F.col("spare").cast("int").alias("spare"), (F.col("n") - F.size("prefix")).cast("int").alias("left"), F.explode("prefix").alias("h"))
+    cells = cut(cells.withColumn("col", F.col("h").bitwiseAND(0x7FFFFFFF).cast("int")).drop("h"), "cells")
     columns = cells.groupBy("col").agg(F.count(F.lit(1)).alias("k"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
     columns = cut(columns.select("col", (F.col("k") > crowded).alias("full")), "columns")
-    shared = cut(cells.join(columns, "col"), "cells")
-    release(columns)
-    held = shared.where("full").groupBy("rep").agg(F.count(F.lit(1)).alias("m"), F.max("spare").alias("most")).where("m > most").select("rep")
-    thin = shared.where("not full").unionByName(shared.where("full").join(cut(held, "held"), "rep", "left_semi")).select("rep", "n", "col")
-    degree = thin.groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
-    matrix = cut(thin.join(cut(degree, "degree"), "rep"), "matrix")
-    release(shared)
-    centre = matrix.groupBy("col").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"), "n")).alias("c"))
+    shared = cut(cells.join(columns, "col"), "shared")
+    release(cells, columns)
+    heavy = cut(shared.where("full").groupBy("rep").agg(F.count(F.lit(1)).cast("int").alias("heavy"), F.max("spare").alias("spare")), "heavy")
+    held = cut(heavy.where("heavy > spare").select("rep").distinct(), "held")
+    light = shared.where("not full").select("col", "rep", "n", "left").join(heavy.select("rep", "heavy"), "rep", "left").fillna(0, ["heavy"])
+    pairs = cut(light_pairs(light, limit), "pairs")
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("_w")).unionByName(held.select(F.col("rep").alias("_w"))).distinct(), "wanted")
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(wanted, F.col("doc_id") == F.col("_w"), "left_semi")
+    sets = cut(whole_sets(chosen, width, "doc_id", "text").withColumnRenamed("doc_id", "rep"), "sets")
+    release(shared, heavy, wanted)
+    near = verified(pairs, sets, limit)
+    matrix = cut(rare_first(sets.join(held, "rep", "left_semi"), limit), "matrix")
+    degree = cut(matrix.groupBy("rep").agg(F.count(F.lit(1)).alias("degree")), "degree")
+    centre = matrix.join(degree, "rep").groupBy("col").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"), "n")).alias("c"))
     centre = centre.select("col", (-F.col("c.minus")).alias("hub"), F.col("c.n").alias("hub_n"))
-    fits = lambda x, y: (x * den >= y * num) & (y * den >= x * num)
-    first = matrix.join(centre, "col").where((F.col("rep") != F.col("hub")) & fits(F.col("n"), F.col("hub_n")))
+    first = matrix.join(centre, "col").where((F.col("rep") != F.col("hub")) & _fits(F.col("n"), F.col("hub_n"), limit))
     first = cut(first.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct(), "pairs")
-    links = verified(first, heads, docs, width, limit, id_col, text_col)
-    joined = cut(components(links), "joined")
-    placed = matrix.select("rep", "n", "col").join(joined, F.col("rep") == F.col("node"), "left").select("rep", "n", "col", F.coalesce("root", "rep").alias("part"))
+    near = cut(near.unionByName(verified(first, sets, limit)), "links")
+    joined = cut(components(near), "joined")
+    placed = matrix.join(joined, F.col("rep") == F.col("node"), "left").select("rep", "n", "col", "pos", F.coalesce("root", "rep").alias("part"))
     placed = cut(placed, "placed")
-    release(matrix)
     open_columns = placed.groupBy("col").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("col")
-    left = cut(placed.join(open_columns, "col", "left_semi"), "open")
-    x, y = left.alias("x"), left.alias("y")
-    rest = x.join(y, (F.col("x.col") == F.col("y.col")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.part") != F.col("y.part")) & fits(F.col("x.n"), F.col("y.n")))
+    x, y = (cut(placed.join(open_columns, "col", "left_semi"), "open").alias(s) for s in "xy")
+    apart = (F.col("x.col") == F.col("y.col")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.part") != F.col("y.part")) & _fits(F.col("x.n"), F.col("y.n"), limit)
+    reach = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    rest = x.join(y, apart & _bound(reach, F.col("x.n"), F.col("y.n"), limit))
     rest = rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = verified(cut(rest, "pairs"), heads, docs, width, limit, id_col, text_col)
-    release(placed, left, first)
-    final = cut(components(links.unionByName(more)), "components")
+    more = verified(cut(rest, "pairs"), sets, limit)
+    release(matrix, placed, sets)
+    final = cut(components(near.unionByName(more)), "components")
     roots = classes.join(final, F.col("rep") == F.col("node"), "left").select(*signature, F.coalesce("root", "rep").alias("root"))
     mine = rows.select("doc_id", *signature).join(cut(roots, "roots"), signature, "left")
     alone = F.when(F.col("n") == 0, F.col("doc_id"))
@@ -166,6 +190,7 @@ def similar_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int =
 
 def drop_similar(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one row of each component, the one with the smallest doc_id; documents without words all stay. Columns stay as they are."""
-    found = similar_documents(docs, width, num, den)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(cut(gone, "gone"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    rows, names = positional(docs)
+    found = similar_documents(rows, width, num, den, names["doc_id"], names["text"])
+    gone = cut(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")), "gone")
+    return restored(rows.join(gone, F.col(names["doc_id"]) == F.col("_gone"), "left_anti"), names)
