@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from soundlake import constants as K
 from soundlake.checks.base import BLANK, along, by_seq, check, r, trace, track
+from soundlake.checks.scalars import CLASS_SQL
 from soundlake.operators import along as T
 from soundlake.operators import altitude
 from soundlake.operators import trace as TR
@@ -198,32 +200,73 @@ WIDE_SAMPLE = 93333  # nanoseconds: 64 samples then span about four metres
 
 
 def loud(spark, d):
-    return trace(spark, d).withColumn("amps", F.transform("amps", lambda x: (x * x * x * 100000 + 1).cast("float")))
-
-
-@check("p3_strict_picks")
+    return trace(spark, d).withColumn("amps", F.transform("amps", lambda x: (x.cast("double") * x * x * 100000 + 1).cast("float")))
+
+
+LOUD = """tr AS (SELECT line, seq, list_transform(amps, lambda x: (x::DOUBLE * x * x * 100000 + 1)::FLOAT) AS amps FROM trace),
+    bo AS (SELECT line, seq, amps, CAST(list_position(amps[{least} + 1:], list_max(amps[{least} + 1:])) + {least} - 1 AS INTEGER) AS idx_b, list_max(amps[{least} + 1:])::DOUBLE AS amp_b FROM tr)"""
+
+# The imaginary part of the analytic signal is a circular convolution, with one kernel for even lengths and another for odd ones.
+HILBERT = """ns AS (SELECT DISTINCT n FROM sp), hk AS (SELECT n, j, CASE WHEN j = 0 THEN 0 WHEN n % 2 = 1 THEN (1 / tan(pi() * j / n) - cos(pi() * j) / sin(pi() * j / n)) / n
+      WHEN j % 2 = 1 THEN 2 / tan(pi() * j / n) / n ELSE 0 END AS h FROM (SELECT n, unnest(range(n)) AS j FROM ns)),
+    en AS (SELECT x.line, x.seq, x.n, x.i, sqrt(pow(any_value(x.a), 2) + pow(sum(y.a * h), 2)) AS e FROM sp x JOIN sp y ON x.line = y.line AND x.seq = y.seq JOIN hk ON hk.n = x.n AND j = (x.i - y.i + x.n) % x.n
+      GROUP BY ALL),
+    lv AS (SELECT *, 20 * log10(greatest(e, 1.0)) AS db FROM en)"""
+
+
+def pick_sql(strict: bool, speed: str) -> str:
+    """Peak by peak, with correlated subqueries; the spacing never binds, as the blind zone is at most two samples here."""
+    value = "db - regr_slope(db, i) OVER w * i - regr_intercept(db, i) OVER w" if strict else "db"
+    fine = "prom >= 5 * noise AND noise >= 1e-6 AND width >= 3" if strict else "prom >= 3 AND width >= 2"
+    near = lambda agg, test: f"(SELECT {agg} FROM dv y WHERE y.line = p.line AND y.seq = p.seq AND {test})"
+    return f"""dz AS (SELECT *, {WIDE_SAMPLE}::DOUBLE * 1e-9 * vp / 2 AS dz FROM (SELECT *, {speed} AS vp FROM bo)),
+    wi AS (SELECT *, idx_b + CAST(floor({K.BLIND_ZONE_M} / dz) AS INT) AS lo, least(len(amps), idx_b + CAST(floor({K.MAX_DEPTH_M} / dz) AS INT)) AS hi FROM dz),
+    sp AS (SELECT line, seq, hi - lo AS n, unnest(amps[lo + 1:hi])::DOUBLE AS a, unnest(range(hi - lo)) AS i FROM wi WHERE hi - lo >= 10), {HILBERT},
+    de AS (SELECT line, seq, n, i, db, {value} AS v FROM lv WINDOW w AS (PARTITION BY line, seq)),
+    me AS (SELECT *, median(v) OVER (PARTITION BY line, seq) AS med FROM de), dv AS (SELECT *, 1.4826 * median(abs(v - med)) OVER (PARTITION BY line, seq) AS noise FROM me),
+    ex AS (SELECT * FROM (SELECT *, lag(v) OVER w AS l, lead(v) OVER w AS r FROM dv WINDOW w AS (PARTITION BY line, seq ORDER BY i)) WHERE v > l AND v > r {'' if strict else 'AND v >= med + 5'}),
+    bd AS (SELECT p.*, coalesce({near('max(y.i)', 'y.i < p.i AND y.v > p.v')} + 1, 0) AS first, coalesce({near('min(y.i)', 'y.i > p.i AND y.v > p.v')} - 1, n - 1) AS last FROM ex p),
+    pr AS (SELECT p.*, v - greatest({near('min(y.v)', 'y.i BETWEEN p.first AND p.i')}, {near('min(y.v)', 'y.i BETWEEN p.i AND p.last')}) AS prom FROM bd p),
+    cr AS (SELECT p.*, v - prom / 2 AS level, coalesce({near('max(y.i)', 'y.i BETWEEN p.first AND p.i AND y.v <= p.v - p.prom / 2')}, first) AS a, coalesce({near('min(y.i)', 'y.i BETWEEN p.i AND p.last AND y.v <= p.v - p.prom / 2')}, last) AS b FROM pr p),
+    ab AS (SELECT p.*, {near('any_value(y.v)', 'y.i = p.a')} AS va, {near('any_value(y.v)', 'y.i = p.a + 1')} AS va1, {near('any_value(y.v)', 'y.i = p.b')} AS vb, {near('any_value(y.v)', 'y.i = p.b - 1')} AS vb1 FROM cr p),
+    wd AS (SELECT *, b - CASE WHEN vb < level THEN (level - vb) / (vb1 - vb) ELSE 0 END - a - CASE WHEN va < level THEN (level - va) / (va1 - va) ELSE 0 END AS width FROM ab),
+    rk AS (SELECT *, row_number() OVER w AS k, score - lead(score) OVER w AS ahead FROM (SELECT *, {'prom' if strict else 'prom * v'} AS score FROM wd WHERE {fine}) WINDOW w AS (PARTITION BY line, seq ORDER BY score DESC, i)),
+    pk AS (SELECT rk.line, rk.seq, (lo + i - idx_b) * dz AS thickness, {'prom / noise' if strict else 'NULL::DOUBLE'} AS snr, prom AS prominence FROM rk JOIN wi ON wi.line = rk.line AND wi.seq = rk.seq
+      WHERE k = 1 {'AND coalesce(ahead >= 3, true)' if strict else ''} AND abs((lo + i - idx_b) * dz - {K.DRAFT_M}) >= {K.MULTIPLE_M})"""
+
+
+@check("p3_strict_picks", "trace", f"""WITH {LOUD.format(least=2)}, {pick_sql(True, '1500.0::DOUBLE')}
+    SELECT line, seq, ROUND(thickness, 6) AS thickness, ROUND(snr, 6) AS snr, ROUND(prominence, 6) AS prominence FROM pk""")
 def _(spark, d):
     t = TR.bottom(loud(spark, d), blanking=2).withColumn("vp", F.lit(1500.0))
     p = TR.pick_reflector(t, ["line", "seq"], strict=True, sample_ns=WIDE_SAMPLE)
     return p.select("line", "seq", *[r(c).alias(c) for c in ("thickness", "snr", "prominence")])
 
 
-@check("p4_lenient_picks")
+@check("p4_lenient_picks", "trace", f"""WITH {LOUD.format(least=2)}, {pick_sql(False, '1500.0::DOUBLE')}
+    SELECT line, seq, ROUND(thickness, 6) AS thickness, ROUND(prominence, 6) AS prominence FROM pk""")
 def _(spark, d):
     t = TR.bottom(loud(spark, d), blanking=2).withColumn("vp", F.lit(1500.0))
     p = TR.pick_reflector(t, ["line", "seq"], strict=False, sample_ns=WIDE_SAMPLE)
     return p.select("line", "seq", r("thickness").alias("thickness"), r("prominence").alias("prominence"))
 
 
-@check("p5_envelope")
+@check("p5_envelope", "trace", f"""WITH {LOUD.format(least=BLANK)}, sp AS (SELECT line, seq, len(amps) AS n, unnest(amps)::DOUBLE AS a, unnest(range(len(amps))) AS i FROM tr), {HILBERT},
+    bb AS (SELECT line, seq, any_value(n) AS n, max(db) AS top, min(db) - max(db) AS db_min, sum(db) - any_value(n) * max(db) AS db_sum, arg_max(i, (e, -i)) FILTER (WHERE i >= {BLANK}) AS idx_b FROM lv GROUP BY ALL),
+    lh AS (SELECT *, CAST(floor(idx_b * 1.95) AS INTEGER) AS lo, CAST(floor(idx_b * 2.1) AS INTEGER) AS hi FROM bb),
+    ec AS (SELECT lh.line, lh.seq, arg_max(i, (e, -i)) AS idx FROM lh JOIN lv ON lv.line = lh.line AND lv.seq = lh.seq AND i >= lo AND i < hi WHERE hi < lh.n GROUP BY ALL)
+    SELECT lh.line, lh.seq, CAST(idx_b AS INTEGER) AS idx_b, CAST(coalesce(idx, lo) AS INTEGER) AS idx_bsb, ROUND(db_min, 6) AS db_min, ROUND(db_sum, 4) AS db_sum FROM lh LEFT JOIN ec ON ec.line = lh.line AND ec.seq = lh.seq""")
 def _(spark, d):
     e = TR.envelope_db(loud(spark, d), ["line", "seq"], blanking=BLANK)
     return e.select("line", "seq", "idx_b", "idx_bsb", r(F.array_min("env_db")).alias("db_min"), r(F.aggregate("env_db", F.lit(0.0), lambda a, x: a + x), 4).alias("db_sum"))
 
 
-@check("p6_thickness_picks")
+SPEED = f"""CASE {CLASS_SQL.replace("rl", "least(greatest(-20 * log10(amp_b / 2.0e4), 0.0), 50.0)")} WHEN 0 THEN 1776.0 WHEN 1 THEN 1660.5 WHEN 2 THEN 1627.5
+    WHEN 3 THEN 1590.0 WHEN 4 THEN 1545.0 WHEN 5 THEN 1480.0 WHEN 6 THEN 1444.0 ELSE 1489.073 END::DOUBLE"""
+
+
+@check("p6_thickness_picks", "trace", f"""WITH {LOUD.format(least=2)}, {pick_sql(False, SPEED)}
+    SELECT line, seq, ROUND(thickness, 6) AS thickness FROM pk WHERE thickness BETWEEN {K.THICK_MIN} AND {K.THICK_MAX}""")
 def _(spark, d):
     p = TR.thickness_picks(loud(spark, d), ["line", "seq"], 2.0e4, blanking=2, min_samples=60, sample_ns=WIDE_SAMPLE, strict=False)
     return p.select("line", "seq", r("thickness").alias("thickness"))
-
-
