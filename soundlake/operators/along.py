@@ -8,10 +8,16 @@ travels through a summary with one row per stretch, built with map-side aggregat
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from soundlake.operators.lineage import cut
 
 ST = "_stretch"
 
@@ -165,7 +171,7 @@ def interpolate(
     hit = reach(
         both, Track(tuple(line), (t, "_later"), stretch), {"_p": (known, False)}, {"_n": (known, False)}, "_part"
     ).where("_later = 1")
-    size = knowns.groupBy(*line).agg(F.count(F.lit(1)).alias("_size"))
+    size = cut(knowns.groupBy(*line).agg(F.count(F.lit(1)).alias("_size")), "sizes")  # a small table of known size: pings are not shuffled to meet it
     out = hit.join(size, list(line), "left")
 
     def at(v: str) -> str:
@@ -254,71 +260,77 @@ def shift_back(df: DataFrame, track: Track, x: str, y: str, distance: float) ->
 # --- rolling medians ----------------------------------------------------------------------------
 
 
-def rolling(
-    df: DataFrame, line: list[str], value: Column, half: int, reflect: bool, block: int = 8192
-) -> DataFrame:
-    """Array of the values within ``half`` positions, from ``ord`` and ``n`` columns.
+def _block_median(at: np.ndarray, v: np.ndarray, home: np.ndarray, n: int, half: int, reflect: bool) -> np.ndarray:
+    """Running median at the home rows of one block; ``v`` are the values at the positions ``at``, copies near the border included."""
+    first = at.min() - half
+    reach = half if reflect else (min(2 * half + 1, n) - 1) // 2
+    values = np.full(at.max() - first + half + 1, np.nan)
+    values[at - first] = v
+    windows = np.lib.stride_tricks.sliding_window_view(values if reflect else np.nan_to_num(values), 2 * reach + 1)[at[home] - first - reach]
+    result = np.full(len(windows), np.nan)
+    some = ~np.isnan(windows).all(axis=1)
+    result[some] = np.nanmedian(windows[some], axis=1)
+    return result
+
+
+def _medians_of_blocks(keys: list[str], half: int, reflect: bool, out: str, columns: list[str]):
+    """Blocks come sorted; many short ones share a batch, and one that a batch cuts waits for the next."""
+
+    def solve(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        at, v, home, n = pdf["_pos"].to_numpy(), pdf["_v"].to_numpy(dtype="float64", na_value=np.nan), pdf["_home"].to_numpy(dtype=bool), pdf["n"].to_numpy()
+        ends = np.append(starts[1:], len(pdf))
+        found = [_block_median(at[a:b], v[a:b], home[a:b], int(n[a]), half, reflect) for a, b in zip(starts, ends) if home[a:b].any()]
+        return pdf.loc[home, columns].assign(**{out: np.concatenate(found) if found else np.zeros(0)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            starts = np.flatnonzero((pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy())
+            held = pdf.iloc[starts[-1] :].reset_index(drop=True)
+            if len(starts) > 1:
+                yield solve(pdf.iloc[: starts[-1]], starts[:-1])
+        if held is not None and len(held):
+            yield solve(held, np.zeros(1, dtype=int))
+
+    return run
+
+
+def _running_median(df: DataFrame, line: list[str], value: str, window: int, out: str, reflect: bool, block: int = 8192) -> DataFrame:
+    """Median over a window of positions, from ``ord`` and ``n`` columns.
 
-    Lines are cut into blocks of ``block`` positions; rows near a border go to both blocks, so the
-    window never spans a whole line. ``reflect`` mirrors the ends, repeating the edge value.
+    Lines are cut into blocks of ``block`` positions; rows near a border go to both blocks, so a task holds two blocks of a line at most, however long
+    that is. ``reflect`` mirrors the ends, repeating the edge value.
     """
+    half = window // 2
     if half >= block:
         raise ValueError("half must be smaller than block")
     o, n = F.col("ord"), F.col("n")
+    pos = F.array(o)
     if reflect:
         reps = F.sequence(-F.ceil(half / (2 * n)) - 1, F.ceil(half / (2 * n)) + 1)
         images = F.filter(
             F.flatten(F.transform(reps, lambda m: F.array(o + 2 * n * m, 1 - o + 2 * n * m))),
             lambda p: p.between(1 - half, n + half),
         )
-        pos = F.when((o > half) & (o <= n - half), F.array(o)).otherwise(images)
-    else:
-        pos = F.array(o)
-    spread = (
-        df.withColumn("_v", value)
-        .withColumn("_pos", F.explode(pos))
-        .withColumn(
-            "_blk",
-            F.explode(
-                F.sequence(F.floor((F.col("_pos") - 1 - half) / block), F.floor((F.col("_pos") - 1 + half) / block))
-            ),
-        )
-    )
-    w = Window.partitionBy(*line, "_blk").orderBy("_pos").rowsBetween(-half, half)
-    home = (F.col("_pos") == F.col("ord")) & (F.floor((F.col("_pos") - 1) / block) == F.col("_blk"))
-    return (
-        spread.withColumn(
-            "_win", F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("_pos", "_v"))).over(w)
-        )
-        .where(home)
-        .drop("_blk", "_pos", "_v")
-    )
-
-
-def _middle(sorted_values: Column) -> Column:
-    """Median of a sorted, non-empty array."""
-    k = F.size(sorted_values)
-    lo = F.get(sorted_values, F.floor((k - 1) / 2).cast("int"))
-    hi = F.get(sorted_values, F.floor(k / 2).cast("int"))
-    return F.when(k > 0, (lo + hi) / 2)
+        pos = F.when((o > half) & (o <= n - half), pos).otherwise(images)
+    blocks = F.sequence(F.floor((F.col("_pos") - 1 - half) / block), F.floor((F.col("_pos") - 1 + half) / block))
+    spread = df.withColumn("_v", F.col(value).cast("double")).withColumn("_pos", F.explode(pos)).withColumn("_blk", F.explode(blocks))
+    spread = spread.withColumn("_home", (F.col("_pos") == o) & (F.floor((F.col("_pos") - 1) / block) == F.col("_blk")))
+    schema = StructType([*df.schema.fields, StructField(out, DoubleType())])
+    dealt = spread.repartition(*line, "_blk").sortWithinPartitions(*line, "_blk", "_pos")
+    got = dealt.mapInPandas(_medians_of_blocks([*line, "_blk"], half, reflect, out, df.columns), schema)
+    return got.withColumn(out, F.when(~F.isnan(out), F.col(out)))
 
 
 def median_zero(df: DataFrame, line: list[str], value: str, window: int, out: str) -> DataFrame:
-    """Odd median filter with zeros beyond the ends; the window shrinks to fit short lines."""
-    size = F.least(F.lit(window), F.col("n"))
-    half = F.floor((size - 1) / 2).cast("int")
-    r = rolling(df, line, F.col(value), window // 2, reflect=False)
-    vals = F.transform(
-        F.filter("_win", lambda e: F.abs(e["_pos"] - F.col("ord")) <= half), lambda e: e["_v"]
-    )
-    padded = F.concat(vals, F.array_repeat(F.lit(0.0), (2 * half + 1 - F.size(vals)).cast("int")))
-    return r.withColumn(out, F.get(F.array_sort(padded), half)).drop("_win")
+    """Odd median filter with zeros beyond the ends and for missing values; the window shrinks to fit short lines."""
+    return _running_median(df, line, value, window, out, reflect=False)
 
 
 def median_reflect(df: DataFrame, line: list[str], value: str, window: int, out: str) -> DataFrame:
     """Odd median filter with mirrored ends; NULLs take no part."""
-    r = rolling(df, line, F.col(value), window // 2, reflect=True)
-    return r.withColumn(out, _middle(F.array_sort(F.transform("_win", lambda e: e["_v"])))).drop("_win")
+    return _running_median(df, line, value, window, out, reflect=True)
 
 
 def despike(
@@ -328,13 +340,13 @@ def despike(
 
     Lines shorter than a window skip that step. Gaps take the line's median while smoothing.
     """
-    from soundlake.operators.stats import quantiles
+    from soundlake.operators.stats import attach, quantiles
 
     ref = median_reflect(df, line, value, window, "_ref")
     spike = (F.col("n") >= window) & (F.abs(F.col(value) - F.col("_ref")) > limit)
-    kept = ref.withColumn("_kept", F.when(~F.coalesce(spike, F.lit(False)), F.col(value))).drop("_ref")
+    kept = cut(ref.withColumn("_kept", F.when(~F.coalesce(spike, F.lit(False)), F.col(value))).drop("_ref"), "kept")
     mid = quantiles(kept, line, "_kept", {"_mid": 0.5})
-    filled = kept.join(mid, line, "left").withColumn("_fill", F.coalesce("_kept", "_mid"))
+    filled = attach(kept, mid, line).withColumn("_fill", F.coalesce("_kept", "_mid"))
     soft = median_reflect(filled, line, "_fill", smooth, "_soft")
     result = F.when(F.col("n") >= smooth, F.col("_soft")).otherwise(F.col("_kept"))
     return soft.withColumn(out, F.when(F.col("_kept").isNotNull(), result)).drop("_kept", "_mid", "_fill", "_soft")
@@ -386,7 +398,7 @@ def global_ping_ids(
     """
     tops = df.groupBy(*lines).agg((F.max(ping) + 1).alias("_len"))
     w = Window.orderBy(*lines).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tops.select(*lines, F.coalesce(F.sum("_len").over(w), F.lit(0)).alias("_off"))
+    offs = cut(tops.select(*lines, F.coalesce(F.sum("_len").over(w), F.lit(0)).alias("_off")), "offsets")
     return df.join(offs, lines).withColumn(out, F.col("_off") + F.col(ping)).drop("_off")
 
 

@@ -38,14 +38,16 @@ def gate(obs: np.ndarray, x: float, p: float) -> tuple[np.ndarray, np.ndarray, f
     return state, taken, x, p
 
 
-def _over_chunks(line: list[str], carry: bool | None) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _over_chunks(line: list[str], carry: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Filter one chunk: its values, and on its last row the state it ends with."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord")
         obs = pdf["obs"].to_numpy(dtype="float64", na_value=np.nan)
         state, taken, x, p = gate(obs, float(pdf["x0"].iloc[0]), float(pdf["p0"].iloc[0]))
-        if carry is None:
-            return pdf.iloc[:1][[*line, "chunk"]].assign(x1=x, p1=p)
-        return pdf[[*line, "ord"]].assign(smoothed=state if carry else np.where(taken, state, np.nan))
+        ends = np.full((2, len(obs)), np.nan)
+        ends[:, -1] = x, p
+        return pdf[[*line, "chunk", "ord"]].assign(smoothed=state if carry else np.where(taken, state, np.nan), x1=ends[0], p1=ends[1])
 
     return run
 
@@ -63,43 +65,41 @@ def smooth(
     obs = ordinals(obs, track).withColumn("chunk", F.floor((F.col("ord") - 1) / chunk))
     med = quantiles(obs, line, "obs", {"med": 0.5}, count="cnt").where("cnt >= 5")
     # The passes below read this narrow table (one number per ping) several times.
-    obs = cut(obs.join(med.drop("cnt"), line, "left"))
+    obs = cut(obs.join(cut(med.drop("cnt"), "medians"), line, "left"))
     work = obs.where("med is not null")
 
     keys = [f"{c} {t}" for c, t in work.select(*line).dtypes]
-    end_schema = ", ".join([*keys, "chunk long", "x1 double", "p1 double"])
-    chunks = work.groupBy(*line, "chunk").agg(F.max("med").alias("x0")).withColumn("p0", F.lit(K.KALMAN_P0))
-    starts = cut(chunks)
-    active, ends = starts, None
-    rows = work.select(*line, "chunk", "ord", "obs")
+    schema = ", ".join([*keys, "chunk long", "ord long", "smoothed double", "x1 double", "p1 double"])
+    at = [*line, "chunk"]
+    starts = cut(work.groupBy(*at).agg(F.max("med").alias("x0")).withColumn("p0", F.lit(K.KALMAN_P0)))
+    rows = work.select(*at, "ord", "obs")
+    active, ends, passes = starts, None, []
     while True:
-        ran = rows.join(active, [*line, "chunk"]).groupBy(*line, "chunk").applyInPandas(
-            _over_chunks(line, None), end_schema
-        )
-        if ends is None:
-            ends = cut(ran)
-        else:
-            ran = cut(ran)
-            ends = cut(ends.join(ran.select(*line, "chunk"), [*line, "chunk"], "left_anti").unionByName(ran))
+        # One table per round holds the values of the chunks that ran, and their end states.
+        ran = cut(rows.join(active, at).groupBy(*at).applyInPandas(_over_chunks(line, carry), schema), "round")
+        passes.append((ran, active))
+        new = ran.where("x1 is not null and not isnan(x1)").select(*at, "x1", "p1")
+        ends = new if ends is None else cut(ends.join(new.select(*at), at, "left_anti").unionByName(new), "ends")
         w = Window.partitionBy(*line).orderBy("chunk")
-        follow = ends.select(*line, "chunk", F.lag("x1").over(w).alias("_x"), F.lag("p1").over(w).alias("_p"))
-        moved = starts.join(follow, [*line, "chunk"]).select(
-            *line,
-            "chunk",
+        follow = ends.select(*at, F.lag("x1").over(w).alias("_x"), F.lag("p1").over(w).alias("_p"))
+        moved = starts.join(follow, at).select(
+            *at,
             F.coalesce("_x", "x0").alias("x0"),
             F.coalesce("_p", "p0").alias("p0"),
-            (F.coalesce("_x", "x0") != F.col("x0")).alias("_mx"),
-            (F.coalesce("_p", "p0") != F.col("p0")).alias("_mp"),
+            ((F.coalesce("_x", "x0") != F.col("x0")) | (F.coalesce("_p", "p0") != F.col("p0"))).alias("_moved"),
         )
-        moved = cut(moved)
-        active = moved.where("_mx or _mp").drop("_mx", "_mp")
-        starts = moved.drop("_mx", "_mp")
+        moved = cut(moved, "starts")
+        active, starts = moved.where("_moved").drop("_moved"), moved.drop("_moved")
         if active.isEmpty():
             break
-    done = rows.join(starts, [*line, "chunk"]).groupBy(*line, "chunk").applyInPandas(
-        _over_chunks(line, carry), ", ".join([*keys, "ord long", "smoothed double"])
-    )
-    done = done.withColumn("smoothed", F.when(~F.isnan("smoothed"), F.col("smoothed")))
+    # A chunk's values are those of the last round in which it ran.
+    done = None
+    for i, (ran, _) in enumerate(passes):
+        last = ran.select(*at, "ord", "smoothed")
+        for _, later in passes[i + 1 :]:
+            last = last.join(later.select(*at), at, "left_anti")
+        done = last if done is None else done.unionByName(last)
+    done = done.withColumn("smoothed", F.when(~F.isnan("smoothed"), F.col("smoothed"))).drop("chunk")
     joined = obs.join(done, [*line, "ord"], "left")
     val = F.when(F.col("med").isNull(), F.col("obs")).otherwise(F.col("smoothed"))
     return joined.select(*line, *track.order, F.col("obs").alias(value), val.alias(out))

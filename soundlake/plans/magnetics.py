@@ -18,7 +18,7 @@ from soundlake.operators.targets import greedy_thin, rank_targets
 def big_lines(df: DataFrame, line: list[str], least: int) -> DataFrame:
     """Rows of lines with at least ``least`` rows; the counts are pre-aggregated and joined back."""
     n = df.groupBy(*line).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
-    return df.join(n.drop("_n"), line, "left_semi")
+    return df.join(cut(n.drop("_n"), "lines"), line, "left_semi")
 
 
 def quality_filter(

@@ -64,9 +64,9 @@ def test_rolling_medians_cross_blocks(spark):
     d = T.ordinals(spark.createDataFrame(p), track(), "ord", "n")
     z = T.median_zero(d, ["line"], "v", 9, "m").orderBy("seq").toPandas()["m"]
     assert np.allclose(z, medians(p["v"].to_numpy(), 9, False))
-    r = T.rolling(d, ["line"], F.col("v"), 4, True, block=16)
-    got = r.select("seq", T._middle(F.array_sort(F.transform("_win", lambda e: e["_v"]))).alias("m")).orderBy("seq").toPandas()
-    assert np.allclose(got["m"], medians(p["v"].to_numpy(), 9, True))
+    for reflect in (False, True):
+        r = T._running_median(d, ["line"], "v", 9, "m", reflect, block=16).orderBy("seq").toPandas()["m"]
+        assert np.allclose(r, medians(p["v"].to_numpy(), 9, reflect))
 
 
 def test_reflection_of_a_short_line(spark):
