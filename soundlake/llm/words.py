@@ -36,7 +36,7 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([data, np.zeros(8, np.uint8)]), bounds - bounds[0]
 
 
-def parts(batches: Iterator[pa.RecordBatch], text: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def parts(batches: Iterator[pa.RecordBatch], text: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows with about ``most`` bytes of text, so that memory is bounded by that or one text."""
     for batch in batches:
         if not batch.num_rows:
