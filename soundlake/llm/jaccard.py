@@ -166,7 +166,7 @@ def similar_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int =
     matrix = cut(rare_first(sets.join(held, "rep", "left_semi"), limit), "matrix")
     degree = cut(matrix.groupBy("rep").agg(F.count(F.lit(1)).alias("degree")), "degree")
     centre = matrix.join(degree, "rep").groupBy("col").agg(F.max(F.struct("degree", (-F.col("rep")).alias("minus"), "n")).alias("c"))
-    centre = centre.select("col", (-F.col("c.minus")).alias("hub"), F.col("c.n").alias("hub_n"))
+    centre = cut(centre.select("col", (-F.col("c.minus")).alias("hub"), F.col("c.n").alias("hub_n")), "centre")
     first = matrix.join(centre, "col").where((F.col("rep") != F.col("hub")) & _fits(F.col("n"), F.col("hub_n"), limit))
     first = cut(first.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct(), "pairs")
     near = cut(near.unionByName(verified(first, sets, limit)), "links")
@@ -174,6 +174,7 @@ def similar_documents(docs: DataFrame, width: int = 5, num: int = 80, den: int =
     placed = matrix.join(joined, F.col("rep") == F.col("node"), "left").select("rep", "n", "col", "pos", F.coalesce("root", "rep").alias("part"))
     placed = cut(placed, "placed")
     open_columns = placed.groupBy("col").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("col")
+    open_columns = cut(open_columns, "columns")
     x, y = (cut(placed.join(open_columns, "col", "left_semi"), "open").alias(s) for s in "xy")
     apart = (F.col("x.col") == F.col("y.col")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.part") != F.col("y.part")) & _fits(F.col("x.n"), F.col("y.n"), limit)
     reach = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
