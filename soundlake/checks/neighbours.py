@@ -50,6 +50,18 @@ def _(spark, d):
     return nearest(cells(spark, d), p, ["q"], ["id"], 12, 70.0, leaf=10.0).select("q", "id", "rank")
 
 
+@check("j4_knn_crowded_tile", "", """WITH sp AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 404 + c_custkey * 7919 % 10007 / 20014.0 ELSE c_custkey * 7919 % 10007 / 10.0 END AS x, CASE WHEN c_custkey % 3 = 0 THEN 404 + c_custkey * 104729 % 10009 / 20018.0 ELSE c_custkey * 104729 % 10009 / 10.0 END AS y FROM customer),
+    cl AS (SELECT o_orderkey AS q, (o_orderkey % 125) * 8.0 AS qx, (o_orderkey // 125) * 8.0 AS qy FROM orders),
+    rk AS (SELECT q, id, row_number() OVER (PARTITION BY q ORDER BY (x - qx) * (x - qx) + (y - qy) * (y - qy), id) AS rank FROM cl, sp WHERE (x - qx) * (x - qx) + (y - qy) * (y - qy) < 4900)
+    SELECT q, id, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 5""")
+def _(spark, d):
+    # A third of the points lies at different places of half a metre, far below the tile size asked for.
+    k, hot = F.col("id"), F.col("id") % 3 == 0
+    px = F.when(hot, 404 + k * 7919 % 10007 / 20014.0).otherwise(F.col("x"))
+    py = F.when(hot, 404 + k * 104729 % 10009 / 20018.0).otherwise(F.col("y"))
+    return nearest(cells(spark, d), spot(spark, d).select("id", px.alias("px"), py.alias("py")), ["q"], ["id"], 5, 70.0, leaf=10.0).select("q", "id", "rank")
+
+
 @check("g1_idw_radius", "spot", "WITH " + CELLS.replace("{where}", " WHERE d2 < 4900") + """ SELECT q, ROUND(least(greatest(sum(v / 200 / (d2 + 1e-6)) / sum(1 / (d2 + 1e-6)), 0), 50), 6) AS v, ROUND(sqrt(min(d2)), 6) AS nearest FROM rk WHERE rank <= 12 GROUP BY q""")
 def _(spark, d):
     p = spots(spark, d).withColumn("v", F.col("v") / 200)

@@ -2,9 +2,9 @@
 
 Points are counted per tile on nested tile sizes (each a quarter of the one above). A query starts
 with the tiles around it and descends: counts alone bound its k-th distance, tiles beyond the bound
-are dropped, the rest split into their occupied children. Only the points of the last few small tiles
-are ever paired with the query, so a dense cluster costs no more than its rim, and pairs are never
-formed for a whole group.
+are dropped, the rest split into their occupied children. Below the aimed tile size only crowded tiles
+split on. Only the points of the last few small tiles are ever paired with the query, so a dense cluster
+costs no more than its rim, and pairs are never formed for a whole group.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from soundlake.operators.lineage import cut
 
 SPLIT = 4
+#: A tile with more points than this many times k (and than this) is crowded; levels below the aimed size at most.
+CROWD, CROWD_LEAST, EXTRA = 8, 64, 12
 
 
 def _tile(v: Column, size: float) -> Column:
@@ -59,8 +61,8 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` nearest points of every query: all columns of both sides, ``d2`` and ``rank``.
 
-    ``radius`` is exclusive. Ties go to the lower ``pid``. ``leaf`` is the aim for the smallest tile side:
-    choose it so that a tile holds few points. Without a radius the hierarchy starts at the data's extent
+    ``radius`` is exclusive. Ties go to the lower ``pid``. ``leaf`` is the aim for the smallest tile side; where a
+    tile of that size holds many points, smaller ones follow. Without a radius the hierarchy starts at the data's extent
     (one aggregation), so any distance is reachable.
     """
     (qx, qy), (px, py) = qxy, pxy
@@ -84,22 +86,29 @@ def nearest(
             top = max(top, leaf)
     depth = max(0, round(math.log(top / leaf, SPLIT)))
     sizes = [top / SPLIT**i for i in range(depth + 1)]
-
-    # Every coarser tile is an exact integer division of the leaf tile.
+    crowd = max(CROWD * k, CROWD_LEAST)
+    pts = cut(pts, "points")  # read once per level that follows
+    while len(sizes) <= depth + EXTRA:
+        tiles = pts.groupBy(_tile(F.col(px), sizes[-1]), _tile(F.col(py), sizes[-1])).agg(F.count(F.lit(1)).alias("_n"))
+        if (tiles.agg(F.max("_n")).first()[0] or 0) <= crowd:
+            break
+        sizes.append(sizes[-1] / SPLIT)
+    last = len(sizes) - 1
+
+    # Every coarser tile is an exact integer division of the smallest one.
     pts = pts.withColumn("_tx", _tile(F.col(px), sizes[-1])).withColumn("_ty", _tile(F.col(py), sizes[-1]))
+    # Every level reads the tile counts; storing this small table spares the points another pass
+    # per level, and the planner sees its true size.
     leaves = pts.groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias("_n"))
-    if depth > 0:
-        # Every level reads the tile counts; storing this small table spares the points another pass
-        # per level, and the planner sees its true size.
+    if last > 0:
         leaves = cut(leaves, "tiles")
 
+    def at_level(d: DataFrame, i: int) -> DataFrame:
+        f = SPLIT ** (last - i)
+        return d if f == 1 else d.withColumns({c: F.floor(F.col(c) / f) for c in ("_tx", "_ty")})
+
     def level(i: int) -> DataFrame:
-        f = SPLIT ** (depth - i)
-        if f == 1:
-            return leaves
-        return leaves.groupBy(
-            F.floor(F.col("_tx") / f).alias("_tx"), F.floor(F.col("_ty") / f).alias("_ty")
-        ).agg(F.sum("_n").alias("_n"))
+        return leaves if i == last else at_level(leaves, i).groupBy("_tx", "_ty").agg(F.sum("_n").alias("_n"))
 
     r2 = None if radius is None else radius * radius
     q = queries.select(*qid, F.col(qx).alias("_qx"), F.col(qy).alias("_qy"))
@@ -120,17 +129,33 @@ def nearest(
     kids = F.array(
         *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(SPLIT) for b in range(SPLIT)]
     )
-    for i in range(1, depth + 1):
-        cand = (
-            cand.drop("_n", "_near", "_far")
+
+    def split(d: DataFrame, i: int) -> DataFrame:
+        down = (
+            d.drop("_n", "_near", "_far")
             .withColumn("_d", F.explode(kids))
             .withColumn("_tx", F.col("_tx") * SPLIT + F.col("_d.a"))
             .withColumn("_ty", F.col("_ty") * SPLIT + F.col("_d.b"))
             .drop("_d")
             .join(level(i), ["_tx", "_ty"])
         )
-        cand = _prune(with_bounds(cand, sizes[i]), qid, k, r2)
-    pair = cand.drop("_n", "_near", "_far").join(pts, ["_tx", "_ty"])
+        return with_bounds(down, sizes[i])
+
+    for i in range(1, depth + 1):
+        cand = _prune(split(cand, i), qid, k, r2)
+    cand = cand.withColumn("_level", F.lit(depth))
+    for i in range(depth + 1, last + 1):
+        cand = cut(cand, "tiles")
+        full = (F.col("_level") == i - 1) & (F.col("_n") > crowd)
+        down = split(cand.where(full).drop("_level"), i).withColumn("_level", F.lit(i))
+        cand = _prune(cand.where(~full).unionByName(down), qid, k, r2)
+    cand = cand.drop("_n", "_near", "_far")
+    if last > depth:
+        cand = cut(cand, "tiles")
+    pair = None
+    for i in range(depth, last + 1):
+        met = cand.where(F.col("_level") == i).drop("_level").join(at_level(pts, i), ["_tx", "_ty"])
+        pair = met if pair is None else pair.unionByName(met)
     dx, dy = F.col(px) - F.col("_qx"), F.col(py) - F.col("_qy")
     pair = pair.withColumn("d2", dx * dx + dy * dy).drop("_tx", "_ty", "_qx", "_qy")
     if r2 is not None:
