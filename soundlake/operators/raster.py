@@ -6,6 +6,7 @@ the grid's geometry. Several filters share the two exchanges by asking for all t
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,9 +61,23 @@ def bounds_of(df: DataFrame, res: float) -> Grid:
     return Grid.from_bounds(b[0] - h, b[1] + h, b[2] - h, b[3] + h, res)
 
 
-def dense(df: DataFrame, grid: Grid) -> DataFrame:
-    """All cells of the grid with the layer's columns, NULL in holes."""
-    return grid.cells(df.sparkSession).join(df, ["row", "col"], "left")
+#: Side of the tiles in which holes are filled, in cells.
+FILL = 64
+
+
+def dense(df: DataFrame, grid: Grid, rim: int, like: DataFrame | None = None) -> DataFrame:
+    """The layer with NULL in its holes, as far as windows of ``rim`` cells can tell: in the tiles that hold data and those within reach.
+
+    A survey that covers a hundredth of its bounding box stays about as large as it is. ``like`` names the occupied cells where ``df`` is costly.
+    """
+    near = F.sequence(F.lit(-math.ceil(rim / FILL)), F.lit(math.ceil(rim / FILL)))
+    step = F.sequence(F.lit(0), F.lit(FILL - 1))
+    tiles = (df if like is None else like).select(F.floor(F.col("row") / FILL).cast("int").alias("_tr"), F.floor(F.col("col") / FILL).cast("int").alias("_tc")).distinct()
+    tiles = tiles.withColumn("_a", F.explode(near)).withColumn("_b", F.explode(near))
+    tiles = tiles.select((F.col("_tr") + F.col("_a")).alias("_tr"), (F.col("_tc") + F.col("_b")).alias("_tc")).distinct()
+    cells = tiles.withColumn("_i", F.explode(step)).withColumn("_j", F.explode(step))
+    cells = cells.select((F.col("_tr") * FILL + F.col("_i")).alias("row"), (F.col("_tc") * FILL + F.col("_j")).alias("col"))
+    return cells.where(grid.inside(F.col("row"), F.col("col"))).join(df, ["row", "col"], "left")
 
 
 def _along_cols(half_lo: int, half_hi: int):
@@ -95,7 +110,7 @@ def _valid(value: str) -> Column:
 
 def erode(df: DataFrame, grid: Grid, value: str, cells: int) -> DataFrame:
     """Keep valid cells whose whole (2n+1)^2 neighbourhood is valid; beyond the grid is invalid."""
-    d = box(dense(df, grid), {"_ok": ("sum", _valid(value), cells, cells)})
+    d = box(dense(df, grid, cells), {"_ok": ("sum", _valid(value), cells, cells)})
     return d.where(F.col("_ok") == (2 * cells + 1) ** 2).drop("_ok")
 
 
@@ -128,7 +143,7 @@ def ruggedness(df: DataFrame, grid: Grid, value: str, half: int = 2) -> DataFram
     unit = F.when(flat > 0, F.sin(s) / flat).when(flat == 0, F.lit(0.0))
     have = F.col("slope").isNotNull().cast("int")
     d = box(
-        dense(g, grid),
+        dense(g, grid, half, df),
         {
             "_nx": ("sum", unit * F.col("zx"), half, half),
             "_ny": ("sum", unit * F.col("zy"), half, half),
@@ -144,7 +159,7 @@ def ruggedness(df: DataFrame, grid: Grid, value: str, half: int = 2) -> DataFram
 def position_index(df: DataFrame, grid: Grid, value: str, inner: int = 1, outer: int = 10) -> DataFrame:
     """Value minus the mean of the box annulus, over the valid cells of the annulus."""
     d = box(
-        dense(df, grid),
+        dense(df, grid, outer),
         {
             "_so": ("sum", F.col(value), outer, outer),
             "_co": ("sum", _valid(value), outer, outer),
@@ -184,7 +199,7 @@ def extrema(df: DataFrame, grid: Grid, value: str, threshold: float = 100.0, siz
     """
     lo, hi = size // 2, size - 1 - size // 2
     mag = F.coalesce(F.abs(value), F.lit(0.0))
-    d = box(dense(df, grid), {"_top": ("max", mag, lo, hi)})
+    d = box(dense(df, grid, lo), {"_top": ("max", mag, lo, hi)})
     return d.where((F.abs(value) > threshold) & (F.abs(value) == F.col("_top"))).drop("_top")
 
 
@@ -198,6 +213,15 @@ def gaussian_kernel(sigma: float) -> np.ndarray:
     return k / k.sum()
 
 
+def _convolved(lines: np.ndarray, kernel: np.ndarray) -> np.ndarray:
+    """Each line with the kernel, where that lies inside. Wide kernels go through the spectrum, so the cost does not grow with their width."""
+    if len(kernel) <= 128:
+        return np.stack([np.convolve(v, kernel, mode="valid") for v in lines])
+    size = lines.shape[1] + len(kernel) - 1
+    n = 1 << (size - 1).bit_length()
+    return np.fft.irfft(np.fft.rfft(lines, n) * np.fft.rfft(kernel, n), n)[:, len(kernel) - 1 : lines.shape[1]]
+
+
 def _blur_lines(line: str, pos: str, length: int, sigma: float, keep_empty: bool):
     kernel = gaussian_kernel(sigma)
     r = len(kernel) // 2
@@ -209,8 +233,7 @@ def _blur_lines(line: str, pos: str, length: int, sigma: float, keep_empty: bool
         for name in ("num", "den"):
             a = np.zeros((len(lines), length))
             a[at, p] = pdf[name].to_numpy()
-            a = np.pad(a, ((0, 0), (r, r)), mode="symmetric")
-            out.append(np.stack([np.convolve(v, kernel, mode="valid") for v in a]))
+            out.append(_convolved(np.pad(a, ((0, 0), (r, r)), mode="symmetric"), kernel))
         num, den = out
         keep = np.ones(den.shape, bool) if keep_empty else den > 0
         i, j = np.nonzero(keep)
@@ -245,8 +268,6 @@ def blur(
 
 def contour_levels(top: float, minor: int = 5, major: int = 10) -> list[int]:
     """Sorted union of the minor and major levels below ``top`` rounded up to a major level."""
-    import math
-
     end = math.ceil(top / major) * major
     return sorted(set(range(minor, end, minor)) | set(range(major, end, major)))
 
@@ -431,15 +452,11 @@ def label_median(df: DataFrame, label: str = "label") -> DataFrame:
 
     Unlabelled cells stay unlabelled. Input is dense within the image (NULL is unlabelled).
     """
-    spots = F.array(
-        *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]
-    )
     lab = df.withColumn("_l", F.coalesce(F.col(label), F.lit(-1)))
-    votes = (
-        lab.select("row", "bin", "_l", F.explode(spots).alias("d"))
-        .groupBy((F.col("row") + F.col("d.a")).alias("row"), (F.col("bin") + F.col("d.b")).alias("bin"))
-        .agg(F.array_sort(F.collect_list("_l")).alias("_w"))
-    )
+    # Three bins of a row side by side; each such strip then votes in three rows. No window spans all rows.
+    side = Window.partitionBy("row").orderBy("bin").rangeBetween(-1, 1)
+    strips = lab.select("row", "bin", F.collect_list("_l").over(side).alias("_three"), F.explode(F.array(*map(F.lit, (-1, 0, 1)))).alias("_d"))
+    votes = strips.groupBy((F.col("row") + F.col("_d")).alias("row"), "bin").agg(F.flatten(F.collect_list("_three")).alias("_w"))
     padded = F.array_sort(F.concat("_w", F.array_repeat(F.lit(0), 9 - F.size("_w"))))
     out = lab.where("_l >= 0").join(votes, ["row", "bin"])
     return out.withColumn("smoothed", F.get(padded, F.lit(4))).drop("_l", "_w")
