@@ -455,7 +455,7 @@ def label_median(df: DataFrame, label: str = "label") -> DataFrame:
     lab = df.withColumn("_l", F.coalesce(F.col(label), F.lit(-1)))
     # Three bins of a row side by side; each such strip then votes in three rows. No window spans all rows.
     side = Window.partitionBy("row").orderBy("bin").rangeBetween(-1, 1)
-    strips = lab.select("row", "bin", F.collect_list("_l").over(side).alias("_three"), F.explode(F.array(*map(F.lit, (-1, 0, 1)))).alias("_d"))
+    strips = lab.select("row", "bin", F.collect_list("_l").over(side).alias("_three")).withColumn("_d", F.explode(F.array(*map(F.lit, (-1, 0, 1)))))
     votes = strips.groupBy((F.col("row") + F.col("_d")).alias("row"), "bin").agg(F.flatten(F.collect_list("_three")).alias("_w"))
     padded = F.array_sort(F.concat("_w", F.array_repeat(F.lit(0), 9 - F.size("_w"))))
     out = lab.where("_l >= 0").join(votes, ["row", "bin"])
