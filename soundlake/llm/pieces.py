@@ -10,7 +10,9 @@ from soundlake.operators.lineage import cut, release
 SPACE = "▁"
 #: Rank of nothing: later than every merge.
 NEVER = 1 << 30
-SCHEMA = "piece string, id int, rank int, size int, right array<struct<born:int,gone:int>>, left array<struct<born:int,gone:int>>"
+SCHEMA = "piece string, id int, rank int, size int, right array<struct<n:tinyint,born:int,gone:int>>, left array<struct<n:tinyint,born:int,gone:int>>"
+#: Different words, and texts, that one task handles: a word's lattice is some ten times its size.
+WORDS_PER_TASK, TEXTS_PER_TASK = 20_000, 5_000
 
 
 def merge_tree(text: str, rank: dict[str, int]):
@@ -28,8 +30,8 @@ def merge_tree(text: str, rank: dict[str, int]):
 def piece_table(model_path: str) -> tuple[list[tuple], int]:
     """(rows of ``SCHEMA`` for the pieces that merging can give, id of the piece for byte 0).
 
-    ``right[k]`` says when the last k + 1 characters stand as a piece of their own while the piece is built: from rank ``born`` until rank ``gone``. ``left`` says the same
-    of the first ones. Both have born = gone = -1 where they never do. The model fixes the size of the table.
+    ``right`` holds the endings of ``n`` characters that stand as pieces of their own while the piece is built, from rank ``born`` until rank ``gone``; ``left`` the same for its
+    beginnings. The model fixes the size of the table.
     """
     import sentencepiece
 
@@ -47,12 +49,12 @@ def piece_table(model_path: str) -> tuple[list[tuple], int]:
             continue  # no order of merges ends there
         sides = []
         for side in (2, 1):
-            spine, node, gone = {}, tree[0], NEVER
+            spine, node, gone = [], tree[0], NEVER
             while node is not None:
                 born = rank[node[0]] if len(node[0]) > 1 else -1
-                spine[len(node[0])] = (born, gone)
+                spine.append((len(node[0]), born, gone))
                 node, gone = node[side], born
-            sides.append([spine.get(k + 1, (-1, -1)) for k in range(len(piece))])
+            sides.append(spine)
         rows.append((piece, i, rank[piece] if len(piece) > 1 else NEVER, len(piece), *sides))
     zero = next((i for i in range(sp.get_piece_size()) if sp.is_byte(i)), -1)
     return rows, zero
@@ -100,9 +102,10 @@ def fold(edges: Column, longest: int) -> Column:
 
         def wins(m: Column) -> Column:
             p = b["start"]
-            r, l = F.get(a["right"], p - m["start"] - 1), F.get(b["left"], m["stop"] - p - 1)
             across = (m["start"] < p) & (m["stop"] > p) & (m["start"] >= a["start"]) & (m["stop"] <= b["stop"])
-            return across & (m["rank"] < r["gone"]) & (m["rank"] <= l["gone"]) & (r["born"] <= l["gone"]) & (l["born"] < r["gone"])
+            ends = F.filter(a["right"], lambda r: (r["n"] == p - m["start"]) & (m["rank"] < r["gone"]))
+            begins = F.filter(b["left"], lambda l: (l["n"] == m["stop"] - p) & (m["rank"] <= l["gone"]))
+            return across & F.exists(ends, lambda r: F.exists(begins, lambda l: (r["born"] <= l["gone"]) & (l["born"] < r["gone"])))
 
         return (b["start"] == 0) | ~F.coalesce(F.exists(near, wins), F.lit(False))
 
@@ -140,14 +143,14 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFram
     pieces, longest = spark.createDataFrame(table, SCHEMA), max(r[3] for r in table)
     keep = [c for c in docs.columns if c.lower() != "ids"]
     rows = cut(docs.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]), "rows")
-    text = F.col(f"_{keep.index(text_col)}")
-    places = cut(rows.select("_row", F.posexplode(units(text)).alias("pos", "unit")), "places")
-    words = places.select("unit").distinct()
-    paths = lattice(words, pieces, longest, zero).withColumn("best", fold(F.col("edges"), longest))
+    places = rows.select("_row", F.posexplode(units(F.col(f"_{keep.index(text_col)}"))).alias("pos", "unit"))
+    words = cut(places.select("unit").distinct(), "words")
+    dealt = words.repartition(max(1, -(-words.count() // WORDS_PER_TASK)), "unit")
+    paths = lattice(dealt, pieces, longest, zero).withColumn("best", fold(F.col("edges"), longest))
     known = cut(paths.select("unit", trace(F.col("edges"), F.col("best")).alias("ids")), "known")
     found = places.join(known, "unit").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
     ids = cut(found.select("_row", F.flatten(F.col("parts.ids")).alias("ids")), "ids")
-    release(places, known)
+    release(words, known)
     joined = rows.join(ids, "_row", "left")
     return joined.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
 
@@ -162,9 +165,12 @@ def decode(coded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame
     spell = [(r[1], r[0].encode().hex()) for r in table] + ([(zero + b, f"{b:02x}") for b in range(256)] if zero >= 0 else [])
     spell = F.broadcast(spark.createDataFrame(spell, "id int, hex string"))  # as large as the model
     keep = [c for c in coded.columns if c.lower() != "decoded"]
-    rows = cut(coded.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]), "rows")
-    places = rows.select("_row", F.posexplode(f"_{keep.index(ids_col)}").alias("pos", "id")).join(spell, "id")
+    names = [f"_{i}" for i in range(len(keep))]
+    rows = cut(coded.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)]), "rows")
+    dealt = rows.select("_row", F.col(names[keep.index(ids_col)]).alias("ids")).repartition(max(1, -(-rows.count() // TEXTS_PER_TASK)), "_row")
+    places = dealt.select("_row", F.posexplode("ids").alias("pos", "id")).join(spell, "id")  # the pieces of a text stay in its partition
     parts = places.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", "hex"))).alias("parts"))
     text = F.replace(F.decode(F.unhex(F.array_join("parts.hex", "")), "UTF-8"), F.lit(SPACE), F.lit(" "))
-    parts = parts.select("_row", F.regexp_replace(text, "^ ", "").alias("decoded"))
-    return rows.join(parts, "_row", "left").select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], F.coalesce("decoded", F.lit("")).alias("decoded"))
+    parts = cut(parts.select("_row", F.regexp_replace(text, "^ ", "").alias("decoded")), "decoded")
+    found = rows.join(parts, "_row", "left")
+    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], F.coalesce("decoded", F.lit("")).alias("decoded"))
