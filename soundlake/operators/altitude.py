@@ -8,7 +8,7 @@ answer equals one sequential pass exactly.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,16 +38,27 @@ def gate(obs: np.ndarray, x: float, p: float) -> tuple[np.ndarray, np.ndarray, f
     return state, taken, x, p
 
 
-def _over_chunks(line: list[str], carry: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Filter one chunk: its values, and on its last row the state it ends with."""
+def _over_chunks(at: list[str], carry: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Filter chunks that come sorted: their values, and on each last row the state a chunk ends with. A chunk that a batch cuts waits for the next."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord")
-        obs = pdf["obs"].to_numpy(dtype="float64", na_value=np.nan)
-        state, taken, x, p = gate(obs, float(pdf["x0"].iloc[0]), float(pdf["p0"].iloc[0]))
-        ends = np.full((2, len(obs)), np.nan)
-        ends[:, -1] = x, p
-        return pdf[[*line, "chunk", "ord"]].assign(smoothed=state if carry else np.where(taken, state, np.nan), x1=ends[0], p1=ends[1])
+    def solve(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        obs, x0, p0 = (pdf[c].to_numpy(dtype="float64", na_value=np.nan) for c in ("obs", "x0", "p0"))
+        value, ends = np.empty(len(pdf)), np.full((2, len(pdf)), np.nan)
+        for a, b in zip(starts, np.append(starts[1:], len(pdf))):
+            state, taken, *ends[:, b - 1] = gate(obs[a:b], float(x0[a]), float(p0[a]))
+            value[a:b] = state if carry else np.where(taken, state, np.nan)
+        return pdf[[*at, "ord"]].assign(smoothed=value, x1=ends[0], p1=ends[1])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            starts = np.flatnonzero((pdf[at] != pdf[at].shift()).any(axis=1).to_numpy())
+            held = pdf.iloc[starts[-1] :].reset_index(drop=True)
+            if len(starts) > 1:
+                yield solve(pdf.iloc[: starts[-1]], starts[:-1])
+        if held is not None and len(held):
+            yield solve(held, np.zeros(1, dtype=int))
 
     return run
 
@@ -76,7 +87,8 @@ def smooth(
     active, ends, passes = starts, None, []
     while True:
         # One table per round holds the values of the chunks that ran, and their end states.
-        ran = cut(rows.join(active, at).groupBy(*at).applyInPandas(_over_chunks(line, carry), schema), "round")
+        dealt = rows.join(active, at).repartition(*at).sortWithinPartitions(*at, "ord")
+        ran = cut(dealt.mapInPandas(_over_chunks(at, carry), schema), "round")
         passes.append((ran, active))
         new = ran.where("x1 is not null and not isnan(x1)").select(*at, "x1", "p1")
         ends = new if ends is None else cut(ends.join(new.select(*at), at, "left_anti").unionByName(new), "ends")

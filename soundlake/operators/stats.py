@@ -49,36 +49,34 @@ def quantiles(
     part = "PARTITION BY " + ", ".join(by)
     size = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")]
     ranks = ", ".join(
-        f"named_struct('i', {i}, 'e', {e}, 'at', {float(p)!r}D * (_tot - 1))"
-        for i, p in enumerate(probs.values())
-        for e in (0, 1)
+        f"named_struct('_i', {i}, '_frac', {at} - floor({at}), '_r', CAST({edge}({at}) AS BIGINT))"
+        for i, at in enumerate(f"{float(p)!r}D * (_tot - 1)" for p in probs.values())
+        for edge in ("floor", "ceil")
     )
+    # One row per hit bucket, with the ranks that fall into it, counted from its first value.
+    inside = "transform(filter({q}, q -> q._r >= _lo AND q._r < _lo + _n), q -> named_struct('_i', q._i, '_frac', q._frac, '_r', q._r - _lo)) AS _q"
     first = src.groupBy(*names, "_b").agg(*size).selectExpr(
         *by, "_b", "_n", "_min", "_max", f"sum(_n) OVER ({part} ORDER BY _b) - _n AS _lo", f"sum(_n) OVER ({part}) AS _tot"
     )
-    first = first.selectExpr("*", f"explode(array({ranks})) AS _q").selectExpr(
-        *by, "_b", "_n", "_min", "_max", "_tot", "_q.i AS _i", "_q.e AS _e", "_q.at - floor(_q.at) AS _frac",
-        "CASE WHEN _q.e = 0 THEN floor(_q.at) ELSE ceil(_q.at) END - _lo AS _r",
-    )
-    first = cut(first.where("_r >= 0 AND _r < _n").drop("_n"), "hits")
-    seen = _meet(src, first.select(*names, "_b", "_min", "_max").distinct(), [*names, "_b"], keys).selectExpr(*by, "_b", "_v", PART)
+    first = first.selectExpr(*by, "_b", "_min", "_max", "_tot", inside.format(q=f"array({ranks})"))
+    first = cut(first.where("size(_q) > 0"), "hits")
+    seen = _meet(src, first.select(*names, "_b", "_min", "_max"), [*names, "_b"], keys).selectExpr(*by, "_b", "_v", PART)
     second = seen.groupBy(*names, "_b", "_s").agg(*size).withColumnsRenamed({"_min": "_least", "_max": "_most"})
-    second = second.selectExpr("*", f"sum(_n) OVER ({part}, _b ORDER BY _s) - _n AS _lo")
-    second = second.join(first, [*names, "_b"]).where("_r >= _lo AND _r < _lo + _n")
-    second = second.selectExpr(*by, "_b", "_s", "_i", "_e", "_frac", "_tot", "_r - _lo AS _r", "_least", "_most", "_min", "_max")
-    second = cut(second, "hits")
+    second = second.selectExpr("*", f"sum(_n) OVER ({part}, _b ORDER BY _s) - _n AS _lo").join(first.withColumnRenamed("_q", "_all_q"), [*names, "_b"])
+    second = second.selectExpr(*by, "_b", "_s", "_least", "_most", "_min", "_max", "_tot", inside.format(q="_all_q"))
+    second = cut(second.where("size(_q) > 0"), "hits")
     # A part with a single value is known; the values of the others are counted and sorted.
-    known = second.where("_least = _most").withColumn("_v", F.col("_least"))
+    known = second.where("_least = _most").selectExpr(*by, "_least AS _v", "_tot", "_q")
     wide = second.where("_least < _most")
-    values = _meet(src, wide.select(*names, "_b", "_s", "_min", "_max").distinct().withColumnRenamed("_s", "_in"), [*names, "_b"], keys)
+    values = _meet(src, wide.selectExpr(*by, "_b", "_s AS _in", "_min", "_max"), [*names, "_b"], keys)
     values = values.selectExpr("*", PART).where("_s = _in").groupBy(*names, "_b", "_s", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    values = values.selectExpr("*", f"sum(_n) OVER ({part}, _b, _s ORDER BY _v) AS _hi").join(wide, [*names, "_b", "_s"])
-    picked = values.where("_r >= _hi - _n AND _r < _hi")
-    columns = [*names, "_i", "_e", "_frac", "_tot", "_v"]
-    picked = known.select(*columns).unionByName(picked.select(*columns))
+    values = values.selectExpr("*", f"sum(_n) OVER ({part}, _b, _s ORDER BY _v) - _n AS _lo").join(wide.select(*names, "_b", "_s", "_tot", "_q"), [*names, "_b", "_s"])
+    values = values.selectExpr(*by, "_v", "_tot", "filter(_q, q -> q._r >= _lo AND q._r < _lo + _n) AS _q")
+    picked = known.unionByName(values).selectExpr(*by, "_v", "_tot", "inline(_q)")
     out = []
     for i, name in enumerate(probs):
-        lo, hi, frac = (f"max(CASE WHEN _i = {i} {c} END)" for c in ("AND _e = 0 THEN _v", "AND _e = 1 THEN _v", "THEN _frac"))
+        # Both neighbours of the rank are there; where they are one value, so are they one.
+        lo, hi, frac = (f"{agg}(CASE WHEN _i = {i} THEN {c} END)" for agg, c in (("min", "_v"), ("max", "_v"), ("max", "_frac")))
         out.append(f"{lo} + ({hi} - {lo}) * {frac} AS `{name}`")
     if count:
         out.append(f"max(_tot) AS `{count}`")
