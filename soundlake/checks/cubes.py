@@ -124,11 +124,11 @@ def _(spark, d):
 
 
 @check("q5_catalogue", "raster", f"""WITH {CUBE}, ul AS (SELECT unnest(['bathymetry', 'rl', 'isopach']) AS layer, unnest([bathymetry, rl, isopach]) AS v FROM cb)
-    SELECT layer, ROUND(quantile_cont(v, 0.02), 6) AS vmin, ROUND(quantile_cont(v, 0.98), 6) AS vmax, true AS has_thickness FROM ul WHERE v IS NOT NULL GROUP BY layer""")
+    SELECT layer, {sql5('quantile_cont(v, 0.02)')} AS vmin, {sql5('quantile_cont(v, 0.98)')} AS vmax, true AS has_thickness FROM ul WHERE v IS NOT NULL GROUP BY layer""")
 def _(spark, d):
     dim = spark.createDataFrame([(v, "m", "float32", "continuous", v) for v in LAYERS if v != "sediment_class"], C.LAYER_SCHEMA)
     c = C.catalogue(the_cube(spark, d), LAYERS, dim, the_grid(spark, d))
-    return c.select("layer", r("vmin").alias("vmin"), r("vmax").alias("vmax"), "has_thickness")
+    return c.select("layer", r5("vmin").alias("vmin"), r5("vmax").alias("vmax"), "has_thickness")
 
 
 @check("f12_bounds_guard", "raster spot", f"""WITH {CUBE}, xy AS (SELECT id, {LEFT}::DOUBLE + x / 1.5 - 50 AS x, {TOP}::DOUBLE - y AS y FROM spot), {NEAR} SELECT DISTINCT id, outside FROM ix""")

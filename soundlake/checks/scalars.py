@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from soundlake import constants as K
 from soundlake.checks.base import (
-    BLANK, along, check, r, raster, sample, table, trace, track,
+    BLANK, along, check, holed, r, raster, sample, table, trace, track,
 )
 from soundlake.functions import acoustic as A
 from soundlake.functions import geo as G
@@ -199,7 +199,7 @@ def _(spark, d):
     )
     from soundlake.plans.jobs import class_colours
 
-    return class_colours(o, raster(spark, d)).select("id", "red", "green", "blue")
+    return class_colours(o, holed(spark, d).where("z is not null")).select("id", "red", "green", "blue")
 
 
 @check("x14_null_sentinel", "", """SELECT p_partkey, nullif(p_size + 205, 255) AS u8, nullif(p_size - 2, -1) AS i8 FROM part""")
