@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from soundlake.operators.lineage import cut, release
@@ -88,7 +88,7 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int, zero: int) -> Dat
 
 
 def fold(edges: Column, longest: int) -> Column:
-    """Ids of the best path through the edges of a unit.
+    """Number (from 0) of the best path's edge at each stop of a unit.
 
     Viterbi over the stops: the state of a stop is the last edge of the best path to it, and a step costs one if a merge across the joint would have come before the
     pieces on both sides were complete. The merging of a text is the one path without such a joint, so a stop keeps the first edge that arrives at no cost. A merge across
