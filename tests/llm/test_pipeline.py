@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
-from soundlake.llm.language import fit, identify, training
+from soundlake.llm.language import KEEP_SCORE, fit, identify, training
 from soundlake.operators.lineage import cut
 from tests.llm.brute import jaccard_classes, personal
 from tests.llm.test_packing import check_places
@@ -48,8 +48,8 @@ def test_stages(steps):
 def test_language_keeps_what_the_model_knows(steps):
     _, before, after = steps[0]
     scored = identify(before, fit(training(before)))
-    assert texts(after) == texts(scored.where("lang_pred <> 'und' and score >= 0.5"))
-    assert after.count() >= 0.95 * before.count()
+    assert texts(after) == texts(scored.where((F.col("lang_pred") != "und") & (F.col("score") >= KEEP_SCORE)))
+    assert after.count() == scored.where("lang_pred <> 'und'").count()
 
 
 def test_exact(steps):
