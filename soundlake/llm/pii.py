@@ -16,8 +16,8 @@ from soundlake.llm.words import chain, parts, text_bytes, word_hashes
 from soundlake.operators.lineage import cut
 
 KINDS = ("email", "ip", "card", "phone")
-#: A context is a candidate pattern if it precedes this many different seeds of one kind; the best-supported ones go on.
-SUPPORT, PATTERNS = 3, 4096
+#: A context is a candidate pattern if it precedes this many different seeds of one kind.
+SUPPORT = 3
 #: Share of a context's occurrences that must be (believed) entities; belief that a new identifier needs; rounds.
 RELIABLE, ACCEPT, ROUNDS = 0.5, 0.8, 5
 #: Longest new identifier, in code points.
@@ -148,45 +148,56 @@ def instances(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "kind int, like int, value long, one long, two long")
 
 
-def occurrences(docs: DataFrame, patterns: list[int], text_col: str = "text") -> DataFrame:
-    """How often each of the given contexts occurs before anything, over all texts: pattern, total."""
-    wanted = np.sort(np.array(patterns, np.int64))
+def _slots(patterns: DataFrame) -> np.ndarray:
+    """Which of the 2^22 values of their low bits the patterns have: a filter of fixed size that loses none of them."""
+    seen = np.zeros(1 << 22, bool)
+    seen[patterns.select(F.col("pattern").bitwiseAND(len(seen) - 1).cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
+    return seen
+
+
+def occurrences(docs: DataFrame, patterns: DataFrame, text_col: str = "text") -> DataFrame:
+    """How often each of the contexts ``patterns(pattern long)``, which do not repeat, occurs before anything, over all texts: pattern, total.
+
+    Contexts in a slot of some pattern are counted over the texts of a task (a million different ones at a time), added up, and joined to the patterns.
+    """
+    packed = np.packbits(_slots(patterns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(len(wanted), np.int64)
+        seen, pattern, total = np.unpackbits(packed).view(bool), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for part in parts(batches, 0):
             c = Contexts(part.column(0))
             pair = np.ones(len(c.two), bool)
             pair[c.first[:-1][c.first[:-1] < len(pair)]] = False
-            for h in (c.hashes, c.two[pair]):
-                h = h.view(np.int64)
-                at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
-                totals += np.bincount(at[wanted[at] == h], minlength=len(wanted))
-        yield pa.record_batch([pa.array(wanted), pa.array(totals)], names=["pattern", "total"])
+            h = np.concatenate([c.hashes, c.two[pair]]).view(np.int64)
+            h = h[seen[h & (len(seen) - 1)]]
+            pattern, place = np.unique(np.concatenate([pattern, h]), return_inverse=True)
+            total = np.bincount(place, np.concatenate([total, np.ones(len(h), np.int64)]), len(pattern)).astype(np.int64)
+            if len(pattern) > 1 << 20:
+                yield pa.record_batch([pa.array(pattern), pa.array(total)], names=["pattern", "total"])
+                pattern, total = pattern[:0], total[:0]
+        yield pa.record_batch([pa.array(pattern), pa.array(total)], names=["pattern", "total"])
 
     found = docs.select(text_col).mapInArrow(run, "pattern long, total long")
-    return found.groupBy("pattern").agg(F.sum("total").alias("total"))
+    return found.groupBy("pattern").agg(F.sum("total").alias("total")).join(patterns, "pattern", "left_semi")
 
 
 def learn(docs: DataFrame, text_col: str = "text") -> dict[int, dict[int, float]]:
-    """Reliable contexts: pattern -> kind -> reliability. At most ``PATTERNS`` for each kind, so they may go to the driver.
+    """Reliable contexts: pattern -> kind -> reliability. Candidates stay in Spark, however many; only reliable contexts go to the driver.
 
     Seeds are the base spans. Each round scores the graph in Spark: a context's reliability is the sum of its instances' beliefs over all
     its occurrences, whatever follows there; an unmarked word's belief is 1 - product(1 - reliability) over its contexts. Contexts below ``RELIABLE``
-    count as nothing, so words after ordinary phrases stay untouched.
+    count as nothing, so words after ordinary phrases stay untouched. Contexts with too few instances to reach it, whatever is believed, leave the graph first.
     """
     graph = cut(instances(docs, text_col), "instances")
     ends = graph.withColumn("id", F.monotonically_increasing_id()).select(
         "id", "kind", "like", "value", F.explode(F.array_compact(F.array("one", "two"))).alias("pattern")
     )
-    seeds = ends.where("kind is not null").groupBy("kind", "pattern").agg(F.approx_count_distinct("value", 0.02).alias("values"))
-    best = []
-    for kind in range(len(KINDS)):
-        top = seeds.where((F.col("kind") == kind) & (F.col("values") >= SUPPORT)).orderBy(F.desc("values"), "pattern").limit(PATTERNS)
-        best += [r.pattern for r in top.select("pattern").collect()]
-    if not best:
+    seeds = ends.where("kind is not null").select("kind", "pattern", "value").distinct().groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("values"))
+    candidates = cut(seeds.where(F.col("values") >= SUPPORT).select("pattern").distinct(), "candidates")
+    if candidates.isEmpty():
         return {}
-    totals = F.broadcast(occurrences(docs, sorted(set(best)), text_col))  # at most 4 * PATTERNS rows
+    reach = ends.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).join(occurrences(docs, candidates, text_col), "pattern")
+    totals = cut(reach.where(F.col("n") >= RELIABLE * F.col("total")).select("pattern", "total"), "totals")
     edges = cut(ends.join(totals, "pattern"), "edges")
     known: dict[int, dict[int, float]] = {}
     for _ in range(ROUNDS):

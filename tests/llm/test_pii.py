@@ -60,6 +60,14 @@ def test_a_reliable_context_finds_an_unseen_identifier(spark):
     assert found[121] == [] and all(found[i] == [] for i in range(1, 120, 2))
 
 
+def test_a_rare_reliable_context_counts_among_many_common_ones(spark):
+    often = [" ".join(f"w{i} a{j}@x{i}.de w{i} b w{i} c" for j in range(4)) for i in range(4200)]
+    rare = [f"call her: user{i}@mail{i}.de" for i in range(3)] + ["call her: jane(at)host99"]
+    docs = spark.createDataFrame(list(enumerate(often + rare)), "doc_id int, text string").repartition(4)
+    found = [(r.doc_id, s.kind, s.start, s.end) for r in personal_data(docs.where("doc_id >= 0")).where("doc_id >= 4200").collect() for s in r.spans]
+    assert (4203, 0, 10, 24) in found and len(found) == 4
+
+
 def test_messy_rows(spark):
     rows = [(1, None), (2, ""), (3, "x a@b.cd 1.2.3.4"), (3, "x a@b.cd 1.2.3.4"), (None, "é+1 202 555 0100é"), (5, "4" * 100_000), (6, "é" * 50_000 + " a@b.cd")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"kind": F.lit(1), "n_chars": F.char_length("text"), "value": F.lit("v")})
