@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soundlake.llm.words import chain, parts, text_bytes, word_hashes
-from soundlake.operators.lineage import cut
+from soundlake.operators.lineage import cut, release
 
 KINDS = ("email", "ip", "card", "phone")
-#: A context is a candidate pattern if it precedes this many different seeds of one kind.
+#: A context can become a pattern once it precedes this many different accepted identifiers (seeds or new ones) of one kind.
 SUPPORT = 3
-#: Share of a context's occurrences that must be (believed) entities; belief that a new identifier needs; rounds.
-RELIABLE, ACCEPT, ROUNDS = 0.5, 0.8, 5
+#: Share of a context's occurrences that must be (believed) entities; belief that a new identifier needs.
+RELIABLE, ACCEPT = 0.5, 0.8
 #: Longest new identifier, in code points.
 LONGEST = 64
 
@@ -148,10 +148,10 @@ def instances(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "kind int, like int, value long, one long, two long")
 
 
-def _slots(patterns: DataFrame) -> np.ndarray:
-    """Which of the 2^22 values of their low bits the patterns have: a filter of fixed size that loses none of them."""
+def _slots(hashes: DataFrame, column: str) -> np.ndarray:
+    """Which of the 2^22 values of their low bits the hashes have: a filter of fixed size that loses none of them."""
     seen = np.zeros(1 << 22, bool)
-    seen[patterns.select(F.col("pattern").bitwiseAND(len(seen) - 1).cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
+    seen[hashes.select(F.col(column).bitwiseAND(len(seen) - 1).cast("int").alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True
     return seen
 
 
@@ -160,7 +160,7 @@ def occurrences(docs: DataFrame, patterns: DataFrame, text_col: str = "text") ->
 
     Contexts in a slot of some pattern are counted over the texts of a task (a million different ones at a time), added up, and joined to the patterns.
     """
-    packed = np.packbits(_slots(patterns))
+    packed = np.packbits(_slots(patterns, "pattern"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, pattern, total = np.unpackbits(packed).view(bool), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -181,57 +181,89 @@ def occurrences(docs: DataFrame, patterns: DataFrame, text_col: str = "text") ->
     return found.groupBy("pattern").agg(F.sum("total").alias("total")).join(patterns, "pattern", "left_semi")
 
 
-def learn(docs: DataFrame, text_col: str = "text") -> dict[int, dict[int, float]]:
-    """Reliable contexts: pattern -> kind -> reliability. Candidates stay in Spark, however many; only reliable contexts go to the driver.
+def bootstrap(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(reliable contexts: pattern, kind, r; new identifiers: kind, value). Everything stays in Spark.
 
-    Seeds are the base spans. Each round scores the graph in Spark: a context's reliability is the sum of its instances' beliefs over all
-    its occurrences, whatever follows there; an unmarked word's belief is 1 - product(1 - reliability) over its contexts. Contexts below ``RELIABLE``
-    count as nothing, so words after ordinary phrases stay untouched. Contexts with too few instances to reach it, whatever is believed, leave the graph first.
+    Nodes of the graph are contexts and identifiers (kind, value), wherever these stand; edges count how often one precedes the other. Base spans are the seeds. Each round
+    a new identifier's belief is 1 - product(1 - reliability) over its reliable contexts, and a context's reliability is the sum of its instances' beliefs
+    over all its occurrences, whatever follows there. A context is reliable from ``RELIABLE`` on, if it precedes ``SUPPORT`` different identifiers that are seeds or believed to
+    ``ACCEPT``; others count as nothing, so words after ordinary phrases stay untouched. Beliefs only grow, and rounds go on until nothing changes
+    by more than a millionth. Contexts that cannot become reliable, whatever is believed, leave the graph first.
     """
-    graph = cut(instances(docs, text_col), "instances")
-    ends = graph.withColumn("id", F.monotonically_increasing_id()).select(
-        "id", "kind", "like", "value", F.explode(F.array_compact(F.array("one", "two"))).alias("pattern")
-    )
-    seeds = ends.where("kind is not null").select("kind", "pattern", "value").distinct().groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("values"))
-    candidates = cut(seeds.where(F.col("values") >= SUPPORT).select("pattern").distinct(), "candidates")
-    if candidates.isEmpty():
-        return {}
-    reach = ends.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).join(occurrences(docs, candidates, text_col), "pattern")
-    totals = cut(reach.where(F.col("n") >= RELIABLE * F.col("total")).select("pattern", "total"), "totals")
-    edges = cut(ends.join(totals, "pattern"), "edges")
+    spark = docs.sparkSession
+    found = cut(instances(docs, text_col), "instances")
+    ends = found.select("value", F.col("kind").isNotNull().alias("seed"), F.expr("filter(sequence(0, 3), k -> shiftright(like, k) & 1 = 1)").alias("kinds"), F.explode(F.array_compact(F.array("one", "two"))).alias("pattern"))
+    ends = ends.select("pattern", F.explode("kinds").alias("kind"), "value", "seed")
+    links = cut(ends.groupBy("pattern", "kind", "value").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")), "links")
+    candidates = links.groupBy("pattern", "kind").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("values"))
+    candidates = cut(candidates.where(F.col("values") >= SUPPORT), "candidates")
+    totals = occurrences(docs, cut(candidates.select("pattern").distinct(), "patterns"), text_col)
+    live = candidates.join(totals, "pattern").where(F.col("all") >= RELIABLE * F.col("total"))
+    edges = cut(links.join(cut(live.select("pattern", "kind", "total"), "live"), ["pattern", "kind"]), "edges")
+    known, new = (spark.createDataFrame([], t) for t in ("pattern long, kind int, r double", "kind int, value long"))
+    if edges.where("seed").isEmpty():
+        return known, new
+    while True:
+        belief = edges.where("not seed").join(known, ["pattern", "kind"]).groupBy("kind", "value").agg((1 - F.product(1 - F.col("r"))).alias("belief"))
+        belief = cut(belief, "belief")
+        held = edges.join(belief, ["kind", "value"], "left").withColumn("b", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("belief", F.lit(0.0))))
+        rated = held.groupBy("pattern", "kind").agg((F.sum(F.col("n") * F.col("b")) / F.max("total")).alias("r"), F.count_if(F.col("b") >= ACCEPT).alias("values"))
+        rated = rated.where((F.col("r") >= RELIABLE) & (F.col("values") >= SUPPORT))
+        rated = cut(rated.select("pattern", "kind", F.least("r", F.lit(0.999)).alias("r")), "known")
+        moved = rated.join(known.withColumnRenamed("r", "old"), ["pattern", "kind"], "left").where("old is null or r - old > 1e-6")
+        if moved.isEmpty():
+            return known, cut(belief.where(F.col("belief") >= ACCEPT).select("kind", "value"), "new")
+        release(belief)
+        known = rated
+
+
+def learn(docs: DataFrame, text_col: str = "text") -> dict[int, dict[int, float]]:
+    """The reliable contexts of :func:`bootstrap` on the driver: pattern -> kind -> reliability."""
     known: dict[int, dict[int, float]] = {}
-    for _ in range(ROUNDS):
-        scores = [(p, k, float(v)) for p, ks in known.items() for k, v in ks.items()]
-        old = docs.sparkSession.createDataFrame(scores, "pattern long, by int, r double")
-        belief = edges.where("kind is null").join(F.broadcast(old), "pattern").where(F.expr("shiftright(like, by) & 1 = 1"))
-        belief = belief.groupBy("id", "by").agg((1 - F.product(1 - F.col("r"))).alias("belief"))
-        soft = edges.where("kind is null").join(belief, "id").select("pattern", "total", F.col("by").alias("kind"), "belief")
-        hard = edges.where("kind is not null").select("pattern", "total", "kind", F.lit(1.0).alias("belief"))
-        rated = hard.unionByName(soft).groupBy("pattern", "kind").agg((F.sum("belief") / F.greatest(F.max("total"), F.lit(1))).alias("r"))
-        new: dict[int, dict[int, float]] = {}
-        for row in rated.where(F.col("r") >= RELIABLE).collect():
-            new.setdefault(row.pattern, {})[row.kind] = round(min(row.r, 0.999), 6)
-        if new == known:
-            break
-        known = new
+    for row in bootstrap(docs, text_col)[0].collect():
+        known.setdefault(row.pattern, {})[row.kind] = row.r
     return known
 
 
-def marked(docs: DataFrame, patterns: dict[int, dict[int, float]], text_col: str = "text") -> DataFrame:
+def places(docs: DataFrame, new: DataFrame, text_col: str = "text") -> DataFrame:
+    """Where the identifiers ``new(kind, value)`` stand, whatever is before them: key (digest of the text), more (array of kind, start, end). One row per different text."""
+    packed = np.packbits(_slots(new, "value"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.unpackbits(packed).view(bool)
+        for part in parts(batches, 1):
+            rows = []
+            for key, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for a, b in unmarked(text or "", base_spans(text or "")):
+                    value = _value(text[a:b])
+                    if seen[value & (len(seen) - 1)]:
+                        rows += [(key, k, a, b, value) for k in range(4) if looks_like(k, text[a:b])]
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), *[pa.int64()] * 3), strict=True)], names=["key", "kind", "start", "end", "value"])
+
+    found = docs.select(F.sha2(text_col, 256).alias("key"), text_col).mapInArrow(run, "key string, kind int, start long, end long, value long")
+    found = found.join(new, ["kind", "value"]).select("key", "kind", "start", "end").distinct()
+    return found.groupBy("key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
+
+
+def marked(docs: DataFrame, patterns: dict[int, dict[int, float]], text_col: str = "text", more: DataFrame | None = None) -> DataFrame:
     """``docs`` with n_email, n_ip, n_card, n_phone (base spans), base (their string), spans (array of kind, start, end) and redacted (text).
 
     ``redacted`` has each merged stretch of spans replaced by the kind of its first span in brackets; it is null where the text is.
+    Beside base spans, words that ``patterns`` make believed by what stands before them are marked, and the spans ``more`` (of :func:`places`) of each text.
     Added columns replace columns of the same name.
     """
     names = ["n_email", "n_ip", "n_card", "n_phone", "base", "spans", "redacted"]
     keep = [f.name for f in docs.schema if f.name.lower() not in names]
     at = keep.index(text_col)
+    wider = more is not None
     span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts(batches, at):
             texts = part.column(at).to_pylist()
             contexts = Contexts(part.column(at)) if patterns else None
+            extra = part.column(len(keep)).to_pylist() if wider else [None] * len(texts)
             counts, base, spans, redacted = [], [], [], []
             for i, raw in enumerate(texts):
                 text = raw or ""
@@ -249,15 +281,19 @@ def marked(docs: DataFrame, patterns: dict[int, dict[int, float]], text_col: str
                                 doubt *= 1 - p.get(k, 0.0)
                             if 1 - doubt >= ACCEPT and looks_like(k, word):
                                 found = [*found, (k, a, b)]
-                found = sorted(found)
+                found = sorted(found + [s for e in extra[i] or [] if (s := (e["kind"], e["start"], e["end"])) not in found])
                 spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
                 redacted.append(None if raw is None else _redact(text, found))
             cols = [pa.array([c[k] for c in counts], pa.int64()) for k in range(4)]
             cols += [pa.array(base, pa.string()), pa.array(spans, span), pa.array(redacted, pa.string())]
-            yield pa.record_batch([*part.columns, *cols], names=[*keep, *names])
+            yield pa.record_batch([*part.columns[: len(keep)], *cols], names=[*keep, *names])
 
     kinds = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in keep)
-    return docs.select(*keep).mapInArrow(
+    source = docs.select(*keep)
+    if wider:
+        key = "_" * (1 + max(map(len, keep)))  # no name of docs
+        source = source.withColumn(key, F.sha2(text_col, 256)).join(more.select(F.col("key").alias(key), F.col("more").alias(key + "_")), key, "left").select(*keep, key + "_")
+    return source.mapInArrow(
         run, kinds + ", n_email long, n_ip long, n_card long, n_phone long, base string, spans array<struct<kind:int,start:bigint,end:bigint>>, redacted string"
     )
 
@@ -272,19 +308,20 @@ def _redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """:func:`marked` with patterns learned from the same documents.
+    """:func:`marked` with the base spans and every place of the new identifiers that :func:`bootstrap` finds in the same documents.
 
     Null and empty texts have no spans; repeated rows are marked alike (and count as different occurrences); an empty table gives no rows; extra
-    columns stay. Texts are read three times and never shuffled.
+    columns stay. Texts are read three times and not shuffled where nothing new is found; else they are read once more and joined to the spans by their digests.
     """
-    return marked(docs, learn(docs))
+    new = bootstrap(docs)[1]
+    return marked(docs, {}, more=None if new.isEmpty() else cut(places(docs, new), "places"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and ``n_chars`` counted anew where the column exists."""
     names = docs.columns
     slim = docs.toDF(*[f"c{i}" if c != "text" else c for i, c in enumerate(names)])
-    done = marked(slim, learn(docs))
+    done = personal_data(slim)
     back = {c: F.col(f"c{i}") for i, c in enumerate(names) if c != "text"} | {"text": F.col("redacted")}
     if "n_chars" in back:
         back["n_chars"] = F.when(F.col("redacted") == F.col("text"), back["n_chars"]).otherwise(F.char_length("redacted").cast(docs.schema["n_chars"].dataType))

@@ -68,6 +68,20 @@ def test_a_rare_reliable_context_counts_among_many_common_ones(spark):
     assert (4203, 0, 10, 24) in found and len(found) == 4
 
 
+def test_new_identifiers_are_marked_everywhere_and_lead_to_others(spark):
+    rows = built() + [f"c0: u{i}@m{i}.de" for i in range(15)]
+    for stage in range(3):  # each context leads to three words, which support the next context
+        rows += [f"c{stage}: p{stage}x{i}(at)h" for i in range(3)]
+        rows += [f"c{stage + 1}: p{stage}x{i}(at)h" for i in range(3) for _ in range(5)]
+    rows += ["some p2x1(at)h there"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string").repartition(4)
+    got = personal_data(docs).collect()
+    found = {r.doc_id: [(s.kind, rows[r.doc_id][s.start : s.end]) for s in r.spans] for r in got}
+    assert found[120] == found[121] == [(0, "jane(at)host99")] and all(found[i] == [] for i in range(1, 120, 2))
+    assert all(len(found[i]) == 1 for i in range(122, len(rows))) and found[len(rows) - 1] == [(0, "p2x1(at)h")]
+    assert {r.doc_id: r.redacted for r in got}[121] == "nothing here, [EMAIL] gamma"
+
+
 def test_messy_rows(spark):
     rows = [(1, None), (2, ""), (3, "x a@b.cd 1.2.3.4"), (3, "x a@b.cd 1.2.3.4"), (None, "é+1 202 555 0100é"), (5, "4" * 100_000), (6, "é" * 50_000 + " a@b.cd")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"kind": F.lit(1), "n_chars": F.char_length("text"), "value": F.lit("v")})
