@@ -24,6 +24,15 @@ def test_query_against_the_library(spark):
         assert r.n_pieces == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
+def test_all_documents_against_the_library(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op4_documents"](spark, SF).collect()
+    assert len(rows) == len(texts) and all(r.round_trip for r in rows)
+    for r in rows:
+        ids = SP.encode(texts[r.doc_id])
+        assert r.n_pieces == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
 def test_messy_rows(spark):
     rng = random.Random(1)
     texts = ["a  b", "", " ", "   x   y  ", None, "hello wörld 梦梦 𝄞\n\ttab", "x" * 700, "abc" * 300, " " * 40 + "a", "Internationalization, don't! 12345 http://x.y/z?q=1", " a", "<s>hi</s>", "\u0000z"]
