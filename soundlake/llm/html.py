@@ -37,6 +37,8 @@ _WORDS = re.compile("[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Standard deviation of the smoothing, in lines.
 SIGMA = 1.0
+#: Share of the content that the chosen regions hold at least.
+SHARE = 0.9
 
 
 class Lines(HTMLParser):
@@ -154,10 +156,10 @@ def content(lines: list[tuple[str, int, int]]) -> np.ndarray:
 
 
 def main_text(html: str | None) -> str:
-    """Text of the region that holds the content: its lines in page order, one per block, empty if there is none.
+    """Text of the regions that hold the content: their lines in page order, one per block, empty if there is none.
 
-    Lines in dropped elements are gone already. The ratios decide which region is the article: among article elements (else main elements) the one with the most
-    content; without any, the innermost element that holds nine tenths of the content. All lines of that region belong to the text, short ones too.
+    Lines in dropped elements are gone already. The content lines that the ratios choose decide the regions: the article elements (else main elements) with content, if
+    they hold ``SHARE`` of it together (articles without a content line, as teasers, go); otherwise the innermost element that holds so much. All lines of these regions belong to the text, short ones too.
     """
     if not html:
         return ""
@@ -167,23 +169,19 @@ def main_text(html: str | None) -> str:
     weight = np.zeros(len(regions))
     for (text, _, region), use in zip(lines, content(lines).tolist(), strict=True):
         weight[region] += len(text) if use else 0
-    any_text = np.zeros(len(regions), bool)
-    any_text[[r for _, _, r in lines]] = True
+    own = weight.copy()
     for i in range(len(regions) - 1, 0, -1):
         weight[regions[i][0]] += weight[i]
-        any_text[regions[i][0]] |= any_text[i]
-    best = None
-    for name in ("article", "main"):
-        named = [i for i, (_, kind) in enumerate(regions) if kind == name and any_text[i]]
-        if named:
-            best = max(named, key=lambda i: (weight[i], -i))
+    for name in ("article", "main", None):
+        inside = np.zeros(len(regions), bool)
+        if name:
+            inside[[i for i, (_, kind) in enumerate(regions) if kind == name and weight[i]]] = True
+        else:
+            inside[max((i for i in range(len(regions)) if weight[i] >= SHARE * weight[0]), default=0)] = True
+        for i in range(1, len(regions)):
+            inside[i] |= inside[regions[i][0]]
+        if own[inside].sum() >= SHARE * weight[0]:
             break
-    if best is None:
-        best = max((i for i in range(len(regions)) if weight[i] >= 0.9 * weight[0]), default=0)
-    inside = np.zeros(len(regions), bool)
-    inside[best] = True
-    for i in range(best + 1, len(regions)):
-        inside[i] = inside[regions[i][0]]
     return "\n".join(t for t, _, r in lines if inside[r])
 
 

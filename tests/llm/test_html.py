@@ -45,6 +45,14 @@ def test_pages_without_article_element():
     assert main_text(page).split("\n") == [LONG.strip(), "Hm.", LONG.strip()]
 
 
+def test_content_chooses_the_regions():
+    long = LONG.strip()
+    several = f"<body><article><p>{LONG}</p><p>{LONG}</p><p>a</p></article><article><p>{LONG}</p><p>{LONG}</p><p>b</p></article></body>"
+    assert main_text(several).split("\n") == [long, long, "a", long, long, "b"]
+    teasers = f"<body><div><p>{LONG * 3}</p><p>Hm.</p></div><article><a href=1>Teaser</a></article><article><a href=2>Next</a></article></body>"
+    assert main_text(teasers).split("\n") == [(LONG * 3).strip(), "Hm."]
+
+
 def test_broken_pages():
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == main_text("<script>never closed") == ""
     assert main_text("just text &eacute; &#x41; &nosuch; a < b") == "just text é A &nosuch; a < b"
