@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("jaccard", "pii", "html", "pieces", "quality", "packing", "vectors", "exact", "language", "warc")
+MODULES = ("jaccard", "pii", "html", "pieces", "quality", "packing", "vectors", "exact", "language", "warc", "topk", "negatives", "lexical")
 
 
 def registry():
