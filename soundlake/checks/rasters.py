@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from soundlake.checks.base import check, holed, r, r5, raster, raster_grid, spot, sql5, table
+from soundlake.checks.scalars import dbl
+from soundlake.functions.geo import series
+from soundlake.operators import lines as L
 from soundlake.operators import raster as R
 from soundlake.operators.raster import Grid
 from soundlake.plans import jobs
@@ -132,6 +135,56 @@ def _(spark, d):
     return rounded(jobs.depth_contours(raster(spark, d), raster_grid(spark, d), sigma=1.0), 4)
 
 
+def crossing_sql(side: str, to: str) -> str:
+    """Key and position of a quad's crossing on one of its sides."""
+    return f"""(("row" + ({side} = 2)::BIGINT) * 101 + col + ({side} = 1)::BIGINT) * 2 + ({side} IN (1, 3))::BIGINT AS {to},
+        CASE {side} WHEN 0 THEN col + (lev - a) / (b - a) WHEN 1 THEN col + 1 WHEN 2 THEN col + (lev - d) / (e - d) ELSE col END AS {to}x,
+        CASE {side} WHEN 0 THEN "row" WHEN 1 THEN "row" + (lev - b) / (e - b) WHEN 2 THEN "row" + 1 ELSE "row" + (lev - a) / (d - a) END AS {to}y"""
+
+
+# Directed segments by crossing keys, walked one step a round: open lines from their heads, rings from each crossing below its neighbours, until a lower one shows that
+# the ring starts elsewhere.
+LINES = (
+    CONTOUR[: CONTOUR.index("    pt AS")]
+    + f"""    pr AS (SELECT *, unnest(CASE WHEN code IN (0, 15) THEN [] WHEN code IN (1, 14) THEN [[3, 0]] WHEN code IN (2, 13) THEN [[0, 1]] WHEN code IN (4, 11) THEN [[1, 2]] WHEN code IN (7, 8) THEN [[2, 3]] WHEN code IN (3, 12) THEN [[3, 1]]
+      WHEN code IN (6, 9) THEN [[0, 2]] WHEN (code = 5) = mid THEN [[0, 1], [2, 3]] ELSE [[3, 0], [1, 2]] END) AS k FROM hit),
+    en AS (SELECT *, (code >> k[1]) & 1 > (code >> ((k[1] + 1) % 4)) & 1 AS falls FROM pr),
+    di AS (SELECT *, CASE WHEN falls THEN k[1] ELSE k[2] END AS i, CASE WHEN falls THEN k[2] ELSE k[1] END AS j FROM en),
+    ds AS MATERIALIZED (SELECT lev, {crossing_sql('i', 'u')}, {crossing_sql('j', 'v')} FROM di),
+    hd AS (SELECT lev, u AS line, false AS ring, 0 AS ord, v FROM ds ANTI JOIN (SELECT lev, v AS u FROM ds) USING (lev, u)
+      UNION ALL SELECT s.lev, s.u, true, 0, s.v FROM ds s JOIN ds p ON p.lev = s.lev AND p.v = s.u WHERE s.u < p.u AND s.u < s.v),
+    wk AS (SELECT * FROM hd UNION ALL SELECT wk.lev, line, ring, ord + 1, ds.v FROM wk JOIN ds ON ds.lev = wk.lev AND ds.u = wk.v WHERE NOT ring OR ds.u > line),
+    ln AS (SELECT lev, line, ring, max(ord) + 2 AS n FROM wk GROUP BY lev, line, ring HAVING NOT ring OR bool_or(v = line)),
+    ev AS (SELECT lev, line, ring, n, ord, ux AS px, uy AS py FROM ln JOIN wk USING (lev, line, ring) JOIN ds USING (lev, v) UNION ALL SELECT lev, line, ring, n, n - 1, vx, vy FROM ln JOIN wk USING (lev, line, ring) JOIN ds USING (lev, v) WHERE ord = n - 2)"""
+)
+def unproject_sql(source: str) -> str:
+    """``source`` with x, y as well as lon, lat."""
+    s = series()
+    xi0 = "xi" + "".join(f" - {dbl(v)} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, v in enumerate(s["beta"], 1))
+    eta0 = "eta" + "".join(f" - {dbl(v)} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, v in enumerate(s["beta"], 1))
+    phi = "chi" + "".join(f" + {dbl(v)} * sin({2 * j} * chi)" for j, v in enumerate(s["delta"], 1))
+    scale = f"(0.9999e0 * {dbl(s['rect'])})"
+    return f"""(SELECT *, 121 + degrees(atan2(sinh(eta0), cos(xi0))) AS lon, degrees({phi}) AS lat FROM (SELECT *, asin(sin(xi0) / cosh(eta0)) AS chi FROM
+      (SELECT *, {xi0} AS xi0, {eta0} AS eta0 FROM (SELECT *, y / {scale} AS xi, (x - 250000e0) / {scale} AS eta FROM {source}))))"""
+
+
+@check("r8_contour_lines", "raster", "WITH RECURSIVE rs AS (SELECT \"row\", col, z AS s FROM raster), " + LINES.replace("{t}", "rs") + f"""
+    SELECT lev::BIGINT AS depth_m, CASE WHEN lev % 10 = 0 THEN 'major' ELSE 'minor' END AS kind, line, ord::BIGINT AS ord, n::BIGINT AS n, ring AS closed, ROUND(px + 0.5, 6) AS x, ROUND({ROWS} - py - 0.5, 6) AS y FROM ev""")
+def _(spark, d):
+    p = L.contour_lines(raster(spark, d), raster_grid(spark, d), "z")
+    return p.select("depth_m", "kind", "line", "ord", "n", "closed", r("x").alias("x"), r("y").alias("y"))
+
+
+@check("s13_contour_features", "raster", "WITH RECURSIVE " + blur_sql(1, 4, ROWS).replace("{src}", "raster") + ", " + LINES.replace("{t}", "bl") + f""",
+    xy AS (SELECT *, 227173.5e0 + (px + 0.5) * 0.5 AS x, 2449210.5e0 - (py + 0.5) * 0.5 AS y FROM ev),
+    ft AS (SELECT lev, line, ring, list([ROUND(lon + 1.23e-10, 7), ROUND(lat + 1.23e-10, 7)] ORDER BY ord) AS c FROM {unproject_sql('xy')} GROUP BY lev, line, ring)
+    SELECT lev::BIGINT AS depth_m, CASE WHEN lev % 10 = 0 THEN 'major' ELSE 'minor' END AS kind, line, 0::BIGINT AS part, ring AS closed, len(c)::BIGINT AS n,
+      '{{"type":"Feature","properties":{{"depth_m":' || lev::DOUBLE || ',"level":"' || CASE WHEN lev % 10 = 0 THEN 'major' ELSE 'minor' END || '"}},"geometry":{{"type":"LineString","coordinates":' || replace(CAST(c AS VARCHAR), ' ', '') || '}}}}' AS feature FROM ft""")
+def _(spark, d):
+    g = raster_grid(spark, d)
+    return jobs.contour_features(raster(spark, d), Grid(227173.5, 2449210.5, 0.5, g.nrows, g.ncols), sigma=1.0)
+
+
 def rounded(c, n=6):
     return c.select("row", "col", "depth_m", "kind", *[r(x, n).alias(x) for x in ("x1", "y1", "x2", "y2")])
 
