@@ -1,8 +1,10 @@
 """Binary sonar files: index the messages, then decode payload ranges in parallel.
 
 A file is a chain of 16-byte headers and payloads, so where message n+1 starts is known only after
-message n. The index pass walks headers and skips payloads (16 bytes per message); the decode pass
-reads payload ranges of any file in any task, so a huge file spreads over the cluster.
+message n. The index pass walks headers and skips payloads (16 bytes per message). A huge file is cut
+into ranges that are parsed on speculation: each tells for any place where the chain may come in where
+it would go out, and the true chain is put together from range to range. The decode pass reads payload
+ranges of any file in any task.
 """
 
 from __future__ import annotations
@@ -12,12 +14,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from soundlake import constants as K
 from soundlake.functions import acoustic as A
 from soundlake.operators.along import Track, fill_position, heading_back, heading_parts, interpolate
+from soundlake.operators.lineage import cut
 
 # Message header and payload layout (little endian).
 MAGIC = b"\x01\x16"
@@ -40,16 +44,17 @@ SPARK_TYPE = {"I": "long", "H": "int", "h": "int", "i": "int", "f": "float"}
 INDEX_SCHEMA = "file string, seq long, offset long, size long, msg_type int, subsys int, channel int"
 
 
-def walk(read_at, length: int) -> Iterator[tuple[int, int, int, int, int]]:
+def walk(read_at, length: int, pos: int = 0, end: int | None = None) -> Iterator[tuple[int, int, int, int, int]]:
     """(offset, size, type, subsystem, channel) per message; ``read_at(pos, n)`` returns bytes.
 
-    A position without the magic number moves on to the next one that has it.
+    A position without the magic number moves on to the next one that has it. Only messages whose header
+    starts from ``pos`` on and before ``end`` are given.
     """
-    pos = 0
-    while pos + HEADER <= length:
+    end = length if end is None else end
+    while pos < end and pos + HEADER <= length:
         h = read_at(pos, HEADER)
         if h[:2] != MAGIC:
-            pos = _next_magic(read_at, pos + 1, length)
+            pos = _next_magic(read_at, pos + 1, min(length, end + 1))
             continue
         size = struct.unpack_from("<I", h, 12)[0]
         yield pos + HEADER, size, struct.unpack_from("<H", h, 4)[0], h[7], h[8]
@@ -68,8 +73,8 @@ def _next_magic(read_at, pos: int, length: int, step: int = 1 << 16) -> int:
 
 #: Schemes of the listing that the Arrow build knows under another name.
 SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
-#: Bytes that the index pass reads ahead.
-AHEAD = 1 << 23
+#: Bytes that the index pass reads ahead; bytes of a file that one task walks.
+AHEAD, SPAN = 1 << 23, 1 << 28
 
 
 def arrow_uri(path: str) -> str:
@@ -113,25 +118,96 @@ def read_ahead(read_at, length: int, block: int = AHEAD):
     return get
 
 
-def index_files(files: DataFrame) -> DataFrame:
-    """Message index of files given as (path, length)."""
+def index_files(files: DataFrame, span: int = SPAN) -> DataFrame:
+    """Message index of files given as (path, length); files longer than ``span`` are parsed range by range, by many tasks."""
+    files = files.select("path", "length")
+    start = F.lit(0).cast("long")
+    short = files.where(F.col("length") <= span).select("path", "length", start.alias("begin"), F.col("length").alias("end"), start.alias("entry"))
+    short, files = _messages(short).drop("begin"), files.where(F.col("length") > span)
+    if files.isEmpty():
+        return short
+    ranges = files.withColumn("begin", F.explode(F.expr(f"sequence(0L, length - 1, {span}L)")))
+    ranges = ranges.withColumn("end", F.least("length", F.col("begin") + span)).repartition("path", "begin")
+    guesses = _speculated(ranges)
+    entries = guesses.groupBy("path").applyInArrow(_composed, "path string, length long, begin long, end long, entry long")
+    found = cut(_messages(entries.repartition("path", "begin")), "index")
+    count = found.groupBy("file", "begin").agg(F.count(F.lit(1)).alias("n"))
+    # One row per range, not per message.
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("begin")) - F.col("n")
+    found = found.join(count.select("file", "begin", before.alias("before")), ["file", "begin"])
+    return short.unionByName(found.withColumn("seq", F.col("seq") + F.col("before")).drop("before", "begin"))
+
+
+def _messages(ranges: DataFrame) -> DataFrame:
+    """Index rows of ranges (path, length, begin, end, entry), counted from 0 in each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = _opener()
         for pdf in batches:
-            for path, length in zip(pdf["path"], pdf["length"]):
+            for path, length, begin, end, entry in pdf.itertuples(index=False):
                 f = get(path)
-
+                read = read_ahead(lambda p, n, f=f: f.read_at(n, p), int(length))
                 rows = []
-                for i, (o, s, t, sub, ch) in enumerate(walk(read_ahead(lambda p, n, f=f: f.read_at(n, p), int(length)), int(length))):
+                for i, (o, s, t, sub, ch) in enumerate(walk(read, int(length), int(entry), int(end))):
                     rows.append((path, i, o, s, t, sub, ch))
                     if len(rows) == 50_000:
-                        yield _frame(rows)
+                        yield _frame(rows).assign(begin=begin)
                         rows = []
                 if rows:
-                    yield _frame(rows)
+                    yield _frame(rows).assign(begin=begin)
+
+    return ranges.select("path", "length", "begin", "end", "entry").mapInPandas(run, INDEX_SCHEMA + ", begin long")
+
 
-    return files.select("path", "length").mapInPandas(run, INDEX_SCHEMA)
+def exits(read_at, length: int, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(upto, exit): a chain that comes in at p leaves the range for the exit of the first ``upto`` >= p; beyond the last one it passes through.
+
+    Every place with the magic number may be a header or bytes of a payload; all are followed at once by doubling their steps. Chains merge soon, so
+    places with one exit in common are one entry.
+    """
+    found, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(begin, min(end, length - HEADER + 1), AHEAD):
+        to = min(at + AHEAD, end, length - HEADER + 1)
+        buf = np.frombuffer(read_at(at, min(to + HEADER, length) - at), np.uint8)
+        head = np.flatnonzero((buf[: to - at] == MAGIC[0]) & (buf[1 : to - at + 1] == MAGIC[1]))
+        found.append(head + at)
+        sizes.append(sum(buf[head + 12 + k].astype(np.int64) << (8 * k) for k in range(4)))
+    at = np.concatenate(found)
+    out = at + HEADER + np.concatenate(sizes)
+    step = np.searchsorted(at, out)
+    for _ in range(len(at).bit_length()):
+        inside = step < len(at)
+        out[inside], step[inside] = out[step[inside]], step[step[inside]]
+    last = np.append(out[1:] != out[:-1], True)[: len(at)]
+    return at[last], out[last]
+
+
+def _speculated(ranges: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        get = _opener()
+        for pdf in batches:
+            for path, length, begin, end in pdf.itertuples(index=False):
+                f = get(path)
+                upto, out = exits(lambda p, n, f=f: f.read_at(n, p), int(length), int(begin), int(end))
+                yield pd.DataFrame({"path": [path], "length": [length], "begin": [begin], "end": [end], "upto": [upto], "exit": [out]})
+
+    return ranges.select("path", "length", "begin", "end").mapInPandas(run, "path string, length long, begin long, end long, upto array<long>, exit array<long>")
+
+
+def _composed(ranges: pa.Table) -> pa.Table:
+    """Where the chain of one file comes into each range that it stops in; a range is one row with a few exits."""
+    ranges = ranges.sort_by("begin")
+    begin, end = ranges["begin"].to_pylist(), ranges["end"].to_pylist()
+    pos, keep, entry = 0, [], []
+    for i, (b, e) in enumerate(zip(begin, end, strict=True)):
+        pos = max(pos, b)
+        upto = ranges["upto"][i].values.to_numpy(zero_copy_only=False)
+        k = int(np.searchsorted(upto, pos))
+        if pos < e and k < len(upto):
+            keep.append(i)
+            entry.append(pos)
+            pos = int(ranges["exit"][i].values[k].as_py())
+    return ranges.select(["path", "length", "begin", "end"]).take(pa.array(keep, pa.int64())).append_column("entry", pa.array(entry, pa.int64()))
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:

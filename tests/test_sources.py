@@ -160,3 +160,39 @@ def test_short_payloads_leave_their_later_fields_null(spark):
     df = spark.createDataFrame(rows, "file string, seq long, subsys int, channel int, size long, payload binary")
     got = sonar.raw_fields(df, sonar.SONAR_FIELDS).orderBy("seq").collect()
     assert got[0]["usec"] == 0 and got[1]["sec"] == 0x05050505 and got[1]["usec"] is None and got[1]["raw_x"] == 0x05050505
+
+
+def stream(seed, n=400):
+    """Messages with payloads full of false headers, garbage between them, empty and very long ones."""
+    rng = np.random.default_rng(seed)
+    out = b""
+    for i in range(n):
+        body = rng.integers(0, 256, int(rng.choice([0, 3, 40, 300, 5000]))).astype("u1").tobytes()
+        if i % 3 == 0:  # a false header that leads into the middle of what follows, or far away
+            body += message(80, 20, 1, b"x" * 40)[: int(rng.integers(2, 50))] + struct.pack("<HHHBBBBHI", 0x1601, 0, 9, 0, 9, 9, 0, 0, int(rng.choice([0, 7, 900, 10**6])))
+        if i % 5 == 0:
+            out += rng.integers(0, 256, int(rng.integers(0, 60))).astype("u1").tobytes() + b"\x01"
+        out += message(80 + i % 4, i % 7, i % 3, body)
+    return out + message(1, 1, 1, b"cut off")[:-4] + b"\x01\x16" * (seed % 3)
+
+
+def test_split_files_give_the_walk_from_the_start(spark, tmp_path):
+    streams = {f"{k}.jsf": stream(k) for k in range(3)} | {"short.jsf": stream(9, 2), "none.jsf": b"", "junk.jsf": b"\x01\x00" * 3000, "one.jsf": message(80, 1, 1, b"\x01\x16" * 4000)}
+    for k, b in streams.items():
+        (tmp_path / k).write_bytes(b)
+    rows = spark.createDataFrame([(str(tmp_path / k), len(b)) for k, b in streams.items()], "path string, length long")
+    want = sorted((k, i, *m) for k, b in streams.items() for i, m in enumerate(sonar.walk(lambda p, n, b=b: b[p : p + n], len(b))))
+    for span in (700, 9000):
+        got = sonar.index_files(rows, span).select(F.element_at(F.split("file", "/"), -1), "seq", "offset", "size", "msg_type", "subsys", "channel")
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_exits_of_a_range_are_those_of_walks_from_any_place():
+    b = stream(4, 60)
+    read = lambda p, n: b[p : p + n]
+    for begin, end in ((0, 3000), (1500, 1600), (2000, len(b)), (len(b) - 10, len(b))):
+        upto, out = sonar.exits(read, len(b), begin, end)
+        for p in range(begin, end, 7):
+            steps = [o + s for o, s, *_ in sonar.walk(read, len(b), p, end)]
+            k = np.searchsorted(upto, p)
+            assert (out[k] if k < len(upto) else None) == (steps[-1] if steps else None)
