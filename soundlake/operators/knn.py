@@ -1,51 +1,80 @@
-"""Nearest neighbours by equi joins on a tile hierarchy.
+"""Nearest neighbours by a dual tree of nested tiles.
 
-Points are counted per tile on nested tile sizes (each a quarter of the one above). A query starts
-with the tiles around it and descends: counts alone bound its k-th distance, tiles beyond the bound
-are dropped, the rest split into their occupied children. Below the aimed tile size only crowded tiles
-split on. Only the points of the last few small tiles are ever paired with the query, so a dense cluster
-costs no more than its rim, and pairs are never formed for a whole group.
+Queries and points are counted on the same nested tiles, each a quarter of the one above. Tiles of queries descend, not queries: the counts of
+point tiles bound the k-th distance of every query in a tile, point tiles beyond the bound are dropped, and both sides split into their
+occupied children. Where points crowd, the tiles in reach split on. In the end the queries of a tile meet the points of its few tiles in one
+block, and only there distances are taken, so pairs are never formed for a whole group and a dense cluster costs no more than its rim.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from soundlake.operators.lineage import cut
+from soundlake.operators.lineage import cut, release
 
 SPLIT = 4
-#: A tile with more points than this many times k (and than this) is crowded; levels below the aimed size at most.
-CROWD, CROWD_LEAST, EXTRA = 8, 64, 12
+#: A query tile with more points in reach than this many times k (and than this) is crowded and splits on; levels below the aimed size at most.
+CROWD, CROWD_LEAST, EXTRA = 256, 2048, 12
+#: Queries of a tile aimed at, and most of one block; distances taken at once within it.
+SOME, BLOCK, AT_ONCE = 256, 8192, 1 << 19
 
 
-def _tile(v: Column, size: float) -> Column:
-    return F.floor(v / size).cast("long")
+def _finest(d: DataFrame, x: str, y: str, size: float) -> DataFrame:
+    return d.withColumn("_tx", F.floor(F.col(x) / size).cast("long")).withColumn("_ty", F.floor(F.col(y) / size).cast("long"))
 
 
-def _near_far(x: str, y: str, tx: str, ty: str, size: float) -> tuple[Column, Column]:
-    """Squared distance from a point to the nearest and farthest spot of a tile."""
+def _up(d: DataFrame, levels: int, tx: str = "_tx", ty: str = "_ty") -> DataFrame:
+    """Tiles so many levels up: exact integer divisions, whatever the rounding of the finest ones."""
+    f = SPLIT**levels
+    return d if f == 1 else d.withColumns({c: F.floor(F.col(c) / f) for c in (tx, ty)})
 
-    def axis(p: str, t: str) -> tuple[Column, Column]:
-        a = F.col(t) * size - F.col(p)
-        b = F.col(p) - (F.col(t) + 1) * size
-        return F.greatest(a, b, F.lit(0.0)), F.greatest(F.abs(a), F.abs(b))
 
-    (nx, fx), (ny, fy) = axis(x, tx), axis(y, ty)
-    return nx * nx + ny * ny, fx * fx + fy * fy
-
-
-def _prune(cand: DataFrame, qid: list[str], k: int, radius2: float | None) -> DataFrame:
-    """Drop tiles whose nearest spot is beyond the k-th point's upper bound."""
-    slack = 1 + 1e-9
-    by_far = Window.partitionBy(*qid).orderBy("_far").rowsBetween(Window.unboundedPreceding, 0)
-    cand = cand.withColumn("_upto", F.sum("_n").over(by_far))
-    bound = F.min(F.when(F.col("_upto") >= k, F.col("_far"))).over(Window.partitionBy(*qid))
+def _reach(pairs: DataFrame, size: float, k: int, radius2: float | None) -> DataFrame:
+    """Pairs (qtx, qty, nq, tx, ty, n) whose tiles may hold one of the ``k`` nearest points of a query, with all points in reach as total."""
+    gap = lambda q, p: F.greatest(F.abs(F.col(q) - F.col(p)) - 1, F.lit(0)).cast("double")
+    span = lambda q, p: (F.abs(F.col(q) - F.col(p)) + 1).cast("double")
+    square = lambda f: (f("_qtx", "_tx") * f("_qtx", "_tx") + f("_qty", "_ty") * f("_qty", "_ty")) * (size * size)
+    of = Window.partitionBy("_qtx", "_qty")
+    d = pairs.withColumn("_near", square(gap)).withColumn("_far", square(span))
     limit = F.lit(float("inf") if radius2 is None else radius2)
-    cand = cand.withColumn("_lim", F.least(F.coalesce(bound, limit), limit))
-    return cand.where(F.col("_near") <= F.col("_lim") * slack + 1e-9).drop("_upto", "_lim")
+    d = d.where(F.col("_near") <= limit * (1 + 1e-9))
+    d = d.withColumn("_upto", F.sum("_n").over(of.orderBy("_far").rowsBetween(Window.unboundedPreceding, 0)))
+    d = d.withColumn("_lim", F.least(F.coalesce(F.min(F.when(F.col("_upto") >= k, F.col("_far"))).over(of), limit), limit))
+    d = d.where(F.col("_near") <= F.col("_lim") * (1 + 1e-9))
+    return d.select("_qtx", "_qty", "_nq", "_tx", "_ty", "_n")
+
+
+def _block(qid: list[str], pid: list[str], columns: list[str], k: int, radius2: float | None):
+    """The ``k`` nearest points of every query in a block, ties to the lower ids."""
+
+    def run(queries: pa.Table, points: pa.Table) -> pa.Table:
+        points = points.sort_by([(c, "ascending") for c in pid])
+        qx, qy, px, py = (t[c].to_numpy() for t, c in ((queries, "_qx"), (queries, "_qy"), (points, "_px"), (points, "_py")))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int32))]
+        step = max(1, AT_ONCE // max(1, len(px)))
+        for at in range(0, len(qx) if len(px) else 0, step):
+            dx, dy = px[None, :] - qx[at : at + step, None], py[None, :] - qy[at : at + step, None]
+            d2 = dx * dx + dy * dy
+            fine = d2 <= np.partition(d2, k - 1, axis=1)[:, k - 1 : k] if k < len(px) else np.ones(d2.shape, bool)
+            if radius2 is not None:
+                fine &= d2 < radius2
+            q, p = np.nonzero(fine)
+            d = d2[q, p]
+            order = np.lexsort((p, d, q))
+            q, p, d = q[order], p[order], d[order]
+            rank = np.arange(len(q)) - np.searchsorted(q, q) + 1
+            best = rank <= k
+            found.append((q[best] + at, p[best], d[best], rank[best].astype(np.int32)))
+        q, p, d, rank = (np.concatenate(x) for x in zip(*found, strict=True))
+        left, right = queries.select(qid).take(pa.array(q)), points.select(columns).take(pa.array(p))
+        return pa.table([*left.columns, *right.columns, pa.array(d), pa.array(rank)], names=[*qid, *columns, "d2", "rank"])
+
+    return run
 
 
 def nearest(
@@ -59,109 +88,97 @@ def nearest(
     qxy: tuple[str, str] = ("qx", "qy"),
     pxy: tuple[str, str] = ("px", "py"),
 ) -> DataFrame:
-    """The ``k`` nearest points of every query: all columns of both sides, ``d2`` and ``rank``.
+    """The ``k`` nearest points of every query: its ids, all columns of the points, ``d2`` and ``rank``.
 
-    ``radius`` is exclusive. Ties go to the lower ``pid``. ``leaf`` is the aim for the smallest tile side; where a
-    tile of that size holds many points, smaller ones follow. Without a radius the hierarchy starts at the data's extent
-    (one aggregation), so any distance is reachable.
+    ``radius`` is exclusive. Ties go to the lower ``pid``. The points' mean density sets the aimed tile side, ``leaf`` is the least one; where tiles in
+    reach hold many points, smaller ones follow. Without a radius the hierarchy starts at the data's extent, so any distance is reachable.
+    Rows without a position have no neighbours and are none.
     """
     (qx, qy), (px, py) = qxy, pxy
+    there = lambda x, y: F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double"))
     # Of points at one position only the k lowest ids can ever be chosen.
     same = Window.partitionBy(px, py).orderBy(*pid)
-    pts = points.withColumn("_s", F.row_number().over(same)).where(F.col("_s") <= k).drop("_s")
-
-    top = radius
-    if top is None:
-        box = [
-            d.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
-            for d, x, y in ((queries, qx, qy), (points, px, py))
-        ]
-        if any(v is None for b in box for v in b):
-            top = leaf
-        else:
-            top = max(
-                max(box[0][1], box[1][1]) - min(box[0][0], box[1][0]),
-                max(box[0][3], box[1][3]) - min(box[0][2], box[1][2]),
-            )
-            top = max(top, leaf)
-    depth = max(0, round(math.log(top / leaf, SPLIT)))
-    sizes = [top / SPLIT**i for i in range(depth + 1)]
+    pts = points.where(there(px, py)).withColumn("_s", F.row_number().over(same)).where(F.col("_s") <= k).drop("_s")
+    columns = pts.columns
+    pts = cut(pts.withColumn("_px", F.col(px).cast("double")).withColumn("_py", F.col(py).cast("double")), "points")
+    q = cut(queries.where(there(qx, qy)).select(*qid, F.col(qx).cast("double").alias("_qx"), F.col(qy).cast("double").alias("_qy")), "queries")
+
+    box = [d.agg(F.min(x), F.max(x), F.min(y), F.max(y), F.count(F.lit(1))).first() for d, x, y in ((q, "_qx", "_qy"), (pts, "_px", "_py"))]
+    if not box[0][4] or not box[1][4]:
+        top = size = leaf
+    else:
+        extent = max(max(box[0][i + 1], box[1][i + 1]) - min(box[0][i], box[1][i]) for i in (0, 2))
+        of = [max(b[1] - b[0], leaf) * max(b[3] - b[2], leaf) / b[4] for b in box]  # area for each query, for each point
+        # Some points a tile, so that few are out of reach; queries enough for a block, unless that means too many points.
+        size = max(leaf, math.sqrt(of[1] * k / 2), min(math.sqrt(of[0] * SOME), math.sqrt(of[1] * CROWD_LEAST / 16)))
+        top = max(radius or extent, leaf)
+    depth = max(0, math.ceil(math.log(top / size, SPLIT) - 1e-9))
+    top = size * SPLIT**depth  # at least the radius or the extent, so that the tiles next to a query's reach far enough
+    last = depth + EXTRA
+    sizes = [top / SPLIT**i for i in range(last + 1)]
+    r2 = None if radius is None else radius * radius
     crowd = max(CROWD * k, CROWD_LEAST)
-    pts = cut(pts, "points")  # read once per level that follows
-    while len(sizes) <= depth + EXTRA:
-        tiles = pts.groupBy(_tile(F.col(px), sizes[-1]), _tile(F.col(py), sizes[-1])).agg(F.count(F.lit(1)).alias("_n"))
-        if (tiles.agg(F.max("_n")).first()[0] or 0) <= crowd:
-            break
-        sizes.append(sizes[-1] / SPLIT)
-    last = len(sizes) - 1
-
-    # Every coarser tile is an exact integer division of the smallest one.
-    pts = pts.withColumn("_tx", _tile(F.col(px), sizes[-1])).withColumn("_ty", _tile(F.col(py), sizes[-1]))
-    # Every level reads the tile counts; storing this small table spares the points another pass
-    # per level, and the planner sees its true size.
-    leaves = pts.groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias("_n"))
-    if last > 0:
-        leaves = cut(leaves, "tiles")
 
-    def at_level(d: DataFrame, i: int) -> DataFrame:
-        f = SPLIT ** (last - i)
-        return d if f == 1 else d.withColumns({c: F.floor(F.col(c) / f) for c in ("_tx", "_ty")})
+    def counts(d: DataFrame, x: str, y: str, n: str) -> DataFrame:
+        """Tiles of the aimed level with the numbers of rows in them."""
+        return cut(_up(_finest(d, x, y, sizes[-1]), last - depth).groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias(n)), "tiles")
 
-    def level(i: int) -> DataFrame:
-        return leaves if i == last else at_level(leaves, i).groupBy("_tx", "_ty").agg(F.sum("_n").alias("_n"))
+    q_tiles, p_tiles = counts(q, "_qx", "_qy", "_nq"), counts(pts, "_px", "_py", "_n")
 
-    r2 = None if radius is None else radius * radius
-    q = queries.select(*qid, F.col(qx).alias("_qx"), F.col(qy).alias("_qy"))
+    def split(pairs: DataFrame, down_q: DataFrame, down_p: DataFrame) -> DataFrame:
+        """Pairs of tiles as pairs of their occupied children."""
+        up = lambda d, old: _up(d.withColumn(f"{old}x", F.col("_tx")).withColumn(f"{old}y", F.col("_ty")), 1, f"{old}x", f"{old}y")
+        q_side = up(down_q.withColumnsRenamed({"_tx": "_cx", "_ty": "_cy"}).withColumns({"_tx": F.col("_cx"), "_ty": F.col("_cy")}), "_q").drop("_tx", "_ty")
+        p_side = up(down_p, "_o").withColumnsRenamed({"_tx": "_kx", "_ty": "_ky"})
+        d = pairs.select(F.col("_qtx").alias("_qx"), F.col("_qty").alias("_qy"), F.col("_tx").alias("_ox"), F.col("_ty").alias("_oy"))
+        d = d.join(q_side, ["_qx", "_qy"]).join(p_side, ["_ox", "_oy"])
+        return d.select(F.col("_cx").alias("_qtx"), F.col("_cy").alias("_qty"), "_nq", F.col("_kx").alias("_tx"), F.col("_ky").alias("_ty"), "_n")
 
-    def with_bounds(d: DataFrame, size: float) -> DataFrame:
-        near, far = _near_far("_qx", "_qy", "_tx", "_ty", size)
-        return d.withColumn("_near", near).withColumn("_far", far)
+    def coarse(d: DataFrame, i: int, n: str) -> DataFrame:
+        return d if i == depth else _up(d, depth - i).groupBy("_tx", "_ty").agg(F.sum(n).alias(n))
 
     steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    cand = (
-        q.withColumn("_d", F.explode(steps))
-        .withColumn("_tx", _tile(F.col("_qx"), sizes[0]) + F.col("_d.a"))
-        .withColumn("_ty", _tile(F.col("_qy"), sizes[0]) + F.col("_d.b"))
-        .drop("_d")
-        .join(level(0), ["_tx", "_ty"])
-    )
-    cand = _prune(with_bounds(cand, sizes[0]), qid, k, r2)
-    kids = F.array(
-        *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(SPLIT) for b in range(SPLIT)]
-    )
-
-    def split(d: DataFrame, i: int) -> DataFrame:
-        down = (
-            d.drop("_n", "_near", "_far")
-            .withColumn("_d", F.explode(kids))
-            .withColumn("_tx", F.col("_tx") * SPLIT + F.col("_d.a"))
-            .withColumn("_ty", F.col("_ty") * SPLIT + F.col("_d.b"))
-            .drop("_d")
-            .join(level(i), ["_tx", "_ty"])
-        )
-        return with_bounds(down, sizes[i])
-
+    pairs = coarse(q_tiles, 0, "_nq").select(F.col("_tx").alias("_qtx"), F.col("_ty").alias("_qty"), "_nq", F.explode(steps).alias("_d"))
+    pairs = pairs.withColumn("_tx", F.col("_qtx") + F.col("_d.a")).withColumn("_ty", F.col("_qty") + F.col("_d.b")).drop("_d").join(coarse(p_tiles, 0, "_n"), ["_tx", "_ty"])
+    pairs = _reach(pairs, sizes[0], k, r2)
     for i in range(1, depth + 1):
-        cand = _prune(split(cand, i), qid, k, r2)
-    cand = cand.withColumn("_level", F.lit(depth))
-    for i in range(depth + 1, last + 1):
-        cand = cut(cand, "tiles")
-        full = (F.col("_level") == i - 1) & (F.col("_n") > crowd)
-        down = split(cand.where(full).drop("_level"), i).withColumn("_level", F.lit(i))
-        cand = _prune(cand.where(~full).unionByName(down), qid, k, r2)
-    cand = cand.drop("_n", "_near", "_far")
-    if last > depth:
-        cand = cut(cand, "tiles")
-    pair = None
-    for i in range(depth, last + 1):
-        met = cand.where(F.col("_level") == i).drop("_level").join(at_level(pts, i), ["_tx", "_ty"])
-        pair = met if pair is None else pair.unionByName(met)
-    dx, dy = F.col(px) - F.col("_qx"), F.col(py) - F.col("_qy")
-    pair = pair.withColumn("d2", dx * dx + dy * dy).drop("_tx", "_ty", "_qx", "_qy")
-    if r2 is not None:
-        pair = pair.where(F.col("d2") < r2)
-    order = Window.partitionBy(*qid).orderBy("d2", *pid)
-    return pair.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        pairs = _reach(split(pairs, coarse(q_tiles, i, "_nq"), coarse(p_tiles, i, "_n")), sizes[i], k, r2)
+
+    # Crowded tiles split on, level by level; the others are done.
+    total = F.sum("_n").over(Window.partitionBy("_qtx", "_qty"))
+    done, level = [], depth
+    state = cut(pairs.withColumn("_all", total), "reach")
+    while level < last:
+        full = state.where(F.col("_all") > crowd)
+        if full.isEmpty():
+            break
+        done.append((level, state.where(F.col("_all") <= crowd)))
+        level += 1
+
+        def within(d: DataFrame, x: str, y: str, n: str, tx: str, ty: str, level: int = level, full: DataFrame = full) -> DataFrame:
+            """Occupied children of the tiles that split."""
+            d = _up(_finest(d, x, y, sizes[-1]), last - level).groupBy("_tx", "_ty").agg(F.count(F.lit(1)).alias(n))
+            parent = full.select(F.col(tx).alias("_ux"), F.col(ty).alias("_uy")).distinct()
+            return _up(d.withColumn("_ux", F.col("_tx")).withColumn("_uy", F.col("_ty")), 1, "_ux", "_uy").join(parent, ["_ux", "_uy"], "left_semi").drop("_ux", "_uy")
+
+        down = split(full, within(q, "_qx", "_qy", "_nq", "_qtx", "_qty"), within(pts, "_px", "_py", "_n", "_tx", "_ty"))
+        state = cut(_reach(down, sizes[level], k, r2).withColumn("_all", total), "reach")
+    done.append((level, state))
+    release(q_tiles, p_tiles)
+
+    key = ["_level", "_qtx", "_qty", "_part"]
+    parts = F.ceil(F.col("_nq") / BLOCK).cast("int")
+    left = right = None
+    for i, d in done:
+        of = d.select("_qtx", "_qty", "_nq").distinct()
+        a = _up(_finest(q, "_qx", "_qy", sizes[-1]), last - i).withColumnsRenamed({"_tx": "_qtx", "_ty": "_qty"}).join(of, ["_qtx", "_qty"])
+        a = a.select(F.lit(i).alias("_level"), "_qtx", "_qty", F.pmod(F.xxhash64(*qid), parts).cast("int").alias("_part"), *qid, "_qx", "_qy")
+        b = d.join(_up(_finest(pts, "_px", "_py", sizes[-1]), last - i), ["_tx", "_ty"])
+        b = b.select(F.lit(i).alias("_level"), "_qtx", "_qty", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"), *columns, "_px", "_py")
+        left, right = (a, b) if left is None else (left.unionByName(a), right.unionByName(b))
+    fresh = lambda d: d.toDF(*d.columns)  # noqa: E731  queries and points may come from one table
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*(q.schema[c] for c in qid), *(pts.schema[c] for c in columns)])
+    return fresh(left).groupBy(*key).cogroup(fresh(right).groupBy(*key)).applyInArrow(_block(qid, pid, columns, k, r2), schema + ", d2 double, rank int")
 
 
 def idw(

@@ -89,3 +89,36 @@ def test_thinning_equals_sequential(spark):
 def test_thinning_of_nothing(spark):
     p = spark.createDataFrame(cloud(5, 9)).where(F.lit(False))
     assert greedy_thin(p, ["id"], "px", "py", "v", 15.0).count() == 0
+
+
+def test_crowded_queries_and_points_meet_in_blocks(spark, monkeypatch):
+    """Most queries and most points in one small spot, blocks and crowds of few."""
+    from soundlake.operators import knn
+
+    monkeypatch.setattr(knn, "BLOCK", 50)
+    monkeypatch.setattr(knn, "CROWD", 4)
+    monkeypatch.setattr(knn, "CROWD_LEAST", 20)
+    p = cloud(900, 11, hot=0.7)
+    rng = np.random.default_rng(12)
+    q = pd.DataFrame({"q": np.arange(400), "qx": rng.uniform(-50, 250, 400), "qy": rng.uniform(-50, 250, 400)})
+    q.loc[q["q"] % 2 == 0, ["qx", "qy"]] = 77.25 + rng.normal(0, 0.02, (200, 2)) * [1, 0] + [0, 31.5 - 77.25]
+    for k, r in ((3, 40.0), (5, None)):
+        n = nearest(spark.createDataFrame(q), spark.createDataFrame(p), ["q"], ["id"], k, r, 0.001)
+        assert {(x["q"], x["id"], x["rank"]) for x in n.select("q", "id", "rank").collect()} == brute(q, p, k, r)
+
+
+def test_far_apart_one_sided_and_missing_positions(spark):
+    p = pd.DataFrame({"id": [1, 2, 3, 4], "px": [0.0, 1e6, np.nan, 5.0], "py": [0.0, -1e6, 1.0, 5.0], "v": [1.0] * 4})
+    q = pd.DataFrame({"q": [1, 2, 3], "qx": [1e7, 0.1, np.nan], "qy": [3.0, 0.2, 0.0]})
+    n = nearest(spark.createDataFrame(q), spark.createDataFrame(p), ["q"], ["id"], 2, None, 1.0)
+    assert {(x["q"], x["id"], x["rank"]) for x in n.collect()} == brute(q[:2], p[p["id"] != 3], 2, None)
+    empty = spark.createDataFrame(p).limit(0)
+    assert nearest(spark.createDataFrame(q), empty, ["q"], ["id"], 2, None, 1.0).count() == 0
+    assert nearest(spark.createDataFrame(q).limit(0), spark.createDataFrame(p), ["q"], ["id"], 2, 5.0, 1.0).count() == 0
+
+
+def test_a_table_with_itself(spark):
+    p = cloud(80, 13).rename(columns={"px": "qx", "py": "qy"})
+    t = spark.createDataFrame(p)
+    n = nearest(t.withColumnRenamed("id", "q"), t, ["q"], ["id"], 3, None, 5.0, pxy=("qx", "qy"))
+    assert {(x["q"], x["id"], x["rank"]) for x in n.collect()} == brute(p.rename(columns={"id": "q"}), p.rename(columns={"qx": "px", "qy": "py"}), 3, None)
