@@ -10,15 +10,34 @@ from soundlake.functions import acoustic as A
 from soundlake.operators import radiometry as R
 from soundlake.operators.lineage import cut
 
-ROUNDS, K = 200, 5  # the SQL runs on after the clusters stay
+ROUNDS, K = 60, 5  # the SQL runs on after the clusters stay
+
+
+def splits_sql(top: int) -> str:
+    """``ce(k, i, c)``: best centres for every number of clusters, by dynamic programming over all splits; first of the values at two decimals, then of every value
+    close to a split found so."""
+
+    def layer(t: str, groups: str) -> str:
+        return f"""xs{t} AS (SELECT count(*)::DOUBLE AS n, sum(z) AS s, min(z) AS z0 FROM ({groups}) GROUP BY g),
+    cu{t} AS MATERIALIZED (SELECT row_number() OVER (ORDER BY z0) AS j, z0, sum(n) OVER (ORDER BY z0) AS n, sum(s) OVER (ORDER BY z0) AS s FROM xs{t}),
+    dp{t}(k, j, gain, cuts) AS (SELECT 1, j, s * s / n, []::BIGINT[] FROM cu{t} UNION ALL
+      SELECT any_value(d.k) + 1, c.j, max(d.gain + (c.s - p.s) ** 2 / (c.n - p.n)), arg_max(list_append(d.cuts, d.j), d.gain + (c.s - p.s) ** 2 / (c.n - p.n))
+      FROM dp{t} d JOIN cu{t} p ON p.j = d.j JOIN cu{t} c ON c.j > d.j WHERE d.k < {top} GROUP BY c.j),
+    bs{t} AS MATERIALIZED (SELECT k, list_append(list_prepend(0, cuts), j) AS ends FROM dp{t} WHERE j = (SELECT max(j) FROM cu{t}))"""
+
+    return f"""{layer('1', 'SELECT z, ROUND(z, 2) AS g FROM zz')},
+    bo AS MATERIALIZED (SELECT DISTINCT z0 AS b FROM (SELECT unnest(ends[2:len(ends) - 1]) + 1 AS j FROM bs1) JOIN cu1 USING (j)),
+    nr AS MATERIALIZED (SELECT DISTINCT z FROM zz JOIN bo ON z BETWEEN b - 0.008 AND b + 0.008),
+    {layer('2', 'SELECT z, CASE WHEN nr.z IS NULL THEN ROUND(zz.z, 2) ELSE 1000 + zz.z END AS g FROM zz LEFT JOIN nr USING (z)')},
+    ce AS MATERIALIZED (SELECT k, i, (b.s - coalesce(a.s, 0)) / (b.n - coalesce(a.n, 0)) AS c FROM (SELECT k, unnest(range(1, len(ends))) AS i, ends FROM bs2) LEFT JOIN cu2 a ON a.j = ends[i] JOIN cu2 b ON b.j = ends[i + 1])"""
 
 
 def lloyd_sql(k: int, t: str) -> str:
-    """Lloyd's rounds over ``zz`` as a recursion whose state is the row of centres; ``t`` is the last one."""
-    seeds = ", ".join(f"quantile_cont(z, {(i + 0.5) / k!r}::DOUBLE)" for i in range(k))
+    """From those clusters exact means over ``zz`` in rounds, as a recursion whose state is the row of centres; ``t`` is the last one."""
+    seeds = ", ".join(f"any_value(c) FILTER (WHERE i = {i + 1})" for i in range(k))
     means = ", ".join(f"coalesce(avg(z) FILTER (WHERE {label_sql(k, 'k')} = {i}), any_value(k.c{i}))" for i in range(k))
     state = ", ".join(f"c{i}" for i in range(k))
-    return f"""{t}_(i, {state}) AS (SELECT 0, {seeds} FROM zz UNION ALL SELECT any_value(k.i) + 1, {means} FROM zz, {t}_ k WHERE k.i < {ROUNDS} HAVING count(*) > 0),
+    return f"""{t}_(i, {state}) AS (SELECT 0, {seeds} FROM ce WHERE k = {k} UNION ALL SELECT any_value(k.i) + 1, {means} FROM zz, {t}_ k WHERE k.i < {ROUNDS} HAVING count(*) > 0),
     {t} AS (SELECT * FROM {t}_ WHERE i = {ROUNDS})"""
 
 
@@ -28,7 +47,7 @@ def label_sql(k: int, t: str) -> str:
 
 def cluster_sql(top: int) -> str:
     """``cen(cs)``: centres after refitting with fewer clusters. All fits are made; a recursion walks from one to the next."""
-    fits = ",\n".join(lloyd_sql(k, f"f{k}") for k in range(1, top + 1))
+    fits = splits_sql(top) + ",\n" + ",\n".join(lloyd_sql(k, f"f{k}") for k in range(1, top + 1))
     each = " UNION ALL ".join(
         f"SELECT {k} AS k, [{', '.join(f'any_value(f{k}.c{i})' for i in range(k))}] AS cs, [{', '.join(f'count(*) FILTER (WHERE {label_sql(k, f'f{k}')} = {i})' for i in range(k))}] AS ns FROM zz, f{k}"
         for k in range(1, top + 1)
@@ -51,10 +70,10 @@ def scores(spark, d):
     return cut(z)  # read once per round
 
 
-@check("m1_kmeans", "sample", f"WITH RECURSIVE {ZZ}, {lloyd_sql(K, 'fit')} SELECT label, count(*) AS n, ROUND(avg(z), 6) AS centre FROM (SELECT z, {label_sql(K, 'fit')} AS label FROM zz, fit) GROUP BY label")
+@check("m1_kmeans", "sample", f"WITH RECURSIVE {ZZ}, {splits_sql(K)}, {lloyd_sql(K, 'fit')} SELECT label, count(*) AS n, ROUND(avg(z), 6) AS centre FROM (SELECT z, {label_sql(K, 'fit')} AS label FROM zz, fit) GROUP BY label")
 def _(spark, d):
     z = scores(spark, d)
-    centres, _ = R.lloyd(z, "z", K)
+    centres, _ = R.optimal_clusters(z, "z", K)
     return R.label(z, "z", centres).groupBy("label").agg(F.count("*").alias("n"), r(F.avg("z")).alias("centre"))
 
 

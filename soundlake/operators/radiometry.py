@@ -87,68 +87,134 @@ def _nearest_centre(v: Column, centres: list[float]) -> Column:
     return sum(((v > m).cast("int") for m in mids), F.lit(0))
 
 
-#: Even buckets into which the values are summed once; more rounds than any run needs, after which an error is raised.
-SUM_BUCKETS, SAFETY = 4096, 1000
-#: Values of a bucket that may go to the driver.
-FETCH = 100_000
+#: Even buckets into which the values are summed once, parts of a bucket that is looked into again, and how often that may go on.
+BUCKETS, PARTS, DEEPER = 4096, 256, 40
+#: A bucket is split where its own spread could matter: count times width squared above this share of the clusters' spread. Most that are split at once.
+COARSE, AT_ONCE = 1e-5, 64
+#: More rounds than any run needs to settle, after which an error is raised.
+SAFETY = 1000
 
 
-def lloyd(df: DataFrame, value: str, k: int) -> tuple[list[float], list[int]]:
-    """Centres (ascending) and sizes of k clusters, seeded at even quantiles, iterated until they stay.
+def best_splits(n: np.ndarray, s: np.ndarray, k: int) -> list[list[int]]:
+    """For 1 to ``k`` clusters the starts of all but the first, such that the sum of squares within clusters of sorted buckets is the least.
 
-    The values are reduced once to count and sum per bucket, a table of fixed size. A round adds these up; only the buckets that a border between two centres cuts
-    are looked into, once for each border. In one dimension the sizes tell the clusters, so equal sizes end the loop.
+    That is the largest sum of S*S/N over clusters. The best last split moves right with the end, so each layer halves its way through the ends
+    and every end looks only between the splits of its neighbours.
     """
-    probs = {f"q{i}": (i + 0.5) / k for i in range(k)}
-    row = quantiles(df, [], value, probs).first()
-    if row is None:
-        return [], []
-    centres = sorted({float(x) for x in row})
-    v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
-    lo, hi = v.agg(F.min("v"), F.max("v")).first()
-    step = (hi - lo) / SUM_BUCKETS or 1.0
-    v = v.withColumn("b", F.least(F.floor((F.col("v") - lo) / step), F.lit(SUM_BUCKETS - 1)).cast("int"))
-    v = cut(v.repartitionByRange("b").sortWithinPartitions("b"), "buckets")
-    table = {r.b: (r.n, r.s) for r in v.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")).collect()}
-    below: dict[float, tuple[int, float]] = {}
-    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def look(borders: list[float]) -> None:
-        """Count and sum of the values at or below each new border: whole buckets from the table, those around it from the stored values.
-
-        A bucket of few values is fetched once, since later borders fall into it again; in a larger one Spark adds up.
-        """
-        new = {x: min(max(int((x - lo) // step), 0), SUM_BUCKETS - 1) for x in borders if x not in below}
-        around = {x: [b for b in (at - 1, at, at + 1) if b in table] for x, at in new.items()}
-        small = sorted({b for bs in around.values() for b in bs if b not in held and table[b][0] <= FETCH})
-        if small:
-            rows = v.where(F.col("b").isin(small)).select("b", "v").toPandas().sort_values(["b", "v"])
-            held.update({b: (g["v"].to_numpy(), np.append(0.0, np.cumsum(g["v"].to_numpy()))) for b, g in rows.groupby("b")})
-        for x, at in new.items():
-            n, s = (sum(t[j] for b, t in table.items() if b < at - 1) for j in (0, 1))
-            for b in around[x]:
-                if b in held:
-                    k = int(np.searchsorted(held[b][0], x, "right"))
-                    n, s = n + k, s + float(held[b][1][k])
-                else:
-                    m = v.where((F.col("b") == b) & (F.col("v") <= x)).agg(F.count(F.lit(1)), F.sum("v")).first()
-                    n, s = n + m[0], s + (m[1] or 0.0)
-            below[x] = n, s
-
+    at_n, at_s = np.append(0.0, np.cumsum(n)), np.append(0.0, np.cumsum(s))
+    m = len(n)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(at_n > 0, at_s * at_s / at_n, 0.0)
+    found, cuts = [[]], []
+    for c in range(2, min(k, m) + 1):
+        new, cut_at = np.full(m + 1, -np.inf), np.zeros(m + 1, np.int64)
+        todo = [(c, m, c - 1, m - 1)]
+        while todo:
+            lo, hi, left, right = todo.pop()
+            if lo > hi:
+                continue
+            end = (lo + hi) // 2
+            i = np.arange(left, min(right, end - 1) + 1)
+            total = gain[i] + (at_s[end] - at_s[i]) ** 2 / (at_n[end] - at_n[i])
+            best = int(i[np.argmax(total)])
+            new[end], cut_at[end] = total.max(), best
+            todo += [(lo, end - 1, left, best), (end + 1, hi, best, right)]
+        cuts.append(cut_at)
+        gain, ends = new, [m]
+        for at in reversed(cuts):
+            ends.append(int(at[ends[-1]]))
+        found.append(ends[:0:-1])
+    return found
+
+
+def bucket_sums(values: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(count, sum) of ``v`` in sorted buckets, narrow where a border between up to ``k`` clusters may run.
+
+    One scan, one for each time that a bucket holds so much that its own spread matters, as next to an outlier, and one for the buckets at the
+    borders. At most BUCKETS + (DEEPER + 1) * AT_ONCE * PARTS rows reach the driver.
+    """
+    lo, hi = values.agg(F.min("v"), F.max("v")).first()
+    if lo is None:
+        return np.zeros(0), np.zeros(0)
+    step = (hi - lo) / BUCKETS or 1.0
+    at = F.least(F.floor((F.col("v") - lo) / step), F.lit(BUCKETS - 1)).cast("int")
+    sums = (F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+
+    def rows(df: DataFrame) -> list[tuple]:
+        return [tuple(r)[1:] for r in df.groupBy("b").agg(*sums).collect()]
+
+    def arrays() -> tuple[np.ndarray, ...]:
+        table.sort(key=lambda b: b[2])
+        return tuple(np.array(x, np.float64) for x in zip(*table, strict=True))
+
+    def finer(which: list[int]) -> list[tuple]:
+        """The table with these buckets cut into parts."""
+        part = F.lit(None).cast("int")
+        for i in which:
+            low, high = float(table[i][2]), float(table[i][3])
+            inside = F.floor((F.col("v") - low) / ((high - low) / PARTS))
+            part = F.when(F.col("v").between(low, high), i * PARTS + F.least(inside, F.lit(PARTS - 1))).otherwise(part)
+        return [b for i, b in enumerate(table) if i not in set(which)] + rows(values.withColumn("b", part).where("b is not null"))
+
+    table = rows(values.withColumn("b", at))
+    for _ in range(DEEPER):
+        n, s, low, high = arrays()
+        ends = [0, *best_splits(n, s - n * (s.sum() / n.sum()), k)[-1], len(n)]
+        spread = sum(float(np.sum(n[a:b] * (s[a:b] / n[a:b] - s[a:b].sum() / n[a:b].sum()) ** 2)) for a, b in zip(ends, ends[1:]))
+        own = n * (high - low) ** 2
+        wide = [i for i in np.argsort(-own)[:AT_ONCE].tolist() if own[i] > COARSE * spread and high[i] > low[i]]
+        if not wide:
+            break
+        table = finer(wide)
+    n, s, low, high = arrays()
+    borders = [e for splits in best_splits(n, s - n * (s.sum() / n.sum()), k) for e in splits]
+    near = {i for e in borders for i in range(e - 2, e + 2) if 0 <= i < len(n) and high[i] > low[i]}
+    if near:
+        table = finer(sorted(near)[: AT_ONCE * 2])
+        n, s, _, _ = arrays()
+    return n, s
+
+
+def settle(values: DataFrame, centres: list[float]) -> tuple[list[float], list[int]]:
+    """Centres moved to the exact means of the values nearest to them until the sizes stay: a scan a round, of which few are needed from a good start."""
     sizes: list[int] = []
-    total = sum(n for n, _ in table.values()), sum(s for _, s in table.values())
     for _ in range(SAFETY):
-        borders = [(a + b) / 2 for a, b in zip(centres, centres[1:])]
-        look(borders)
-        ends = [(0, 0.0), *[below[x] for x in borders], total]
-        parts = [(b[0] - a[0], b[1] - a[1]) for a, b in zip(ends, ends[1:])]
-        centres = sorted(s / n if n else c for (n, s), c in zip(parts, centres))
-        if [n for n, _ in parts] == sizes:
+        own = _nearest_centre(F.col("v"), centres)
+        parts = {r.c: (r.n, r.s) for r in values.groupBy(own.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")).collect()}
+        new = [parts.get(i, (0, 0.0))[0] for i in range(len(centres))]
+        centres = sorted(parts[i][1] / parts[i][0] if i in parts else c for i, c in enumerate(centres))
+        if new == sizes:
             return centres, sizes
-        sizes = [n for n, _ in parts]
+        sizes = new
     raise RuntimeError(f"no stable clusters after {SAFETY} rounds")
 
 
+def optimal_clusters(df: DataFrame, value: str, k: int) -> tuple[list[float], list[int]]:
+    """Centres (ascending) and sizes of the ``k`` clusters of least squared distance; fewer where there are fewer different values.
+
+    In one dimension clusters are runs of sorted values, so no seeding and no restarts are needed: dynamic programming finds the best runs over sums of
+    narrow buckets, and a few exact rounds settle the values next to a border. The result does not depend on chance or on the order of rows.
+    """
+    found = _ladder(df, value, k)
+    return found(k) if found else ([], [])
+
+
+def _ladder(df: DataFrame, value: str, k: int):
+    """Optimal clusters of any number up to ``k``, from one set of bucket sums; None without values."""
+    values = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    n, s = bucket_sums(values, k)
+    if not len(n):
+        return None
+    shift = s.sum() / n.sum()
+    splits = best_splits(n, s - n * shift, k)
+
+    def fit(c: int) -> tuple[list[float], list[int]]:
+        ends = [0, *splits[min(c, len(splits)) - 1], len(n)]
+        return settle(values, [float(s[a:b].sum() / n[a:b].sum()) for a, b in zip(ends, ends[1:])])
+
+    return fit
+
+
 def merged_count(centres: list[float], sizes: list[int], spread: float, share: float = 0.01, near: float = 0.02) -> int:
     """How many clusters remain after dropping tiny ones and those too close to their lower neighbour."""
     total = sum(sizes)
@@ -160,14 +226,15 @@ def merged_count(centres: list[float], sizes: list[int], spread: float, share: f
 def cluster(df: DataFrame, value: str, k: int = 7, refits: int = 10) -> list[float]:
     """Centres after refitting with fewer clusters until no two of them merge.
 
-    The centres are those of the last fit; merging only lowers k for the next one.
+    The centres are those of the last fit; merging only lowers k for the next one. All fits share one set of bucket sums.
     """
     q = quantiles(df, [], value, {"lo": 0.05, "hi": 0.95}).first()
-    if q is None:
+    fit = None if q is None else _ladder(df, value, k)
+    if fit is None:
         return []
     centres: list[float] = []
     for _ in range(refits):
-        centres, sizes = lloyd(df, value, k)
+        centres, sizes = fit(k)
         left = merged_count(centres, sizes, q["hi"] - q["lo"])
         if left == 0 or left == k:
             break
