@@ -9,7 +9,7 @@ from soundlake.functions import acoustic as A
 from soundlake.operators import cube, mosaic
 from soundlake.operators import radiometry as R
 from soundlake.operators import stats as S
-from soundlake.operators.lineage import cut
+from soundlake.operators.lineage import cut, scratch
 from soundlake.operators.stats import attach
 from soundlake.plans import jobs
 
@@ -187,14 +187,27 @@ def _(spark, d):
     return q.select(*[r(c).alias(c) for c in q.columns])
 
 
-@check("t1_best_sample", "sample", "WITH " + BEST.format(src="sample", db="CASE WHEN bs > 10000 THEN bs END") + """
-    SELECT "row", col, bs AS db, CAST(num AS INTEGER) AS label, ROUND(exp(-pow((angle - 45) / 12, 2)), 9) AS weight FROM b WHERE k = 1""")
+BEST_SQL = "WITH " + BEST.format(src="sample", db="CASE WHEN bs > 10000 THEN bs END") + """
+    SELECT "row", col, bs AS db, CAST(num AS INTEGER) AS label, ROUND(exp(-pow((angle - 45) / 12, 2)), 9) AS weight FROM b WHERE k = 1"""
+
+
+@check("t1_best_sample", "sample", BEST_SQL)
 def _(spark, d):
     s = sample(spark, d).withColumn("db", F.when(F.col("bs") > 10000, F.col("bs")))
     b = mosaic.best_sample(s, SAMPLE_GRID, "db", "angle", "num", SAMPLE_TIE)
     return b.select("row", "col", "db", "label", r("weight", 9).alias("weight"))
 
 
+@check("t1_growing_mosaic", "sample", BEST_SQL)
+def _(spark, d):
+    """Lines added in four goes, the second of them twice, to a stored mosaic."""
+    s = sample(spark, d).withColumn("db", F.when(F.col("bs") > 10000, F.col("bs")))
+    path = scratch(spark, "mosaic")
+    for i in (2, 0, 3, 0, 1):
+        mosaic.add_samples(path, s.where(F.col("line") % 4 == i), SAMPLE_GRID, "db", "angle", "num", SAMPLE_TIE, bits=4)
+    return mosaic.stored_winners(spark, path).select("row", "col", "db", "label", r("weight", 9).alias("weight"))
+
+
 def winners(spark, d):
     g = R.normalise_gain(sample(spark, d), ["line", "channel"], "bs", "lin").withColumn("db", A.to_db(F.col("lin")))
     return mosaic.best_sample(g, SAMPLE_GRID, "db", "angle", "num", SAMPLE_TIE)
