@@ -62,17 +62,27 @@ INBOX = """ib AS (SELECT box, cb.* FROM bx JOIN cb ON x BETWEEN least(x0, x1) AN
     ul AS (SELECT box, unnest(['bathymetry', 'sediment_class', 'rl', 'isopach']) AS layer, unnest([bathymetry, sediment_class::DOUBLE, rl, isopach]) AS v FROM ib)"""
 
 
-@check("a13_region_stats", "raster", f"""WITH {CUBE}, {BOXES}, {INBOX}, nm AS (SELECT box, layer, round_even(min(v), 4) AS vmin, round_even(max(v), 4) AS vmax, {sql5('avg(v)', 4)} AS vmean FROM ul WHERE v IS NOT NULL AND layer <> 'sediment_class' GROUP BY ALL),
+REGION = f"""WITH {CUBE}, {BOXES}, {INBOX}, nm AS (SELECT box, layer, round_even(min(v), 4) AS vmin, round_even(max(v), 4) AS vmax, round_even(sum(v) / count(v), 4) AS vmean FROM ul WHERE v IS NOT NULL AND layer <> 'sediment_class' GROUP BY ALL),
     ct AS (SELECT box, v, count(*) AS n FROM ul WHERE v IS NOT NULL AND layer = 'sediment_class' GROUP BY ALL),
     dm AS (SELECT box, arg_max(v, (n, -v)) AS v, ROUND(100.0 * max(n) / sum(n), 1) AS purity FROM ct GROUP BY box),
     ls AS (SELECT box, x0, x1, y0, y1, unnest(['bathymetry', 'sediment_class', 'rl', 'isopach']) AS layer FROM bx)
     SELECT ls.box, ls.layer, round_even(abs(x1 - x0), 1) AS width_m, round_even(abs(y1 - y0), 1) AS height_m, vmin, vmax, vmean, CASE WHEN ls.layer = 'sediment_class' AND v IS NOT NULL THEN {LABEL} END AS dominant, CASE WHEN ls.layer = 'sediment_class' THEN purity END AS purity
-    FROM ls LEFT JOIN nm ON nm.box = ls.box AND nm.layer = ls.layer LEFT JOIN dm ON dm.box = ls.box""")
+    FROM ls LEFT JOIN nm ON nm.box = ls.box AND nm.layer = ls.layer LEFT JOIN dm ON dm.box = ls.box"""
+
+
+@check("a13_region_stats", "raster", REGION)
 def _(spark, d):
-    inside = C.cells_in_boxes(the_cube(spark, d), boxes(spark, d), the_grid(spark, d), LAYERS, 16)
-    mean = C.melt(inside, ["box"], LAYERS).where("layer <> 'sediment_class'").groupBy("box", "layer").agg(r5(F.avg("value"), 4).alias("vmean"))
     q = C.region_query(boxes(spark, d), the_cube(spark, d), the_grid(spark, d), LAYERS, "sediment_class", tile=16)
-    q = q.drop("vmean").join(mean, ["box", "layer"], "left")
+    return q.select("box", "layer", "width_m", "height_m", "vmin", "vmax", "vmean", "dominant", "purity")
+
+
+@check("a13_region_pyramid", "raster", REGION.replace("FROM nation)", "FROM nation UNION ALL SELECT 100 + r_regionkey, {LEFT}::DOUBLE - 7 + r_regionkey * 61, {TOP}::DOUBLE + 11, {LEFT}::DOUBLE + 460 + r_regionkey, {TOP}::DOUBLE - 690 + r_regionkey * 33 FROM region)".format(LEFT=LEFT, TOP=TOP)))
+def _(spark, d):
+    """Small boxes and five that cover most of the grid, from stored sums of tiles."""
+    k = F.col("r_regionkey")
+    large = table(spark, d, "region").select((100 + k).alias("box"), (LEFT - 7 + k * 61).alias("x0"), F.lit(TOP + 11).alias("y0"), (LEFT + 460 + k).alias("x1"), (TOP - 690 + k * 33).alias("y1"))
+    c, g = the_cube(spark, d), the_grid(spark, d)
+    q = C.region_query(boxes(spark, d).unionByName(large), c, g, LAYERS, "sediment_class", summed=C.pyramid(c, g, LAYERS, "sediment_class", side=8))
     return q.select("box", "layer", "width_m", "height_m", "vmin", "vmax", "vmean", "dominant", "purity")
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soundlake.checks.base import check, micros, r, raster, table
@@ -66,8 +68,8 @@ def record(us: int, value: float, i: int, kind: str) -> bytes:
     return message(2002, 0, 0, when + b"\0" * 4 + line.encode() + b"\r\n")
 
 
-def blobs(spark, d):
-    """Per (line, three days): a byte stream of messages with garbage before every seventh one."""
+def blobs(spark, d, days=3):
+    """Per line and so many days: a byte stream of messages with garbage before every seventh one."""
     e = table(spark, d, "events").select(
         F.col("event_id").alias("id"), F.col("user_id").alias("line"), micros("ts").alias("us"), "value", F.col("event_type").alias("kind"))
 
@@ -81,7 +83,7 @@ def blobs(spark, d):
 
     m = e.mapInPandas(pack, "id long, line long, us long, b binary")
     parts = F.array_sort(F.collect_list(F.struct("id", "b")))
-    g = m.groupBy("line", F.floor(F.col("us") / (3 * 86400 * 1000000)).alias("slot")).agg(parts.alias("p"))
+    g = m.groupBy("line", F.floor(F.col("us") / (days * 86400 * 1000000)).alias("slot")).agg(parts.alias("p"))
     hexes = F.array_join(F.transform("p", lambda x: F.hex(x["b"])), "")
     return g.select(F.concat_ws("/", "line", "slot").alias("name"), F.unhex(hexes).alias("blob"))
 
@@ -90,7 +92,7 @@ def messages(spark, d):
     return sonar.scan_blobs(blobs(spark, d), "name", "blob")
 
 
-def files(spark, d):
+def files(spark, d, days=3):
     """The same streams as files in the shared folder: (path, length)."""
     folder = scratch(spark, "jsf")
 
@@ -106,7 +108,7 @@ def files(spark, d):
                     f.write(blob)
             yield pd.DataFrame({"path": [f"{folder}/{n}.jsf" for n in p["name"]], "length": [len(b) for b in p["blob"]]})
 
-    return cut(blobs(spark, d).mapInPandas(put, "path string, length long"), "files")
+    return cut(blobs(spark, d, days).mapInPandas(put, "path string, length long"), "files")
 
 
 def indexed(spark, d):
@@ -134,6 +136,13 @@ def _(spark, d):
     return indexed(spark, d).select(name(), "seq", "msg_type", "subsys", "channel")
 
 
+@check("s3_split_index", "", """SELECT user_id || '/' || CAST(floor(epoch_us(ts) / (3000 * 86400 * 1000000.0)) AS BIGINT) AS file, row_number() OVER (PARTITION BY user_id, floor(epoch_us(ts) / (3000 * 86400 * 1000000.0)) ORDER BY event_id) - 1 AS seq,
+    CASE WHEN event_type IN ('view', 'click') THEN 80 WHEN event_type = 'error' THEN 2020 ELSE 2002 END AS msg_type, CASE WHEN event_type = 'view' THEN CAST(20 + event_id % 2 AS INTEGER) ELSE 0 END AS subsys FROM events""")
+def _(spark, d):
+    """Long files, each cut into ranges of 4 kB."""
+    return sonar.index_files(files(spark, d, 3000), span=4096).select(name(), "seq", "msg_type", "subsys")
+
+
 BIT = "((i % 1024) >> {b}) & 1 = 1"
 
 
@@ -200,7 +209,47 @@ def _(spark, d):
     dim = spark.createDataFrame([("depth", "m", "float32", "continuous", ""), ("gone", "", "float32", "continuous", ""), ("cls", "", "int8", "categorical", "")], C.LAYER_SCHEMA)
     path = scratch(spark, "cube")
     C.write(jobs.build_cube(a.unionByName(b), dim, RA.Grid(10.0, 200.0, 1.0, 200, 100)), path)
-    return C.read(spark, path).drop("tile_row", "tile_col")
+    return C.read(spark, path)
+
+
+BITS = 3  # parts of 8 x 8 cells
+BOXES = [(12.4, 190.2, 31.0, 120.0), (-5.0, 300.0, 22.0, 195.5), (40.5, 170.5, 41.4, 169.6), (95.0, 60.0, 500.0, -80.0), (300.0, 10.0, 400.0, 0.0)]
+BOX_ROWS = ", ".join(f"({i}, {a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE, {d}::DOUBLE)" for i, (a, b, c, d) in enumerate(BOXES))
+
+
+def stored_cube(spark, d):
+    path = scratch(spark, "cube")
+    g = raster(spark, d).withColumnRenamed("z", "depth")
+    C.write(g, path, BITS)
+    return path, RA.Grid(10.0, 200.0, 1.0, 10**6, 100)
+
+
+@check("s11_cube_box", "raster", f"""WITH b(box, x0, y0, x1, y1) AS (VALUES {BOX_ROWS}) SELECT box::INTEGER AS box, "row", col, z AS depth FROM raster JOIN b ON 10 + (col + 0.5)::DOUBLE BETWEEN x0 AND x1 AND 200 - ("row" + 0.5)::DOUBLE BETWEEN y1 AND y0""")
+def _(spark, d):
+    path, grid = stored_cube(spark, d)
+    found = [C.read_box(spark, path, grid, b, BITS).select(F.lit(i).alias("box"), "row", "col", "depth") for i, b in enumerate(BOXES)]
+    return reduce(DataFrame.unionByName, found)
+
+
+@check("s11_cube_pruning", "raster", f"""WITH b(box, x0, y0, x1, y1) AS (VALUES {BOX_ROWS}), p AS (SELECT DISTINCT "row" // 8 AS r, col // 8 AS c FROM raster),
+    h AS (SELECT box, count(*) AS n FROM b JOIN p ON (r * 8 + 7) >= ceil(200 - y0 - 0.5) AND r * 8 <= floor(200 - y1 - 0.5) AND (c * 8 + 7) >= ceil(x0 - 10 - 0.5) AND c * 8 <= floor(x1 - 10 - 0.5) GROUP BY box)
+    SELECT box::INTEGER AS box, coalesce(n, 0)::BIGINT AS files_read, (SELECT count(*) FROM p) AS files_present FROM b LEFT JOIN h USING (box)""")
+def _(spark, d):
+    """Files that a box reads, as the scan itself counts them, next to those present: one file a part."""
+    path, grid = stored_cube(spark, d)
+    present = spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+    return spark.createDataFrame([(i, files_read(C.read_box(spark, path, grid, b, BITS)), present) for i, b in enumerate(BOXES)], "box int, files_read long, files_present long")
+
+
+def files_read(df) -> int:
+    """Files that the scans of a query opened when it ran."""
+    df = df.select("*")  # a plan of its own: a scan counts its files once
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    leaves = plan.collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size()) if leaves.apply(i).nodeName().startswith("Scan parquet")]
+    return sum(s.metrics().apply("numFiles").value() for s in scans)
 
 
 @check("s14_targets_round_trip", "spot", f"""WITH {RANKED} SELECT {TID} AS target_id, CAST(printf('%.2f', x + 0.001) AS DOUBLE) AS x_m, CAST(printf('%.2f', y + 0.001) AS DOUBLE) AS y_m, CAST(printf('%.6f', 120.7 + x / 1e5) AS DOUBLE) AS lon,

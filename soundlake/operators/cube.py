@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from soundlake.functions import acoustic as A
 from soundlake.functions.geo import nearest_centre, project, unproject
+from soundlake.operators.lineage import cut, release
 from soundlake.operators.raster import Grid
 from soundlake.operators.stats import attach, quantiles, summary
 
@@ -143,27 +148,117 @@ def cells_in_boxes(cube: DataFrame, boxes: DataFrame, grid: Grid, layers: list[s
     return j.where(F.col("x").between(F.col("bx0"), F.col("bx1")) & F.col("y").between(F.col("by0"), F.col("by1")))
 
 
+def tile_sums(cells: DataFrame, keys: list[str], layers: list[str], class_layer: str | None) -> DataFrame:
+    """(keys, layer, c, n, vmin, vmax, vsum): sums that merge; the class layer has a row per class ``c``."""
+    long = melt(cells, keys, layers).where(F.col("value").isNotNull())
+    c = F.when(F.col("layer") == F.lit(class_layer or ""), F.col("value").cast("int"))
+    return long.groupBy(*keys, "layer", c.alias("c")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("vmin"), F.max("value").alias("vmax"), F.sum("value").alias("vsum")
+    )
+
+
+def merged_sums(sums: DataFrame, keys: list[str]) -> DataFrame:
+    return sums.groupBy(*keys, "layer", "c").agg(F.sum("n").alias("n"), F.min("vmin").alias("vmin"), F.max("vmax").alias("vmax"), F.sum("vsum").alias("vsum"))
+
+
+@dataclass(frozen=True)
+class Pyramid:
+    """Sums of a cube's layers over tiles of ``side`` cells, over tiles of FAN x FAN of those, and so on up to one tile.
+
+    ``sums`` is (level, tr, tc, layer, c, n, vmin, vmax, vsum), a table that is stored once and answers any box.
+    """
+
+    sums: DataFrame
+    side: int
+    levels: int
+    layers: tuple[str, ...]
+    class_layer: str | None
+
+
+#: Tiles of one level along a side of a tile of the next.
+FAN = 4
+
+
+def pyramid(cube: DataFrame, grid: Grid, layers: list[str], class_layer: str | None = None, side: int = 64) -> Pyramid:
+    """One pass over the cells for the smallest tiles; every further level reads the level below."""
+    levels = 1
+    while side * FAN ** (levels - 1) < max(grid.nrows, grid.ncols):
+        levels += 1
+    tiles = cube.withColumn("tr", F.floor(F.col("row") / side)).withColumn("tc", F.floor(F.col("col") / side))
+    below = cut(tile_sums(tiles, ["tr", "tc"], layers, class_layer), "pyramid")
+    parts = [below.withColumn("level", F.lit(0))]
+    for i in range(1, levels):
+        up = below.withColumn("tr", F.floor(F.col("tr") / FAN)).withColumn("tc", F.floor(F.col("tc") / FAN))
+        below = merged_sums(up, ["tr", "tc"])
+        parts.append(below.withColumn("level", F.lit(i)))
+    sums = cut(reduce(DataFrame.unionByName, parts), "pyramid")
+    release(parts[0])
+    return Pyramid(sums, side, levels, tuple(layers), class_layer)
+
+
+def _covering(boxes: DataFrame, grid: Grid, side: int, levels: int) -> tuple[DataFrame, DataFrame]:
+    """(tiles of any level that lie inside a box and in no larger such tile, smallest tiles that its rim cuts); arithmetic on the boxes alone."""
+    lo_x, hi_x, lo_y, hi_y = F.least("x0", "x1"), F.greatest("x0", "x1"), F.least("y0", "y1"), F.greatest("y0", "y1")
+    west, east = (lo_x - grid.left) / grid.res, (hi_x - grid.left) / grid.res
+    north, south = (grid.top - hi_y) / grid.res, (grid.top - lo_y) / grid.res
+    b = boxes.select(
+        "box",
+        F.greatest(F.floor(north), F.lit(0)).alias("r0"), F.least(F.floor(south), F.lit(grid.nrows - 1)).alias("r1"),
+        F.greatest(F.floor(west), F.lit(0)).alias("c0"), F.least(F.floor(east), F.lit(grid.ncols - 1)).alias("c1"),
+        # Whole cells inside, with half a cell to spare around their centres; beyond the grid's edge there is nothing to miss.
+        F.when(north <= 0, F.lit(0)).otherwise(F.ceil(north)).alias("i0"), F.when(south >= grid.nrows, F.lit(10**9)).otherwise(F.floor(south) - 1).alias("i1"),
+        F.when(west <= 0, F.lit(0)).otherwise(F.ceil(west)).alias("j0"), F.when(east >= grid.ncols, F.lit(10**9)).otherwise(F.floor(east) - 1).alias("j1"),
+    )
+    steps = F.explode(F.expr(f"flatten(transform(sequence(0, {FAN - 1}), a -> transform(sequence(0, {FAN - 1}), b -> named_struct('a', a, 'b', b))))"))
+    zero = F.lit(0).cast("long")
+    part, inner = b.where("r0 <= r1 and c0 <= c1").withColumns({"tr": zero, "tc": zero}), []
+    for level in reversed(range(levels)):
+        size = side * FAN**level
+        if level < levels - 1:
+            part = part.withColumn("_d", steps).withColumns({"tr": F.col("tr") * FAN + F.col("_d.a"), "tc": F.col("tc") * FAN + F.col("_d.b")}).drop("_d")
+            part = part.where(f"tr * {size} <= r1 and (tr + 1) * {size} > r0 and tc * {size} <= c1 and (tc + 1) * {size} > c0")
+        whole = F.expr(f"tr * {size} >= i0 and least((tr + 1) * {size}, {grid.nrows}) - 1 <= i1 and tc * {size} >= j0 and least((tc + 1) * {size}, {grid.ncols}) - 1 <= j1")
+        inner.append(part.where(whole).select("box", F.lit(level).alias("level"), "tr", "tc"))
+        part = part.where(~whole)
+    return reduce(DataFrame.unionByName, inner), part.select("box", "tr", "tc")
+
+
+def rim_cells(boxes: DataFrame, cube: DataFrame, grid: Grid, summed: Pyramid) -> DataFrame:
+    """The cells that a region query reads: those in a box and in a smallest tile that its rim cuts, so their number grows with the boxes' edges."""
+    _, rim = _covering(boxes, grid, summed.side, summed.levels)
+    size = summed.side
+    cells = grid.centres(cube.select("row", "col", *summed.layers)).withColumn("tr", F.floor(F.col("row") / size)).withColumn("tc", F.floor(F.col("col") / size))
+    b = boxes.select("box", "x0", "x1", "y0", "y1").join(rim, "box")
+    j = cells.join(b, ["tr", "tc"])
+    return j.where(F.col("x").between(F.least("x0", "x1"), F.greatest("x0", "x1")) & F.col("y").between(F.least("y0", "y1"), F.greatest("y0", "y1")))
+
+
 def region_query(
-    boxes: DataFrame, cube: DataFrame, grid: Grid, layers: list[str], class_layer: str | None = None, tile: int = 64
+    boxes: DataFrame, cube: DataFrame, grid: Grid, layers: list[str], class_layer: str | None = None, tile: int = 64, summed: Pyramid | None = None
 ) -> DataFrame:
     """Per (box, layer): min, max, mean, or dominant class and its purity.
 
-    ``boxes`` is (box, x0, y0, x1, y1) with corners in any order. Cells are aggregated straight after
-    the tile join, map-side first.
+    ``boxes`` is (box, x0, y0, x1, y1) with corners in any order. With a stored :func:`pyramid` of these layers, tiles inside a box are answered
+    from it and only the tiles at its rim from cells; without, all cells inside are aggregated straight after the tile join, map-side first.
     """
-    inside = cells_in_boxes(cube, boxes, grid, layers, tile)
-    long = melt(inside, ["box"], layers).where(F.col("value").isNotNull())
-    nums = long.where(F.col("layer") != F.lit(class_layer or "")).groupBy("box", "layer").agg(
-        F.bround(F.min("value"), 4).alias("vmin"),
-        F.bround(F.max("value"), 4).alias("vmax"),
-        F.bround(F.avg("value"), 4).alias("vmean"),
+    if summed is None:
+        sums = tile_sums(cells_in_boxes(cube, boxes, grid, layers, tile), ["box"], layers, class_layer)
+    else:
+        inner, _ = _covering(boxes, grid, summed.side, summed.levels)
+        inner = inner.join(summed.sums, ["level", "tr", "tc"]).drop("level", "tr", "tc")
+        sums = merged_sums(inner.unionByName(tile_sums(rim_cells(boxes, cube, grid, summed), ["box"], list(summed.layers), class_layer)), ["box"])
+        sums = sums.where(F.col("layer").isin(layers))
+    out = sums.where(F.col("layer") != F.lit(class_layer or "")).select(
+        "box",
+        "layer",
+        F.bround("vmin", 4).alias("vmin"),
+        F.bround("vmax", 4).alias("vmax"),
+        F.bround(F.col("vsum") / F.col("n"), 4).alias("vmean"),
+        F.lit(None).cast("string").alias("dominant"),
+        F.lit(None).cast("double").alias("purity"),
     )
-    out = nums.withColumn("dominant", F.lit(None).cast("string")).withColumn("purity", F.lit(None).cast("double"))
     if class_layer:
-        counts = long.where(F.col("layer") == class_layer).groupBy(
-            "box", "layer", F.col("value").cast("int").alias("c")
-        ).agg(F.count(F.lit(1)).alias("n"))
-        dom = counts.groupBy("box", "layer").agg(
+        dom = sums.where(F.col("layer") == class_layer).groupBy("box", "layer").agg(
             F.max_by("c", F.struct("n", -F.col("c"))).alias("c"),
             F.bround(100.0 * F.max("n") / F.sum("n"), 1).alias("purity"),
         )
@@ -227,7 +322,6 @@ def block_query(
     """
     x0, x1 = sorted((box[0], box[2]))
     y0, y1 = sorted((box[1], box[3]))
-    import math
 
     def span(lo: float, hi: float, n: int) -> tuple[int, int]:
         a = max(0, math.ceil(lo / grid.res - 0.5 - 1e-9))
@@ -237,12 +331,12 @@ def block_query(
     c0, c1 = span(x0 - grid.left, x1 - grid.left, grid.ncols)
     r0, r1 = span(grid.top - y1, grid.top - y0, grid.nrows)
     step = max(1, math.ceil(max(c1 - c0 + 1, r1 - r0 + 1) / max_side))
-    frame = grid.cells(cube.sparkSession).where(
-        F.col("row").between(r0, r1) & F.col("col").between(c0, c1)
-        & ((F.col("row") - r0) % step == 0) & ((F.col("col") - c0) % step == 0)
-    )
+    rows, cols = range(r0, r1 + 1, step), range(c0, c1 + 1, step)
+    # At most max_side of each: the frame is made of them alone, and the cube's files are asked for nothing else.
+    ids = cube.sparkSession.range(len(rows) * len(cols))
+    frame = ids.select(*[F.expr(f"CAST({a} + {step} * {at} AS INT)").alias(n) for n, a, at in (("row", r0, f"(id div {max(1, len(cols))})"), ("col", c0, f"(id % {max(1, len(cols))})"))])
     take = ["row", "col", depth] + ([thickness] if thickness else [])
-    near = cube.where(F.col("row").between(r0, r1) & F.col("col").between(c0, c1)).select(*take)
+    near = cube.where(F.col("row").isin(list(rows)) & F.col("col").isin(list(cols))).select(*take)
     d = frame.join(near, ["row", "col"], "left")
     mean = d.agg(F.avg(depth).alias("_mean"))
     d = attach(d, mean, [])
@@ -323,18 +417,76 @@ def target_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def write(cube: DataFrame, path: str, tile: int = 256) -> None:
-    """Wide cells as Parquet in tiles, so that a region or point query prunes to the tiles it touches."""
-    (
-        cube.withColumn("tile_row", F.floor(F.col("row") / tile).cast("int"))
-        .withColumn("tile_col", F.floor(F.col("col") / tile).cast("int"))
-        .repartition("tile_row", "tile_col")
-        .sortWithinPartitions("row", "col")
-        .write.mode("overwrite")
-        .partitionBy("tile_row")
-        .parquet(path)
-    )
+#: Bits of row and column within one part of the space-filling curve: 2048 x 2048 cells.
+PART_BITS = 11
+
+
+def curve_code(row: Column, col: Column) -> Column:
+    """Place of a cell on the Z-order curve: bits of row and column by turns, so that near places are mostly near cells."""
+
+    def spread(v: Column) -> Column:
+        v = v.cast("long")
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return F.shiftleft(spread(row), 1).bitwiseOR(spread(col))
+
+
+def curve_ranges(r0: int, r1: int, c0: int, c1: int, bits: int = PART_BITS, most: int = 64) -> list[tuple[int, int]]:
+    """Parts of the curve that rows r0..r1 and columns c0..c1 touch, as at most ``most`` ranges; where there are more, those with the smallest gaps are joined.
+
+    Quadrants that lie inside are one range each, so the work grows with the edge of the box and not with its area.
+    """
+    if r0 > r1 or c0 > c1:
+        return []
+    r0, r1, c0, c1 = (max(v, 0) >> bits for v in (r0, r1, c0, c1))
+    level = max(r1, c1).bit_length()
+    found, part = [], [(0, 0, 0)]  # ranges, and quadrants that the edge cuts: row, column, code
+    while part:
+        size, cut_by_edge = 1 << level, []
+        for row, col, code in part:
+            if row > r1 or row + size <= r0 or col > c1 or col + size <= c0:
+                continue
+            inside = row >= r0 and row + size - 1 <= r1 and col >= c0 and col + size - 1 <= c1
+            if inside or len(part) > 4 * most:  # finer ones would only be joined again
+                found.append((code, code + size * size - 1))
+            else:
+                cut_by_edge.append((row, col, code))
+        level, half = level - 1, size >> 1
+        part = [(row + a * half, col + b * half, code + (2 * a + b) * half * half) for row, col, code in cut_by_edge for a in (0, 1) for b in (0, 1)]
+    found.sort()
+    gaps = sorted(range(1, len(found)), key=lambda i: found[i - 1][1] - found[i][0])  # the widest first
+    cuts = sorted(i for i in gaps[: most - 1] if found[i][0] > found[i - 1][1] + 1)
+    return [(found[a][0], found[b - 1][1]) for a, b in zip([0, *cuts], [*cuts, len(found)])]
+
+
+def on_curve(cells: DataFrame, bits: int = PART_BITS) -> DataFrame:
+    """Cells dealt out by parts of the curve and in its order within them, with the part as ``curve``: ready to be written partitioned by it."""
+    c = cells.withColumn("_z", curve_code(F.col("row"), F.col("col")))
+    c = c.withColumn("curve", F.shiftright("_z", 2 * bits))
+    return c.repartition("curve").sortWithinPartitions("curve", "_z").drop("_z")
+
+
+def write(cube: DataFrame, path: str, bits: int = PART_BITS) -> None:
+    """Wide cells as Parquet along the curve: a folder for each part, cells in curve order in its file, so that row groups are small blocks of the grid."""
+    on_curve(cube, bits).write.mode("overwrite").partitionBy("curve").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("curve")
+
+
+def within(cells: DataFrame, r0: int, r1: int, c0: int, c1: int, bits: int = PART_BITS) -> DataFrame:
+    """Cells of a box, of a stored table with ``curve``: only folders in the box's ranges are listed, and in their files only row groups that meet it are read."""
+    part = reduce(lambda a, b: a | b, [F.col("curve").between(a, b) for a, b in curve_ranges(r0, r1, c0, c1, bits)], F.lit(False))
+    return cells.where(part & F.col("row").between(r0, r1) & F.col("col").between(c0, c1))
+
+
+def read_box(spark: SparkSession, path: str, grid: Grid, box: tuple[float, float, float, float], bits: int = PART_BITS) -> DataFrame:
+    """Cells of a stored cube whose centres lie in the box (x0, y0, x1, y1); corners in any order."""
+    x0, x1 = sorted((box[0], box[2]))
+    y0, y1 = sorted((box[1], box[3]))
+    c0, c1 = math.ceil((x0 - grid.left) / grid.res - 0.5 - 1e-9), math.floor((x1 - grid.left) / grid.res - 0.5 + 1e-9)
+    r0, r1 = math.ceil((grid.top - y1) / grid.res - 0.5 - 1e-9), math.floor((grid.top - y0) / grid.res - 0.5 + 1e-9)
+    return within(spark.read.parquet(path), max(r0, 0), min(r1, grid.nrows - 1), max(c0, 0), min(c1, grid.ncols - 1), bits).drop("curve")

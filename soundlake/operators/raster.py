@@ -281,11 +281,13 @@ _SIDES = [
 ]
 
 
-def contour_segments(df: DataFrame, grid: Grid, value: str, minor: int = 5, major: int = 10) -> DataFrame:
-    """Marching squares over 2x2 quads of cell centres: one row per segment.
+def crossed_quads(df: DataFrame, value: str, minor: int = 5) -> DataFrame:
+    """Marching squares over 2x2 quads of cell centres: (row, col, lev, code, pt, k) for each segment.
 
     Levels are the multiples of ``minor`` that a quad spans, so no level list is needed. A quad with a
-    missing corner has no segment; a saddle is split by the mean of its corners.
+    missing corner has no segment; a saddle is split by the mean of its corners. ``code`` has a bit for
+    each corner above the level, clockwise from north-west; ``pt`` the crossings of the four sides and
+    ``k`` the two sides that the segment joins.
     """
     c = Window.partitionBy("row").orderBy("col").rangeBetween(1, 1)
     r = Window.partitionBy("col").orderBy("row").rangeBetween(1, 1)
@@ -311,8 +313,12 @@ def contour_segments(df: DataFrame, grid: Grid, value: str, minor: int = 5, majo
     )
     pairs = ", ".join("array(" + ", ".join(f"struct({i} AS i, {j} AS j)" for i, j in p) + ")" for p in _SIDES)
     case = "CASE WHEN code IN (5, 10) AND (code = 5) = ((a + b + d + e) / 4 >= lev) THEN 16 ELSE code END"
-    s = q.select("row", "col", "lev", sides.alias("pt"), F.expr(f"explode(array({pairs})[{case}]) AS k"))
-    s = s.selectExpr("row", "col", "lev", "named_struct('p', pt[k.i], 'q', pt[k.j]) AS s")
+    return q.select("row", "col", "lev", "code", sides.alias("pt"), F.expr(f"explode(array({pairs})[{case}]) AS k"))
+
+
+def contour_segments(df: DataFrame, grid: Grid, value: str, minor: int = 5, major: int = 10) -> DataFrame:
+    """Contours as loose segments, one row each; :func:`soundlake.operators.lines.contour_lines` joins them."""
+    s = crossed_quads(df, value, minor).selectExpr("row", "col", "lev", "named_struct('p', pt[k.i], 'q', pt[k.j]) AS s")
 
     def gx(f: str) -> Column:
         return grid.left + (F.col(f) + 0.5) * grid.res
@@ -463,15 +469,14 @@ def label_median(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def write_layer(df: DataFrame, layer: str, path: str, tile_rows: int = 256, mode: str = "append") -> None:
-    """Cells as Parquet, partitioned by layer and by tiles of rows; NULL instead of a sentinel."""
-    (
-        df.withColumn("layer", F.lit(layer))
-        .withColumn("tile_row", F.floor(F.col("row") / tile_rows).cast("int"))
-        .repartition("layer", "tile_row", F.floor(F.col("col") / tile_rows))
-        .write.mode(mode)
-        .partitionBy("layer", "tile_row")
-        .parquet(path)
-    )
+    """Cells as Parquet, partitioned by layer and by parts of a space-filling curve; NULL instead of a sentinel.
+
+    Boxes of a layer are read with :func:`soundlake.operators.cube.within`.
+    """
+    from soundlake.operators.cube import on_curve
+
+    tiled = on_curve(df.withColumn("tile_row", F.floor(F.col("row") / tile_rows).cast("int")))
+    tiled.withColumn("layer", F.lit(layer)).write.mode(mode).partitionBy("layer", "curve").parquet(path)
 
 
 def read_layer(spark: SparkSession, path: str, layer: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from soundlake import constants as K
 from soundlake.functions import acoustic as A
 from soundlake.functions.geo import offset_position, project, towfish_layback
-from soundlake.operators import along, altitude, cube, mosaic, radiometry, raster, trace
+from soundlake.operators import along, altitude, cube, lines, mosaic, radiometry, raster, trace
 from soundlake.operators.along import Track
 from soundlake.operators.knn import confidence, idw
 from soundlake.operators.lineage import cut
@@ -45,6 +45,12 @@ def depth_contours(depth: DataFrame, grid: Grid, sigma: float = 10.0) -> DataFra
     return raster.contour_segments(s, grid, "smooth")
 
 
+def contour_features(depth: DataFrame, grid: Grid, sigma: float = 10.0) -> DataFrame:
+    """A depth raster to contour lines as features, one LineString in lon/lat a row."""
+    s = cut(raster.blur(depth, grid, "z", sigma), "smooth")
+    return lines.contour_features(lines.contour_lines(s, grid, "smooth"), digits=7)
+
+
 # --- side scan ------------------------------------------------------------------------------------------
 
 

@@ -38,6 +38,44 @@ def test_region_swapped_corners_and_ties(spark):
     assert got[2, "bathymetry"]["vmin"] is None
 
 
+def test_regions_from_tile_sums_equal_those_from_cells(spark):
+    g = Grid(0.0, 90.0, 1.0, 90, 130)
+    i = F.col("row") * 130 + F.col("col")
+    c = g.cells(spark).where((F.col("row") + F.col("col")) % 11 != 3).select("row", "col", F.sqrt(i.cast("double")).alias("bathymetry"), F.when(i % 5 != 0, i % 7).alias("sediment_class"))
+    sides = [(0.0, 0.0, 130.0, 90.0), (-50.0, -50.0, 500.0, 500.0), (0.5, 0.5, 129.5, 89.5), (3.2, 4.7, 100.1, 77.9), (16.0, 26.0, 48.0, 58.0), (16.5, 26.5, 47.5, 57.5), (50.0, 50.0, 50.0, 50.0), (50.5, 50.5, 50.5, 50.5),
+             (200.0, 1.0, 300.0, 5.0), (129.9, 0.1, 127.0, 88.0)]
+    b = spark.createDataFrame([(k, *s) for k, s in enumerate(sides)], "box int, x0 double, y0 double, x1 double, y1 double")
+    layers = ["bathymetry", "sediment_class"]
+    summed = C.pyramid(c, g, layers, "sediment_class", side=4)
+    rows = lambda q: sorted(map(tuple, q.collect()), key=str)
+    assert summed.levels == 4
+    assert rows(C.region_query(b, c, g, layers, "sediment_class", summed=summed)) == rows(C.region_query(b, c, g, layers, "sediment_class", tile=16))
+    only = C.region_query(b, c, g, ["bathymetry"], "sediment_class", summed=summed)
+    assert {r["layer"] for r in only.collect()} == {"bathymetry"}
+
+
+def test_cells_read_for_a_region_grow_with_its_edge(spark):
+    g = Grid(0.0, 256.0, 1.0, 256, 256)
+    c = g.cells(spark).withColumn("bathymetry", F.lit(1.0))
+    summed = C.pyramid(c, g, ["bathymetry"], side=4)
+    sides = (20, 60, 120, 240)
+    b = spark.createDataFrame([(s, 3.0, 3.0, 3.0 + s, 3.0 + s) for s in sides], "box int, x0 double, y0 double, x1 double, y1 double")
+    read = {r["box"]: r["count"] for r in C.rim_cells(b, c, g, summed).groupBy("box").count().collect()}
+    assert all(0 < read[s] <= 4 * 4 * s for s in sides)
+    tiles, _ = C._covering(b, g, summed.side, summed.levels)
+    count = {r["box"]: r["count"] for r in tiles.groupBy("box").count().collect()}
+    assert count[240] <= 3 * 4 * 240 / 4 and count[240] <= 2.5 * count[120]  # of 3600 that it covers
+
+
+def test_strided_frame_has_only_its_cells(spark):
+    g = Grid(0.0, 5000.0, 1.0, 5000, 4000)
+    c = spark.createDataFrame([(7 + 34 * 2, 9 + 34 * 3, 4.0), (7, 9, 6.0), (8, 9, 100.0)], "row int, col int, bathymetry double")
+    q = C.block_query(c, g, (9.0, 4993.0, 3990.0, 20.0), "bathymetry", max_side=150)
+    assert "Range (0, 17346," in q._jdf.queryExecution().optimizedPlan().toString()  # 147 x 118 cells, not the grid's 20 million
+    got = {(r["i"], r["j"]): r["depth"] for r in q.collect()}
+    assert len(got) == 147 * 118 and got[2, 3] == 4.0 and got[0, 0] == 6.0 and got[1, 1] == 5.0
+
+
 def test_block_fills_gaps_with_its_mean(spark):
     c = cube(spark).where("row > 0 or col > 0")
     got = C.block_query(c, GRID, (0.0, 10.0, 10.0, 0.0), "bathymetry", "isopach", max_side=5).collect()
@@ -69,3 +107,39 @@ def test_features_and_targets_files(spark, tmp_path):
     write_targets(C.target_rows(t), str(tmp_path / "t"))
     back = read_targets(spark, str(tmp_path / "t")).first()
     assert (back["x_m"], back["anomaly_nT"], back["polarity"]) == (1.23, -150.0, "-")
+
+
+def test_curve_ranges_cover_the_box_and_little_else():
+    def code(r, c):
+        return sum(((r >> k & 1) << (2 * k + 1)) | ((c >> k & 1) << (2 * k)) for k in range(20))
+
+    for r0, r1, c0, c1 in ((0, 0, 0, 0), (3, 9, 2, 30), (0, 63, 0, 63), (17, 18, 0, 63), (5, 60, 41, 41), (4, 3, 0, 9)):
+        want = {code(r >> 1, c >> 1) for r in range(r0, r1 + 1) for c in range(c0, c1 + 1)}
+        got = C.curve_ranges(r0, r1, c0, c1, bits=1)
+        assert {k for a, b in got for k in range(a, b + 1)} == want and all(a[1] + 1 < b[0] for a, b in zip(got, got[1:]))
+        few = C.curve_ranges(r0, r1, c0, c1, bits=1, most=2)
+        assert len(few) <= 2 and want <= {k for a, b in few for k in range(a, b + 1)}
+    assert len(C.curve_ranges(0, 10**9, 0, 10**9 - 5000)) <= 64
+
+
+def test_a_box_opens_only_its_files(spark, tmp_path):
+    from soundlake.checks.files import files_read
+
+    g = Grid(0.0, 64.0, 1.0, 64, 64)
+    C.write(g.cells(spark).withColumn("depth", F.col("row") * 1.0), str(tmp_path / "cube"), bits=3)
+    q = C.read_box(spark, str(tmp_path / "cube"), g, (9.0, 60.0, 30.0, 45.0), bits=3)
+    assert {(r["row"], r["col"]) for r in q.collect()} == {(r, c) for r in range(4, 19) for c in range(9, 30)}
+    assert files_read(q) == 3 * 3  # of 64
+    assert files_read(spark.read.parquet(str(tmp_path / "cube"))) == 64
+    assert files_read(C.read_box(spark, str(tmp_path / "cube"), g, (900.0, 60.0, 930.0, 45.0), bits=3)) == 0
+
+
+def test_layers_are_read_by_box(spark, tmp_path):
+    from soundlake.operators import raster as R
+
+    path = str(tmp_path / "layers")
+    cells = Grid(0.0, 4.0, 1.0, 4, 5000).cells(spark).withColumn("value", F.col("col") * 1.0)
+    R.write_layer(cells, "depth", path)
+    R.write_layer(cells, "other", path)
+    got = C.within(R.read_layer(spark, path, "depth"), 1, 2, 2040, 2060)
+    assert got.count() == 2 * 21 and got.agg(F.min("value")).first()[0] == 2040.0
