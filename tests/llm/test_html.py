@@ -3,6 +3,7 @@
 import html
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from soundlake.llm.html import content, extract, main_text
@@ -53,12 +54,47 @@ def test_content_chooses_the_regions():
     assert main_text(teasers).split("\n") == [(LONG * 3).strip(), "Hm."]
 
 
+def test_wrappers_with_telling_names_keep_their_article():
+    body = f"<article><h1>Head</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></article>"
+    want = ["Head", LONG.strip(), "Short.", LONG.strip()]
+    notes = f'<div class="cookie-notice"><p>We use cookies. {LONG}</p></div><div class="comments"><p>First! {LONG}</p><p>{LONG}</p></div>'
+    for wrapper in ('div class="page no-sidebar"', 'div id="site" class="has-header sticky"', 'section class="search-open"', 'div class="related-content-layout"', 'form id="aspnetForm"', 'span class="social"'):
+        for inner in (body, f'<div class="header-widget">{body}</div>'):
+            assert main_text(f"<body><{wrapper}><nav><a href=1>x</a></nav>{inner}{notes}</{wrapper.split()[0]}></body>").split("\n") == want, wrapper
+    assert main_text(f'<body><div class="has-sidebar"><div><p>{LONG}</p><p>Hm.</p><p>{LONG}</p></div></div></body>').split("\n") == [LONG.strip(), "Hm.", LONG.strip()]
+    assert main_text(f'<body><article><p>{LONG}</p></article><div class="comments"><p>{LONG * 5}</p></div></body>') == LONG.strip()
+    assert main_text(f'<body><article><p>{LONG}</p><form><label>Mail</label></form></article></body>') == LONG.strip()
+
+
+def test_menus_without_a_name_go_and_single_links_stay():
+    menu = "<ul><li><a href=/>Home</a></li><li><a href=/a>About</a></li><li><a href=/c>Contact</a></li></ul>"
+    page = f"<body><article>{menu}<h1>Head</h1><p>{LONG}</p><p><a href=1>Source</a></p><p>see <a href=2>there</a></p><p>{LONG}</p></article></body>"
+    assert main_text(page).split("\n") == ["Head", LONG.strip(), "Source", "see there", LONG.strip()]
+
+
+def test_the_clustering_decides(monkeypatch):
+    """With other content lines other regions are taken, wrappers are seen otherwise, and menus stay."""
+    from soundlake.llm import html as module
+
+    pages = [
+        f"<body><div><p>a</p><p>b</p><p>c</p></div><div><p>{LONG}</p><p>Hm.</p><p>{LONG}</p></div><div><p>d</p><p>e</p></div></body>",
+        f"<body><article><ul><li><a>Home</a></li><li><a>About</a></li><li><a>More</a></li></ul><p>{LONG}</p><p>{LONG}</p></article></body>",
+        f"<body><article><a href=1>Teaser</a></article><div><p>{LONG}</p><p>{LONG}</p></div></body>",
+    ]
+    before = [main_text(p) for p in pages]
+    monkeypatch.setattr(module, "content", lambda lines: np.ones(len(lines), bool))
+    assert main_text(pages[1]) != before[1]
+    monkeypatch.setattr(module, "content", lambda lines: np.arange(len(lines)) == 0)
+    assert all(main_text(p) != b for p, b in zip(pages, before))
+
+
 def test_broken_pages():
     assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == main_text("<script>never closed") == ""
     assert main_text("just text &eacute; &#x41; &nosuch; a < b") == "just text é A &nosuch; a < b"
     assert main_text("<![bad[ <p>text</p>").endswith("text")
     assert main_text("<article><p>unclosed <i>one<p>two") == "unclosed one\ntwo"
     assert main_text("<div>" * 3000 + "deep") == "deep"
+    assert main_text("<p>one</p><![odd[ two <!odd three").startswith("one\n")
 
 
 def test_threshold_separates_two_clusters():
@@ -70,6 +106,8 @@ def test_threshold_separates_two_clusters():
 def test_messy_rows(spark):
     rows = [(1, "u", None), (1, "u", None), (None, None, "<p>" + "a " * 200_000), (2, "", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("old"), "n_chars": F.lit("old")})
+    clash = spark.createDataFrame([(1, "x", 5, "<p>t</p>")], "page_id long, Text string, N_CHARS int, html string")
+    assert [tuple(r) for r in extract(clash).collect()] == [(1, "t", 1)]
     got = extract(pages)
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted(r.n_chars for r in got.collect()) == [0, 0, 0, 399_999]
