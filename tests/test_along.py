@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from soundlake import constants as K
 from soundlake.operators import along as T
 from soundlake.operators import altitude
 from soundlake.operators.stats import quantiles
@@ -77,9 +78,18 @@ def test_reflection_of_a_short_line(spark):
 
 
 def one_pass(z, carry):
-    x = np.nanmedian(z)
-    state, taken, _, _ = altitude.gate(z, x, 10.0)
-    return state if carry else np.where(taken, state, np.nan)
+    """Ping by ping, as the filter is defined."""
+    x, p, out = np.nanmedian(z), 10.0, []
+    for v in z:
+        p += K.KALMAN_Q
+        s = p + K.KALMAN_R
+        take = bool(v == v and abs(v - x) < K.KALMAN_GATE * max(np.sqrt(s), 1e-6))
+        if take:
+            g = p / s
+            x += g * (v - x)
+            p = (1 - g) * (1 - g) * p + g * g * K.KALMAN_R
+        out.append(x if take or carry else np.nan)
+    return np.array(out)
 
 
 def test_chunked_filter_equals_one_pass(spark):
@@ -92,6 +102,20 @@ def test_chunked_filter_equals_one_pass(spark):
         assert np.array_equal(out.to_numpy(dtype=float), one_pass(p["v"].to_numpy(), carry), equal_nan=True)
 
 
+def test_many_lines_in_lockstep(spark, monkeypatch):
+    monkeypatch.setattr(altitude, "TOGETHER", 300)
+    rng = np.random.default_rng(4)
+    parts = [line(n, i).assign(line=i) for i, n in enumerate((3, 5, 41, 90, 91, 250, 700))]
+    p = pd.concat(parts, ignore_index=True)
+    p.loc[rng.random(len(p)) < 0.1, "v"] = 90.0
+    d = spark.createDataFrame(p).repartition(5)
+    out = altitude.smooth(d, track(), "v", carry=True, chunk=40, out="s").toPandas().sort_values(["line", "seq"])
+    for i, part in enumerate(parts):
+        v = p.loc[p["line"] == i].sort_values("seq")["v"].to_numpy()
+        got = out.loc[out["line"] == i, "s"].to_numpy(dtype=float)
+        assert np.array_equal(got, v if len(v) < 5 else one_pass(v, True))
+
+
 def test_few_values_stay_unchanged(spark):
     p = line(4)
     out = altitude.smooth(spark.createDataFrame(p), track(), "v", out="s").orderBy("seq").toPandas()
