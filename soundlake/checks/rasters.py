@@ -198,19 +198,22 @@ def _(spark, d):
     return R.points_to_grid(xyz, 0.5)
 
 
-@check("j2_raster_lookup", "raster spot", """SELECT id, z FROM spot LEFT JOIN raster ON "row" = floor((150 - y / 8) / 1) AND col = floor(x / 8 - 5)""")
+@check("j2_raster_lookup", "raster spot", f"""SELECT id, z FROM (SELECT id, x / 8 - 5 AS px, y * n / 1000 - 3 AS py, n FROM spot, (SELECT {ROWS} AS n)) LEFT JOIN raster ON "row" = floor(n - py) AND col = floor(px)""")
 def _(spark, d):
-    p = spot(spark, d).select("id", (F.col("x") / 8 - 5).alias("px"), (F.col("y") / 8).alias("py"))
-    return R.lookup(p, raster(spark, d), Grid(0.0, 150.0, 1.0, 150, 100), "px", "py", ["z"]).select("id", "z")
+    g = raster_grid(spark, d)
+    p = spot(spark, d).select("id", (F.col("x") / 8 - 5).alias("px"), (F.col("y") * g.nrows / 1000 - 3).alias("py"))
+    return R.lookup(p, raster(spark, d), g, "px", "py", ["z"]).select("id", "z")
 
 
-@check("j3_nearest_centre", "raster spot", """WITH cc AS (SELECT DISTINCT col, col + 0.5 AS cx FROM raster), rr AS (SELECT DISTINCT "row", 150 - ("row" + 0.5) AS cy FROM raster WHERE "row" < 150)
-    SELECT id, (SELECT arg_min(col, (abs(cx - x / 8), col)) FROM cc) AS col, (SELECT arg_min("row", (abs(cy - y / 7), "row")) FROM rr) AS "row" FROM (SELECT id, floor(x) AS x, floor(y) AS y FROM spot)""")
+@check("j3_nearest_centre", "raster spot", f"""WITH sz AS (SELECT {ROWS} AS n), g AS (SELECT id, floor(x) / 8 AS x, floor(y) * n / 950 AS y, n FROM spot, sz)
+    SELECT id, (SELECT arg_min(c, (abs(c + 0.5 - x), c)) FROM (SELECT unnest(generate_series(greatest(0, least(98, x::BIGINT - 2)), greatest(1, least(99, x::BIGINT + 2)))) AS c))::INTEGER AS col,
+      (SELECT arg_min(r, (abs(n - (r + 0.5) - y), r)) FROM (SELECT unnest(generate_series(greatest(0, least(n - 2, (n - y)::BIGINT - 2)), greatest(1, least(n - 1, (n - y)::BIGINT + 2)))) AS r))::INTEGER AS "row" FROM g""")
 def _(spark, d):
     from soundlake.functions.geo import nearest_centre
 
+    n = raster_grid(spark, d).nrows
     s = spot(spark, d)
-    return s.select("id", nearest_centre(F.floor("x") / 8, 0.5, 1.0, 100).alias("col"), nearest_centre(-F.floor("y") / 7, -149.5, 1.0, 150).alias("row"))
+    return s.select("id", nearest_centre(F.floor("x") / 8, 0.5, 1.0, 100).alias("col"), nearest_centre(-(F.floor("y") * n / 950), 0.5 - n, 1.0, n).alias("row"))
 
 
 @check("j9_class_attributes", "", """SELECT o_orderkey, CASE o_orderkey % 9 WHEN 0 THEN 'Coarse sand' WHEN 1 THEN 'Fine sand / Silty sand' WHEN 2 THEN 'Silt / Sandy silt' WHEN 3 THEN 'Sand-silt-clay' WHEN 4 THEN 'Compacted mud'

@@ -19,9 +19,11 @@ from soundlake.operators.lineage import cut, release
 
 SPLIT = 4
 #: A query tile with more points in reach than this many times k (and than this) is crowded and splits on; levels below the aimed size at most.
-CROWD, CROWD_LEAST, EXTRA = 256, 2048, 12
+CROWD, CROWD_LEAST, EXTRA = 256, 8192, 12
 #: Queries of a tile aimed at, and most of one block; distances taken at once within it.
 SOME, BLOCK, AT_ONCE = 256, 8192, 1 << 19
+#: Points of a tile aimed at, at most.
+FEW = 128
 
 
 def _finest(d: DataFrame, x: str, y: str, size: float) -> DataFrame:
@@ -110,7 +112,7 @@ def nearest(
         extent = max(max(box[0][i + 1], box[1][i + 1]) - min(box[0][i], box[1][i]) for i in (0, 2))
         of = [max(b[1] - b[0], leaf) * max(b[3] - b[2], leaf) / b[4] for b in box]  # area for each query, for each point
         # Some points a tile, so that few are out of reach; queries enough for a block, unless that means too many points.
-        size = max(leaf, math.sqrt(of[1] * k / 2), min(math.sqrt(of[0] * SOME), math.sqrt(of[1] * CROWD_LEAST / 16)))
+        size = max(leaf, math.sqrt(of[1] * k / 2), min(math.sqrt(of[0] * SOME), math.sqrt(of[1] * FEW)))
         top = max(radius or extent, leaf)
     depth = max(0, math.ceil(math.log(top / size, SPLIT) - 1e-9))
     top = size * SPLIT**depth  # at least the radius or the extent, so that the tiles next to a query's reach far enough

@@ -10,10 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where nobody names one (tests, notebooks), it is a folder inside the SQL warehouse, which every executor reaches as well.
+    Where nobody names one, a local session (tests, notebooks) uses a folder inside the SQL warehouse; on a cluster that may be a folder of one machine, so it
+    is an error there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_soundlake"
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor reaches")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_soundlake"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
