@@ -122,3 +122,28 @@ def test_a_table_with_itself(spark):
     t = spark.createDataFrame(p)
     n = nearest(t.withColumnRenamed("id", "q"), t, ["q"], ["id"], 3, None, 5.0, pxy=("qx", "qy"))
     assert {(x["q"], x["id"], x["rank"]) for x in n.collect()} == brute(p.rename(columns={"id": "q"}), p.rename(columns={"qx": "px", "qy": "py"}), 3, None)
+
+
+def test_thinning_of_a_ramp_ends_in_few_rounds(spark, monkeypatch):
+    from soundlake.operators import targets
+
+    rounds = []
+    monkeypatch.setattr(targets, "cut", lambda df, name="cut", real=targets.cut: (rounds.append(name), real(df, name))[1])
+    n = 900
+    p = pd.DataFrame({"id": np.arange(n), "px": np.arange(n) * 0.7, "py": np.arange(n) % 3 * 0.5, "v": 5000.0 - np.arange(n)})
+    out = greedy_thin(spark.createDataFrame(p), ["id"], "px", "py", "v", 2.0)
+    assert {r["id"] for r in out.select("id").collect()} == sequential(p, 2.0)
+    assert rounds.count("won") <= 900 * 0.7 / (targets.SPAN * 2 / 2**0.5) + 2  # survivors of the ramp: more than 200
+
+
+def test_thinning_of_a_crowd_with_few_per_round(spark, monkeypatch):
+    from soundlake.operators import targets
+
+    monkeypatch.setattr(targets, "MOST", 2)
+    monkeypatch.setattr(targets, "SPAN", 5)
+    monkeypatch.setattr(targets, "HALO", 4)
+    p = cloud(500, 21, hot=0.6)
+    p.loc[p["id"] % 50 == 0, "v"] = 300.0  # ties
+    p.loc[p["id"] % 7 == 0, ["px", "py"]] = 77.25  # one place
+    out = greedy_thin(spark.createDataFrame(p).repartition(3), ["id"], "px", "py", "v", 9.0)
+    assert {r["id"] for r in out.select("id").collect()} == sequential(p, 9.0)
