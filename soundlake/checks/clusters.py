@@ -14,8 +14,8 @@ ROUNDS, K = 60, 5  # the SQL runs on after the clusters stay
 
 
 def splits_sql(top: int) -> str:
-    """``ce(k, i, c)``: best centres for every number of clusters, by dynamic programming over all splits; first of the values at two decimals, then of every value
-    close to a split found so."""
+    """``ce(k, i, c)``: best centres for every number of clusters, by dynamic programming over all splits; of all values where these are few, else first
+    at two decimals, then at three close to the splits found so, then of every value close to those."""
 
     def layer(t: str, groups: str) -> str:
         return f"""xs{t} AS (SELECT count(*)::DOUBLE AS n, sum(z) AS s, min(z) AS z0 FROM ({groups}) GROUP BY g),
@@ -25,11 +25,20 @@ def splits_sql(top: int) -> str:
       FROM dp{t} d JOIN cu{t} p ON p.j = d.j JOIN cu{t} c ON c.j > d.j WHERE d.k < {top} GROUP BY c.j),
     bs{t} AS MATERIALIZED (SELECT k, list_append(list_prepend(0, cuts), j) AS ends FROM dp{t} WHERE j = (SELECT max(j) FROM cu{t}))"""
 
-    return f"""{layer('1', 'SELECT z, ROUND(z, 2) AS g FROM zz')},
-    bo AS MATERIALIZED (SELECT DISTINCT z0 AS b FROM (SELECT unnest(ends[2:len(ends) - 1]) + 1 AS j FROM bs1) JOIN cu1 USING (j)),
-    nr AS MATERIALIZED (SELECT DISTINCT z FROM zz JOIN bo ON z BETWEEN b - 0.008 AND b + 0.008),
-    {layer('2', 'SELECT z, CASE WHEN nr.z IS NULL THEN ROUND(zz.z, 2) ELSE 1000 + zz.z END AS g FROM zz LEFT JOIN nr USING (z)')},
-    ce AS MATERIALIZED (SELECT k, i, (b.s - coalesce(a.s, 0)) / (b.n - coalesce(a.n, 0)) AS c FROM (SELECT k, unnest(range(1, len(ends))) AS i, ends FROM bs2) LEFT JOIN cu2 a ON a.j = ends[i] JOIN cu2 b ON b.j = ends[i + 1])"""
+    def near(t: str, reach: float) -> str:
+        """Values close to a split of step ``t``."""
+        return f"""bo{t} AS MATERIALIZED (SELECT DISTINCT z0 AS b FROM (SELECT unnest(ends[2:len(ends) - 1]) + 1 AS j FROM bs{t}) JOIN cu{t} USING (j)),
+    nr{t} AS MATERIALIZED (SELECT DISTINCT z FROM zz JOIN bo{t} ON z BETWEEN b - {reach} AND b + {reach})"""
+
+    def centres(t: str) -> str:
+        return f"""SELECT k, i, (b.s - coalesce(a.s, 0)) / (b.n - coalesce(a.n, 0)) AS c FROM (SELECT k, unnest(range(1, len(ends))) AS i, ends FROM bs{t}) LEFT JOIN cu{t} a ON a.j = ends[i] JOIN cu{t} b ON b.j = ends[i + 1]"""
+
+    few = "(SELECT few FROM fw)"
+    return f"""fw AS MATERIALIZED (SELECT count(DISTINCT z) <= 6000 AS few FROM zz),
+    {layer('1', f'SELECT z, CASE WHEN {few} THEN z ELSE ROUND(z, 2) END AS g FROM zz')}, {near('1', 0.02)},
+    {layer('2', f'SELECT z, CASE WHEN {few} THEN 0 WHEN nr1.z IS NULL THEN ROUND(zz.z, 2) ELSE 1000 + ROUND(zz.z, 3) END AS g FROM zz LEFT JOIN nr1 USING (z)')}, {near('2', 0.004)},
+    {layer('3', f'SELECT z, CASE WHEN {few} THEN 0 WHEN nr2.z IS NOT NULL THEN 2000 + zz.z WHEN nr1.z IS NOT NULL THEN 1000 + ROUND(zz.z, 3) ELSE ROUND(zz.z, 2) END AS g FROM zz LEFT JOIN nr1 USING (z) LEFT JOIN nr2 USING (z)')},
+    ce AS MATERIALIZED (SELECT * FROM ({centres('1')}) WHERE {few} UNION ALL SELECT * FROM ({centres('3')}) WHERE NOT {few})"""
 
 
 def lloyd_sql(k: int, t: str) -> str:
