@@ -8,6 +8,10 @@ care of these.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -148,26 +152,56 @@ def shares(df: DataFrame, cls: str, over: list[str] | None = None) -> DataFrame:
     return counts.withColumn("pct", 100 * F.col("n") / F.sum("n").over(w))
 
 
+#: Values of which every task may hold a copy (8 bytes each) when replicates are drawn; more are joined.
+HELD = 1 << 21
+
+
 def bootstrap_median(df: DataFrame, value: str, track: Track, reps: int = 2000, seed: int = 42) -> DataFrame:
     """Median, population std and a 95 % bootstrap interval of the median (NULL below three values).
 
-    Draw ``j`` of replicate ``r`` takes row ``mix(seed, r, j) mod n`` by an equi join on the row number,
-    so there is no random stream. Input is one row per calibration segment; ``track`` orders them.
+    Draw ``j`` of replicate ``r`` takes row ``mix(seed, r, j) mod n``, so there is no random stream. Input is one row per calibration segment;
+    ``track`` orders them. Up to ``HELD`` values go to every task, which draws whole replicates and sends one number for each; beyond that each draw
+    finds its value by an equi join on the row number.
     """
     known = df.where(F.col(value).isNotNull()).select(*track.line, *track.order, F.col(value).alias("v"))
-    one = known.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("v").alias("std"))
+    one = cut(known.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("v").alias("std")), "one")
+    n = one.first()["n"]
     one = attach(one, quantiles(known, [], "v", {"median": 0.5}), [])
-    ranked = ordinals(known, track).select((F.col("ord") - 1).alias("i"), "v")
-    draws = (
-        attach(ranked.select(F.col("i").alias("j")), one.select("n"), [])
-        .where("n >= 3")
-        .withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(reps - 1).cast("long"))))
-        .select("r", draw_index(F.lit(seed), F.col("r"), F.col("j"), F.col("n")).alias("i"))
-    )
-    per_rep = quantiles(draws.join(ranked, "i"), ["r"], "v", {"m": 0.5})
+    ranked = ordinals(known, track).select((F.col("ord") - 1).alias("i"), F.col("v").cast("double").alias("v"))
+    if n <= HELD:
+        per_rep = _drawn(ranked, n, reps if n >= 3 else 0, seed)
+    else:
+        draws = ranked.select(F.col("i").alias("j")).withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(reps - 1).cast("long"))))
+        draws = draws.select("r", draw_index(F.lit(seed), F.col("r"), F.col("j"), F.lit(n)).alias("i"))
+        per_rep = quantiles(draws.join(ranked, "i"), ["r"], "v", {"m": 0.5})
     return attach(one, quantiles(per_rep, [], "m", {"ci_lo": 0.025, "ci_hi": 0.975}), [])
 
 
+def _drawn(ranked: DataFrame, n: int, reps: int, seed: int) -> DataFrame:
+    """(r, m): median of each replicate, from values that every task holds."""
+    spark = ranked.sparkSession
+    values = np.empty(n)
+    rows = ranked.toPandas()
+    values[rows["i"].to_numpy()] = rows["v"].to_numpy()
+    held = spark.sparkContext.broadcast(values)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = held.value
+        j = np.arange(len(v), dtype=np.int64) * 7919 + seed
+        lo, hi = (len(v) - 1) // 2, len(v) // 2
+        for batch in batches:
+            r = batch.column(0).to_numpy()
+            m = np.empty(len(r))
+            for k, rep in enumerate(r.tolist()):
+                a = (rep * 2000003 + j) % 2147483647
+                mixed = ((a * 48271 % 2147483647) * 48271 + 12345) % 2147483647
+                drawn = np.partition(v[mixed % len(v)], (lo, hi))
+                m[k] = drawn[lo] + (drawn[hi] - drawn[lo]) * 0.5
+            yield pa.record_batch([pa.array(r), pa.array(m)], names=["r", "m"])
+
+    return cut(spark.range(reps).withColumnRenamed("id", "r").mapInArrow(run, "r long, m double"), "medians")
+
+
 def draw_index(seed: Column, r: Column, j: Column, n: Column) -> Column:
     """0-based draw from a fixed multiplicative mix of (seed, replicate, draw)."""
     a = (r * 2000003 + j * 7919 + seed) % 2147483647
