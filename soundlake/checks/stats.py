@@ -55,6 +55,14 @@ def _(spark, d):
     return falls(spark, d).select("ping", "bin", r("bs").alias("bs"))
 
 
+@check("a3_ping_waterfall", "sample", f"WITH {WF} SELECT ping, bin, ROUND(bs, 6) AS bs FROM w")
+def _(spark, d):
+    """Pings that hold their samples as arrays, as they come from the files."""
+    both = F.collect_list(F.struct("angle", A.to_db(F.col("bs")).alias("db")))
+    pings = sample(spark, d).groupBy("ping").agg(both.alias("s")).select("ping", F.col("s.angle").alias("angle"), F.col("s.db").alias("db"))
+    return R.ping_waterfall(pings, ["ping"], "db", "angle").select("ping", "bin", r("bs").alias("bs"))
+
+
 @check("a4_robust_z", "sample", f"WITH {ZS} SELECT ping, bin, ROUND(z, 6) AS z FROM z")
 def _(spark, d):
     return R.robust_z(falls(spark, d)).select("ping", "bin", r("z").alias("z"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,6 +69,35 @@ def waterfall(df: DataFrame, ping: list[str], db: str, angle: str) -> DataFrame:
     return small_median(d, [*ping, "bin"], db, "bs")
 
 
+def ping_waterfall(pings: DataFrame, ping: list[str], db: str, angle: str) -> DataFrame:
+    """:func:`waterfall` of pings that hold their levels and angles as arrays: (ping..., bin, bs).
+
+    A ping's samples lie in one row, so its medians are taken there, before anything is exploded, and no sample crosses the network.
+    Missing levels count for nothing; arrays of unlike length end with the shorter one.
+    """
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pings.select(*ping).schema)
+    paired = F.transform(F.arrays_zip(F.col(angle).alias("a"), F.col(db).alias("v")), lambda p: F.struct(p["a"].cast("double").alias("a"), p["v"].cast("double").alias("v")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                lists = part.column(len(ping))
+                flat, row = lists.flatten(), np.repeat(np.arange(part.num_rows), lists.value_lengths().fill_null(0).to_numpy())
+                a, v = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.float64) for i in (0, 1))
+                use = (a >= K.ANGLE_MIN) & (a < K.ANGLE_MAX) & ~np.isnan(v)
+                row, level, place = row[use], v[use], np.floor(a[use] - K.ANGLE_MIN).astype(np.int32)
+                order = np.lexsort((level, place, row))
+                row, level, place = row[order], level[order], place[order]
+                start = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (place[1:] != place[:-1]))[: len(row)])
+                size = np.diff(np.append(start, len(row)))
+                median = (level[start + (size - 1) // 2] + level[start + size // 2]) / 2
+                keys = [c.take(pa.array(row[start])) for c in part.columns[: len(ping)]]
+                yield pa.record_batch([*keys, pa.array(place[start]), pa.array(median)], names=[*ping, "bin", "bs"])
+
+    return pings.select(*ping, paired.alias("_p")).mapInArrow(run, f"{kinds}, bin int, bs double")
+
+
 def robust_z(wf: DataFrame, value: str = "bs", min_count: int = 10) -> DataFrame:
     """(x - median) / (1.4826 MAD) per bin; NULL for thin or constant bins.
 

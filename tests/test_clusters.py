@@ -67,3 +67,16 @@ def test_few_values_hot_values_and_none(spark):
     hidden = np.concatenate([[1e9], np.repeat([0.0, 1.0], 300), np.linspace(0.4, 0.6, 50)])
     centres, _ = R.optimal_clusters(frame(spark, hidden), "z", 4)
     assert len(centres) == 4 and abs(centres[0]) < 0.1 and 0.45 < centres[1] < 0.55 and centres[3] == 1e9
+
+
+def test_waterfall_inside_pings_equals_that_of_samples(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, "HF", rng.uniform(10, 80, n).round(1).tolist(), [None if x < -7 else float(x) for x in rng.normal(-5, 1, n).round(2)]) for i, n in enumerate((0, 1, 7, 400, 2000, 30))]
+    rows += [(6, "HF", [20.0, 69.9, 70.0, 19.9, 45.0, 45.5], [1.0, 2.0, 3.0, 4.0, 5.0]), (7, "HF", None, [1.0]), (8, "HF", [30.0, None, float("nan")], [1.0, 2.0, 3.0])]
+    pings = spark.createDataFrame(rows, "ping long, side string, angle array<double>, db array<double>")
+    found = R.ping_waterfall(pings, ["ping", "side"], "db", "angle")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    samples = pings.select("ping", "side", F.explode(F.arrays_zip("angle", "db")).alias("s")).select("ping", "side", "s.angle", "s.db").where("not isnan(angle)")
+    want = R.waterfall(samples, ["ping", "side"], "db", "angle")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.select("ping", "side", "bin", "bs").collect()))
+    assert R.ping_waterfall(pings.limit(0), ["ping"], "db", "angle").count() == 0
