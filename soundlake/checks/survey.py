@@ -52,6 +52,20 @@ def _(spark, d):
     return c.select("line", "run", "start", "length", r("amp_cv").alias("amp_cv"), r("cc", 9).alias("cc"), r("cc_db").alias("cc_db"))
 
 
+@check("job_survey_constant", "trace", f"""WITH {CALIBRATE}, v AS (SELECT 20 * log10(cc) AS v, row_number() OVER (ORDER BY line, run) - 1 AS i, count(*) OVER () AS n FROM sg JOIN cc USING (line, run) WHERE cc > 0),
+    dr AS (SELECT r, (((r * 2000003 + v.i * 7919 + 42) % 2147483647 * 48271 % 2147483647) * 48271 + 12345) % 2147483647 % n AS i FROM v, (SELECT unnest(range(2000)) AS r)),
+    md AS (SELECT r, median(v.v) AS m FROM dr JOIN v ON dr.i = v.i GROUP BY r)
+    SELECT (SELECT count(*) FROM v) AS segments, (SELECT ROUND(median(v), 6) FROM v) AS cc_db, (SELECT ROUND(pow(10, median(v) / 20), 9) FROM v) AS cc, (SELECT ROUND(stddev_pop(v), 6) FROM v) AS cc_std,
+      ROUND(quantile_cont(m, 0.025), 6) AS ci_lo, ROUND(quantile_cont(m, 0.975), 6) AS ci_hi FROM md""")
+def _(spark, d):
+    """From traces to the survey's constant with its interval."""
+    s = F.col("seq")
+    p = trace(spark, d).withColumn("vrm", s % 10 / 10.0).withColumn("slope", F.lit(1.0)).withColumn("bpi", F.lit(0.1)).withColumn("depth", F.lit(20.0))
+    c = jobs.calibration_segments(p, by_seq(), 0.85, 2, 1, 0.5, 0.9, BLANK, min_pings=2, min_samples=60, min_window=1)
+    out = jobs.survey_constant(c, "line")
+    return out.select("segments", r("cc_db").alias("cc_db"), r("cc", 9).alias("cc"), *[r(x).alias(x) for x in ("cc_std", "ci_lo", "ci_hi")])
+
+
 @check("job_sidescan_mosaic")
 def _(spark, d):
     s = F.col("seq")

@@ -13,7 +13,7 @@ from soundlake.operators.along import Track
 from soundlake.operators.knn import confidence, idw
 from soundlake.operators.lineage import cut
 from soundlake.operators.raster import Grid
-from soundlake.operators.stats import attach, quantiles
+from soundlake.operators.stats import attach, bootstrap_median, quantiles, unimodality
 from soundlake.plans.magnetics import big_lines
 
 
@@ -203,6 +203,16 @@ def calibration_segments(
     return out.withColumn("cc_db", 20 * F.log10("cc"))
 
 
+def survey_constant(segments: DataFrame, line: str, reps: int = 2000) -> DataFrame:
+    """One row for the survey from its :func:`calibration_segments`: number of segments, constant in dB (their median), linear, its spread and the
+    95 % interval of the median (NULL below three segments), modes of the constants and how far the median lies from the main one."""
+    c = cut(segments.select(F.lit(0).alias("survey"), F.col(line).alias("line"), "run", "cc_db"), "constants")
+    out = bootstrap_median(c, "cc_db", Track(("survey",), ("line", "run"), F.col("line")), reps)
+    modes = unimodality(c, "cc_db").select("n_modes", "mode", "gap_db")
+    out = attach(out, modes, [])
+    return out.select(F.col("n").alias("segments"), F.col("median").alias("cc_db"), F.pow(F.lit(10.0), F.col("median") / 20).alias("cc"), F.col("std").alias("cc_std"), "ci_lo", "ci_hi", "n_modes", "mode", "gap_db")
+
+
 def good_ground(slope: float = 6.0, bpi: float = 0.3) -> Column:
     """Flat, smooth ground with a depth; NULL anywhere is not good."""
     ok = (
