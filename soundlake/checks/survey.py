@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from soundlake import constants as K
 from soundlake.checks.base import BLANK, along, by_seq, check, holed, r, r5, raster, raster_grid, trace, track
-from soundlake.checks.rasters import HOLED, box_sql, terrain_sql
-from soundlake.checks.traces import BOTTOM, cal_sql
+from soundlake.checks.neighbours import THICK
+from soundlake.checks.rasters import HOLED, ROWS, blur_sql, box_sql, terrain_sql
+from soundlake.checks.traces import BOTTOM, LOUD, SPEED, WIDE_SAMPLE, cal_sql, loud, pick_sql
 from soundlake.operators import radiometry
 from soundlake.operators.raster import Grid
 from soundlake.plans import jobs, magnetics
@@ -66,6 +68,19 @@ def _(spark, d):
     return out.select("segments", r("cc_db").alias("cc_db"), r("cc", 9).alias("cc"), *[r(x).alias(x) for x in ("cc_std", "ci_lo", "ci_hi")])
 
 
+PICKED = THICK[: THICK.index("pk AS (SELECT id")] + "ps AS (SELECT seq AS id, seq * 37 % 100 + 0.25 AS x, seq * 53 % 149 + 0.75 AS y, thickness AS t FROM pk WHERE thickness BETWEEN {lo} AND {hi}),\n" + THICK[THICK.index("    pr AS (") :].replace("JOIN pk ON", "JOIN ps ON").replace("    pr AS (", "    pz AS (").replace("FROM pr ", "FROM pz ").replace("    me AS (", "    mz AS (").replace("me.t", "mz.t").replace("LEFT JOIN me ", "LEFT JOIN mz ")
+
+
+@check("job_isopach", "raster trace", f"WITH {LOUD.format(least=2)}, {pick_sql(False, SPEED)}, " + PICKED.format(lo=K.THICK_MIN, hi=K.THICK_MAX) + ", " + blur_sql(2, 8, ROWS).replace("{src}", "hy") + """ SELECT "row", col, ROUND(s, 5) AS isopach, source FROM bl JOIN hy USING ("row", col)""")
+def _(spark, d):
+    """From traces to the thickness layer."""
+    s = F.col("seq")
+    t = loud(spark, d).withColumn("x", s * 37 % 100 + 0.25).withColumn("y", s * 53 % 149 + 0.75)
+    classes = raster(spark, d).select("row", "col", (F.floor("z") % 7).cast("int").alias("sediment_class"))
+    out = jobs.isopach(t, ["seq"], 2.0e4, classes, raster_grid(spark, d), strict=False, blanking=2, min_samples=60, sample_ns=WIDE_SAMPLE, least=1, gap=6.0, sigma=2.0)
+    return out.select("row", "col", r("isopach", 5).alias("isopach"), "source")
+
+
 @check("job_sidescan_mosaic")
 def _(spark, d):
     s = F.col("seq")

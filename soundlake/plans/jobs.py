@@ -168,6 +168,15 @@ def thickness_layer(
     return soft.join(both.select("row", "col", "source"), ["row", "col"])
 
 
+def isopach(
+    traces: DataFrame, pid: list[str], cc: float, classes: DataFrame, grid: Grid, strict: bool = True, blanking: int = K.BLANKING, min_samples: int = 100,
+    sample_ns: float = K.SAMPLE_NS, **layer,
+) -> DataFrame:
+    """Thickness of the uppermost layer from sub-bottom traces (ids, x, y, amps) and the survey's constant to the smoothed raster layer with its source."""
+    picks = trace.thickness_picks(traces, [*pid, "x", "y"], cc, strict, blanking, min_samples, sample_ns)
+    return thickness_layer(picks.select(*pid, "x", "y", "thickness"), pid, classes, grid, **layer)
+
+
 def calibration_segments(
     pings: DataFrame, track: Track, vrm_limit: float | None = None, least: int = 100, start: int = 50,
     depth_std: float = 0.5, amp_cv: float = 0.35, blanking: int = K.BLANKING, **cal,
