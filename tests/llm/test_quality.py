@@ -5,10 +5,12 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
+from soundlake.llm import quality as Q
 from soundlake.llm.quality import FEATURES, _split, features, fit, quality_scores, text_features
 from soundlake.llm.queries.quality import QUERIES
 
 SF = "/root/testdata/sf0.01"
+PLAIN = "/root/testdata/sf0.001"
 
 
 def test_query_on_held_out_documents(spark):
@@ -70,3 +72,27 @@ def test_messy_rows(spark):
     assert len({r.score for r in got if r.doc_id in (1, 2)}) == 1
     assert {r.score for r in quality_scores(docs, labels.limit(0)).collect()} == {0.5}
     assert quality_scores(docs.limit(0), labels).count() == 0 and text_features(docs.limit(0)).count() == 0
+
+
+def test_query_equals_a_plain_sum_of_table_entries(spark):
+    """Every score of op5 again, row by row in plain Python, from the fitted tables."""
+    import math
+    from bisect import bisect_right
+
+    docs, labels = (spark.read.parquet(f"{PLAIN}/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    table = Q.text_features(docs).persist()
+    model = Q.fit_labelled(table, labels.where(fold != 0))
+    want = {}
+    for row in table.select("doc_id", "x").collect():
+        total = model.bias
+        for v, cuts, entries in zip(row.x, model.cuts, model.tables, strict=True):
+            total += entries[bisect_right(cuts.tolist(), v)]
+        for (i, j), grid in zip(model.pairs, model.grids, strict=True):
+            total += grid[bisect_right(model.coarse[i].tolist(), row.x[i])][bisect_right(model.coarse[j].tolist(), row.x[j])]
+        want[row.doc_id] = 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+    table.unpersist()
+    got = QUERIES["op5_quality"](spark, PLAIN).collect()
+    assert len(got) == len(want) == docs.count() and model.pairs
+    for r in got:
+        assert math.isclose(r.score, want[r.doc_id], rel_tol=1e-9, abs_tol=1e-12) and r.predicted == int(r.score >= 0.3)
