@@ -97,7 +97,7 @@ def segments(spark, d):
     t = T.runs_tag(ground(spark, d), along(), jobs.good_ground()).where("_flag")
     return t.groupBy("line", "run").agg(
         (F.min("ord") - 1).alias("start"), F.count("*").alias("length"), F.avg("depth").alias("depth_mean"), F.stddev_pop("depth").alias("depth_std"),
-        F.stddev_pop("v").alias("amp_std"), F.avg("v").alias("amp_mean"), (F.stddev_pop("v") / F.avg("v")).alias("amp_cv"), F.count("v").alias("n_amp"))
+        F.stddev_pop("v").alias("amp_std"), F.avg("v").alias("amp_mean"), F.try_divide(F.stddev_pop("v"), F.avg("v")).alias("amp_cv"), F.count("v").alias("n_amp"))
 
 
 @check("a8_segment_stats", "track", f"""WITH {SEGS} SELECT line, run, "start", length, ROUND(depth_mean, 6) AS depth_mean, ROUND(depth_std, 6) AS depth_std, ROUND(amp_std, 6) AS amp_std, ROUND(amp_mean, 6) AS amp_mean, ROUND(amp_cv, 6) AS amp_cv, n_amp FROM sg""")

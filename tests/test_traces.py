@@ -147,3 +147,15 @@ def test_kmeans_merges_close_clusters(spark):
     centres = R.cluster(spark.createDataFrame(pd.DataFrame({"z": v})), "z", 3)
     assert np.allclose(centres, [-5, 0, 5], atol=0.05)
     assert R.merged_count([0.0, 0.01, 5.0], [100, 100, 1], 10.0) == 1
+
+
+def test_a_run_without_amplitude_has_no_variation(spark, tmp_path):
+    import datetime
+
+    from soundlake.checks import registry
+
+    rows = [(i, datetime.datetime(2024, 1, 1, 0, i), 1, "a", 0.0 if i < 13 else 40.0, "{}") for i in range(10, 16)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    found = registry()[0]["a8_segment_stats"](spark, str(tmp_path)).collect()
+    assert any(x.amp_mean == 0 and x.amp_cv is None for x in found)
+    assert registry()[0]["f9_accept_segment"](spark, str(tmp_path)).collect() == []
