@@ -131,10 +131,23 @@ def centre_y(row: Column, top: float, res: float) -> Column:
     return F.lit(top) - (row + 0.5) * res
 
 
+def _hundredths(m: Column) -> Column:
+    """``m`` in whole hundredths, rounded by its exact binary value, true halves to even, as C and Python print it.
+
+    Java's formatter rounds the shortest decimal that reads back as ``m``, so 10.245 that lies below the half goes up there. Both parts of ``m`` times 200
+    are exact, so the side of the half is.
+    """
+    low = F.floor(m * 100)
+    head = F.floor(m * 1048576) / 1048576.0
+    side = (head * 200 - (2 * low + 1)) + (m - head) * 200
+    return low + F.when((side > 0) | ((side == 0) & (low % 2 == 1)), 1).otherwise(0)
+
+
 def degree_minute(v: Column, axis: str) -> Column:
     """Degree/minute text with hemisphere: ``22°08.22′N``."""
     pos, neg = ("N", "S") if axis == "lat" else ("E", "W")
     a = F.abs(v)
     deg = F.floor(a).cast("int")
     hemi = F.when(v >= 0, F.lit(pos)).otherwise(F.lit(neg))
-    return F.format_string("%d°%05.2f′%s", deg, (a - deg) * 60, hemi)
+    n = _hundredths((a - deg) * 60)
+    return F.format_string("%d°%02d.%02d′%s", deg, F.floor(n / 100), n % 100, hemi)

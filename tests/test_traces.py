@@ -159,3 +159,26 @@ def test_a_run_without_amplitude_has_no_variation(spark, tmp_path):
     found = registry()[0]["a8_segment_stats"](spark, str(tmp_path)).collect()
     assert any(x.amp_mean == 0 and x.amp_cv is None for x in found)
     assert registry()[0]["f9_accept_segment"](spark, str(tmp_path)).collect() == []
+
+
+def test_degree_minutes_round_as_c_does(spark):
+    import random
+
+    from soundlake.functions.geo import degree_minute
+
+    rng = random.Random(5)
+    some = [22.125 / 60, 10.245 / 60, 7 + 0.375 / 60, -3 - 59.999 / 60, 0.0] + [rng.randrange(-180 * 60000, 180 * 60000) / 60000 + 0.005 / 60 * rng.randrange(2) for _ in range(5000)]
+    got = spark.createDataFrame([(v,) for v in some], "v double").select("v", degree_minute(F.col("v"), "lon").alias("s")).collect()
+    for x in got:
+        a = abs(x.v)
+        assert x.s == f"{int(a)}°{(a - int(a)) * 60:05.2f}′{'E' if x.v >= 0 else 'W'}"
+
+
+def test_longitudes_of_the_check_tables_are_those_of_the_sql(spark):
+    import compare
+
+    from soundlake.checks.base import VIEWS, track
+
+    d = "/root/testdata/sf0.01"
+    want = dict(compare.duck(d).execute(f"SELECT seq, lon FROM ({VIEWS['track']})").fetchall())
+    assert {x.seq: x.lon for x in track(spark, d).select("seq", "lon").collect()} == want
