@@ -147,3 +147,21 @@ def test_thinning_of_a_crowd_with_few_per_round(spark, monkeypatch):
     p.loc[p["id"] % 7 == 0, ["px", "py"]] = 77.25  # one place
     out = greedy_thin(spark.createDataFrame(p).repartition(3), ["id"], "px", "py", "v", 9.0)
     assert {r["id"] for r in out.select("id").collect()} == sequential(p, 9.0)
+
+
+def test_far_queries_meet_a_thin_rim_of_points(spark, monkeypatch):
+    """Thousands of queries far above all points: few rows move, although each tile of queries sees the whole upper edge."""
+    from soundlake.operators import knn
+
+    monkeypatch.setattr(knn, "CROWD", 16)
+    monkeypatch.setattr(knn, "CROWD_LEAST", 64)
+    monkeypatch.setattr(knn, "BLOCK", 256)
+    tables = {}
+    kept = knn.cut
+    monkeypatch.setattr(knn, "cut", lambda d, name="cut": tables.setdefault(name, []).append(kept(d, name)) or tables[name][-1])
+    p = cloud(3000, 21)
+    q = pd.DataFrame({"q": np.arange(2000), "qx": np.arange(2000) % 20 * 10.0, "qy": np.arange(2000) // 20 * 400.0})
+    n = nearest(spark.createDataFrame(q), spark.createDataFrame(p), ["q"], ["id"], 4, None, 1.0)
+    some = q[q["q"] % 7 == 0]
+    assert {(x["q"], x["id"], x["rank"]) for x in n.where("q % 7 = 0").select("q", "id", "rank").collect()} == brute(some, p, 4, None)
+    assert max(t.count() for t in tables["reach"]) < 4000
