@@ -80,3 +80,15 @@ def test_waterfall_inside_pings_equals_that_of_samples(spark):
     want = R.waterfall(samples, ["ping", "side"], "db", "angle")
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.select("ping", "side", "bin", "bs").collect()))
     assert R.ping_waterfall(pings.limit(0), ["ping"], "db", "angle").count() == 0
+
+
+def test_smoothed_labels_equal_the_full_image(spark, monkeypatch):
+    """Sparse pings with missing and unlabelled bins, in blocks of a few pings, without a row for every place of the image."""
+    monkeypatch.setattr(R, "PING_BLOCK", 7)
+    rng = np.random.default_rng(8)
+    cells = {(int(p) * 3, int(b)): None if u < 0.2 else int(u * 5) for p, b, u in zip(rng.integers(0, 60, 900), rng.choice([0, 1, 2, 3, 20, 21, 47, 48, 49], 900), rng.random(900))}
+    wf = spark.createDataFrame([(p, b, v) for (p, b), v in cells.items()], "ping long, bin int, label int")
+    want = R.label_image(R.full_image(wf, "ping"), "ping", "label").select("ping", "bin", "smoothed").collect()
+    got = R.smoothed_labels(wf, "ping", "label")
+    assert sorted(got.collect()) == sorted(want) and len(want) == sum(v is not None for v in cells.values())
+    assert "explode(sequence" not in got._jdf.queryExecution().optimizedPlan().toString()
