@@ -18,6 +18,8 @@ WIDTH, SLOTS, HASHES = 4, 1 << 19, 3
 FIT_DOCS = 5000
 #: An n-gram belongs to a language if it makes up this share of its n-grams, and this share of what it makes up in the language that has it most.
 LEAST_SHARE, RELATIVE_SHARE = 5e-6, 0.1
+#: Bytes of text whose n-grams are held at once; the arrays below take many times that.
+AT_ONCE = 1 << 18
 #: Languages that fit into a mask.
 MOST_LANGUAGES = 63
 
@@ -74,7 +76,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_lan
     rows = rows.where(F.pmod("pick", F.lit(1 << 20)) < share * (1 << 20)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts(batches, 1):
+        for part in parts(batches, 1, AT_ONCE):
             value, row = grams(part.column(1))
             number = {k: i for i, k in enumerate(languages)}
             of = np.array([number[x] for x in part.column(0).to_pylist()], np.uint64)[row]
@@ -114,7 +116,7 @@ def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, masks, chance = share.value
-        for part in parts(batches, at):
+        for part in parts(batches, at, AT_ONCE):
             texts = [t or "" for t in part.column(at).to_pylist()]
             lettered = np.array([any(map(str.isalpha, t)) for t in texts], bool)
             padded = pa.array([f" {t.strip()}  " if len(t) < WIDTH else t for t in texts], pa.large_string())
