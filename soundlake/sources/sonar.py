@@ -14,7 +14,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,8 +72,8 @@ def _next_magic(read_at, pos: int, length: int, step: int = 1 << 16) -> int:
 
 #: Schemes of the listing that the Arrow build knows under another name.
 SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
-#: Bytes that the index pass reads ahead; bytes of a file that one task walks.
-AHEAD, SPAN = 1 << 23, 1 << 28
+#: Bytes that the index pass reads ahead; bytes of a file that one task walks; short files that one task walks.
+AHEAD, SPAN, FILES_PER_TASK = 1 << 23, 1 << 28, 5_000
 
 
 def arrow_uri(path: str) -> str:
@@ -122,14 +121,17 @@ def index_files(files: DataFrame, span: int = SPAN) -> DataFrame:
     """Message index of files given as (path, length); files longer than ``span`` are parsed range by range, by many tasks."""
     files = files.select("path", "length")
     start = F.lit(0).cast("long")
-    short = files.where(F.col("length") <= span).select("path", "length", start.alias("begin"), F.col("length").alias("end"), start.alias("entry"))
-    short, files = _messages(short).drop("begin"), files.where(F.col("length") > span)
-    if files.isEmpty():
+    long = F.col("length") > span
+    n, size, n_long = files.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.least("length", F.lit(span))), F.lit(0)), F.count_if(long)).first()
+    tasks = max(1, -(-n // FILES_PER_TASK), -(-size // span))
+    short = files.where(~long).repartition(tasks, "path").select("path", "length", start.alias("begin"), F.col("length").alias("end"), start.alias("entry"))
+    short = _messages(short).drop("begin")
+    if not n_long:
         return short
-    ranges = files.withColumn("begin", F.explode(F.expr(f"sequence(0L, length - 1, {span}L)")))
+    ranges = files.where(long).withColumn("begin", F.explode(F.expr(f"sequence(0L, length - 1, {span}L)")))
     ranges = ranges.withColumn("end", F.least("length", F.col("begin") + span)).repartition("path", "begin")
-    guesses = _speculated(ranges)
-    entries = guesses.groupBy("path").applyInArrow(_composed, "path string, length long, begin long, end long, entry long")
+    guesses = _speculated(ranges).repartition("path").sortWithinPartitions("path", "begin")
+    entries = guesses.mapInPandas(_composed, "path string, length long, begin long, end long, entry long")
     found = cut(_messages(entries.repartition("path", "begin")), "index")
     count = found.groupBy("file", "begin").agg(F.count(F.lit(1)).alias("n"))
     # One row per range, not per message.
@@ -140,23 +142,23 @@ def index_files(files: DataFrame, span: int = SPAN) -> DataFrame:
 
 def _messages(ranges: DataFrame) -> DataFrame:
     """Index rows of ranges (path, length, begin, end, entry), counted from 0 in each."""
+    return ranges.select("path", "length", "begin", "end", "entry").mapInPandas(_walked, INDEX_SCHEMA + ", begin long")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = _opener()
-        for pdf in batches:
-            for path, length, begin, end, entry in pdf.itertuples(index=False):
-                f = get(path)
-                read = read_ahead(lambda p, n, f=f: f.read_at(n, p), int(length))
-                rows = []
-                for i, (o, s, t, sub, ch) in enumerate(walk(read, int(length), int(entry), int(end))):
-                    rows.append((path, i, o, s, t, sub, ch))
-                    if len(rows) == 50_000:
-                        yield _frame(rows).assign(begin=begin)
-                        rows = []
-                if rows:
-                    yield _frame(rows).assign(begin=begin)
 
-    return ranges.select("path", "length", "begin", "end", "entry").mapInPandas(run, INDEX_SCHEMA + ", begin long")
+def _walked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    get = _opener()
+    rows = []  # of many short files: a frame for each would cost more than its walk
+    for pdf in batches:
+        for path, length, begin, end, entry in pdf.itertuples(index=False):
+            f = get(path)
+            read = read_ahead(lambda p, n, f=f: f.read_at(n, p), int(length))
+            for i, (o, s, t, sub, ch) in enumerate(walk(read, int(length), int(entry), int(end))):
+                rows.append((path, i, o, s, t, sub, ch, begin))
+                if len(rows) == 50_000:
+                    yield _frame(rows, "begin")
+                    rows = []
+    if rows:
+        yield _frame(rows, "begin")
 
 
 def exits(read_at, length: int, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,35 +185,43 @@ def exits(read_at, length: int, begin: int, end: int) -> tuple[np.ndarray, np.nd
 
 
 def _speculated(ranges: DataFrame) -> DataFrame:
+    columns = ["path", "length", "begin", "end", "upto", "exit"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = _opener()
+        rows, held = [], 0
         for pdf in batches:
             for path, length, begin, end in pdf.itertuples(index=False):
                 f = get(path)
                 upto, out = exits(lambda p, n, f=f: f.read_at(n, p), int(length), int(begin), int(end))
-                yield pd.DataFrame({"path": [path], "length": [length], "begin": [begin], "end": [end], "upto": [upto], "exit": [out]})
+                rows.append((path, length, begin, end, upto, out))
+                held += 1 + len(upto)
+                if held >= 50_000:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     return ranges.select("path", "length", "begin", "end").mapInPandas(run, "path string, length long, begin long, end long, upto array<long>, exit array<long>")
 
 
-def _composed(ranges: pa.Table) -> pa.Table:
-    """Where the chain of one file comes into each range that it stops in; a range is one row with a few exits."""
-    ranges = ranges.sort_by("begin")
-    begin, end = ranges["begin"].to_pylist(), ranges["end"].to_pylist()
-    pos, keep, entry = 0, [], []
-    for i, (b, e) in enumerate(zip(begin, end, strict=True)):
-        pos = max(pos, b)
-        upto = ranges["upto"][i].values.to_numpy(zero_copy_only=False)
-        k = int(np.searchsorted(upto, pos))
-        if pos < e and k < len(upto):
-            keep.append(i)
-            entry.append(pos)
-            pos = int(ranges["exit"][i].values[k].as_py())
-    return ranges.select(["path", "length", "begin", "end"]).take(pa.array(keep, pa.int64())).append_column("entry", pa.array(entry, pa.int64()))
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=[c.split()[0] for c in INDEX_SCHEMA.split(", ")])
+def _composed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Where the chain of each file comes into each range that it stops in; ranges come file by file in order, a range is one row with a few exits."""
+    at, pos = None, 0
+    for pdf in batches:
+        rows = []
+        for path, length, begin, end, upto, out in pdf.itertuples(index=False):
+            at, pos = path, max(pos if path == at else 0, begin)
+            k = int(np.searchsorted(upto, pos))
+            if pos < end and k < len(upto):
+                rows.append((path, length, begin, end, pos))
+                pos = int(out[k])
+        if rows:
+            yield pd.DataFrame(rows, columns=["path", "length", "begin", "end", "entry"])
+
+
+def _frame(rows: list[tuple], *more: str) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[*(c.split()[0] for c in INDEX_SCHEMA.split(", ")), *more])
 
 
 def scan_blobs(df: DataFrame, name: str, blob: str) -> DataFrame:

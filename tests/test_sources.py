@@ -1,6 +1,7 @@
 import struct
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,3 +197,23 @@ def test_exits_of_a_range_are_those_of_walks_from_any_place():
             steps = [o + s for o, s, *_ in sonar.walk(read, len(b), p, end)]
             k = np.searchsorted(upto, p)
             assert (out[k] if k < len(upto) else None) == (steps[-1] if steps else None)
+
+
+def test_short_files_leave_a_task_together(tmp_path):
+    one = message(80, 20, 0, b"abc") + message(2002, 0, 0, b"")
+    rows = []
+    for i in range(40):
+        (tmp_path / f"{i}.jsf").write_bytes(one)
+        rows.append((str(tmp_path / f"{i}.jsf"), len(one), 0, len(one), 0))
+    files = pd.DataFrame(rows, columns=["path", "length", "begin", "end", "entry"])
+    frames = list(sonar._walked(iter([files[:25], files[25:]])))
+    assert [len(f) for f in frames] == [80]
+    assert frames[0]["seq"].tolist() == [0, 1] * 40 and frames[0]["file"].tolist() == [p for p, *_ in rows for _ in range(2)]
+
+
+def test_chains_are_composed_across_batches_and_files():
+    r = pd.DataFrame({"path": ["a", "a", "a", "b"], "length": [30, 30, 30, 9], "begin": [0, 10, 20, 0], "end": [10, 20, 30, 9],
+                      "upto": [np.array([3]), np.array([14]), np.array([21, 26]), np.array([5])], "exit": [np.array([22]), np.array([25]), np.array([27, 31]), np.array([9])]})
+    for cuts in ([0, 4], [0, 1, 4], [0, 1, 2, 3, 4]):
+        found = pd.concat(sonar._composed(r[a:b] for a, b in zip(cuts, cuts[1:])))
+        assert found[["path", "begin", "entry"]].values.tolist() == [["a", 0, 0], ["a", 20, 22], ["b", 0, 0]]
