@@ -419,6 +419,8 @@ def target_rows(df: DataFrame) -> DataFrame:
 
 #: Bits of row and column within one part of the space-filling curve: 2048 x 2048 cells.
 PART_BITS = 11
+#: Parts of a box that are looked up one by one; beyond, the whole table is listed.
+FEW_PARTS = 1024
 
 
 def curve_code(row: Column, col: Column) -> Column:
@@ -462,15 +464,23 @@ def curve_ranges(r0: int, r1: int, c0: int, c1: int, bits: int = PART_BITS, most
 
 
 def on_curve(cells: DataFrame, bits: int = PART_BITS) -> DataFrame:
-    """Cells dealt out by parts of the curve and in its order within them, with the part as ``curve``: ready to be written partitioned by it."""
+    """Cells dealt out by parts of the curve and in its order within them, with the part as ``curve``: ready to be written partitioned by it.
+
+    Parts of a few cells cost a file each, not their bytes, so the planner is not left to join partitions by bytes.
+    """
     c = cells.withColumn("_z", curve_code(F.col("row"), F.col("col")))
     c = c.withColumn("curve", F.shiftright("_z", 2 * bits))
-    return c.repartition("curve").sortWithinPartitions("curve", "_z").drop("_z")
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return c.repartition(tasks, "curve").sortWithinPartitions("curve", "_z").drop("_z")
 
 
 def write(cube: DataFrame, path: str, bits: int = PART_BITS) -> None:
-    """Wide cells as Parquet along the curve: a folder for each part, cells in curve order in its file, so that row groups are small blocks of the grid."""
-    on_curve(cube, bits).write.mode("overwrite").partitionBy("curve").parquet(path)
+    """Wide cells as Parquet along the curve: a folder for each part, cells in curve order in its file, so that row groups are small blocks of the grid.
+
+    Tasks put their own files in place: the driver would move those of all tasks one by one.
+    """
+    out = on_curve(cube, bits).write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    out.partitionBy("curve").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -478,15 +488,32 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def within(cells: DataFrame, r0: int, r1: int, c0: int, c1: int, bits: int = PART_BITS) -> DataFrame:
-    """Cells of a box, of a stored table with ``curve``: only folders in the box's ranges are listed, and in their files only row groups that meet it are read."""
+    """Cells of a box, of a stored table with ``curve``: only folders in the box's ranges are read, and in their files only row groups that meet it."""
     part = reduce(lambda a, b: a | b, [F.col("curve").between(a, b) for a, b in curve_ranges(r0, r1, c0, c1, bits)], F.lit(False))
     return cells.where(part & F.col("row").between(r0, r1) & F.col("col").between(c0, c1))
 
 
+def _folders(spark: SparkSession, path: str, r0: int, r1: int, c0: int, c1: int, bits: int) -> DataFrame:
+    """The stored table, listed in the folders of a box only: one by one where it has few parts. A box without any gives a table of some other part."""
+    high, wide = max(0, (r1 >> bits) - (r0 >> bits) + 1), max(0, (c1 >> bits) - (c0 >> bits) + 1)
+    if high * wide > FEW_PARTS:
+        return spark.read.parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    places = [f"{path}/curve={p}" for a, b in curve_ranges(r0, r1, c0, c1, bits, max(1, high * wide)) for p in range(a, b + 1)]
+    found = [p for p in places if files.exists(hadoop(p))]
+    listing = files.listStatusIterator(hadoop(path))
+    while not found and listing.hasNext():
+        name = listing.next().getPath().getName()
+        found = [f"{path}/{name}"] if name.startswith("curve=") else []
+    return spark.read.option("basePath", path).parquet(*found) if found else spark.read.parquet(path)
+
+
 def read_box(spark: SparkSession, path: str, grid: Grid, box: tuple[float, float, float, float], bits: int = PART_BITS) -> DataFrame:
     """Cells of a stored cube whose centres lie in the box (x0, y0, x1, y1); corners in any order."""
     x0, x1 = sorted((box[0], box[2]))
     y0, y1 = sorted((box[1], box[3]))
     c0, c1 = math.ceil((x0 - grid.left) / grid.res - 0.5 - 1e-9), math.floor((x1 - grid.left) / grid.res - 0.5 + 1e-9)
     r0, r1 = math.ceil((grid.top - y1) / grid.res - 0.5 - 1e-9), math.floor((grid.top - y0) / grid.res - 0.5 + 1e-9)
-    return within(spark.read.parquet(path), max(r0, 0), min(r1, grid.nrows - 1), max(c0, 0), min(c1, grid.ncols - 1), bits).drop("curve")
+    r0, r1, c0, c1 = max(r0, 0), min(r1, grid.nrows - 1), max(c0, 0), min(c1, grid.ncols - 1)
+    return within(_folders(spark, path, r0, r1, c0, c1, bits), r0, r1, c0, c1, bits).drop("curve")

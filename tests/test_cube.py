@@ -134,6 +134,27 @@ def test_a_box_opens_only_its_files(spark, tmp_path):
     assert files_read(C.read_box(spark, str(tmp_path / "cube"), g, (900.0, 60.0, 930.0, 45.0), bits=3)) == 0
 
 
+def test_a_box_lists_only_its_folders(spark, tmp_path):
+    path, g = str(tmp_path / "cube"), Grid(0.0, 64.0, 1.0, 64, 64)
+    C.write(g.cells(spark).where("row < 32").withColumn("depth", F.col("row") * 1.0), path, bits=3)
+
+    def listed(*box):
+        q = C.read_box(spark, path, g, box, bits=3)
+        return q.count(), q.columns, len(q._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().inputFiles())
+
+    columns = ["row", "col", "depth"]
+    assert listed(9.0, 60.0, 30.0, 45.0) == (15 * 21, columns, 3 * 3)
+    assert listed(9.0, 40.0, 30.0, 25.0) == (8 * 21, columns, 3)  # the lower parts are not there
+    assert listed(9.0, 20.0, 30.0, 10.0) == (0, columns, 1) and listed(900.0, 60.0, 930.0, 45.0) == (0, columns, 1)
+
+
+def test_small_parts_are_written_by_many_tasks(spark, tmp_path):
+    path, g = str(tmp_path / "cube"), Grid(0.0, 64.0, 1.0, 64, 64)
+    C.write(g.cells(spark).withColumn("depth", F.col("row") * 1.0), path, bits=3)
+    tasks = spark.read.parquet(path).select(F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1)).distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_layers_are_read_by_box(spark, tmp_path):
     from soundlake.operators import raster as R
 
