@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,6 +75,8 @@ def _next_magic(read_at, pos: int, length: int, step: int = 1 << 16) -> int:
 SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
 #: Bytes that the index pass reads ahead; bytes of a file that one task walks; short files that one task walks.
 AHEAD, SPAN, FILES_PER_TASK = 1 << 23, 1 << 28, 5_000
+#: Payload bytes of a scan that leave a task together.
+SCAN_BYTES = 1 << 21
 
 
 def arrow_uri(path: str) -> str:
@@ -226,16 +229,30 @@ def _frame(rows: list[tuple], *more: str) -> pd.DataFrame:
 
 def scan_blobs(df: DataFrame, name: str, blob: str) -> DataFrame:
     """The same walk over binary cells, payloads included: for small pieces held in a table."""
+    return df.select(F.col(name).cast("string"), blob).mapInArrow(_scanned, INDEX_SCHEMA + ", payload binary")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for key, b in zip(pdf[name], pdf[blob]):
-                for i, (o, s, t, sub, ch) in enumerate(walk(lambda p, n, b=b: b[p : p + n], len(b))):
-                    rows.append((str(key), i, o, s, t, sub, ch, b[o : o + s]))
-            yield pd.DataFrame(rows, columns=[*(c.split()[0] for c in INDEX_SCHEMA.split(", ")), "payload"])
 
-    return df.select(name, blob).mapInPandas(run, INDEX_SCHEMA + ", payload binary")
+def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells are walked where they lie in the batch; rows leave by count and by the bytes of their payloads."""
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    names = [*(c.split()[0] for c in INDEX_SCHEMA.split(", ")), "payload"]
+
+    def block(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names)
+
+    for batch in batches:
+        rows, held = [], 0
+        for key, cell in zip(batch.column(0), batch.column(1)):
+            b = memoryview(cell.as_buffer()) if cell.is_valid else b""
+            key = key.as_py()
+            for i, (o, s, t, sub, ch) in enumerate(walk(lambda p, n, b=b: bytes(b[p : p + n]), len(b))):
+                rows.append((key, i, o, s, t, sub, ch, bytes(b[o : o + s])))
+                held += s
+                if len(rows) == 10_000 or held > SCAN_BYTES:
+                    yield block(rows)
+                    rows, held = [], 0
+        if rows:
+            yield block(rows)
 
 
 def spread(index: DataFrame, block: int = 2048) -> DataFrame:

@@ -2,6 +2,7 @@ import struct
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,3 +218,14 @@ def test_chains_are_composed_across_batches_and_files():
     for cuts in ([0, 4], [0, 1, 4], [0, 1, 2, 3, 4]):
         found = pd.concat(sonar._composed(r[a:b] for a, b in zip(cuts, cuts[1:])))
         assert found[["path", "begin", "entry"]].values.tolist() == [["a", 0, 0], ["a", 20, 22], ["b", 0, 0]]
+
+
+def test_scanned_payloads_leave_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(sonar, "SCAN_BYTES", 100)
+    blob = b"".join(message(80, 20, 0, bytes([i]) * 60) for i in range(7))
+    batch = pa.RecordBatch.from_pydict({"name": ["a", "b", "c"], "blob": pa.array([blob, None, blob[:30]], pa.binary())})
+    out = list(sonar._scanned(iter([batch])))
+    assert max(b.num_rows for b in out) == 2
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [(r["file"], r["seq"], r["payload"][:1]) for r in rows] == [("a", i, bytes([i])) for i in range(7)] + [("c", 0, b"\0")]
+    assert [len(r["payload"]) for r in rows] == [60] * 7 + [14]
