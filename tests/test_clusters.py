@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from soundlake.operators import radiometry as R
+from soundlake.operators.stats import small_median
 
 
 def frame(spark, v):
@@ -92,3 +93,11 @@ def test_smoothed_labels_equal_the_full_image(spark, monkeypatch):
     got = R.smoothed_labels(wf, "ping", "label")
     assert sorted(got.collect()) == sorted(want) and len(want) == sum(v is not None for v in cells.values())
     assert "explode(sequence" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_medians_are_dealt_out_whatever_their_bytes(spark):
+    rows = spark.range(4000).selectExpr("id % 500 AS ping", "CAST(id % 3 AS INT) AS bin", "CASE WHEN id % 11 <> 0 THEN CAST(id * 37 % 101 AS DOUBLE) END AS v")
+    found = small_median(rows, ["ping", "bin"], "v", "m")
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = rows.groupBy("ping", "bin").agg(F.median("v").alias("m")).where("m is not null")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
