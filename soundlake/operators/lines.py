@@ -61,23 +61,27 @@ def ranks(before: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return first, steps, ring
 
 
-def _chains(segments: pa.Table) -> pa.Table:
-    """Segments of one level and tile with their chain and place in it; a chain's last one also has its length and the place of its smallest crossing."""
-    a, b = (segments[c].to_numpy() for c in "ab")
+def _chains(segments: pa.Table, ncols: int) -> pa.Table:
+    """Segments of one level and tile as chains: the first and last crossing, the number of segments, the smallest crossing that one starts at, its place, and all points in order."""
+    a, b, at, bt = (segments[c].to_numpy() for c in ("a", "b", "at", "bt"))
     by = np.argsort(b)
-    at = by[np.minimum(np.searchsorted(b[by], a), len(b) - 1)]
-    first, place, _ = ranks(np.where(b[at] == a, at, -1), a)
+    prior = by[np.minimum(np.searchsorted(b[by], a), len(b) - 1)]
+    first, place, _ = ranks(np.where(b[prior] == a, prior, -1), a)
     order = np.lexsort((place, a[first]))
-    chain, place = a[first][order], place[order]
+    chain, a, b, at, bt = a[first][order], a[order], b[order], at[order], bt[order]
     start = np.flatnonzero(np.append(True, chain[1:] != chain[:-1]))
     size = np.diff(np.append(start, len(chain)))
-    low = np.minimum.reduceat(a[order], start)
-    is_low = np.flatnonzero(a[order] == np.repeat(low, size))
-    last = np.zeros(len(chain), bool)
-    last[start + size - 1] = True
-    only_last = lambda x: pa.array(np.repeat(x, size), mask=~last)
-    columns = {"lev": segments["lev"], "a": a[order], "b": b[order], **{c: segments[c].to_numpy()[order] for c in ("ax", "ay", "bx", "by")}}
-    return pa.table({**columns, "chain": chain, "place": place, "n": only_last(size), "low": only_last(low), "low_place": only_last(place[is_low])})
+    last = start + size - 1
+    low = np.minimum.reduceat(a, start)
+    is_low = np.flatnonzero(a == np.repeat(low, size))
+    # All first crossings of a chain's segments, then the last one's second.
+    key, along = np.insert(a, last + 1, b[last]), np.insert(at, last + 1, bt[last])
+    upright, cell = (key & 1).astype(bool), key >> 1
+    x, y = np.where(upright, cell % (ncols + 1), along), np.where(upright, along, cell // (ncols + 1))
+    ends = np.append(0, np.cumsum(size + 1)).astype(np.int32)
+    xs, ys = (pa.ListArray.from_arrays(ends, pa.array(v, pa.float64())) for v in (x, y))
+    lev = np.full(len(start), segments["lev"][0].as_py(), np.int64)
+    return pa.table({"lev": lev, "id": chain[start], "to": b[last], "n": size, "low": low, "low_place": is_low - start, "xs": xs, "ys": ys})
 
 
 def _jump(state: DataFrame) -> DataFrame:
@@ -110,16 +114,17 @@ def contour_lines(df: DataFrame, grid: Grid, value: str, minor: int = 5, major:
     ``line`` is the key of its first crossing, ``n`` the number of its points. A closed line starts at its smallest crossing and ends where it
     starts; an open one runs from the edge of the data with the higher side on its right. Points that fall on one corner of the grid stay apart.
     """
-    segments = directed_segments(df, grid, value, minor)
-    kinds = "lev long, a long, b long, ax double, ay double, bx double, by double, chain long, place long, n long, low long, low_place long"
-    pieces = cut(segments.groupBy("lev", "tile").applyInArrow(_chains, kinds), "chains")
-    chains = cut(pieces.where("n is not null").select("lev", F.col("chain").alias("id"), F.col("b").alias("to"), "n", "low", "low_place"), "ends")
+    # A key tells its edge, and so one coordinate; the place along the edge is the other.
+    segments = directed_segments(df, grid, value, minor).selectExpr("lev", "tile", "a", "b", "IF(a % 2 = 1, ay, ax) AS at", "IF(b % 2 = 1, by, bx) AS bt")
+    ncols = grid.ncols
+    kinds = "lev long, id long, to long, n long, low long, low_place long, xs array<double>, ys array<double>"
+    pieces = cut(segments.groupBy("lev", "tile").applyInArrow(lambda t: _chains(t, ncols), kinds), "chains")
+    # A chain that ends at its own start is a ring within a tile, whole and in order already; only the others meet.
+    alone, parts = pieces.where("to = id"), pieces.where("to <> id")
+    chains = parts.select("lev", "id", "to", "n", "low", "low_place")
     before = chains.select("lev", F.col("to").alias("id"), F.col("id").alias("first"), F.col("n").alias("steps"))
     state = chains.select("lev", "id", "low").join(before, ["lev", "id"], "left")
-    # A chain that ends at its own start is a ring within a tile and has its order already.
-    alone = F.coalesce(F.col("first") == F.col("id"), F.lit(True))
-    steps = F.when(alone, F.lit(0)).otherwise(F.col("steps")).cast("long").alias("steps")
-    links = cut(state.select("lev", "id", F.coalesce("first", "id").alias("first"), steps, F.col("low").alias("own_low"), "low"), "links")
+    links = cut(state.select("lev", "id", F.coalesce("first", "id").alias("first"), F.coalesce("steps", F.lit(0)).cast("long").alias("steps"), F.col("low").alias("own_low"), "low"), "links")
     found = _ranked(links)
     ends = found.where("steps = 0").select("lev", "first")
     straight = found.join(ends, ["lev", "first"], "left_semi")
@@ -130,15 +135,21 @@ def contour_lines(df: DataFrame, grid: Grid, value: str, minor: int = 5, major:
     turned = _ranked(rings)
     shape = ["lev", "id", "first", "steps"]
     ordered = straight.select(*shape, F.lit(False).alias("closed")).unionByName(turned.select(*shape, F.lit(True).alias("closed")))
-    ordered = chains.join(ordered, ["lev", "id"]).withColumn("closed", F.col("closed") | (F.col("to") == F.col("id")))
+    ordered = chains.join(ordered, ["lev", "id"])
     head = F.col("id") == F.col("first")
     whole = ordered.groupBy("lev", "first").agg(F.sum("n").alias("size"), F.max(F.when(head, F.col("low"))).alias("low"), F.max(F.when(head, F.col("low_place"))).alias("turn"))
     ordered = ordered.select("lev", "id", "first", "steps", "closed").join(whole, ["lev", "first"])
-    ordered = cut(ordered.select("lev", F.col("id").alias("chain"), "steps", "closed", "size", F.when(F.col("closed"), F.col("low")).otherwise(F.col("first")).alias("line"),
+    ordered = cut(ordered.select("lev", "id", "steps", "closed", "size", F.when(F.col("closed"), F.col("low")).otherwise(F.col("first")).alias("line"),
                                  F.when(F.col("closed"), F.col("turn")).otherwise(F.lit(0)).alias("turn")), "lines")
-    release(found, turned, links, chains)
+    release(found, turned, links)
+    shape = ["lev", "n", "xs", "ys", "steps", "closed", "size", "line", "turn"]
+    whole = alone.select("lev", "n", "xs", "ys", F.lit(0).cast("long").alias("steps"), F.lit(True).alias("closed"), F.col("n").alias("size"), F.col("low").alias("line"), F.col("low_place").alias("turn"))
+    s = parts.join(ordered, ["lev", "id"]).select(*shape).unionByName(whole)
+    n = F.col("n").cast("int")
+    pairs = F.arrays_zip(*[F.slice(f"{c}s", F.lit(o), n).alias(f"{p}{c}") for p, o in (("a", 1), ("b", 2)) for c in "xy"])
+    s = s.select("lev", "steps", "closed", "size", "line", "turn", F.posexplode(pairs).alias("place", "s"))
     place = F.pmod(F.col("steps") + F.col("place") - F.col("turn"), F.col("size"))
-    s = pieces.select("lev", "chain", "place", "ax", "ay", "bx", "by").join(ordered, ["lev", "chain"]).withColumn("ord", place)
+    s = s.select("lev", "line", "closed", "size", place.alias("ord"), "s.*")
     point = lambda p, o: F.struct(o.alias("ord"), F.col(f"{p}x").alias("px"), F.col(f"{p}y").alias("py"))
     both = F.when(F.col("ord") == F.col("size") - 1, F.array(point("a", F.col("ord")), point("b", F.col("size")))).otherwise(F.array(point("a", F.col("ord"))))
     s = s.select("lev", "line", "size", "closed", F.explode(both).alias("p"))

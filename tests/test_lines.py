@@ -124,3 +124,17 @@ def test_linked_lists():
                 want |= {int(i): (int(part[0]), k, ring) for k, i in enumerate(part)}
         first, steps, ring = L.ranks(before, low)
         assert {i: (int(first[i]), int(steps[i]), bool(ring[i])) for i in range(n)} == want
+
+
+def test_chains_keep_their_points_in_one_row():
+    import pyarrow as pa
+
+    # On a grid of 9 columns: an open chain of two segments, and a ring of four that starts at its smallest crossing.
+    key = lambda row, col, up: (row * 10 + col) * 2 + up
+    open_, ring = [key(0, 1, 0), key(0, 1, 1), key(2, 0, 1)], [key(4, 3, 0), key(4, 4, 1), key(5, 3, 0), key(4, 3, 1)]
+    a, b = [open_[1], open_[0], *ring], [open_[2], open_[1], *ring[1:], ring[0]]
+    along = {k: 0.25 + (k // 20 if k % 2 else k // 2 % 10) for k in (*open_, *ring)}
+    t = pa.table({"lev": [5] * 6, "tile": [0] * 6, "a": a, "b": b, "at": [along[k] for k in a], "bt": [along[k] for k in b]})
+    first, second = L._chains(t, 9).to_pylist()
+    assert first == {"lev": 5, "id": open_[0], "to": open_[2], "n": 2, "low": open_[0], "low_place": 0, "xs": [1.25, 1.0, 0.0], "ys": [0.0, 0.25, 2.25]}
+    assert second == {"lev": 5, "id": ring[0], "to": ring[0], "n": 4, "low": ring[0], "low_place": 0, "xs": [3.25, 4.0, 3.25, 3.0, 3.25], "ys": [4.0, 4.25, 5.0, 4.25, 4.0]}
