@@ -138,3 +138,15 @@ def test_chains_keep_their_points_in_one_row():
     first, second = L._chains(t, 9).to_pylist()
     assert first == {"lev": 5, "id": open_[0], "to": open_[2], "n": 2, "low": open_[0], "low_place": 0, "xs": [1.25, 1.0, 0.0], "ys": [0.0, 0.25, 2.25]}
     assert second == {"lev": 5, "id": ring[0], "to": ring[0], "n": 4, "low": ring[0], "low_place": 0, "xs": [3.25, 4.0, 3.25, 3.0, 3.25], "ys": [4.0, 4.25, 5.0, 4.25, 4.0]}
+
+
+def test_rings_within_a_tile_do_not_meet(spark, monkeypatch):
+    met = []
+    ranked = L._ranked
+    monkeypatch.setattr(L, "_ranked", lambda state: met.append(state.count()) or ranked(state))
+    y, x = np.mgrid[0:30, 0:30]
+    a = 30.0 - np.hypot(x - 14.3, y - 15.1)
+    a[a < 17] = 17.0
+    points = L.contour_lines(layer(spark, a), grid_of(a), "z")
+    assert points.where("closed").select("depth_m").distinct().count() == 2 and points.where("not closed").count() == 0
+    assert met == [0, 0]
