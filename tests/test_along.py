@@ -138,3 +138,18 @@ def test_quantiles_of_nothing(spark):
     d = spark.createDataFrame([(1, None)], "g int, v double")
     assert quantiles(d, ["g"], "v", {"m": 0.5}).count() == 0
     assert quantiles(d, [], "v", {"m": 0.5}).count() == 0
+
+
+def test_zero_padded_medians_need_no_masks(monkeypatch):
+    from soundlake.operators.along import _block_median
+
+    rng = np.random.default_rng(3)
+    for n, half in ((1, 3), (2, 3), (5, 3), (40, 3), (40, 17)):
+        v = np.where(rng.random(n) < 0.2, np.nan, rng.normal(size=n).round(1))
+        reach = (min(2 * half + 1, n) - 1) // 2
+        padded = np.concatenate([np.zeros(reach), np.nan_to_num(v), np.zeros(reach)])
+        want = [np.nanmedian(padded[i : i + 2 * reach + 1]) for i in range(n)]
+        with monkeypatch.context() as m:
+            m.setattr(np, "nanmedian", None)
+            got = _block_median(np.arange(1, n + 1), v, np.ones(n, bool), n, half, False)
+        assert got.tolist() == want
