@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from soundlake.operators.lineage import cut, release
 
 SPACE = "▁"
 #: Rank of nothing: later than every merge.
 NEVER = 1 << 30
-SCHEMA = "piece string, id int, rank int, size int, right array<struct<n:tinyint,born:int,gone:int>>, left array<struct<n:tinyint,born:int,gone:int>>"
-#: Different words, and texts, that one task handles: a word's lattice is some ten times its size.
-WORDS_PER_TASK, TEXTS_PER_TASK = 20_000, 5_000
+#: Different words that one task handles: a word's lattice is some ten times its size.
+WORDS_PER_TASK = 20_000
+#: The commonest words, of so many characters at most, are known to every task with their ids; the others are joined.
+COMMON, COMMON_LENGTH = 1 << 19, 64
 
 
 def merge_tree(text: str, rank: dict[str, int]):
@@ -28,7 +36,7 @@ def merge_tree(text: str, rank: dict[str, int]):
 
 
 def piece_table(model_path: str) -> tuple[list[tuple], int]:
-    """(rows of ``SCHEMA`` for the pieces that merging can give, id of the piece for byte 0).
+    """(rows of piece, id, rank, size, right, left for the pieces that merging can give, id of the piece for byte 0).
 
     ``right`` holds the endings of ``n`` characters that stand as pieces of their own while the piece is built, from rank ``born`` until rank ``gone``; ``left`` the same for its
     beginnings. The model fixes the size of the table.
@@ -60,117 +68,201 @@ def piece_table(model_path: str) -> tuple[list[tuple], int]:
     return rows, zero
 
 
-def units(text: Column) -> Column:
-    """The text with its spaces marked, cut before each run of marks. Nothing merges across these cuts. Empty and null texts have none."""
+def mixed(pieces: Iterable[str]) -> bool:
+    """Whether a letter and another character, marks at the front aside, stand next to each other in a piece."""
+    return any(a.isalpha() != b.isalpha() for p in pieces for a, b in pairwise(p.lstrip(SPACE)))
+
+
+def units(text: Column, split: bool = False) -> Column:
+    """The text with its spaces marked, cut before each run of marks, with ``split`` also where letters and other characters meet, which holds for pieces that are not ``mixed``.
+
+    Nothing merges across these cuts. Empty and null texts have none.
+    """
     marked = F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE)))
-    found = F.regexp_extract_all(marked, F.lit(f"{SPACE}*[^{SPACE}]+|{SPACE}+"), F.lit(0))
+    kinds = [r"\p{L}", rf"[^\p{{L}}{SPACE}]"] if split else [f"[^{SPACE}]"]
+    found = F.regexp_extract_all(marked, F.lit("|".join([*(f"{SPACE}*{k}+" for k in kinds), f"{SPACE}+"])), F.lit(0))
     return F.when(F.length(text) > 0, found).otherwise(F.array().cast("array<string>"))
 
 
-def lattice(words: DataFrame, pieces: DataFrame, longest: int, zero: int) -> DataFrame:
-    """unit, edges: all pieces in each unit, as (start, stop, id, rank, right, left, bytes), by stop and start.
+def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """The rows of ``words`` with edges: all pieces in each unit, as (stop, start, id), by stop and start.
 
     Substrings of up to ``longest`` characters are exploded and joined to the piece table, whose size the model bounds. A character that is no piece becomes an edge
-    with the ids of its UTF-8 bytes. The edges stay in the partition of their unit.
+    without an id. The edges stay in the partition of their unit.
     """
-    spans = words.select("unit", F.explode(F.sequence(F.lit(1), F.char_length("unit"))).alias("first"))
+    keep = words.columns
+    spans = words.select(*keep, F.explode(F.sequence(F.lit(1), F.char_length("unit"))).alias("first"))
     ends = F.sequence(F.lit(1), F.least(F.lit(longest), F.char_length("unit") - F.col("first") + 1))
-    spans = spans.select("unit", "first", F.explode(ends).alias("n"))
-    spans = spans.withColumn("sub", F.expr("substring(unit, first, n)"))
-    hit = spans.join(F.broadcast(pieces.drop("size")), F.col("sub") == F.col("piece"), "left").where("id is not null or n = 1")
-    hexed = F.hex(F.encode("sub", "UTF-8"))
-    raw = F.transform(F.sequence(F.lit(1), F.length(hexed), F.lit(2)), lambda i: F.conv(F.substring(hexed, i, F.lit(2)), 16, 10).cast("int") + zero)
-    edge = F.struct(
-        (F.col("first") + F.col("n") - 1).alias("stop"), (F.col("first") - 1).alias("start"), "id", F.coalesce("rank", F.lit(NEVER)).alias("rank"), "right", "left",
-        F.when(F.col("id").isNull(), raw).alias("raw"),
-    )
-    return hit.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-
-
-def fold(edges: Column, longest: int) -> Column:
-    """Number (from 0) of the best path's edge at each stop of a unit.
-
-    Viterbi over the stops: the state of a stop is the last edge of the best path to it, and a step costs one if a merge across the joint would have come before the
-    pieces on both sides were complete. The merging of a text is the one path without such a joint, so a stop keeps the first edge that arrives at no cost. A merge across
-    the joint is itself an edge; it wins if its rank comes while its two parts stand by themselves, on the spines of the pieces.
-    """
-    reach = longest * longest
+    spans = spans.select(*keep, "first", F.explode(ends).alias("size"))
+    spans = spans.withColumn("sub", F.expr("substring(unit, first, size)"))
+    hit = spans.join(F.broadcast(pieces), F.col("sub") == F.col("piece"), "left").where("id is not null or size = 1")
+    edge = F.struct((F.col("first") + F.col("size") - 1).alias("stop"), (F.col("first") - 1).alias("start"), F.coalesce("id", F.lit(-1)).alias("id"))
+    return hit.groupBy(*keep).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
-    def free(at: Column, b: Column, acc: Column) -> Column:
-        a = F.get(edges, F.get(acc, b["start"] - 1))
-        near = F.slice(edges, F.greatest(F.lit(1), at + 1 - reach), F.lit(2 * reach))
 
-        def wins(m: Column) -> Column:
-            p = b["start"]
-            across = (m["start"] < p) & (m["stop"] > p) & (m["start"] >= a["start"]) & (m["stop"] <= b["stop"])
-            ends = F.filter(a["right"], lambda r: (r["n"] == p - m["start"]) & (m["rank"] < r["gone"]))
-            begins = F.filter(b["left"], lambda l: (l["n"] == m["stop"] - p) & (m["rank"] <= l["gone"]))
-            return across & F.exists(ends, lambda r: F.exists(begins, lambda l: (r["born"] <= l["gone"]) & (l["born"] < r["gone"])))
+class Joints:
+    """Whether two neighbouring pieces may stay apart, by their ids.
 
-        return (b["start"] == 0) | ~F.coalesce(F.exists(near, wins), F.lit(False))
+    They may not if a merge across the joint would have come before both were complete: if its rank comes while its two parts stand by themselves, on the spines of
+    the pieces. That depends on the two pieces alone, so an answer is kept, up to ``KEPT`` of them.
+    """
+
+    KEPT = 1 << 20
 
-    def step(acc: Column, x: Column) -> Column:
-        b = x["e"]
-        new = (F.size(acc) < b["stop"]) & free(x["at"], b, acc)
-        return F.when(new, F.concat(acc, F.array(x["at"]))).otherwise(acc)
+    def __init__(self, table: list[tuple]):
+        self.pieces = {i: (piece, right, left) for piece, i, _, _, right, left in table}
+        self.rank = {r[0]: r[2] for r in table}
+        self.seen: dict[tuple[int, int], bool] = {}
 
-    numbered = F.transform(edges, lambda e, i: F.struct(i.alias("at"), e.alias("e")))
-    best = F.aggregate(numbered, F.array().cast("array<int>"), step)
-    return best
+    def free(self, a: int, b: int) -> bool:
+        """A character that is no piece (-1) merges with nothing."""
+        known = self.seen.get((a, b))
+        if known is None:
+            if len(self.seen) >= self.KEPT:
+                self.seen.clear()
+            known = self.seen[a, b] = a < 0 or b < 0 or not any(self._across(a, b))
+        return known
 
+    def _across(self, a: int, b: int) -> Iterator[bool]:
+        (left, ends, _), (right, _, begins) = self.pieces[a], self.pieces[b]
+        for n, born, gone in ends:
+            for m, since, until in begins:
+                rank = self.rank.get(left[-n:] + right[:m])
+                yield rank is not None and rank < gone and rank <= until and born <= until and since < gone
 
-def trace(edges: Column, best: Column) -> Column:
-    """Ids along the path that ``best`` (edge of each stop) leads back from the last stop."""
-    start = F.struct(F.size(best).alias("stop"), F.array().cast("array<int>").alias("ids"))
 
-    def back(acc: Column, stop: Column) -> Column:
-        e = F.get(edges, F.get(best, stop - 1))
-        ids = F.when(e["id"].isNotNull(), F.array(e["id"])).otherwise(e["raw"])
-        return F.when(acc["stop"] == stop, F.struct(e["start"].alias("stop"), F.concat(ids, acc["ids"]).alias("ids"))).otherwise(acc)
+def best_path(length: int, edges: Iterable[tuple[int, int, int]], free: Callable[[int, int], bool]) -> list[tuple[int, int]]:
+    """(start, id) of the best path's edges through a unit, from its edges (stop, start, id) in order.
 
-    return F.aggregate(F.reverse(F.sequence(F.lit(1), F.size(best))), start, back, lambda acc: acc["ids"])
+    Viterbi over the stops: the state of a stop is the last edge of the best path to it, and a step costs one at a joint that is not ``free``. The merging of a text is
+    the one path without such a joint, so a stop keeps the first edge that arrives at no cost.
+    """
+    best: list[tuple[int, int] | None] = [None] * (length + 1)
+    for stop, start, i in edges:
+        if best[stop] is None and (start == 0 or free(best[start][1], i)):
+            best[stop] = (start, i)
+    path, at = [], length
+    while at:
+        path.append(best[at])
+        at = path[-1][0]
+    return path[::-1]
+
+
+def folded(edges: DataFrame, table: list[tuple], zero: int) -> DataFrame:
+    """unit, n, ids: the best path through each unit's lattice. A character that is no piece has the ids of its UTF-8 bytes."""
+    held = edges.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free = Joints(held.value).free
+        for batch in (part for b in batches for part in sliced(b, 2)):
+            units, lists = batch.column(0), batch.column(2)
+            flat, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy()).tolist()
+            steps = list(zip(*[flat.field(c).to_numpy().tolist() for c in range(3)], strict=True))
+            out, at = [], 0
+            for unit, end in zip(units.to_pylist(), ends, strict=True):
+                path = best_path(len(unit), steps[at:end], free)
+                out.append([x for start, i in path for x in ([i] if i >= 0 else [zero + b for b in unit[start].encode()])])
+                at = end
+            yield pa.record_batch([units, batch.column(1), pa.array(out, pa.list_(pa.int32()))], names=["unit", "n", "ids"])
+
+    return edges.select("unit", "n", "edges").mapInArrow(run, "unit string, n long, ids array<int>")
+
+
+#: Values of lists that a task handles at once, if one row does not hold more.
+TOGETHER = 1 << 18
+
+
+def sliced(batch: pa.RecordBatch, lists: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose lists hold about ``TOGETHER`` values."""
+    run = np.cumsum(batch.column(lists).value_lengths().fill_null(0).to_numpy()) // TOGETHER
+    starts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for a, b in pairwise(starts):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def looked_up(docs: DataFrame, common: pa.Table) -> DataFrame:
+    """``docs``, whose last column ``units`` gives way to ids and rare: a unit that is not ``common`` stands in the ids as -1 - its number in rare, the row's list of these."""
+    words, ids = (common[c].combine_chunks() for c in ("unit", "ids"))
+    ids = pa.concat_arrays([ids.cast(pa.list_(pa.int32())), pa.array([[0]], pa.list_(pa.int32()))])
+    held = docs.sparkSession.sparkContext.broadcast((words, ids))
+    names = docs.columns[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, ids = held.value
+        size = ids.value_lengths().to_numpy()
+        place = {w: i for i, w in enumerate(words.to_pylist())}
+        for batch in (part for b in batches for part in sliced(b, len(names))):
+            lists = batch.column(len(names))
+            flat, rows = lists.flatten(), np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy()))
+            coded = flat.dictionary_encode()
+            at = np.array([place.get(w, len(words)) for w in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
+            ends, lost = np.append(0, np.cumsum(size[at])), np.append(0, np.cumsum(at == len(words)))
+            value = ids.take(pa.array(at)).flatten().to_numpy().copy()
+            rare = np.flatnonzero(at == len(words))
+            value[ends[rare]] = lost[rows[:-1]][np.searchsorted(rows, rare, "right") - 1] - lost[rare] - 1
+            new = [pa.ListArray.from_arrays(pa.array(o[rows].astype(np.int32)), v) for o, v in ((ends, pa.array(value)), (lost, flat.take(pa.array(rare))))]
+            yield pa.record_batch([*batch.columns[: len(names)], *new], names=[*names, "ids", "rare"])
+
+    return docs.mapInArrow(run, docs.select(*names).schema.add("ids", ArrayType(IntegerType())).add("rare", ArrayType(StringType())))
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ids (array of int): the pieces that merging gives, as the model's own encoder does; columns named ids are replaced.
 
-    Words are cut out, each different one gets its lattice and best path once, and the paths return to the places of the words. Hot words are only hot join keys that
-    the planner splits. Null and empty texts have no ids; texts of any length and words of any length are encoded whole; repeated rows are encoded alike;
-    an empty table stays empty; other columns stay.
+    Words are cut out and counted, each different one gets its lattice and best path once, and the paths return to the places of the words: those of the ``COMMON`` commonest
+    within the texts' own tasks, those of the others by a join on the word, for which the rows with the places left open are stored. Null and empty texts have no ids;
+    texts of any length and words of any length are encoded whole; repeated rows are encoded alike; an empty table stays empty; other columns stay. ``docs`` is read
+    twice: cut it first where its lineage is long, or where it may give other rows the next time.
     """
     spark = docs.sparkSession
     table, zero = piece_table(model_path)
-    pieces, longest = spark.createDataFrame(table, SCHEMA), max(r[3] for r in table)
+    pieces, longest = spark.createDataFrame([r[:2] for r in table], "piece string, id int"), max(r[3] for r in table)
     keep = [c for c in docs.columns if c.lower() != "ids"]
-    rows = cut(docs.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]), "rows")
-    places = rows.select("_row", F.posexplode(units(F.col(f"_{keep.index(text_col)}"))).alias("pos", "unit"))
-    words = cut(places.select("unit").distinct(), "words")
-    dealt = words.repartition(max(1, -(-words.count() // WORDS_PER_TASK)), "unit")
-    paths = lattice(dealt, pieces, longest, zero).withColumn("best", fold(F.col("edges"), longest))
-    known = cut(paths.select("unit", trace(F.col("edges"), F.col("best")).alias("ids")), "known")
-    found = places.join(known, "unit").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
-    ids = cut(found.select("_row", F.flatten(F.col("parts.ids")).alias("ids")), "ids")
-    release(words, known)
-    joined = rows.join(ids, "_row", "left")
-    return joined.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    names = [f"_{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)])
+    text = units(F.col(names[keep.index(text_col)]), split=not mixed(r[0] for r in table))
+    words = cut(rows.select(F.explode(text).alias("unit")).groupBy("unit").agg(F.count(F.lit(1)).alias("n")), "words")
+    number = words.count()
+    dealt = words.repartition(max(1, -(-number // WORDS_PER_TASK)), "unit")
+    known = cut(folded(lattice(dealt, pieces, longest), table, zero), "known")
+    release(words)
+    common = known.where(F.char_length("unit") <= COMMON_LENGTH).orderBy(F.desc("n"), "unit").limit(COMMON).select("unit", "ids").toArrow()
+    found = looked_up(rows.withColumn("units", text), common)
+    ids = F.col("ids")
+    if common.num_rows < number:
+        found = cut(found.withColumn("_row", F.monotonically_increasing_id()), "found")
+        places = found.select("_row", F.posexplode("rare").alias("at", "unit")).join(known.select("unit", F.col("ids").alias("own")), "unit")
+        more = places.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("at", "own"))).alias("more"))
+        found = found.join(more, "_row", "left")
+        filled = F.flatten(F.transform("ids", lambda i: F.when(i < 0, F.get(F.col("more.own"), -i - 1)).otherwise(F.array(i))))
+        ids = F.when(F.size("rare") > 0, filled).otherwise(ids)
+    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], ids.alias("ids"))
 
 
 def decode(coded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
-    """``coded`` with decoded (string): pieces are joined by id, put together as bytes, marks become spaces and the first one falls away.
+    """``coded`` with decoded (string): pieces are looked up by id, put together as bytes, marks become spaces and the first one falls away.
 
     Null ids and no ids give an empty text, ids that are no piece or byte are left out. Other columns stay; a column named decoded is replaced.
     """
-    spark = coded.sparkSession
     table, zero = piece_table(model_path)
-    spell = [(r[1], r[0].encode().hex()) for r in table] + ([(zero + b, f"{b:02x}") for b in range(256)] if zero >= 0 else [])
-    spell = F.broadcast(spark.createDataFrame(spell, "id int, hex string"))  # as large as the model
+    spell = dict([(r[1], r[0].encode()) for r in table] + ([(zero + b, bytes([b])) for b in range(256)] if zero >= 0 else []))
+    held = coded.sparkSession.sparkContext.broadcast(pa.array([spell.get(i, b"") for i in range(max(spell) + 2)], pa.binary()))  # as large as the model
     keep = [c for c in coded.columns if c.lower() != "decoded"]
     names = [f"_{i}" for i in range(len(keep))]
-    rows = cut(coded.select(F.monotonically_increasing_id().alias("_row"), *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)]), "rows")
-    dealt = rows.select("_row", F.col(names[keep.index(ids_col)]).alias("ids")).repartition(max(1, -(-rows.count() // TEXTS_PER_TASK)), "_row")
-    places = dealt.select("_row", F.posexplode("ids").alias("pos", "id")).join(spell, "id")  # the pieces of a text stay in its partition
-    parts = places.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", "hex"))).alias("parts"))
-    text = F.replace(F.decode(F.unhex(F.array_join("parts.hex", "")), "UTF-8"), F.lit(SPACE), F.lit(" "))
-    parts = cut(parts.select("_row", F.regexp_replace(text, "^ ", "").alias("decoded")), "decoded")
-    found = rows.join(parts, "_row", "left")
-    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], F.coalesce("decoded", F.lit("")).alias("decoded"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spell = held.value
+        for batch in (part for b in batches for part in sliced(b, len(names))):
+            lists = batch.column(len(names))
+            at = lists.flatten().fill_null(-1).to_numpy()
+            rows = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy()))
+            raw = spell.take(pa.array(np.where((at >= 0) & (at < len(spell)), at, len(spell) - 1)))
+            ends = np.append(0, np.cumsum(pc.binary_length(raw).to_numpy())).astype(np.int32)[rows]
+            text = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends.tobytes()), raw.buffers()[2] or pa.py_buffer(b"")])
+            yield pa.record_batch([*batch.columns[: len(names)], text], names=[*names, "_raw"])
+
+    rows = coded.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.col(ids_col).cast("array<int>").alias("_ids"))
+    found = rows.mapInArrow(run, rows.select(*names).schema.add("_raw", "binary"))
+    text = F.replace(F.decode("_raw", "UTF-8"), F.lit(SPACE), F.lit(" "))
+    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], F.regexp_replace(text, "^ ", "").alias("decoded"))

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 
 from soundlake.llm.pieces import decode, encode
 from soundlake.llm.queries import table
-from soundlake.operators.lineage import cut
 
 
 def coded_and_back(texts: DataFrame, *ids: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = cut(encode(texts, path), "coded")
+    coded = encode(texts, path)
     back = decode(coded, path)
     return back.select(
         *ids, F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),

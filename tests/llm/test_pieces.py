@@ -7,6 +7,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
 
+from soundlake.llm import pieces
 from soundlake.llm.pieces import decode, encode, merge_tree
 from soundlake.llm.queries.pieces import QUERIES
 
@@ -50,3 +51,24 @@ def test_messy_rows(spark):
 def test_merges_take_the_best_rank_then_the_leftmost():
     rank = {"ab": 0, "bc": 1, "abc": 2, "aa": 3}
     assert [t[0] for t in merge_tree("abcaaa", rank)] == ["abc", "aa", "a"]
+
+
+def test_words_that_are_not_common_are_joined(spark, monkeypatch):
+    texts = ["one two three four five", "two two three", "five 梦 four two", None, "", " two  two ", "é" * 70 + " two"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    for most in (0, 1, 3, 1 << 17):
+        monkeypatch.setattr(pieces, "COMMON", most)
+        got = {r.i: (r.ids, r.decoded) for r in decode(encode(docs, PATH), PATH).collect()}
+        assert got == {i: (SP.encode(t or ""), t or "") for i, t in enumerate(texts)}
+
+
+def test_common_words_are_placed_without_an_exchange(spark):
+    docs = spark.createDataFrame([(1, "one two three")], "i long, text string")
+    plan = decode(encode(docs, PATH), PATH)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_letters_are_cut_from_other_characters_only_where_no_piece_holds_both(spark):
+    assert pieces.mixed(["▁a1"]) and not pieces.mixed(["▁a", "▁1", "▁", "..", "12"])
+    row = spark.createDataFrame([("  die.\nVerein,12 ñé 梦",)], "t string").select(pieces.units(F.col("t")).alias("a"), pieces.units(F.col("t"), True).alias("b")).first()
+    assert row.a == ["▁▁▁die.\nVerein,12", "▁ñé", "▁梦"] and row.b == ["▁▁▁die", ".\n", "Verein", ",12", "▁ñé", "▁梦"]
