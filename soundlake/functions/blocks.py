@@ -8,6 +8,8 @@ import numpy as np
 
 #: Peaks whose rows are gathered at once.
 GATHER = 4096
+#: Samples of all windows whose medians are taken at once.
+WINDOWED = 1 << 19
 
 
 def by_length(traces) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -27,10 +29,15 @@ def envelope(block: np.ndarray) -> np.ndarray:
 
 
 def running_median(block: np.ndarray, width: int) -> np.ndarray:
-    """Median over ``width`` samples, zeros beyond both ends."""
+    """Median over ``width`` samples, zeros beyond both ends; some rows at a time, as the median copies their windows."""
     side = width // 2
     wide = np.pad(block, ((0, 0), (side, side)))
-    return np.median(np.lib.stride_tricks.sliding_window_view(wide, width, axis=1), axis=2)
+    windows = np.lib.stride_tricks.sliding_window_view(wide, width, axis=1)
+    out = np.empty(windows.shape[:2])
+    step = max(1, WINDOWED // max(1, block.shape[1] * width))
+    for at in range(0, len(block), step):
+        out[at : at + step] = np.median(windows[at : at + step], axis=2)
+    return out
 
 
 def detrended(block: np.ndarray) -> np.ndarray:

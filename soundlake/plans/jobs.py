@@ -289,7 +289,7 @@ def waterfall_tables(pings: DataFrame, track: Track, keys: list[str], freq: str,
     """
     p = trace.with_first_return(pings, "amps_port", "pix_m", **kw)
     alt = altitude.smooth(p, track, "first_return", carry=True, out="altitude").drop("first_return")
-    p = p.join(alt, [*track.line, *track.order])
+    p = cut(p.drop("first_return").join(alt, [*track.line, *track.order]), "pings")  # read several times for each side
     sides = None
     far = F.lit(K.FAR_CUTOFF[freq])
     for side in ("port", "stbd"):

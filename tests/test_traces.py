@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -184,6 +186,16 @@ def test_longitudes_of_the_check_tables_are_those_of_the_sql(spark):
     assert {x.seq: x.lon for x in track(spark, d).select("seq", "lon").collect()} == want
 
 
+def test_running_median_copies_the_windows_of_some_rows_only():
+    block = np.random.default_rng(3).normal(size=(4000, 64))
+    tracemalloc.start()
+    got = blocks.running_median(block, 21)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6 and np.array_equal(got[7], blocks.running_median(block[7:8], 21)[0])
+    assert blocks.running_median(block[:0], 21).shape == (0, 64)
+
+
 def test_waterfall_layout_needs_no_rows_but_the_counts_per_bin(spark):
     rows = [("a", s, side, b, 0.0 if b > 6 else 1.0) for s in range(3) for side in ("port", "stbd") for b in range(s, 9)]
     ground = spark.createDataFrame([*rows, ("b", 0, "stbd", 4, 2.0)], "line string, seq int, side string, bin int, value double")
