@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 from itertools import pairwise
 
 import numpy as np
@@ -10,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType
 
 from soundlake.operators.lineage import cut, release
 
@@ -19,8 +21,10 @@ SPACE = "▁"
 NEVER = 1 << 30
 #: Different words that one task handles: a word's lattice is some ten times its size.
 WORDS_PER_TASK = 20_000
-#: The commonest words, of so many characters at most, are known to every task with their ids; the others are joined.
+#: The commonest words, of so many characters at most, are known to every task with their ids; the others are folded where they stand.
 COMMON, COMMON_LENGTH = 1 << 19, 64
+#: Words are counted in runs of so many different ones; fewer places in a run are not worth a row.
+RUN, LEAST = 1 << 18, 4
 
 
 def merge_tree(text: str, rank: dict[str, int]):
@@ -104,23 +108,25 @@ class Joints:
     """Whether two neighbouring pieces may stay apart, by their ids.
 
     They may not if a merge across the joint would have come before both were complete: if its rank comes while its two parts stand by themselves, on the spines of
-    the pieces. That depends on the two pieces alone, so an answer is kept, up to ``KEPT`` of them.
+    the pieces. That depends on the two pieces alone, so an answer is kept, up to ``KEPT`` of them, by both ids in one number. A character that is no piece (-1)
+    merges with nothing.
     """
 
-    KEPT = 1 << 20
+    KEPT = 1 << 18
 
     def __init__(self, table: list[tuple]):
         self.pieces = {i: (piece, right, left) for piece, i, _, _, right, left in table}
         self.rank = {r[0]: r[2] for r in table}
-        self.seen: dict[tuple[int, int], bool] = {}
+        self.seen: dict[int, bool] = {}
 
     def free(self, a: int, b: int) -> bool:
-        """A character that is no piece (-1) merges with nothing."""
-        known = self.seen.get((a, b))
-        if known is None:
-            if len(self.seen) >= self.KEPT:
-                self.seen.clear()
-            known = self.seen[a, b] = a < 0 or b < 0 or not any(self._across(a, b))
+        known = self.seen.get(a << 20 | b)
+        return self.learn(a, b) if known is None else known
+
+    def learn(self, a: int, b: int) -> bool:
+        if len(self.seen) >= self.KEPT:
+            self.seen.clear()
+        known = self.seen[a << 20 | b] = a < 0 or b < 0 or not any(self._across(a, b))
         return known
 
     def _across(self, a: int, b: int) -> Iterator[bool]:
@@ -150,11 +156,11 @@ def best_path(length: int, edges: Iterable[tuple[int, int, int]], free: Callable
 
 def folded(edges: DataFrame, table: list[tuple], zero: int) -> DataFrame:
     """unit, n, ids: the best path through each unit's lattice. A character that is no piece has the ids of its UTF-8 bytes."""
-    held = edges.sparkSession.sparkContext.broadcast(table)
+    held = edges.sparkSession.sparkContext.broadcast(Joints(table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free = Joints(held.value).free
-        for batch in (part for b in batches for part in sliced(b, 2)):
+        free = held.value.free
+        for batch in (part for b in batches for part in sliced(b, b.column(2).value_lengths())):
             units, lists = batch.column(0), batch.column(2)
             flat, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy()).tolist()
             steps = list(zip(*[flat.field(c).to_numpy().tolist() for c in range(3)], strict=True))
@@ -168,76 +174,188 @@ def folded(edges: DataFrame, table: list[tuple], zero: int) -> DataFrame:
     return edges.select("unit", "n", "edges").mapInArrow(run, "unit string, n long, ids array<int>")
 
 
-#: Values of lists that a task handles at once, if one row does not hold more.
-TOGETHER = 1 << 18
+#: Values of lists, or bytes of texts, that a task handles at once, if one row does not hold more.
+TOGETHER, BYTES = 1 << 18, 1 << 18
 
 
-def sliced(batch: pa.RecordBatch, lists: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose lists hold about ``TOGETHER`` values."""
-    run = np.cumsum(batch.column(lists).value_lengths().fill_null(0).to_numpy()) // TOGETHER
+def sliced(batch: pa.RecordBatch, sizes: pa.Array, most: int = TOGETHER) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose ``sizes`` come to about ``most``."""
+    run = np.cumsum(sizes.fill_null(0).to_numpy().astype(np.int64)) // most
     starts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
     for a, b in pairwise(starts):
         if b > a:
             yield batch.slice(a, b - a)
 
 
-def looked_up(docs: DataFrame, common: pa.Table) -> DataFrame:
-    """``docs``, whose last column ``units`` gives way to ids and rare: a unit that is not ``common`` stands in the ids as -1 - its number in rare, the row's list of these."""
+@cache
+def kinds() -> np.ndarray:
+    """Of each code point: 0 for the mark, 1 for a letter, 2 for the others."""
+    kind = np.fromiter((2 - chr(i).isalpha() for i in range(0x110000)), np.uint8, 0x110000)
+    kind[ord(SPACE)] = 0
+    return kind
+
+
+def code_points(text: bytes) -> np.ndarray:
+    return np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)
+
+
+def units_of(texts: pa.Array, split: bool) -> tuple[pa.Array, np.ndarray]:
+    """What :func:`units` gives for all of the texts, one after the other, and the number of them up to each text's end."""
+    marked = pc.replace_substring(texts.fill_null(""), " ", SPACE)
+    marked = pc.if_else(pc.equal(pc.binary_length(marked), 0), "", pc.binary_join_element_wise(SPACE, marked, ""))
+    raw, borders = marked.cast(pa.binary()), np.append(0, np.cumsum(pc.binary_length(marked).to_numpy().astype(np.int64)))
+    data = b"".join(raw.to_pylist())
+    code = code_points(data)
+    kind, first = kinds()[code], np.ones(len(code), bool)
+    first[1:] = (kind[1:] != kind[:-1]) & ((kind[1:] == 0) | ((kind[:-1] != 0) & split))
+    begin = np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000), dtype=np.int64)
+    begin = np.append(0, begin)  # of each character, in bytes
+    first[np.searchsorted(begin, borders[:-1][np.diff(borders) > 0])] = True
+    cuts = np.append(begin[:-1][first], len(data))
+    found = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(data))
+    return found, np.searchsorted(cuts[:-1], borders[1:])
+
+
+def counted(texts: DataFrame, split: bool) -> DataFrame:
+    """unit, n: how often the units stand in the texts, the only column. Those that are long, or rare in all runs of a task, may be missing or counted short."""
+
+    def rows(seen: Counter) -> pa.RecordBatch:
+        often = [(w, n) for w, n in seen.items() if n >= LEAST]
+        return pa.record_batch([pa.array([w for w, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())], names=["unit", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in (part for b in batches for part in sliced(b, pc.binary_length(b.column(0)), BYTES)):
+            found = units_of(batch.column(0), split)[0].value_counts()
+            found = found.filter(pc.less_equal(pc.utf8_length(found.field("values")), COMMON_LENGTH))
+            for unit, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist(), strict=True):
+                seen[unit] += n
+            if len(seen) >= RUN:
+                yield rows(seen)
+                seen.clear()
+        yield rows(seen)
+
+    return texts.mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+
+
+class Lattices:
+    """The lattices of many units at once: each place descends the tree of the pieces' beginnings, all places in step, so the work is that of the edges found."""
+
+    def __init__(self, table: list[tuple]):
+        node, ids = {"": 0}, [-1]
+        for piece, i, *_ in table:
+            for n in range(1, len(piece) + 1):
+                if piece[:n] not in node:
+                    node[piece[:n]] = len(ids)
+                    ids.append(-1)
+            ids[node[piece]] = i
+        down = sorted((node[p[:-1]] << 21 | ord(p[-1]), i) for p, i in node.items() if p)
+        self.keys, self.nodes = (np.array(x, np.int64) for x in zip(*down, strict=True))
+        self.ids = np.array(ids, np.int64)
+
+    def edges(self, code: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """stop, start, id of all pieces in the units, by stop and start, as places in ``code``, which holds their characters, up to ``ends``; a character that is no piece has -1."""
+        place, state, size, found = np.arange(len(code)), np.zeros(len(code), np.int64), 0, []
+        end = np.repeat(ends, np.diff(ends, prepend=0))
+        while len(place):
+            key = state << 21 | code[place + size]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            there = self.keys[at] == key
+            size += 1
+            state = np.where(there, self.nodes[at], 0)
+            piece = (self.ids[state] >= 0) | (size == 1)
+            found.append((place[piece] + size, place[piece], self.ids[state[piece]]))
+            on = there & (place + size < end[place])
+            place, state = place[on], state[on]
+        stop, start, i = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(stop * (size + 1) - (stop - start), kind="stable")  # an earlier start is a longer piece
+        return stop[order], start[order], i[order]
+
+
+def folded_here(words: list[str], lattices: Lattices, joints: Joints, zero: int) -> pa.Array:
+    """The ids of each word: :func:`best_path` through the lattices of all words, laid end to end."""
+    code = code_points("".join(words).encode())
+    ends = np.cumsum([len(w) for w in words])
+    edges = lattices.edges(code, ends)
+    begins = np.zeros(len(code) + 1, bool)
+    begins[np.append(0, ends)] = True
+    seen = joints.seen
+    first, own, before = begins.tolist(), [None] * (len(code) + 1), [0] * (len(code) + 1)
+    for a in range(0, len(edges[0]), TOGETHER):
+        for stop, start, i in zip(*[e[a : a + TOGETHER].tolist() for e in edges], strict=True):
+            if own[stop] is None:
+                known = first[start] or seen.get(own[start] << 20 | i)
+                if known or (known is None and joints.learn(own[start], i)):
+                    own[stop], before[stop] = i, start
+    back, at, on = np.array(before), ends, np.zeros(len(code) + 1, bool)
+    while len(at):
+        on[at] = True
+        at = back[at]
+        at = at[~begins[at]]
+    stops = np.flatnonzero(on)
+    ids = np.array([own[s] for s in stops.tolist()], np.int64)
+    lost = np.flatnonzero(ids < 0)
+    size = np.ones(len(ids), np.int64)
+    if len(lost):
+        raw = [[zero + b for b in chr(c).encode()] for c in code[stops[lost] - 1].tolist()]
+        size[lost] = [len(r) for r in raw]
+        ids = np.repeat(ids, size)
+        ids[ids < 0] = [x for r in raw for x in r]
+    borders = np.append(0, np.cumsum(size))[np.append(0, np.searchsorted(stops, ends, "right"))]
+    return pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(ids.astype(np.int32)))
+
+
+def looked_up(docs: DataFrame, text: int, common: pa.Table, table: list[tuple], zero: int, split: bool) -> DataFrame:
+    """``docs`` with the ids of the column numbered ``text``: units that are not ``common`` get their lattice and path in the task."""
     words, ids = (common[c].combine_chunks() for c in ("unit", "ids"))
-    ids = pa.concat_arrays([ids.cast(pa.list_(pa.int32())), pa.array([[0]], pa.list_(pa.int32()))])
-    held = docs.sparkSession.sparkContext.broadcast((words, ids))
-    names = docs.columns[:-1]
+    held = docs.sparkSession.sparkContext.broadcast((words, ids.cast(pa.list_(pa.int32())), Lattices(table), Joints(table)))
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ids = held.value
-        size = ids.value_lengths().to_numpy()
+        words, ids, lattices, joints = held.value
         place = {w: i for i, w in enumerate(words.to_pylist())}
-        for batch in (part for b in batches for part in sliced(b, len(names))):
-            lists = batch.column(len(names))
-            flat, rows = lists.flatten(), np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy()))
+        for batch in (part for b in batches for part in sliced(b, pc.binary_length(b.column(text)), BYTES)):
+            flat, ends = units_of(batch.column(text), split)
             coded = flat.dictionary_encode()
-            at = np.array([place.get(w, len(words)) for w in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
-            ends, lost = np.append(0, np.cumsum(size[at])), np.append(0, np.cumsum(at == len(words)))
-            value = ids.take(pa.array(at)).flatten().to_numpy().copy()
-            rare = np.flatnonzero(at == len(words))
-            value[ends[rare]] = lost[rows[:-1]][np.searchsorted(rows, rare, "right") - 1] - lost[rare] - 1
-            new = [pa.ListArray.from_arrays(pa.array(o[rows].astype(np.int32)), v) for o, v in ((ends, pa.array(value)), (lost, flat.take(pa.array(rare))))]
-            yield pa.record_batch([*batch.columns[: len(names)], *new], names=[*names, "ids", "rare"])
-
-    return docs.mapInArrow(run, docs.select(*names).schema.add("ids", ArrayType(IntegerType())).add("rare", ArrayType(StringType())))
+            different = coded.dictionary.to_pylist()
+            at = np.array([place.get(w, -1) for w in different], np.int64)
+            rare = np.flatnonzero(at < 0)
+            paths = ids.take(pa.array(np.maximum(at, 0))) if len(rare) < len(at) else None
+            if len(rare):
+                own = folded_here([different[i] for i in rare.tolist()], lattices, joints, zero)
+                where = np.arange(len(at))
+                where[rare] = np.arange(len(rare)) + (len(at) if paths else 0)
+                paths = pa.concat_arrays([paths, own] if paths else [own]).take(pa.array(where))
+            if paths is None:
+                paths = pa.array([], pa.list_(pa.int32()))
+            placed = paths.take(coded.indices)
+            borders = np.append(0, np.cumsum(placed.value_lengths().to_numpy()))[np.append(0, ends)]
+            yield pa.record_batch([*batch.columns, pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), placed.flatten())], names=[*names, "ids"])
+
+    return docs.mapInArrow(run, docs.select(*names).schema.add("ids", ArrayType(IntegerType())))
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ids (array of int): the pieces that merging gives, as the model's own encoder does; columns named ids are replaced.
 
-    Words are cut out and counted, each different one gets its lattice and best path once, and the paths return to the places of the words: those of the ``COMMON`` commonest
-    within the texts' own tasks, those of the others by a join on the word, for which the rows with the places left open are stored. Null and empty texts have no ids;
+    Words are cut out and counted, the ``COMMON`` commonest get their lattice and best path once for all, and the paths return to the places of the words within the
+    texts' own tasks, where words that are not common get their lattice and path too: neither texts nor rare words are stored or moved. Null and empty texts have no ids;
     texts of any length and words of any length are encoded whole; repeated rows are encoded alike; an empty table stays empty; other columns stay. ``docs`` is read
     twice: cut it first where its lineage is long, or where it may give other rows the next time.
     """
     spark = docs.sparkSession
     table, zero = piece_table(model_path)
     pieces, longest = spark.createDataFrame([r[:2] for r in table], "piece string, id int"), max(r[3] for r in table)
+    split = not mixed(r[0] for r in table)
     keep = [c for c in docs.columns if c.lower() != "ids"]
     names = [f"_{i}" for i in range(len(keep))]
-    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)])
-    text = units(F.col(names[keep.index(text_col)]), split=not mixed(r[0] for r in table))
-    words = cut(rows.select(F.explode(text).alias("unit")).groupBy("unit").agg(F.count(F.lit(1)).alias("n")), "words")
-    number = words.count()
-    dealt = words.repartition(max(1, -(-number // WORDS_PER_TASK)), "unit")
-    known = cut(folded(lattice(dealt, pieces, longest), table, zero), "known")
+    rows, text = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)]), keep.index(text_col)
+    words = cut(counted(rows.select(names[text]), split).orderBy(F.desc("n"), "unit").limit(COMMON), "words")
+    dealt = words.repartition(max(1, -(-words.count() // WORDS_PER_TASK)), "unit")
+    common = folded(lattice(dealt, pieces, longest), table, zero).select("unit", "ids").toArrow()
     release(words)
-    common = known.where(F.char_length("unit") <= COMMON_LENGTH).orderBy(F.desc("n"), "unit").limit(COMMON).select("unit", "ids").toArrow()
-    found = looked_up(rows.withColumn("units", text), common)
-    ids = F.col("ids")
-    if common.num_rows < number:
-        found = cut(found.withColumn("_row", F.monotonically_increasing_id()), "found")
-        places = found.select("_row", F.posexplode("rare").alias("at", "unit")).join(known.select("unit", F.col("ids").alias("own")), "unit")
-        more = places.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("at", "own"))).alias("more"))
-        found = found.join(more, "_row", "left")
-        filled = F.flatten(F.transform("ids", lambda i: F.when(i < 0, F.get(F.col("more.own"), -i - 1)).otherwise(F.array(i))))
-        ids = F.when(F.size("rare") > 0, filled).otherwise(ids)
-    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], ids.alias("ids"))
+    found = looked_up(rows, text, common, table, zero, split)
+    return found.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "ids")
 
 
 def decode(coded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
@@ -253,7 +371,7 @@ def decode(coded: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spell = held.value
-        for batch in (part for b in batches for part in sliced(b, len(names))):
+        for batch in (part for b in batches for part in sliced(b, b.column(len(names)).value_lengths())):
             lists = batch.column(len(names))
             at = lists.flatten().fill_null(-1).to_numpy()
             rows = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy()))

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -72,3 +73,30 @@ def test_letters_are_cut_from_other_characters_only_where_no_piece_holds_both(sp
     assert pieces.mixed(["▁a1"]) and not pieces.mixed(["▁a", "▁1", "▁", "..", "12"])
     row = spark.createDataFrame([("  die.\nVerein,12 ñé 梦",)], "t string").select(pieces.units(F.col("t")).alias("a"), pieces.units(F.col("t"), True).alias("b")).first()
     assert row.a == ["▁▁▁die.\nVerein,12", "▁ñé", "▁梦"] and row.b == ["▁▁▁die", ".\n", "Verein", ",12", "▁ñé", "▁梦"]
+
+
+def test_words_that_are_not_common_are_placed_without_an_exchange(spark, monkeypatch):
+    texts = ["one two three " * 5 + "Zwölf 梦梦 x", None, "", " two  four", "q" * 70 + " two", "a▁b 𝄞 " * 6 + "𝄞𝄞 <s>"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    monkeypatch.setattr(pieces, "COMMON", 2)
+    back = decode(encode(docs, PATH), PATH)
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert {r.i: r.ids for r in back.collect()} == {i: SP.encode(t or "") for i, t in enumerate(texts)}
+
+
+def test_units_of_a_task_are_those_of_a_column(spark):
+    texts = ["  die.\nVerein,12 ñé 梦", None, "", " ", "a", "▁▁b1▁", "x" * 300 + "  ", "\u0000z 𝄞a", "1 2  3"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    for split in (False, True):
+        flat, ends = pieces.units_of(pa.array(texts, pa.string()), split)
+        got = [flat.to_pylist()[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        assert got == [r.u for r in rows.select(pieces.units(F.col("t"), split).alias("u")).collect()]
+
+
+def test_paths_of_many_words_at_once(spark):
+    rng = random.Random(2)
+    table, zero = pieces.piece_table(PATH)
+    words = [pieces.SPACE + "".join(rng.choice("abeinorstñ梦𝄞") for _ in range(n)) for n in [*range(1, 60), 5000]]
+    lattices, joints = pieces.Lattices(table), pieces.Joints(table)
+    assert pieces.folded_here(words, lattices, joints, zero).to_pylist() == [SP.encode(w[1:]) for w in words]
