@@ -27,6 +27,11 @@ SOME, BLOCK, AT_ONCE = 256, 8192, 1 << 19
 FEW, FEWEST = 128, 32
 
 
+def _there(x: str, y: str) -> Column:
+    """Whether a row has a position."""
+    return F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double"))
+
+
 def _finest(d: DataFrame, x: str, y: str, size: float) -> DataFrame:
     return d.withColumn("_tx", F.floor(F.col(x) / size).cast("long")).withColumn("_ty", F.floor(F.col(y) / size).cast("long"))
 
@@ -139,13 +144,12 @@ def nearest(
     Rows without a position have no neighbours and are none.
     """
     (qx, qy), (px, py) = qxy, pxy
-    there = lambda x, y: F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(F.col(x).cast("double")) & ~F.isnan(F.col(y).cast("double"))
     # Of points at one position only the k lowest ids can ever be chosen.
     same = Window.partitionBy(px, py).orderBy(*pid)
-    pts = points.where(there(px, py)).withColumn("_s", F.row_number().over(same)).where(F.col("_s") <= k).drop("_s")
+    pts = points.where(_there(px, py)).withColumn("_s", F.row_number().over(same)).where(F.col("_s") <= k).drop("_s")
     columns = pts.columns
     pts = cut(pts.withColumn("_px", F.col(px).cast("double")).withColumn("_py", F.col(py).cast("double")), "points")
-    q = cut(queries.where(there(qx, qy)).select(*qid, F.col(qx).cast("double").alias("_qx"), F.col(qy).cast("double").alias("_qy")), "queries")
+    q = cut(queries.where(_there(qx, qy)).select(*qid, F.col(qx).cast("double").alias("_qx"), F.col(qy).cast("double").alias("_qy")), "queries")
 
     box = [d.agg(F.min(x), F.max(x), F.min(y), F.max(y), F.count(F.lit(1))).first() for d, x, y in ((q, "_qx", "_qy"), (pts, "_px", "_py"))]
     if not box[0][4] or not box[1][4]:
@@ -249,7 +253,11 @@ def idw(
 
     Weights are 1/(d2 + eps), or 1/max(d, eps)^2 with ``floor_distance``.
     """
-    near = nearest(queries, points, qid, pid, k, radius, leaf, **xy)
+    return weighted(nearest(queries, points, qid, pid, k, radius, leaf, **xy), qid, value, eps, floor_distance).drop("d2")
+
+
+def weighted(near: DataFrame, qid: list[str], value: str, eps: float = 1e-6, floor_distance: bool = False) -> DataFrame:
+    """:func:`idw` of the points found by :func:`nearest`, and the smallest ``d2``."""
     w = 1 / F.greatest(F.col("d2"), F.lit(eps * eps)) if floor_distance else 1 / (F.col("d2") + eps)
     return (
         near.withColumn("_w", w)
@@ -257,10 +265,20 @@ def idw(
         .agg(
             (F.sum(F.col("_w") * F.col(value)) / F.sum("_w")).alias(value),
             F.sqrt(F.min("d2")).alias("nearest"),
+            F.min("d2").alias("d2"),
         )
     )
 
 
+def around(queries: DataFrame, points: DataFrame, reach: float, qxy: tuple[str, str] = ("qx", "qy"), pxy: tuple[str, str] = ("px", "py")) -> DataFrame:
+    """The queries next to a tile with a point, tiles being ``reach`` wide: all with a point within ``reach``, and few further than three times that."""
+    side = reach * (1 + 1e-6)  # so that rounding parts no neighbours
+    occupied = _finest(points.where(_there(*pxy)), *pxy, side).select("_tx", "_ty").distinct()
+    steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    wide = occupied.withColumn("_d", F.explode(steps)).select((F.col("_tx") + F.col("_d.a")).alias("_tx"), (F.col("_ty") + F.col("_d.b")).alias("_ty")).distinct()
+    return _finest(queries.where(_there(*qxy)), *qxy, side).join(wide, ["_tx", "_ty"], "left_semi").select(*queries.columns)
+
+
 def confidence(nearest_distance: Column, res: float) -> Column:
     """0 where a point lies within one cell, 1 where the value is interpolated, NULL outside."""
     return F.when(nearest_distance <= res, 0).when(nearest_distance.isNotNull(), 1)

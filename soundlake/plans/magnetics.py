@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from soundlake import constants as K
 from soundlake.functions.geo import unproject
 from soundlake.operators.along import Track, median_zero, ordinals
-from soundlake.operators.knn import confidence, idw, nearest
+from soundlake.operators.knn import around, confidence, idw, nearest, weighted
 from soundlake.operators.lineage import cut
 from soundlake.operators.raster import Grid, blur, extrema, residual
 from soundlake.operators.stats import attach
@@ -64,10 +64,10 @@ def layers(
     an = points.select(*pid, F.col("x").alias("px"), F.col("y").alias("py"), "anomaly")
     cells = grid.centres(depth.select("row", "col"), "qx", "qy")
     cell = ["row", "col"]
-    # The distance mask is inclusive, the join's radius exclusive: look a hair further, then test.
-    hit = nearest(cells, bg, cell, pid, 1, reach * (1 + 1e-9), leaf).where(F.col("d2") <= reach * reach)
-    near = cut(cells.join(hit.select(*cell), cell, "left_semi"), "near")
-    b = cut(idw(near, bg, cell, pid, "background", k, None, leaf, floor_distance=True), "background")
+    # The search for the background gives the distance mask as well, so only cells that are out of reach for sure are left out before.
+    found = weighted(nearest(around(cells, bg, reach), bg, cell, pid, k, None, leaf), cell, "background", floor_distance=True)
+    b = cut(found.where(F.col("d2") <= reach * reach), "background")
+    near = grid.centres(b.select(*cell), "qx", "qy")
     a = cut(idw(near, an, cell, pid, "anomaly", k, None, leaf, floor_distance=True), "anomaly")
     smooth = blur(b, grid, "background", sigma_m / grid.res)
     smooth = smooth.join(b.select(*cell), cell, "left_semi")

@@ -165,3 +165,46 @@ def test_far_queries_meet_a_thin_rim_of_points(spark, monkeypatch):
     some = q[q["q"] % 7 == 0]
     assert {(x["q"], x["id"], x["rank"]) for x in n.where("q % 7 = 0").select("q", "id", "rank").collect()} == brute(some, p, 4, None)
     assert max(t.count() for t in tables["reach"]) < 4000
+
+
+def test_magnetic_layers_need_one_search_for_each_value(spark, monkeypatch):
+    from soundlake.operators import knn
+    from soundlake.operators.raster import Grid
+    from soundlake.plans import magnetics
+
+    calls = []
+
+    def counted(*a, search=nearest, **b):
+        calls.append(a)
+        return search(*a, **b)
+
+    monkeypatch.setattr(knn, "nearest", counted)
+    monkeypatch.setattr(magnetics, "nearest", counted)
+    g, rng = Grid(0.0, 40.0, 1.0, 40, 60), np.random.default_rng(5)
+    p = pd.DataFrame({"id": np.arange(60), "x": np.append(rng.uniform(0, 20, 59), 45.5), "y": np.append(rng.uniform(0, 40, 59), 20.5), "background": rng.normal(0, 1, 60), "anomaly": rng.normal(0, 9, 60)})
+    depth = spark.createDataFrame([(i, j) for i in range(40) for j in range(60)], "row int, col int")
+    got = magnetics.layers(spark.createDataFrame(p), ["id"], depth, g, reach=4.0, k=3, sigma_m=3.0).toPandas()
+    bg = p[p.background.abs() < 2 * p.background.std(ddof=0)]
+    want = {}
+    for i in range(40):
+        for j in range(60):
+            d2 = [((q.x - j - 0.5) ** 2 + (q.y - (39.5 - i)) ** 2).to_numpy() for q in (bg, p)]
+            if d2[0].min() <= 16:
+                near = np.argsort(d2[1], kind="stable")[:3]
+                w = 1 / np.maximum(d2[1][near], 1e-12)
+                want[i, j] = (w * p.anomaly.to_numpy()[near]).sum() / w.sum()
+    assert len(got) == len(want) and all(abs(want[r.row, r.col] - r.anomaly) < 1e-9 for r in got.itertuples())
+    assert len(calls) == 2
+
+
+def test_queries_around_points(spark):
+    p, q = cloud(40, 3), grid()
+    found = {r.q for r in knn_around(spark, q, p, 9.0)}
+    d2 = {i: ((p.px - a) ** 2 + (p.py - b) ** 2).min() for i, a, b in q.itertuples(index=False)}
+    assert {i for i, d in d2.items() if d <= 81} <= found and all(d2[i] < 27**2 for i in found)
+
+
+def knn_around(spark, q, p, reach):
+    from soundlake.operators.knn import around
+
+    return around(spark.createDataFrame(q), spark.createDataFrame(p), reach).collect()
