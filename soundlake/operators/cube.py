@@ -3,9 +3,18 @@
 from __future__ import annotations
 
 import math
+import os
+import shutil
+import uuid
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -419,6 +428,8 @@ def target_rows(df: DataFrame) -> DataFrame:
 
 #: Bits of row and column within one part of the space-filling curve: 2048 x 2048 cells.
 PART_BITS = 11
+#: Cells of a row group, and up to one Arrow batch more.
+GROUP_ROWS = 1 << 18
 #: Parts of a box that are looked up one by one; beyond, the whole table is listed.
 FEW_PARTS = 1024
 
@@ -474,21 +485,159 @@ def on_curve(cells: DataFrame, bits: int = PART_BITS) -> DataFrame:
     return c.repartition(tasks, "curve").sortWithinPartitions("curve", "_z").drop("_z")
 
 
+def _mounted(spark: SparkSession, path: str) -> str | None:
+    """A path on a local or mounted file system as the operating system knows it, else None."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
+class _Part:
+    """The file of one part: appears under its name when it is whole, so that an attempt that broke off leaves nothing that is read and a second one replaces the first."""
+
+    def __init__(self, folder: str, name: str, schema: pa.Schema, codec: str, metadata: dict[str, str]) -> None:
+        try:
+            os.mkdir(folder)
+        except FileExistsError:  # by an earlier attempt
+            pass
+        self.path, self.half = f"{folder}/{name}", f"{folder}/.{name}.{TaskContext.get().taskAttemptId()}"
+        self.file, self.held, self.rows = pq.ParquetWriter(self.half, schema, compression=codec, store_schema=False), [], 0
+        self.file.add_key_value_metadata(metadata)
+
+    def add(self, cells: pa.RecordBatch) -> None:
+        self.held.append(cells)
+        self.rows += cells.num_rows
+        if self.rows >= GROUP_ROWS:
+            self._group()
+
+    def _group(self) -> None:
+        self.file.write_table(pa.Table.from_batches(self.held), row_group_size=self.rows)
+        self.held, self.rows = [], 0
+
+    def close(self) -> None:
+        if self.held:
+            self._group()
+        self.file.close()
+        os.replace(self.half, self.path)
+
+    def drop(self) -> None:
+        self.file.close()
+        os.remove(self.half)
+
+
+def _parts_to(folder: str, codec: str, metadata: dict[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Writes cells in the order of :func:`on_curve` to a folder per part, as ``partitionBy("curve")`` names them; gives the number of parts of a task."""
+    codec = {"uncompressed": "none", "lz4_raw": "lz4"}.get(codec.lower(), codec.lower())
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, key, part, parts = f"part-{TaskContext.get().partitionId():05d}.parquet", None, None, 0
+        try:
+            for batch in batches:
+                at, code = batch.schema.get_field_index("curve"), batch.column("curve")
+                cells = batch.select([i for i in range(batch.num_columns) if i != at])
+                codes, gone = code.fill_null(0).to_numpy(zero_copy_only=False), code.is_null().to_numpy(zero_copy_only=False)
+                borders = np.flatnonzero((codes[1:] != codes[:-1]) | (gone[1:] != gone[:-1])) + 1
+                for a, b in zip([0, *borders], [*borders, len(codes)]):
+                    if a == b:
+                        continue
+                    here = "__HIVE_DEFAULT_PARTITION__" if gone[a] else str(codes[a])
+                    if here != key:
+                        if part:
+                            part.close()
+                        part, key, parts = None, here, parts + 1
+                        part = _Part(f"{folder}/curve={here}", name, cells.schema, codec, metadata)
+                    part.add(cells.slice(a, b - a))
+            if part:
+                part.close()
+            part = None
+        finally:
+            if part:
+                part.drop()
+        yield pa.RecordBatch.from_pydict({"parts": pa.array([parts], pa.int64())})
+
+    return put
+
+
 def write(cube: DataFrame, path: str, bits: int = PART_BITS) -> None:
-    """Wide cells as Parquet along the curve: a folder for each part, cells in curve order in its file, so that row groups are small blocks of the grid."""
-    on_curve(cube, bits).write.mode("overwrite").partitionBy("curve").parquet(path)
+    """Wide cells as Parquet along the curve: a folder for each part, cells in curve order in its file, so that row groups are small blocks of the grid.
+
+    On a local or mounted file system the tasks write the files themselves, into a folder that takes its place when all are there: Hadoop starts processes for every
+    file there and moves the folders one by one, which is nearly all the time of parts of a few cells. Elsewhere Spark's writer does it.
+    """
+    spark, cells = cube.sparkSession, on_curve(cube, bits)
+    to = _mounted(spark, path)
+    if to is None:
+        cells.write.mode("overwrite").partitionBy("curve").parquet(path)
+        return
+    half = f"{os.path.dirname(to)}/.{os.path.basename(to)}-{uuid.uuid4().hex}"
+    metadata = {"org.apache.spark.version": spark.version, "org.apache.spark.sql.parquet.row.metadata": cells.drop("curve").schema.json()}
+    os.makedirs(half)
+    try:
+        put = _parts_to(half, spark.conf.get("spark.sql.parquet.compression.codec"), metadata)
+        cells.mapInArrow(put, "parts long").write.format("noop").mode("overwrite").save()
+        open(f"{half}/_SUCCESS", "w").close()
+    except BaseException:
+        shutil.rmtree(half, ignore_errors=True)
+        raise
+    if os.path.isdir(to) and not os.path.islink(to):
+        shutil.rmtree(to)
+    elif os.path.lexists(to):
+        os.remove(to)
+    os.rename(half, to)
+    spark.catalog.refreshByPath(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("curve")
 
 
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of a stored cube with the rows that each says it holds: (file, rows).
+
+    On a local or mounted file system each task lists the parts whose names fall to it and opens their files, so no task, nor the driver, holds all names.
+    """
+    root, tasks = _mounted(spark, path), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if root is None:
+        return spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k in (k for batch in batches for k in batch.column(0).to_pylist()):
+            found = []
+            with os.scandir(root) as parts:
+                for part in parts:
+                    if not part.name.startswith("curve=") or zlib.crc32(os.fsencode(part.name)) % tasks != k:
+                        continue
+                    with os.scandir(part.path) as files:
+                        found += [(f.path, pq.read_metadata(f.path).num_rows) for f in files if not f.name.startswith((".", "_"))]
+                    if len(found) >= 4096:
+                        yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found))], ["file", "rows"])
+                        found = []
+            if found:
+                yield pa.RecordBatch.from_arrays([*map(pa.array, zip(*found))], ["file", "rows"])
+
+    return spark.range(0, tasks, 1, tasks).mapInArrow(look, "file string, rows long")
+
+
 def within(cells: DataFrame, r0: int, r1: int, c0: int, c1: int, bits: int = PART_BITS) -> DataFrame:
     """Cells of a box, of a stored table with ``curve``: only folders in the box's ranges are read, and in their files only row groups that meet it."""
     part = reduce(lambda a, b: a | b, [F.col("curve").between(a, b) for a, b in curve_ranges(r0, r1, c0, c1, bits)], F.lit(False))
     return cells.where(part & F.col("row").between(r0, r1) & F.col("col").between(c0, c1))
 
 
+def _some_part(spark: SparkSession, path: str) -> list[str]:
+    """The folder of the first part that the listing of a stored table gives, without the rest of that listing."""
+    root, hadoop = _mounted(spark, path), spark._jvm.org.apache.hadoop.fs.Path
+    if root is not None:  # Hadoop would take the whole folder and ask for the state of every part
+        with os.scandir(root) as parts:
+            return next(([p.name] for p in parts if p.name.startswith("curve=")), [])
+    listing = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()).listStatusIterator(hadoop(path))
+    while listing.hasNext():
+        name = listing.next().getPath().getName()
+        if name.startswith("curve="):
+            return [name]
+    return []
+
+
 def _folders(spark: SparkSession, path: str, r0: int, r1: int, c0: int, c1: int, bits: int) -> DataFrame:
     """The stored table, listed in the folders of a box only: one by one where it has few parts. A box without any gives a table of some other part."""
     high, wide = max(0, (r1 >> bits) - (r0 >> bits) + 1), max(0, (c1 >> bits) - (c0 >> bits) + 1)
@@ -497,11 +646,7 @@ def _folders(spark: SparkSession, path: str, r0: int, r1: int, c0: int, c1: int,
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
     places = [f"{path}/curve={p}" for a, b in curve_ranges(r0, r1, c0, c1, bits, max(1, high * wide)) for p in range(a, b + 1)]
-    found = [p for p in places if files.exists(hadoop(p))]
-    listing = files.listStatusIterator(hadoop(path))
-    while not found and listing.hasNext():
-        name = listing.next().getPath().getName()
-        found = [f"{path}/{name}"] if name.startswith("curve=") else []
+    found = [p for p in places if files.exists(hadoop(p))] or [f"{path}/{p}" for p in _some_part(spark, path)]
     return spark.read.option("basePath", path).parquet(*found) if found else spark.read.parquet(path)
 
 

@@ -1,5 +1,7 @@
 import json
 
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from soundlake.operators import cube as C
@@ -155,6 +157,64 @@ def test_small_parts_are_written_by_many_tasks(spark, tmp_path):
     assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_small_parts_start_no_processes(spark, tmp_path):
+    """Page faults of processes that the JVM started and waited for: Hadoop starts some for every file that it writes or lists on a local file system."""
+    path, g = str(tmp_path / "cube"), Grid(0.0, 64.0, 1.0, 64, 64)
+    stat = f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/stat"
+
+    def faults():
+        with open(stat) as f:
+            return int(f.read().rpartition(")")[2].split()[8])
+
+    before = faults()
+    C.write(g.cells(spark).withColumn("depth", F.col("row") * 1.0), path, bits=1)
+    assert C.stored_files(spark, path).count() == 1024
+    assert faults() - before < 1024
+
+
+def test_parts_are_as_spark_writes_them(spark, tmp_path):
+    here, there = str(tmp_path / "here"), str(tmp_path / "there")
+    cells = spark.range(3000).select(
+        F.when(F.col("id") % 97 != 0, (F.col("id") / 40).cast("int") - 3).alias("row"), F.when(F.col("id") % 89 != 0, F.col("id") % 40).cast("int").alias("col"),
+        F.when(F.col("id") % 3 != 0, F.col("id") / 7).alias("depth"), F.timestamp_seconds("id").alias("t"), F.array(F.col("id"), F.lit(None)).alias("a"), F.col("id").cast("decimal(12,3)").alias("d"))
+    cells = cells.unionByName(cells.where("row = 5"))
+    C.on_curve(cells, 2).write.partitionBy("curve").parquet(there)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # parts run over many batches
+    try:
+        C.write(cells, here, 2)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    a, b = spark.read.parquet(here), spark.read.parquet(there)
+    assert a.schema == b.schema and a.count() == 3040
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert {p.name for p in (tmp_path / "here").iterdir()} == {p.name for p in (tmp_path / "there").iterdir() if not p.name.startswith(".")}
+    assert all(len(list(p.iterdir())) == 1 for p in (tmp_path / "here").glob("curve=*"))
+    found = {r["file"]: r["rows"] for r in C.stored_files(spark, here).collect()}
+    assert found == {r["f"].removeprefix("file://"): r["count"] for r in a.groupBy(F.input_file_name().alias("f")).count().collect()}
+
+
+def test_a_large_part_has_several_row_groups(spark, tmp_path):
+    path, g = str(tmp_path / "cube"), Grid(0.0, 700.0, 1.0, 700, 400)
+    C.write(g.cells(spark).withColumn("depth", F.col("row") * 1.0), path)
+    (name, rows), = [tuple(r) for r in C.stored_files(spark, path).collect()]
+    about = pq.read_metadata(name)
+    assert rows == 280_000 and about.num_row_groups == 2 and about.row_group(0).num_rows >= C.GROUP_ROWS
+    assert C.read_box(spark, path, g, (10.0, 20.0, 13.0, 10.0)).count() == 30
+
+
+def test_a_write_that_fails_leaves_the_cube_as_it_was(spark, tmp_path):
+    path, g = str(tmp_path / "cube"), Grid(0.0, 8.0, 1.0, 8, 8)
+    C.write(g.cells(spark).withColumn("depth", F.lit(1.0)), path, bits=1)
+    bad = g.cells(spark).withColumn("depth", F.when(F.col("row") == 7, F.raise_error(F.lit("broken"))).otherwise(F.lit(2.0)).cast("double"))
+    with pytest.raises(Exception, match="broken"):
+        C.write(bad, path, bits=1)
+    assert [tuple(r) for r in C.read(spark, path).groupBy("depth").count().collect()] == [(1.0, 64)]
+    assert [p.name for p in tmp_path.iterdir()] == ["cube"]
+    C.write(g.cells(spark).withColumn("depth", F.lit(2.0)).where("row < 2"), path, bits=1)
+    assert [tuple(r) for r in C.read(spark, path).groupBy("depth").count().collect()] == [(2.0, 16)]
+
+
 def test_layers_are_read_by_box(spark, tmp_path):
     from soundlake.operators import raster as R
 
