@@ -109,14 +109,21 @@ class Joints:
 
     They may not if a merge across the joint would have come before both were complete: if its rank comes while its two parts stand by themselves, on the spines of
     the pieces. That depends on the two pieces alone, so an answer is kept, up to ``KEPT`` of them, by both ids in one number. A character that is no piece (-1)
-    merges with nothing.
+    merges with nothing. The spines lie one after the other in an array: as tuples they would be most of what a worker holds of the model.
     """
 
     KEPT = 1 << 18
 
     def __init__(self, table: list[tuple]):
-        self.pieces = {i: (piece, right, left) for piece, i, _, _, right, left in table}
-        self.rank = {r[0]: r[2] for r in table}
+        self.pieces, self.rank = {r[1]: r[0] for r in table}, {r[0]: r[2] for r in table}
+        places = np.zeros(max(self.pieces, default=-1) + 2, np.int64)
+        spines = {r[1]: (r[4], r[5]) for r in table}
+        self.spines = []
+        for side in (0, 1):
+            for i, both in spines.items():
+                places[i + 1] = len(both[side])
+            flat = [step for i in sorted(spines) for step in spines[i][side]]
+            self.spines.append((np.cumsum(places), np.array(flat, np.int32).reshape(-1, 3)))
         self.seen: dict[int, bool] = {}
 
     def free(self, a: int, b: int) -> bool:
@@ -129,9 +136,13 @@ class Joints:
         known = self.seen[a << 20 | b] = a < 0 or b < 0 or not any(self._across(a, b))
         return known
 
+    def _spine(self, side: int, i: int) -> list[list[int]]:
+        places, flat = self.spines[side]
+        return flat[places[i] : places[i + 1]].tolist()
+
     def _across(self, a: int, b: int) -> Iterator[bool]:
-        (left, ends, _), (right, _, begins) = self.pieces[a], self.pieces[b]
-        for n, born, gone in ends:
+        left, right, begins = self.pieces[a], self.pieces[b], self._spine(1, b)
+        for n, born, gone in self._spine(0, a):
             for m, since, until in begins:
                 rank = self.rank.get(left[-n:] + right[:m])
                 yield rank is not None and rank < gone and rank <= until and born <= until and since < gone

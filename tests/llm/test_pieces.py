@@ -1,7 +1,9 @@
 """SentencePiece ids against the library's own encoder, and back."""
 
 import hashlib
+import pickle
 import random
+import tracemalloc
 
 import public_tokenizers
 import pyarrow as pa
@@ -100,3 +102,19 @@ def test_paths_of_many_words_at_once(spark):
     words = [pieces.SPACE + "".join(rng.choice("abeinorstñ梦𝄞") for _ in range(n)) for n in [*range(1, 60), 5000]]
     lattices, joints = pieces.Lattices(table), pieces.Joints(table)
     assert pieces.folded_here(words, lattices, joints, zero).to_pylist() == [SP.encode(w[1:]) for w in words]
+
+
+def test_a_worker_holds_little_of_the_model():
+    table, _ = pieces.piece_table(PATH)
+    sent = pickle.dumps(pieces.Joints(table))
+    tracemalloc.start()
+    try:
+        joints = pickle.loads(sent)
+        assert tracemalloc.get_traced_memory()[0] < 15e6
+    finally:
+        tracemalloc.stop()
+    assert all(joints._spine(side, r[1]) == [list(x) for x in r[4 + side]] for r in table for side in (0, 1))
+
+
+def test_joints_of_a_model_without_pieces():
+    assert pieces.Joints([]).free(-1, -1)
