@@ -596,7 +596,7 @@ def stored_files(spark: SparkSession, path: str) -> DataFrame:
 
     On a local or mounted file system each task lists the parts whose names fall to it and opens their files, so no task, nor the driver, holds all names.
     """
-    root, tasks = _mounted(spark, path), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    root, tasks = _mounted(spark, path), spark.sparkContext.defaultParallelism  # each reads all names of parts, so no more than run at once
     if root is None:
         return spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
